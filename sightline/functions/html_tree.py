@@ -1,0 +1,262 @@
+"""A small mutable HTML tree on the standard-library parser.
+
+Used only inside ``mapInPandas`` batches of the page job: one page is
+parsed into a tree, cleaned, and turned into markdown within one task.
+Recovery rules follow what browsers and libxml2 do for the common cases:
+void elements, ``<p>`` closed by a block start, ``<li>``/``<dt>``/``<dd>``/
+``<tr>``/``<td>``/``<option>`` closing their open sibling, end tags that
+close every element opened after their start, stray end tags ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
+
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen".split())
+# Elements whose start closes an open <p> (HTML's "close a p element").
+CLOSES_P = frozenset(
+    "address article aside blockquote details dialog div dl fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split()
+)
+# Containers that stop the search for an element to auto-close.
+SCOPE = frozenset("html body table td th tr caption ul ol dl div article section main aside nav blockquote".split())
+SIBLING_CLOSE = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
+}
+RAW_TEXT = frozenset({"script", "style"})
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, parent: Node | None = None):
+        self.tag = tag
+        self.attrs: dict[str, str] = attrs or {}
+        self.children: list[Node | Text] = []
+        self.parent = parent
+
+    # -- navigation -------------------------------------------------------
+    def iter(self) -> Iterator[Node | Text]:
+        """All descendants in document order (not self)."""
+        stack = list(reversed(self.children))
+        while stack:
+            n = stack.pop()
+            yield n
+            if isinstance(n, Node):
+                stack.extend(reversed(n.children))
+
+    def elements(self) -> Iterator[Node]:
+        for n in self.iter():
+            if isinstance(n, Node):
+                yield n
+
+    def find_all(self, pred: Callable[[Node], bool] | str) -> list[Node]:
+        if isinstance(pred, str):
+            name = pred
+            return [n for n in self.elements() if n.tag == name]
+        return [n for n in self.elements() if pred(n)]
+
+    def find(self, pred: Callable[[Node], bool] | str) -> Node | None:
+        if isinstance(pred, str):
+            name = pred
+            pred = lambda n: n.tag == name
+        for n in self.elements():
+            if pred(n):
+                return n
+        return None
+
+    def child_elements(self) -> list[Node]:
+        return [c for c in self.children if isinstance(c, Node)]
+
+    def classes(self) -> list[str]:
+        return self.attrs.get("class", "").split()
+
+    def get(self, key: str, default: str = "") -> str:
+        return self.attrs.get(key, default)
+
+    # -- text -------------------------------------------------------------
+    def texts(self) -> Iterator[str]:
+        for n in self.iter():
+            if isinstance(n, Text):
+                yield n.data
+
+    def text(self, sep: str = "", strip: bool = False) -> str:
+        if strip:
+            return sep.join(t.strip() for t in self.texts() if t.strip())
+        return sep.join(self.texts())
+
+    def only_string(self) -> str | None:
+        """Text of an element whose single descendant chain ends in one text node."""
+        node: Node = self
+        while len(node.children) == 1:
+            c = node.children[0]
+            if isinstance(c, Text):
+                return c.data
+            node = c
+        return None
+
+    # -- mutation ---------------------------------------------------------
+    def remove(self) -> None:
+        if self.parent is not None:
+            self.parent.children = [c for c in self.parent.children if c is not self]
+            self.parent = None
+
+    def replace_with(self, other: Node) -> None:
+        p = self.parent
+        if p is None:
+            return
+        idx = next(i for i, c in enumerate(p.children) if c is self)
+        other.detach()
+        p.children[idx] = other
+        other.parent = p
+        self.parent = None
+
+    def detach(self) -> None:
+        self.remove()
+
+    def append(self, child: Node | Text) -> None:
+        child.detach()
+        self.children.append(child)
+        child.parent = self
+
+    def insert_before(self, child: Node | Text, ref: Node | Text) -> None:
+        idx = next(i for i, c in enumerate(self.children) if c is ref)
+        child.detach()
+        self.children.insert(idx, child)
+        child.parent = self
+
+    def set_text(self, text: str) -> None:
+        for c in self.children:
+            c.parent = None
+        self.children = []
+        self.append(Text(text))
+
+    def previous_sibling(self) -> Node | Text | None:
+        if self.parent is None:
+            return None
+        sib = self.parent.children
+        idx = next(i for i, c in enumerate(sib) if c is self)
+        return sib[idx - 1] if idx > 0 else None
+
+    def next_siblings(self) -> list[Node | Text]:
+        if self.parent is None:
+            return []
+        sib = self.parent.children
+        idx = next(i for i, c in enumerate(sib) if c is self)
+        return sib[idx + 1 :]
+
+    def __repr__(self) -> str:  # pragma: no cover - debugging aid
+        return f"<{self.tag} {self.attrs}>"
+
+
+class Text:
+    __slots__ = ("data", "parent")
+
+    def __init__(self, data: str, parent: Node | None = None):
+        self.data = data
+        self.parent = parent
+
+    def detach(self) -> None:
+        if self.parent is not None:
+            self.parent.children = [c for c in self.parent.children if c is not self]
+            self.parent = None
+
+    remove = detach
+
+
+class _Builder(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = Node("#document")
+        self.stack: list[Node] = [self.root]
+
+    @property
+    def cur(self) -> Node:
+        return self.stack[-1]
+
+    def _close_to(self, idx: int) -> None:
+        del self.stack[idx:]
+
+    def _auto_close(self, tag: str) -> None:
+        if tag in SIBLING_CLOSE:
+            closes, stop = SIBLING_CLOSE[tag]
+            for i in range(len(self.stack) - 1, 0, -1):
+                t = self.stack[i].tag
+                if t in stop:
+                    break
+                if t in closes:
+                    self._close_to(i)
+                    break
+        if tag in CLOSES_P:
+            for i in range(len(self.stack) - 1, 0, -1):
+                t = self.stack[i].tag
+                if t == "p":
+                    self._close_to(i)
+                    break
+                if t in SCOPE:
+                    break
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._auto_close(tag)
+        amap: dict[str, str] = {}
+        for k, v in attrs:
+            if k not in amap:
+                amap[k] = v if v is not None else ""
+        node = Node(tag, amap, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.stack.append(node)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID and self.cur.tag == tag:
+            self.stack.pop()
+
+    def handle_endtag(self, tag: str) -> None:
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                self._close_to(i)
+                return
+
+    def handle_data(self, data: str) -> None:
+        if not data:
+            return
+        kids = self.cur.children
+        if kids and isinstance(kids[-1], Text):
+            kids[-1].data += data
+        else:
+            kids.append(Text(data, self.cur))
+
+
+def parse(html: str) -> Node:
+    b = _Builder()
+    b.feed(html)
+    b.close()
+    return b.root
+
+
+def serialize(node: Node | Text) -> str:
+    """HTML text of a subtree (used for the picked article and tests)."""
+    from html import escape
+
+    if isinstance(node, Text):
+        if node.parent is not None and node.parent.tag in RAW_TEXT:
+            return node.data
+        return escape(node.data, quote=False)
+    inner = "".join(serialize(c) for c in node.children)
+    if node.tag == "#document":
+        return inner
+    attrs = "".join(f' {k}="{escape(v)}"' for k, v in node.attrs.items())
+    if node.tag in VOID:
+        return f"<{node.tag}{attrs}>"
+    return f"<{node.tag}{attrs}>{inner}</{node.tag}>"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators import profile as P
 from sightline.plans import sql_catalog
+from sightline.session import configure
 from sightline.sources.tables import file_inventory, per_file_map, read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,9 +224,19 @@ for _name, _fn in sql_catalog.sql_queries().items():
     REGISTRY[_name] = (_fn, sql_catalog.sql_oracles().get(_name))
 
 
+def _configured(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     _load_extensions()
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _configured(v[0]) for k, v in REGISTRY.items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -23,13 +23,45 @@ BROADCAST_MAX_ROWS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the defaults above where the session leaves them unset."""
+    """Apply the defaults above where the session leaves them unset, and
+    make the package importable in Python workers."""
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    ship_code(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (once per context).
+
+    Arrow UDFs and ``mapInPandas`` functions live in this package, so the
+    workers must be able to import it; ``addPyFile`` sends a zip through
+    Spark's own file distribution, which works the same on a cluster.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="sightline-py-")
+    zpath = os.path.join(out_dir, "sightline.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench: local mode, no UI, UTC."""
     spark = (
