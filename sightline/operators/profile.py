@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TEMPORAL_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -134,11 +135,16 @@ def preview(
         keys = [qcol(c).asc_nulls_last() for c in order_by]
         base = df.select(*[qcol(c) for c in dict.fromkeys([*names, *order_by])])
     else:
-        base = df.select(
-            *[qcol(c) for c in names],
-            F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.row_index").alias("__row"),
-        )
+        try:
+            base = df.select(
+                *[qcol(c) for c in names],
+                F.col("_metadata.file_path").alias("__file"),
+                F.col("_metadata.row_index").alias("__row"),
+            )
+        except AnalysisException:
+            # not a file scan: partition order is the table order
+            base = df.select(*[qcol(c) for c in names], F.lit("").alias("__file"),
+                             F.monotonically_increasing_id().alias("__row"))
         keys = [F.col("__file"), F.col("__row")]
     ordered = base.orderBy(*keys)
     if not all_rows:
@@ -219,7 +225,7 @@ def profile_numeric(
         if quantiles:
             parts += [F.round(F.col(f"q{i}")[k], digits).alias(n) for k, n in enumerate(("q25", "q50", "q75"))]
         parts += [
-            F.round((F.col("__n") - F.col(f"nn{i}")) * 100.0 / F.col("__n"), 1).alias("null_pct"),
+            F.round(F.try_divide((F.col("__n") - F.col(f"nn{i}")) * 100.0, F.col("__n")), 1).alias("null_pct"),
             F.col(f"nn{i}").alias("non_null"),
         ]
         structs.append(F.struct(*parts))
@@ -249,7 +255,7 @@ def profile_categorical(df: DataFrame, exact: bool = False, rsd: float = 0.05) -
             F.lit(i).alias("pos"),
             F.lit(duckdb_type_name(f.dataType)).alias("data_type"),
             F.col(f"u{i}").alias("unique_count"),
-            F.round((F.col("__n") - F.col(f"nn{i}")) * 100.0 / F.col("__n"), 1).alias("null_pct"),
+            F.round(F.try_divide((F.col("__n") - F.col(f"nn{i}")) * 100.0, F.col("__n")), 1).alias("null_pct"),
         )
         for i, f in fields
     ]
@@ -307,7 +313,7 @@ def describe(df: DataFrame, accuracy: int = 10_000, rsd: float = 0.05) -> DataFr
                 F.lit(kind).alias("kind"),
                 *[v.alias(n) for v, n in zip(vals, ("min", "max", "avg", "q25", "q50", "q75"))],
                 uniq.alias("unique"),
-                format_number((F.col("__n") - F.col(f"nn{i}")) * 100.0 / F.col("__n")).alias("null_pct"),
+                format_number(F.try_divide((F.col("__n") - F.col(f"nn{i}")) * 100.0, F.col("__n"))).alias("null_pct"),
                 F.col("__n").alias("rows"),
                 F.lit(len(fields)).alias("n_cols"),
             )

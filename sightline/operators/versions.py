@@ -145,6 +145,6 @@ def commit_lint(typ: Column, description: Column, header: Column) -> list[Column
     return [
         F.coalesce(typ.isin(*COMMIT_TYPES), F.lit(False)).alias("known_type"),
         F.coalesce(description.rlike(r"^[a-z]"), F.lit(False)).alias("lowercase_start"),
-        ~F.coalesce(description.endswith("."), F.lit(False)).alias("no_period"),
+        (~F.coalesce(description.endswith("."), F.lit(False))).alias("no_period"),
         (F.length(header) <= 72).alias("short_enough"),
     ]
