@@ -91,7 +91,8 @@ def reading_time(words: Column) -> Column:
 
 def image_manifest(extracted: DataFrame) -> DataFrame:
     """One row per image: source, local file name (``[^A-Za-z0-9]``→``_``, last 40, + extension)."""
-    img = extracted.select("page_id", F.posexplode("images").alias("img_pos", "src"))
+    img = extracted.select("page_id", F.posexplode_outer("images").alias("img_pos", "src")).where(
+        F.col("img_pos").isNotNull())
     path = F.regexp_extract(F.regexp_replace("src", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"^([^?#]*)", 1)
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     ext = F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
@@ -122,17 +123,28 @@ def front_matter(title: Column, author: Column, date: Column, source: Column) ->
     )
 
 
-def normalize_markdown(md: Column, title: Column, author: Column, date: Column, source: Column) -> Column:
-    """E1–E5 on one markdown column."""
-    md1 = F.regexp_replace(md, r"(?U)```[a-z]*\n\s*\n?```", "")                     # E1
-    lines = F.transform(F.split(md1, "\n", -1), lambda l: F.when(               # E2
+def normalize_markdown(df: DataFrame, md_col: str = "markdown_raw", out_col: str = "markdown",
+                       title: str = "title", author: str = "author", date: str = "date",
+                       source: str = "canonical_url") -> DataFrame:
+    """E1–E5 on one markdown column.
+
+    Written as successive columns on purpose: each intermediate text is used
+    more than once, and a separate projection per step lets Catalyst compute
+    it once instead of inlining the regex chain into every use.
+    """
+    md = F.col(md_col)
+    x = df.withColumn("__md1", F.regexp_replace(md, r"(?U)```[a-z]*\n\s*\n?```", ""))  # E1
+    x = x.withColumn("__md2", F.array_join(F.transform(F.split("__md1", "\n", -1), lambda l: F.when(  # E2
         py_strip(l).rlike(_BOLD), F.concat(F.lit("#### "), F.regexp_extract(py_strip(l), _BOLD, 1))
-    ).otherwise(py_rstrip(l)))
-    md2 = F.array_join(lines, "\n")
-    first = F.coalesce(F.get(F.filter(F.split(py_lstrip(md2), "\n", -1), lambda l: py_strip(l) != ""), 0), F.lit(""))
-    md3 = F.when(~first.startswith("# ") & _truthy(title), F.concat(F.lit("# "), title, F.lit("\n\n"), md2)).otherwise(md2)  # E3
-    md4 = F.regexp_replace(md3, r"\n{3,}", "\n\n")                                     # E5
-    return F.concat(front_matter(title, author, date, source), F.lit("\n\n"), py_strip(md4), F.lit("\n"))
+    ).otherwise(py_rstrip(l))), "\n"))
+    first = F.coalesce(F.get(F.filter(F.split(py_lstrip(F.col("__md2")), "\n", -1), lambda l: py_strip(l) != ""), 0),
+                       F.lit(""))
+    t = F.col(title)
+    x = x.withColumn("__md3", F.when(~first.startswith("# ") & _truthy(t),                       # E3
+                                     F.concat(F.lit("# "), t, F.lit("\n\n"), F.col("__md2"))).otherwise(F.col("__md2")))
+    md4 = F.regexp_replace("__md3", r"\n{3,}", "\n\n")                                      # E5
+    out = F.concat(front_matter(t, F.col(author), F.col(date), F.col(source)), F.lit("\n\n"), py_strip(md4), F.lit("\n"))
+    return x.withColumn(out_col, F.when(md.isNotNull(), out)).drop("__md1", "__md2", "__md3")
 
 
 # -- detectors (E6–E12) ------------------------------------------------------
@@ -273,11 +285,7 @@ def page_pipeline(pages: DataFrame, selector: str | None = None, min_len: int =
     x = extract_pages(pages, selector)
     x = x.withColumn("word_count", word_count(F.col("article_text")))
     x = x.withColumn("reading_time_minutes", reading_time(F.col("word_count")))
-    x = x.withColumn(
-        "markdown",
-        F.when(F.col("markdown_raw").isNotNull(), normalize_markdown(
-            F.col("markdown_raw"), F.col("title"), F.col("author"), F.col("date"), F.col("canonical_url"))),
-    )
+    x = normalize_markdown(x)
     x = detect_issues(x, "markdown", min_len)
     x = section_map(x, "markdown")
     return x
@@ -298,11 +306,14 @@ def page_summary(processed: DataFrame) -> DataFrame:
 
 def issue_report(processed: DataFrame) -> DataFrame:
     """E12 long form: one row per issue, ``issue_pos`` keeps the detector order."""
-    return processed.select("page_id", F.posexplode("issues").alias("issue_pos", "i")).select(
-        "page_id", "issue_pos", "i.type", "i.line", "i.find", "i.detected", "i.fix")
+    # posexplode_outer + filter: a plain posexplode makes Catalyst infer a
+    # size(issues) > 0 filter and push it below the projections, which would
+    # evaluate the whole detector chain twice.
+    return processed.select("page_id", F.posexplode_outer("issues").alias("issue_pos", "i")).where(
+        F.col("issue_pos").isNotNull()).select("page_id", "issue_pos", "i.type", "i.line", "i.find", "i.detected", "i.fix")
 
 
 def sections_long(processed: DataFrame) -> DataFrame:
     """E15 long form: one row per section."""
-    return processed.select("page_id", F.posexplode("sections").alias("section_pos", "s")).select(
-        "page_id", "section_pos", "s.title", "s.line", "s.tokens")
+    return processed.select("page_id", F.posexplode_outer("sections").alias("section_pos", "s")).where(
+        F.col("section_pos").isNotNull()).select("page_id", "section_pos", "s.title", "s.line", "s.tokens")

@@ -62,7 +62,7 @@ def _images(spark, d):
 def _rollup(spark, d):
     """Issues by type and the share of clean pages (one pass, partial aggregation)."""
     p = _processed(spark, d).select("page_id", "issues")
-    by_type = p.select(F.explode("issues.type").alias("type")).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    by_type = p.select(F.explode_outer("issues.type").alias("type")).where(F.col("type").isNotNull()).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
     pages = p.agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(F.when(F.size("issues") == 0, 1).otherwise(0)).alias("clean"),
