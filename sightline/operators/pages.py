@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.functions.langs import py_lstrip, py_rstrip, py_strip, sniff_language_col
-from sightline.functions.spans import span_type, regex_spans
+from sightline.functions.spans import regex_spans
+from sightline.session import spread_for_cpu
 
 EXTRACT_SCHEMA = T.StructType(
     [
@@ -72,7 +73,7 @@ def _extract_fn(selector: str | None):
 
 def extract_pages(pages: DataFrame, selector: str | None = None) -> DataFrame:
     """The per-page parse, as one Arrow-batched Python pass."""
-    return pages.select("page_id", "url", "html").mapInPandas(_extract_fn(selector), EXTRACT_SCHEMA)
+    return spread_for_cpu(pages.select("page_id", "url", "html")).mapInPandas(_extract_fn(selector), EXTRACT_SCHEMA)
 
 
 # ------------------------------------------------------------------ native columns
@@ -198,6 +199,7 @@ def _issue(type_: str, line: Column, find: Column | None, detected: Column | Non
 def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) -> DataFrame:
     """Adds ``issues`` = array of issue structs in the fixed detector order."""
     md = F.col(md_col)
+    df = spread_for_cpu(df)
     df = df.withColumn("__zones", exclusion_zones(md))
     fused = F.transform(
         F.filter(regex_spans(rf"\S{{{min_len},}}", "")(md),

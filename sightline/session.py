@@ -108,3 +108,19 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row stages (HTML parsing, Python regex) at least one
+    partition per core.
+
+    A large input already arrives in many file splits and is returned
+    untouched (no shuffle).  Only an input with fewer partitions than the
+    cluster's default parallelism — a small table in one file / row group —
+    is spread round-robin; that shuffle moves a small table, and each row
+    is independent so no key co-location is needed.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
