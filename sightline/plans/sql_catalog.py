@@ -415,12 +415,10 @@ FROM embeddings
 _q("sql_unnest", """
 SELECT label, pos, ROUND(AVG(CAST(x AS DOUBLE)), 6) AS mean_x
 FROM embeddings LATERAL VIEW POSEXPLODE(embedding) e AS pos, x
-WHERE pos < 4
 GROUP BY label, pos
 """, """
 SELECT label, CAST(pos - 1 AS INTEGER) AS pos, ROUND(AVG(CAST(x AS DOUBLE)), 6) AS mean_x
 FROM (SELECT label, UNNEST(embedding) AS x, UNNEST(generate_series(1, len(embedding))) AS pos FROM embeddings)
-WHERE pos <= 4
 GROUP BY label, pos
 """)
 
