@@ -67,7 +67,7 @@ def _project(spark, d):
 
 @register(
     "preview",
-    """SELECT row_number() OVER (ORDER BY o_orderkey) AS preview_pos, o_orderkey, o_orderstatus, o_totalprice,
+    """SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS INTEGER) AS preview_pos, o_orderkey, o_orderstatus, o_totalprice,
               (SELECT COUNT(*) FROM orders) AS total
        FROM orders ORDER BY o_orderkey LIMIT 10""",
 )

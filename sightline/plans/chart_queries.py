@@ -131,7 +131,7 @@ def _axis(spark, d):
     """WITH per AS (SELECT c_custkey, COUNT(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey
                     GROUP BY c_custkey)
        SELECT MIN(n) AS min_children, MAX(n) AS max_children,
-              SUM(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS childless_parents,
+              CAST(SUM(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS childless_parents,
               (SELECT COUNT(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS orphan_children
        FROM per""",
 )

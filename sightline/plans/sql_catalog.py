@@ -121,10 +121,10 @@ GROUP BY c_mktsegment
 
 _q("sql_window_rank", """
 SELECT o_custkey, o_orderkey,
-       ROW_NUMBER() OVER w AS rn,
-       RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS rnk,
-       DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS drnk,
-       NTILE(3) OVER w AS tile,
+       CAST(ROW_NUMBER() OVER w AS BIGINT) AS rn,
+       CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS BIGINT) AS rnk,
+       CAST(DENSE_RANK() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS BIGINT) AS drnk,
+       CAST(NTILE(3) OVER w AS BIGINT) AS tile,
        ROUND(PERCENT_RANK() OVER w, 6) AS prank,
        ROUND(CUME_DIST() OVER w, 6) AS cdist
 FROM orders
@@ -196,7 +196,7 @@ SELECT l_returnflag, l_linestatus, GROUPING_ID(l_returnflag, l_linestatus) AS gi
        COUNT(*) AS n, SUM(l_quantity) AS qty
 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
 """, """
-SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_returnflag, l_linestatus) AS INTEGER) AS gid,
+SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_returnflag, l_linestatus) AS BIGINT) AS gid,
        COUNT(*) AS n, SUM(l_quantity) AS qty
 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
 """)
@@ -296,7 +296,7 @@ FROM customer c,
 _q("sql_topk", """
 SELECT o_custkey, o_orderkey, o_totalprice, rn FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn
+         CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
   FROM orders) WHERE rn <= 3
 """)
 
@@ -345,7 +345,7 @@ GROUP BY r_name, r_regionkey
 """)
 
 _q("sql_dates", """
-SELECT date_trunc('MONTH', o_orderdate) AS month,
+SELECT CAST(date_trunc('MONTH', o_orderdate) AS TIMESTAMP_NTZ) AS month,
        CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS yr,
        date_format(MIN(o_orderdate), 'yyyy-MM-dd') AS first_day,
        MAX(o_orderdate) + INTERVAL 30 DAY AS due,
