@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.functions.langs import py_lstrip, py_rstrip, py_strip, sniff_language_col
-from sightline.functions.spans import regex_spans
+from sightline.functions.spans import regex_spans, span_type as SPAN_TYPE
 from sightline.session import spread_for_cpu
 
 EXTRACT_SCHEMA = T.StructType(
@@ -182,9 +182,21 @@ def context_around(md: Column, start: Column, end: Column, ctx: int = 40) -> Col
     return F.replace(F.substring(md, s + 1, e - s), F.lit("\n"), F.lit("\\n"))
 
 
+def _guarded(pattern: tuple[str, str], md: Column, maybe: Column) -> Column:
+    """Spans of ``pattern``; the Python helper only sees texts where ``maybe``
+    (a cheap native test that admits every text that could match) holds —
+    the others are passed as null and yield an empty array."""
+    return F.coalesce(regex_spans(*pattern)(F.when(maybe, md)), F.array().cast(SPAN_TYPE))
+
+
 def exclusion_zones(md: Column) -> Column:
     """Spans of fences, link URLs, inline code and front matter."""
-    return F.concat(*[regex_spans(p, f)(md) for p, f in (FENCE_RE, LINK_URL_RE, INLINE_CODE_RE, FRONT_MATTER_RE)])
+    return F.concat(
+        _guarded(FENCE_RE, md, md.contains("```")),
+        _guarded(LINK_URL_RE, md, md.contains("](")),
+        _guarded(INLINE_CODE_RE, md, md.contains("`")),
+        _guarded(FRONT_MATTER_RE, md, md.startswith("---\n")),
+    )
 
 
 def _issue(type_: str, line: Column, find: Column | None, detected: Column | None, fix: Column) -> Column:
@@ -202,24 +214,24 @@ def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) ->
     df = spread_for_cpu(df)
     df = df.withColumn("__zones", exclusion_zones(md))
     fused = F.transform(
-        F.filter(regex_spans(rf"\S{{{min_len},}}", "")(md),
+        F.filter(_guarded((rf"\S{{{min_len},}}", ""), md, md.rlike(rf"(?U)\S{{{min_len},}}")),
                  lambda s: ~F.exists(F.col("__zones"), lambda z: (s["start"] < z["end"]) & (s["end"] > z["start"]))),
         lambda s: _issue("fused text", line_of(md, s["start"]), context_around(md, s["start"], s["end"]), None,
                          F.lit("verify whitespace between tokens")),
     )
     leak = F.transform(
-        regex_spans(*HTML_LEAK_RE)(md),
+        _guarded(HTML_LEAK_RE, md, md.contains("<") | md.contains("role=")),
         lambda s: _issue("HTML leakage", line_of(md, s["start"]), context_around(md, s["start"], s["end"]), None,
                          F.lit("remove or convert to markdown")),
     )
     empty = F.transform(
-        regex_spans(*EMPTY_FENCE_RE)(md),
+        _guarded(EMPTY_FENCE_RE, md, md.contains("```")),
         lambda s: _issue("empty code block", line_of(md, s["start"]), context_around(md, s["start"], s["end"], 20),
                          None, F.lit("remove empty fence")),
     )
     df = df.withColumn(
         "__fences",
-        F.transform(regex_spans(*FENCE_LANG_RE)(md), lambda s: F.struct(
+        F.transform(_guarded(FENCE_LANG_RE, md, md.contains("```")), lambda s: F.struct(
             s["start"].alias("start"), s["g1"].alias("lang"), py_strip(s["g2"]).alias("body"))),
     )
     wrong = F.transform(
@@ -230,9 +242,10 @@ def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) ->
         lambda f: _issue("wrong language", line_of(md, f["start"]), None, f["sniffed"],
                          F.concat(F.lit("change fence to ```"), f["sniffed"])),
     )
-    df = df.withColumn("__lines", F.split(md, "\n", -1))
+    df = df.withColumn("__lines", F.when(md.contains("```"), F.split(md, "\n", -1)))
     n = F.size("__lines")
-    idx = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    # a label needs a fence on the next line: texts without ``` skip the line scan
+    idx = F.when((n >= 2) & md.contains("```"), F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
     tab = F.transform(
         F.filter(idx, lambda i: py_strip(F.get(F.col("__lines"), i)).rlike(r"^(?i)[a-z]{2,15}$")
                  & py_strip(F.get(F.col("__lines"), i + 1)).startswith("```")),
