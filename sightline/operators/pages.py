@@ -21,13 +21,18 @@ from sightline.functions.langs import py_lstrip, py_rstrip, py_strip, sniff_lang
 from sightline.functions.spans import regex_spans, span_type as SPAN_TYPE
 from sightline.session import spread_for_cpu
 
+META_FIELDS = ("title", "author", "date", "description", "canonical_url", "og_image", "site_name", "lang")
+CANDIDATE_TYPE = T.ArrayType(T.StructType([
+    T.StructField("source", T.StringType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+]))
+
 EXTRACT_SCHEMA = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
         T.StructField("url", T.StringType()),
         T.StructField("picked_by", T.StringType()),
-        *[T.StructField(f, T.StringType()) for f in
-          ("title", "author", "date", "description", "canonical_url", "og_image", "site_name", "lang")],
+        T.StructField("meta_candidates", CANDIDATE_TYPE),
+        T.StructField("cleanup_counts", T.MapType(T.StringType(), T.IntegerType())),
         T.StructField("article_text", T.StringType()),
         T.StructField("images", T.ArrayType(T.StringType())),
         T.StructField("markdown_raw", T.StringType()),
@@ -44,8 +49,8 @@ def _process(page_id, url, html, selector):
     stage = "extract"
     try:
         root = html_tree.parse(html or "")
-        rec.update(page_rules.extract_metadata(root))
-        page_rules.cleanup(root)
+        rec["meta_candidates"] = page_rules.metadata_candidates(root)
+        rec["cleanup_counts"] = page_rules.cleanup(root)
         article, picked_by = page_rules.pick_article(root, selector)
         rec["picked_by"] = picked_by
         rec["article_text"] = article.text(" ", strip=True)
@@ -72,8 +77,26 @@ def _extract_fn(selector: str | None):
 
 
 def extract_pages(pages: DataFrame, selector: str | None = None) -> DataFrame:
-    """The per-page parse, as one Arrow-batched Python pass."""
-    return spread_for_cpu(pages.select("page_id", "url", "html")).mapInPandas(_extract_fn(selector), EXTRACT_SCHEMA)
+    """The per-page parse, as one Arrow-batched Python pass,
+    then the metadata merge (D4) as native columns."""
+    raw = spread_for_cpu(pages.select("page_id", "url", "html")).mapInPandas(_extract_fn(selector), EXTRACT_SCHEMA)
+    return merge_metadata(raw)
+
+
+def merge_metadata(df: DataFrame, col: str = "meta_candidates") -> DataFrame:
+    """Per field the first non-empty candidate in priority order
+    (JSON-LD → meta tags → fallbacks); ``<html lang>`` overrides ``og:locale``."""
+    c = F.col(col)
+
+    def first(pred) -> Column:
+        return F.get(F.filter(c, pred), 0)["value"]
+
+    def key_is(k: str):
+        return lambda x: x["key"] == k  # one-argument lambda (two would receive the index)
+
+    fields = {k: first(key_is(k)) for k in META_FIELDS}
+    fields["lang"] = F.coalesce(first(lambda x: x["source"] == "html_lang"), fields["lang"])
+    return df.withColumns(fields)
 
 
 # ------------------------------------------------------------------ native columns

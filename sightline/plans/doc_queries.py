@@ -133,3 +133,57 @@ def _feedback_stream(spark, d):
         q = FS.start_feedback_sink(FS.dedup_entries(FS.entries_stream(spark, src)), out, ck)
         q.awaitTermination()
     return spark.read.parquet(out).groupBy("skill").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def _doc_issues(spark, d, min_len=20):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    return PG.detect_issues(docs, "text", min_len=min_len)
+
+
+@register(
+    "context_snippet",
+    "WITH m AS (SELECT doc_id, text, regexp_extract(text, '\\S{20,}') AS mt FROM documents "
+    "WHERE regexp_matches(text, '\\S{20,}')), p AS (SELECT doc_id, text, mt, strpos(text, mt) - 1 AS s FROM m) "
+    "SELECT doc_id, CAST(len(string_split(substr(text, 1, s), chr(10))) AS INTEGER) AS line, "
+    "replace(substr(text, greatest(s - 40, 0) + 1, least(length(text), s + length(mt) + 40) - greatest(s - 40, 0)), "
+    "chr(10), '\\n') AS find FROM p",
+)
+def _context(spark, d):
+    """Line and ±40-character context of the first fused run of every document."""
+    x = _doc_issues(spark, d)
+    first = F.get(F.filter("issues", lambda i: i["type"] == "fused text"), 0)
+    return x.select("doc_id", first["line"].alias("line"), first["find"].alias("find")).where(F.col("line").isNotNull())
+
+
+@register(
+    "detect_html_leak",
+    "SELECT doc_id, CAST(len(regexp_extract_all(text, '<(svg|button|input|form)\\b|role=[\"'']')) AS INTEGER) AS n "
+    "FROM documents WHERE regexp_matches(text, '<(svg|button|input|form)\\b|role=[\"'']')",
+)
+def _leak(spark, d):
+    """E8 over whole documents."""
+    x = _doc_issues(spark, d)
+    return x.select("doc_id", F.size(F.filter("issues", lambda i: i["type"] == "HTML leakage")).alias("n")).where("n > 0")
+
+
+def _doc_issue_rows(kind):
+    def run(spark, d):
+        x = _doc_issues(spark, d)
+        return x.select("doc_id", F.explode_outer(F.filter("issues", lambda i: i["type"] == kind)).alias("i")).where(
+            F.col("i").isNotNull()).select("doc_id", "i.line", "i.find", "i.detected", "i.fix")
+
+    run.__doc__ = f"{kind} issues over whole documents."
+    return run
+
+
+for _q, _kind in [("detect_empty_fence", "empty code block"), ("detect_wrong_language", "wrong language"),
+                  ("detect_tab_label", "suspicious tab label")]:
+    register(_q)(_doc_issue_rows(_kind))
+
+
+@register("drop_empty_fences")
+def _drop_empty(spark, d):
+    """E1 over whole documents: texts that lose an empty fenced block."""
+    docs = read_table(spark, d, "documents")
+    cleaned = F.regexp_replace("text", r"(?U)```[a-z]*\n\s*\n?```", "")
+    return docs.select("doc_id", (F.length("text") - F.length(cleaned)).alias("removed_chars")).where("removed_chars > 0")

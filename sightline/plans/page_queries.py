@@ -83,3 +83,126 @@ def _code_language(spark, d):
     """D22 native rule table over whole document texts: documents per sniffed language."""
     docs = read_table(spark, d, "documents")
     return docs.groupBy(sniff_language_col(F.col("text")).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+# ---------------------------------------------------------------- per-step views
+
+_TITLE = ("regexp_replace(" + _ENTITY_FIX.format(x="regexp_extract(html, '<title>([^<]*)</title>', 1)")
+          + ", '^\\s+|\\s+$', '', 'g')")
+_LANG = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
+
+
+def _extracted(spark, d):
+    return PG.extract_pages(page_source_table(read_table(spark, d, "pages")))
+
+
+def _candidates(spark, d, sources):
+    x = _extracted(spark, d).select("page_id", F.explode_outer("meta_candidates").alias("c"))
+    return x.where(F.col("c.source").isin(*sources)).select("page_id", "c.source", "c.key", "c.value")
+
+
+@register("meta_jsonld")
+def _meta_jsonld(spark, d):
+    """JSON-LD article fields per page (the driver pages carry none)."""
+    return _candidates(spark, d, ["jsonld"])
+
+
+@register("meta_tags")
+def _meta_tags(spark, d):
+    """Open Graph / article / Twitter / author / description meta tags per page."""
+    return _candidates(spark, d, ["og", "twitter", "meta"])
+
+
+@register(
+    "meta_fallback",
+    f"SELECT page_id, 'fallback' AS source, 'title' AS key, {_TITLE} AS value FROM pages WHERE {_TITLE} <> '' "
+    f"UNION ALL SELECT page_id, 'html_lang', 'lang', {_LANG} FROM pages WHERE {_LANG} <> ''",
+)
+def _meta_fallback(spark, d):
+    """D3: ``<title>``, canonical link and ``<html lang>`` per page."""
+    return _candidates(spark, d, ["fallback", "html_lang"])
+
+
+@register("dom_cleanup")
+def _dom_cleanup(spark, d):
+    """D5–D13 audit: how often each cleanup step changed each page (long form, non-zero only)."""
+    x = _extracted(spark, d).select("page_id", F.explode_outer("cleanup_counts").alias("step", "n"))
+    return x.where(F.col("n") > 0)
+
+
+@register(
+    "strip_boilerplate",
+    "SELECT page_id, CAST(len(regexp_extract_all(lower(html), "
+    "'<(script|style|button|svg|nav|footer|header|noscript)[\\s/>]')) AS INTEGER) AS removed FROM pages "
+    "WHERE regexp_matches(lower(html), '<(script|style|button|svg|nav|footer|header|noscript)[\\s/>]')",
+)
+def _strip_boilerplate(spark, d):
+    """Boilerplate elements removed per page."""
+    x = _extracted(spark, d).select("page_id", F.col("cleanup_counts")["boilerplate"].alias("removed"))
+    return x.where(F.col("removed") > 0)
+
+
+def _step(name):
+    def run(spark, d):
+        x = _extracted(spark, d).select("page_id", F.col("cleanup_counts")[name].alias("changed"))
+        return x.where(F.col("changed") > 0)
+
+    run.__doc__ = f"Pages changed by the {name} cleanup step, with the number of changes."
+    return run
+
+
+for _query, _stepname in [("flatten_aria_tabs", "aria_tabs"), ("flatten_class_tabs", "class_tabs"),
+                          ("terminal_regions", "terminal_regions"), ("strip_copy_ui", "copy_ui"),
+                          ("clean_code_chrome", "code_chrome"), ("collapse_code_spans", "code_spans"),
+                          ("inline_spacing", "inline_spacing")]:
+    register(_query)(_step(_stepname))
+
+
+@register("pick_article")
+def _pick_article(spark, d):
+    """Which rule chose the content (article / main / best div / body) and its size."""
+    x = _extracted(spark, d)
+    return x.select("page_id", "picked_by", PG.word_count(F.col("article_text")).alias("word_count"),
+                    F.length("article_text").alias("text_chars"))
+
+
+@register("select_content")
+def _select_content(spark, d):
+    """A CSS selector override (``article p``); pages where it matches nothing fall back."""
+    x = PG.extract_pages(page_source_table(read_table(spark, d, "pages")), selector="article p")
+    return x.select("page_id", "picked_by", F.length("article_text").alias("text_chars"))
+
+
+@register("reading_time")
+def _reading_time(spark, d):
+    """Words and reading minutes per page."""
+    x = _extracted(spark, d).withColumn("word_count", PG.word_count(F.col("article_text")))
+    return x.select("page_id", "word_count", PG.reading_time(F.col("word_count")).alias("reading_time_minutes"))
+
+
+@register(
+    "front_matter",
+    "SELECT page_id, CASE WHEN " + _TITLE + " <> '' THEN '---' || chr(10) || 'title: \"' || replace(" + _TITLE
+    + ", '\"', '\\\"') || '\"' || chr(10) || '---' ELSE '---' || chr(10) || '---' END AS front_matter FROM pages",
+)
+def _front_matter(spark, d):
+    """The ``---`` header each page's markdown starts with."""
+    x = _extracted(spark, d)
+    return x.select("page_id", PG.front_matter(F.col("title"), F.col("author"), F.col("date"),
+                                               F.col("canonical_url")).alias("front_matter"))
+
+
+@register("inject_h1")
+def _inject_h1(spark, d):
+    """Pages whose markdown did not start with ``# `` and got the title as heading."""
+    x = _processed(spark, d)
+    raw_first = F.get(F.filter(F.split(F.col("markdown_raw"), "\n"), lambda l: F.trim(l) != ""), 0)
+    return x.select("page_id", "title", (~F.coalesce(raw_first.startswith("# "), F.lit(False))
+                                         & F.col("title").isNotNull()).alias("injected")).where("injected")
+
+
+@register("exclusion_zones")
+def _zones(spark, d):
+    """Fence / link-URL / inline-code / front-matter spans per page markdown."""
+    x = _processed(spark, d).select("page_id", PG.exclusion_zones(F.col("markdown")).alias("z"))
+    return x.select("page_id", F.size("z").alias("n_zones"), F.col("z")[0]["start"].alias("first_start"))
