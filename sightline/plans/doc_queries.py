@@ -187,3 +187,50 @@ def _drop_empty(spark, d):
     docs = read_table(spark, d, "documents")
     cleaned = F.regexp_replace("text", r"(?U)```[a-z]*\n\s*\n?```", "")
     return docs.select("doc_id", (F.length("text") - F.length(cleaned)).alias("removed_chars")).where("removed_chars > 0")
+
+
+@register(
+    "url_number",
+    "SELECT page_id, TRY_CAST(NULLIF(regexp_extract(url, '/issues/([0-9]+)\\b', 1), '') AS INTEGER) AS number, "
+    "CASE WHEN regexp_extract(url, '/issues/([0-9]+)\\b', 1) = '' THEN 'could not parse issue number from ' || url "
+    "END AS error FROM pages",
+)
+def _url_number(spark, d):
+    """F10 over every page URL (error text where no issue number is present)."""
+    pages = read_table(spark, d, "pages").select("page_id", "url")
+    return pages.select("page_id", *W.url_number(F.col("url")))
+
+
+@register(
+    "extract_version",
+    "SELECT doc_id, regexp_extract(text, '(?m)^\\s*version:\\s*\"?([^\"\\s]+)\"?\\s*$', 1) AS version FROM documents "
+    "WHERE regexp_extract(text, '(?m)^\\s*version:\\s*\"?([^\"\\s]+)\"?\\s*$', 1) <> ''",
+)
+def _extract_version(spark, d):
+    """H1 over whole documents: the ``version:`` header value where present."""
+    from sightline.operators import versions as V
+
+    docs = read_table(spark, d, "documents")
+    return docs.select("doc_id", V.extract_version(F.col("text")).alias("version")).where(F.col("version").isNotNull())
+
+
+@register(
+    "status_counts",
+    "SELECT doc_id, " + ", ".join(
+        f"CAST(len(regexp_extract_all(text, '\\[{m}\\]')) AS INTEGER) AS {m.lower()}"
+        for m in ("DECIDED", "PROPOSED", "OPEN")) + " FROM documents",
+)
+def _status_counts(spark, d):
+    """J1 over whole documents: status markers per document."""
+    from sightline.operators import plan_docs as J
+
+    return J.status_counts(read_table(spark, d, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("diagram_inventory")
+def _diagrams(spark, d):
+    """K1: fenced mermaid blocks across all documents, typed by first keyword."""
+    from sightline.operators import plan_docs as J
+
+    blocks = W.fenced_blocks(read_table(spark, d, "documents"), "text", "doc_id")
+    return J.diagram_inventory(blocks).drop("body")
