@@ -516,6 +516,17 @@ def _not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.not_in(cust, "c_custkey", orders, "o_custkey")
 
 
+def _window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 as a skew-safe plan: no window is keyed by the customer alone."""
+    from sightline.operators import windows
+
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    x = windows.rank_family(orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], tiles=3)
+    x = windows.value_ranks(x, ["o_custkey"], "o_orderstatus")
+    return x.select("o_custkey", "o_orderkey", "rn", "rnk", "drnk", "tile",
+                    F.round("prank", 6).alias("prank"), F.round("cdist", 6).alias("cdist"))
+
+
 def _alias_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.sources.tables import bind_tables, table_path
 
@@ -528,6 +539,7 @@ _DATAFRAME_PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_asof": _asof,
     "sql_not_in": _not_in,
     "sql_alias_t1": _alias_t1,
+    "sql_window_rank": _window_rank,
 }
 
 
