@@ -101,3 +101,80 @@ def rank_family(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         F.when(n > 1, (r - 1) / (n - 1)).otherwise(F.lit(0.0)).alias("prank"),
         (r / n).alias("cdist"),
     ).drop("__n")
+
+
+# ---------------------------------------------------------------------------
+# Ordered pieces: one range-partitioned, checkpointed copy of the rows, on
+# which running aggregates and row shifts are computed piece by piece and
+# stitched together through small per-piece summaries.
+# ---------------------------------------------------------------------------
+
+
+def ordered_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                   parts: int | None = None) -> DataFrame:
+    """Rows range-partitioned on ``(keys, order)`` with their piece id ``__pid`` (checkpointed)."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(parts, *[F.col(k) for k in keys], *_names(order)).withColumn(
+        "__pid", F.spark_partition_id()))
+
+
+def _piece_window(keys, order):
+    return Window.partitionBy("__pid", *keys).orderBy(*_names(order))
+
+
+def _before_pieces(keys, lo=Window.unboundedPreceding, hi=-1):
+    return Window.partitionBy(*keys).orderBy("__pid").rowsBetween(lo, hi)
+
+
+def with_running_sum(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: Column | str,
+                     out: str) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)`` on pieces."""
+    keys = list(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    w = _piece_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = x.withColumn("__ls", F.sum(v).over(w)).withColumn("__lc", F.count(v).over(w))
+    per = x.groupBy("__pid", *keys).agg(F.sum(v).alias("__ps"), F.count(v).alias("__pc"))
+    off = per.select("__pid", *keys,
+                     F.coalesce(F.sum("__ps").over(_before_pieces(keys)), F.lit(0)).alias("__os"),
+                     F.coalesce(F.sum("__pc").over(_before_pieces(keys)), F.lit(0)).alias("__oc"))
+    j = local.join(off, ["__pid", *keys])
+    total = F.when(F.col("__lc") + F.col("__oc") > 0, F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__os"))
+    return j.withColumn(out, total).drop("__ls", "__lc", "__os", "__oc")
+
+
+def with_shift(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, offset: int,
+               out: str) -> DataFrame:
+    """``LAG(value, offset)`` (offset > 0) or ``LEAD(value, -offset)`` on pieces.
+
+    Inside a piece the plain window answers; the first (lag) or last (lead)
+    ``k`` rows of a piece read the edge values of the neighbouring ``k``
+    pieces — at most ``k`` values per piece, gathered by a window over one
+    row per piece.
+    """
+    keys = list(keys)
+    k = abs(offset)
+    lag = offset > 0
+    w = _piece_window(keys, order)
+    local = (x.withColumn("__lrn", F.row_number().over(w))
+             .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys)))
+             .withColumn("__in", F.lag(value, k).over(w) if lag else F.lead(value, k).over(w)))
+    edge = local.where(F.col("__lrn") > F.col("__cnt") - k) if lag else local.where(F.col("__lrn") <= k)
+    edges = edge.groupBy("__pid", *keys).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("__lrn", F.col(value).alias("v")))), lambda s: s["v"]).alias("__e"))
+    frame = _before_pieces(keys, -k, -1) if lag else _before_pieces(keys, 1, k)
+    carry = edges.select("__pid", *keys, F.flatten(F.collect_list("__e").over(frame)).alias("__carry"))
+    j = local.join(carry, ["__pid", *keys], "left")
+    r, n, c = F.col("__lrn"), F.col("__cnt"), F.coalesce(F.col("__carry"), F.array())
+    if lag:
+        idx = F.size(c) - k + r - 1
+        res = F.when(r > k, F.col("__in")).when(idx >= 0, F.get(c, idx))
+    else:
+        idx = r + k - n - 1
+        res = F.when(r <= n - k, F.col("__in")).when(idx < F.size(c), F.get(c, idx))
+    return j.withColumn(out, res).drop("__lrn", "__cnt", "__in", "__carry")
+
+
+def first_last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """First and last ``value`` per key in ``order`` — ``min_by``/``max_by`` aggregations."""
+    okey = F.struct(*[F.col(c) for c in order])
+    return df.groupBy(*keys).agg(F.min_by(value, okey).alias("__first"), F.max_by(value, okey).alias("__last"))

@@ -527,6 +527,59 @@ def _window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("prank", 6).alias("prank"), F.round("cdist", 6).alias("cdist"))
 
 
+def _window_analytic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 as a skew-safe plan: shifts on ordered pieces, first/last/nth from aggregates."""
+    from sightline.operators import windows as WN
+
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    x = WN.ordered_pieces(ev, keys, order)
+    x = WN.with_shift(x, keys, order, "value", 1, "prev_value")
+    x = WN.with_shift(x, keys, order, "value", -2, "next2_value")
+    x = WN.with_running_sum(x, keys, order, F.lit(1), "__rn").drop("__pid")
+    second = x.where(F.col("__rn") == 2).select("user_id", F.col("value").alias("second_value"))
+    ends = WN.first_last_by(ev, keys, order, "event_type")
+    return (x.join(ends, keys).join(second, keys, "left")
+            .select("event_id", "user_id", "prev_value", "next2_value", F.col("__first").alias("first_type"),
+                    F.col("__last").alias("last_type"), "second_value"))
+
+
+def _window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14 as a skew-safe plan.
+
+    Running sum and the 3-row moving average come from ordered pieces; the
+    1-day RANGE count is the running count of events at two query points per
+    event — at ``ts`` (after equal times) and just before ``ts - 1 day`` —
+    so no per-user window and no pairs of events are formed.
+    """
+    from sightline.operators import windows as WN
+
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    x = WN.ordered_pieces(ev, keys, order)
+    x = WN.with_running_sum(x, keys, order, "value", "running_value")
+    x = WN.with_shift(x, keys, order, "value", 1, "__l1")
+    x = WN.with_shift(x, keys, order, "value", 2, "__l2").drop("__pid")
+    vals = [F.col("value"), F.col("__l1"), F.col("__l2")]
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in vals), F.lit(0.0))
+    cnt = sum((v.isNotNull().cast("int") for v in vals), F.lit(0))
+    x = x.select("event_id", F.round("running_value", 4).alias("running_value"),
+                 F.round(F.when(cnt > 0, total / cnt), 4).alias("moving_avg3"))
+    points = ev.select("user_id", F.col("ts").alias("t"), F.lit(1).alias("side"), F.col("event_id").alias("id"),
+                       F.lit(1).alias("w"), F.lit(None).cast("long").alias("qid")).unionByName(
+        ev.select("user_id", F.col("ts").alias("t"), F.lit(2).alias("side"), F.col("event_id").alias("id"),
+                  F.lit(0).alias("w"), F.col("event_id").alias("qid"))).unionByName(
+        ev.select("user_id", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("t"), F.lit(0).alias("side"),
+                  F.col("event_id").alias("id"), F.lit(0).alias("w"), F.col("event_id").alias("qid")))
+    porder = ["t", "side", "id"]
+    q = WN.with_running_sum(WN.ordered_pieces(points, keys, porder), keys, porder, "w", "__run").where(
+        F.col("qid").isNotNull())
+    counts = q.groupBy("qid").agg(
+        (F.sum(F.when(F.col("side") == 2, F.col("__run"))) - F.sum(F.when(F.col("side") == 0, F.col("__run"))))
+        .cast("bigint").alias("n_last_day"))
+    return x.join(counts, x.event_id == counts.qid).drop("qid")
+
+
 def _alias_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.sources.tables import bind_tables, table_path
 
@@ -540,6 +593,8 @@ _DATAFRAME_PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_not_in": _not_in,
     "sql_alias_t1": _alias_t1,
     "sql_window_rank": _window_rank,
+    "sql_window_analytic": _window_analytic,
+    "sql_window_frames": _window_frames,
 }
 
 

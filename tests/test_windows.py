@@ -35,3 +35,21 @@ def test_hot_key_is_split(spark):
     assert x.where("k = 0").select("p").distinct().count() > 1
     rn = WN.row_number_by(df, ["k"], ["id"], parts=8)
     assert sorted(r.rn for r in rn.where("k = 0").collect()) == list(range(1, 2001))
+
+
+def test_shift_and_running_sum_match_plain_windows(spark):
+    rnd = random.Random(5)
+    rows = [(0 if rnd.random() < 0.4 else rnd.randrange(1, 20), i, rnd.choice([None, float(rnd.randrange(9))]))
+            for i in range(2500)]
+    df = spark.createDataFrame(rows, "k int, id int, v double")
+    x = WN.ordered_pieces(df, ["k"], ["id"], parts=7)
+    x = WN.with_shift(x, ["k"], ["id"], "v", 1, "lag1")
+    x = WN.with_shift(x, ["k"], ["id"], "v", 2, "lag2")
+    x = WN.with_shift(x, ["k"], ["id"], "v", -2, "lead2")
+    x = WN.with_running_sum(x, ["k"], ["id"], "v", "run").drop("__pid")
+    w = Window.partitionBy("k").orderBy("id")
+    want = df.select("k", "id", "v", F.lag("v", 1).over(w).alias("lag1"), F.lag("v", 2).over(w).alias("lag2"),
+                     F.lead("v", 2).over(w).alias("lead2"),
+                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    got = x.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
