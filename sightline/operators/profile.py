@@ -183,6 +183,22 @@ def format_number(x: Column) -> Column:
     ).otherwise(r.cast("decimal(38,1)").cast("string"))
 
 
+# Columns per aggregate pass: a few hundred aggregate expressions still
+# compile into whole-stage code; wider tables are profiled in chunks (each
+# chunk reads only its own columns from parquet) and the results stacked.
+CHUNK_COLUMNS = 100
+
+
+def _chunked(df: DataFrame, fields: list, fn) -> DataFrame:
+    if len(fields) <= CHUNK_COLUMNS:
+        return fn(fields)
+    parts = [fn(fields[i:i + CHUNK_COLUMNS]) for i in range(0, len(fields), CHUNK_COLUMNS)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def profile_numeric(
     df: DataFrame,
     quantiles: str | None = None,
@@ -197,7 +213,13 @@ def profile_numeric(
     Statistics are doubles rounded to ``digits`` decimals.  Columns are
     classified by type, so an all-null numeric column stays numeric.
     """
-    fields = [(i + 1, f) for i, f in enumerate(df.schema.fields) if _kind(f.dataType) == "numeric"]
+    all_fields = [(i + 1, f) for i, f in enumerate(df.schema.fields) if _kind(f.dataType) == "numeric"]
+    if len(all_fields) > CHUNK_COLUMNS:
+        return _chunked(df, all_fields, lambda fs: _profile_numeric_fields(df, fs, quantiles, accuracy, digits))
+    return _profile_numeric_fields(df, all_fields, quantiles, accuracy, digits)
+
+
+def _profile_numeric_fields(df, fields, quantiles, accuracy, digits) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, f in fields:
         c = qcol(f.name).cast("double")
@@ -242,7 +264,13 @@ def profile_categorical(df: DataFrame, exact: bool = False, rsd: float = 0.05) -
     uses ``count(DISTINCT)``, which Spark runs as expand + two aggregation
     phases (a shuffle per distinct column set) — keep it for small tables.
     """
-    fields = [(i + 1, f) for i, f in enumerate(df.schema.fields) if _kind(f.dataType) != "numeric"]
+    all_fields = [(i + 1, f) for i, f in enumerate(df.schema.fields) if _kind(f.dataType) != "numeric"]
+    if len(all_fields) > CHUNK_COLUMNS:
+        return _chunked(df, all_fields, lambda fs: _profile_categorical_fields(df, fs, exact, rsd))
+    return _profile_categorical_fields(df, all_fields, exact, rsd)
+
+
+def _profile_categorical_fields(df, fields, exact, rsd) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, f in fields:
         c = qcol(f.name)
@@ -272,8 +300,14 @@ def describe(df: DataFrame, accuracy: int = 10_000, rsd: float = 0.05) -> DataFr
     mean; other columns: approximate distinct count.  One aggregate pass.
     Also returns ``rows`` and ``n_cols`` for the header line.
     """
+    all_fields = list(enumerate(df.schema.fields, 1))
+    if len(all_fields) > CHUNK_COLUMNS:
+        return _chunked(df, all_fields, lambda fs: _describe_fields(df, fs, accuracy, rsd, len(all_fields)))
+    return _describe_fields(df, all_fields, accuracy, rsd, len(all_fields))
+
+
+def _describe_fields(df, fields, accuracy, rsd, n_cols) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
-    fields = list(enumerate(df.schema.fields, 1))
     for i, f in fields:
         kind = _kind(f.dataType)
         c = qcol(f.name)
@@ -315,7 +349,7 @@ def describe(df: DataFrame, accuracy: int = 10_000, rsd: float = 0.05) -> DataFr
                 uniq.alias("unique"),
                 format_number(F.try_divide((F.col("__n") - F.col(f"nn{i}")) * 100.0, F.col("__n"))).alias("null_pct"),
                 F.col("__n").alias("rows"),
-                F.lit(len(fields)).alias("n_cols"),
+                F.lit(n_cols).alias("n_cols"),
             )
         )
     return one.select(F.inline(F.array(*structs)))

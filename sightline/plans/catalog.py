@@ -57,6 +57,50 @@ def _per_file(spark, d):
     return per_file_map(spark, [table_path(d, t) for t in _PER_FILE], P.row_count)
 
 
+@register(
+    "bind_tables",
+    """SELECT t2.n_name, t1.r_name FROM nation t2 JOIN region t1 ON t2.n_regionkey = t1.r_regionkey""",
+)
+def _bind(spark, d):
+    """A3: files bound as ``t`` (= first), ``t1``, ``t2`` and queried together."""
+    from sightline.plans.sql_catalog import run_sql
+    from sightline.sources.tables import bind_tables
+
+    bind_tables(spark, [table_path(d, "region"), table_path(d, "nation")])
+    return run_sql(spark, "SELECT t2.n_name, t1.r_name FROM t2 JOIN t1 ON t2.n_regionkey = t1.r_regionkey")
+
+
+@register("page_source", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages")
+def _page_source(spark, d):
+    """A5: pages with invalid UTF-8 replaced (U+FFFD); character counts per page."""
+    from sightline.sources.tables import page_source_table
+
+    p = page_source_table(read_table(spark, d, "pages"))
+    return p.select("page_id", "url", F.length("html").alias("html_chars"))
+
+
+@register(
+    "write_result",
+    "SELECT l_returnflag, l_linestatus, COUNT(*) AS len FROM lineitem GROUP BY l_returnflag, l_linestatus",
+)
+def _write_result(spark, d):
+    """A result written as parquet and CSV into the shared checkpoint folder and read back."""
+    import uuid
+
+    from sightline.session import checkpoint_dir
+    from sightline.sources.tables import write_result
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/result-{uuid.uuid4().hex}"
+    res = P.groupby_count(read_table(spark, d, "lineitem"), "l_returnflag,l_linestatus")
+    write_result(res, f"{base}/parquet", "parquet")
+    write_result(res, f"{base}/csv", "csv")
+    back_csv = spark.read.option("header", "true").schema("l_returnflag string, l_linestatus string, len bigint").csv(
+        f"{base}/csv")
+    back = spark.read.parquet(f"{base}/parquet")
+    # both copies must hold the same rows; the CSV copy is returned
+    return back_csv.join(back.select("l_returnflag", "l_linestatus"), ["l_returnflag", "l_linestatus"], "left_semi")
+
+
 # ---------------------------------------------------------------- B: profiling
 
 

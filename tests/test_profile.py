@@ -92,3 +92,14 @@ def test_format_number(spark):
 def test_profile_empty_table(spark):
     df = spark.createDataFrame([], "n int, s string")
     assert P.profile_numeric(df).first().null_pct is None
+
+
+def test_wide_table_is_chunked(spark, monkeypatch):
+    monkeypatch.setattr(P, "CHUNK_COLUMNS", 3)
+    cols = ", ".join(f"c{i} int" for i in range(7)) + ", s string"
+    df = spark.createDataFrame([tuple(range(7)) + ("x",), tuple(range(1, 8)) + (None,)], cols)
+    d = P.describe(df).collect()
+    assert [r.column_name for r in sorted(d, key=lambda r: r.pos)] == [f"c{i}" for i in range(7)] + ["s"]
+    assert all(r.n_cols == 8 for r in d)
+    num = {r.column_name: r.max_value for r in P.profile_numeric(df).collect()}
+    assert num["c6"] == 7.0 and len(num) == 7
