@@ -293,7 +293,7 @@ def _profile_categorical_fields(df, fields, exact, rsd) -> DataFrame:
 
 
 def describe(df: DataFrame, accuracy: int = 10_000, rsd: float = 0.05) -> DataFrame:
-    """B10–B13 display form: one row per column, like ``peek describe``.
+    """B10–B13 display form: one row per column, the table-inspection "describe" view.
 
     Numeric columns: min/max/avg/q25/q50/q75 formatted by ``format_number``;
     temporal columns: min/max/quartiles as timestamps (text) and a null

@@ -11,9 +11,9 @@ from sightline.streaming import feedback_stream as FS
 
 def _entries(spark):
     ts = dt.datetime(2026, 4, 28, 21, 47, 49, 172289)
-    rows = [("plan-storm", ts, "# Title\n\n## Context\nc\n## Gap\ng\n"), ("../outside", ts, "x"), ("a/../b", ts, "x"),
-            ("..", ts, "x"), (".", ts, "x"), ("sub/skill", ts, "x"), ("peek", ts, "   "),
-            ("peek", ts + dt.timedelta(microseconds=1), "ok")]
+    rows = [("planning", ts, "# Title\n\n## Context\nc\n## Gap\ng\n"), ("../outside", ts, "x"), ("a/../b", ts, "x"),
+            ("..", ts, "x"), (".", ts, "x"), ("sub/skill", ts, "x"), ("tables", ts, "   "),
+            ("tables", ts + dt.timedelta(microseconds=1), "ok")]
     return spark.createDataFrame(rows, "skill string, ts timestamp, text string")
 
 
@@ -22,13 +22,13 @@ def test_append_scan_and_quarantine(spark):
     FB.feedback_append(_entries(spark), f"{root}/store", quarantine=f"{root}/bad")
     back = FB.feedback_scan(spark, f"{root}/store")
     got = {(r.skill, r.key, r.text) for r in back.collect()}
-    assert got == {("plan-storm", "suggestion_20260428_214749_172289", "# Title\n\n## Context\nc\n## Gap\ng\n"),
-                   ("peek", "suggestion_20260428_214749_172290", "ok\n")}
+    assert got == {("planning", "suggestion_20260428_214749_172289", "# Title\n\n## Context\nc\n## Gap\ng\n"),
+                   ("tables", "suggestion_20260428_214749_172290", "ok\n")}
     assert spark.read.parquet(f"{root}/bad").count() == 6
-    only = FB.feedback_scan(spark, f"{root}/store", ["peek"])
+    only = FB.feedback_scan(spark, f"{root}/store", ["tables"])
     assert "PartitionFilters" in only._jdf.queryExecution().executedPlan().toString() or only.count() == 1
     sec = {r.skill: r for r in FB.feedback_completeness(FB.feedback_sections(back, ["skill", "key"])).collect()}
-    assert sec["plan-storm"].missing_context == 0 and sec["plan-storm"].missing_impact == 1
+    assert sec["planning"].missing_context == 0 and sec["planning"].missing_impact == 1
 
 
 def test_stream_exactly_once(spark):

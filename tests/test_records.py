@@ -13,12 +13,12 @@ from sightline.sources.tables import registry_dim
 
 
 def test_derive_names(spark):
-    rows = [("feat", "peek", "support_julia"), ("fix", "h2md", "handle empty body"), ("feat", "peek", "  julia support  ")]
+    rows = [("feat", "tables", "support_julia"), ("fix", "pages", "handle empty body"), ("feat", "tables", "  julia support  ")]
     df = spark.createDataFrame(rows, "kind string, feature string, title string")
     got = [(r.slug, r.pr_title) for r in df.select(*W.derive_names(F.col("kind"), F.col("feature"), F.col("title"))).collect()]
-    assert got == [("feat_peek_support_julia", "feat(peek): support julia"),
-                   ("fix_h2md_handle_empty_body", "fix(h2md): handle empty body"),
-                   ("feat_peek_julia_support", "feat(peek): julia support")]
+    assert got == [("feat_tables_support_julia", "feat(tables): support julia"),
+                   ("fix_pages_handle_empty_body", "fix(pages): handle empty body"),
+                   ("feat_tables_julia_support", "feat(tables): julia support")]
 
 
 @pytest.mark.parametrize("kind,ok", [("feat", True), ("fix", True), ("ci", True), ("Feat", False), ("FEAT", False),
@@ -30,13 +30,13 @@ def test_valid_kind(spark, kind, ok):
 
 
 def test_scope_violations(spark):
-    reg = registry_dim(spark, {"zyp": {"owner": "o", "features": ["peek", "h2md"]}, "empty": {}})
-    drafts = spark.createDataFrame([("zyp", "peek"), ("zyp", "nope"), ("other", "peek"), ("empty", "x")],
+    reg = registry_dim(spark, {"acme": {"owner": "o", "features": ["tables", "pages"]}, "empty": {}})
+    drafts = spark.createDataFrame([("acme", "tables"), ("acme", "nope"), ("other", "tables"), ("empty", "x")],
                                    "repo string, feature string")
     got = {(r.repo, r.feature): r.violation for r in W.scope_violations(drafts, reg).collect()}
-    assert got == {("zyp", "nope"): "feature not registered", ("other", "peek"): "unknown repo",
+    assert got == {("acme", "nope"): "feature not registered", ("other", "tables"): "unknown repo",
                    ("empty", "x"): "feature not registered"}
-    assert [r.repo for r in reg.collect()] == ["empty", "zyp"] and reg.collect()[0].owner == ""
+    assert [r.repo for r in reg.collect()] == ["acme", "empty"] and reg.collect()[1].owner == ""
 
 
 def test_match_template(spark):
@@ -72,11 +72,11 @@ def test_form_sections(spark):
 
 
 def test_draft_check(spark):
-    text = ("---\nwork:\n  repo: zyp\n  kind: feat\n  feature: peek\n  title: add_x\n  slug: feat_peek_add_x\n"
+    text = ("---\nwork:\n  repo: acme\n  kind: feat\n  feature: tables\n  title: add_x\n  slug: feat_tables_add_x\n"
             "labels: [1, b]\n---\nBody")
     d = spark.createDataFrame([(1, text), (2, "plain")], "draft_id int, text string")
-    r = {x.draft_id: x for x in W.draft_check(d, "zyp").collect()}
-    assert r[1].has_header and r[1].repo_matches and r[1].title == "feat(peek): add x" and r[1].labels == ["1", "b"]
+    r = {x.draft_id: x for x in W.draft_check(d, "acme").collect()}
+    assert r[1].has_header and r[1].repo_matches and r[1].title == "feat(tables): add x" and r[1].labels == ["1", "b"]
     assert not r[2].has_header and not r[2].repo_matches
 
 
