@@ -1,0 +1,37 @@
+"""Golden markdown shapes of the emitter (pure Python, no Spark)."""
+from __future__ import annotations
+
+import pytest
+
+from sightline.functions import html_tree, markdown
+
+CASES = [
+    ("<ul><li>a</li><li>b<ul><li>c</li><li>d</li></ul></li><li>e</li></ul><p>after</p>",
+     "* a\n* b\n  + c\n  + d\n* e\n\nafter\n"),
+    ('<ol start="3"><li>x</li><li>y <b>bold</b></li></ol>', "3. x\n4. y **bold**\n"),
+    ("<table><tr><th>h1</th><th>h2</th></tr><tr><td>1</td><td>2</td></tr></table>",
+     "| h1 | h2 |\n| --- | --- |\n| 1 | 2 |\n"),
+    ("<blockquote><p>quote one</p><p>two</p></blockquote>", "> quote one\n>\n> two\n"),
+    ('<p>An <img src="x.png" alt="pic"> and <code>a_b*c</code> and snake_case *star*</p>',
+     "An ![pic](x.png) and `a_b*c` and snake\\_case \\*star\\*\n"),
+    ("<p>Hello<br>world</p><hr><h2>Head <em>em</em></h2>", "Hello  \nworld\n\n---\n\n## Head *em*\n"),
+    ('<p>See <a href="https://x.org">https://x.org</a> and <a href="/a" title="T &quot;q&quot;">A</a></p>',
+     'See <https://x.org> and [A](/a "T \\"q\\"")\n'),
+    ("<p>a\\b &lt;tag&gt; 1+1=2</p>", "a\\b <tag> 1+1=2\n"),
+    ('<pre><code class="language-go">\nfunc main() {}\n</code></pre>', "```go\nfunc main() {}\n```\n"),
+]
+
+
+@pytest.mark.parametrize("html,md", CASES)
+def test_emitter(html, md):
+    root = html_tree.parse(f"<article>{html}</article>")
+    assert markdown.to_markdown(root.find("article")) == md
+
+
+def test_tree_recovery():
+    root = html_tree.parse("<div><p>one<p>two<ul><li>a<li>b</ul></div><p>x</b>y")
+    ps = root.find_all("p")
+    assert [p.text() for p in ps] == ["one", "two", "xy"]
+    assert [li.text() for li in root.find_all("li")] == ["a", "b"]
+    script = html_tree.parse('<script>var t="</p>";</script><p>k</p>')
+    assert script.find("script").text() == 'var t="</p>";' and script.find("p").text() == "k"
