@@ -397,14 +397,18 @@ def groupby_count(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 def schema_compare(per_file_schema: DataFrame) -> DataFrame:
     """Side-by-side view of a long ``(file_name, pos, column_name, data_type)`` table.
 
-    One row per column name with the set of (file, type) pairs and a flag
-    when files disagree (missing column or different type).
+    One row per column name: first position, in how many files it occurs,
+    how many distinct types it has, the (type, files) pairs — one entry per
+    distinct type, never one per file — and a flag when files disagree
+    (missing column or different type).
     """
-    g = per_file_schema.groupBy("column_name").agg(
-        F.min("pos").alias("first_pos"),
-        F.count_distinct("file_name").alias("n_files"),
-        F.count_distinct("data_type").alias("n_types"),
-        F.sort_array(F.collect_set(F.struct("file_name", "data_type"))).alias("types"),
+    per_type = per_file_schema.groupBy("column_name", "data_type").agg(
+        F.min("pos").alias("first_pos"), F.count_distinct("file_name").alias("n"))
+    g = per_type.groupBy("column_name").agg(
+        F.min("first_pos").alias("first_pos"),
+        F.sum("n").alias("n_files"),
+        F.count(F.lit(1)).alias("n_types"),
+        F.sort_array(F.collect_list(F.struct("data_type", "n"))).alias("types"),
     )
     total = per_file_schema.agg(F.count_distinct("file_name").alias("f")).scalar()
     return g.withColumn("consistent", (F.col("n_types") == 1) & (F.col("n_files") == total))

@@ -133,11 +133,16 @@ def release_impact(commits: DataFrame, group_cols: list[str], current_version: C
 
 
 def changelog(commits: DataFrame) -> DataFrame:
-    """Entries grouped by type and scope, in commit order (bounded per type/scope by the release)."""
-    return commits.groupBy("type", "scope").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "description"))).alias("entries"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    """Entries grouped by type and scope, in commit order.
+
+    Long form (one row per entry, globally sorted by type, scope, seq — a
+    range-partitioned sort) with the group size joined on; no group is
+    gathered into one array, so a type holding most commits stays spread.
+    """
+    sizes = commits.groupBy(F.col("type").alias("__t"), F.col("scope").alias("__s")).agg(F.count(F.lit(1)).alias("n"))
+    e = commits.select("type", "scope", "seq", "description")
+    cond = e["type"].eqNullSafe(sizes["__t"]) & e["scope"].eqNullSafe(sizes["__s"])  # a missing scope is a group
+    return e.join(sizes, cond).drop("__t", "__s").orderBy("type", "scope", "seq")
 
 
 def commit_lint(typ: Column, description: Column, header: Column) -> list[Column]:

@@ -101,6 +101,18 @@ def _write_result(spark, d):
     return back_csv.join(back.select("l_returnflag", "l_linestatus"), ["l_returnflag", "l_linestatus"], "left_semi")
 
 
+@register(
+    "per_file_rows",
+    " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS rows FROM {t}"
+                       for t in ("orders", "lineitem")),
+)
+def _per_file_rows(spark, d):
+    """A4 single-scan form: row counts of several files from one distributed read."""
+    from sightline.sources.tables import per_file_aggregate
+
+    return per_file_aggregate(spark, [table_path(d, "orders"), table_path(d, "lineitem")])
+
+
 # ---------------------------------------------------------------- B: profiling
 
 

@@ -84,6 +84,20 @@ def per_file_map(
     return out
 
 
+def per_file_aggregate(spark: SparkSession, paths: str | Sequence[str], *aggs) -> DataFrame:
+    """A4 for files that share a schema: ONE distributed scan of all files,
+    grouped by the file each row came from (``_metadata.file_name``).
+
+    Planning cost does not grow with the number of files (unlike a union
+    of per-file scans); default aggregate is the row count.
+    """
+    if isinstance(paths, str):
+        paths = [paths]
+    df = spark.read.parquet(*paths)
+    aggs = aggs or (F.count(F.lit(1)).alias("rows"),)
+    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+
+
 def page_source_binary(spark: SparkSession, pattern: str) -> DataFrame:
     """A5: raw HTML files → ``(page_id, url, html)``; bad bytes become U+FFFD."""
     raw = spark.read.format("binaryFile").load(pattern)

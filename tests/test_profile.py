@@ -103,3 +103,16 @@ def test_wide_table_is_chunked(spark, monkeypatch):
     assert all(r.n_cols == 8 for r in d)
     num = {r.column_name: r.max_value for r in P.profile_numeric(df).collect()}
     assert num["c6"] == 7.0 and len(num) == 7
+
+
+def test_inventory_and_per_file(spark, sf_small):
+    from sightline.sources.tables import file_inventory, per_file_aggregate
+
+    inv = file_inventory(spark, f"{sf_small}/*.parquet").collect()
+    assert [r.file_pos for r in inv] == list(range(1, len(inv) + 1)) and len(inv) == 14
+    assert [r.file_name for r in inv] == sorted(r.file_name for r in inv)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        file_inventory(spark, f"{sf_small}/nothing-*.parquet").collect()
+    rows = {r.file_name: r.rows for r in per_file_aggregate(spark, [f"{sf_small}/region.parquet",
+                                                                    f"{sf_small}/nation.parquet"]).collect()}
+    assert rows == {"region.parquet": 5, "nation.parquet": 25}

@@ -158,3 +158,13 @@ def test_plan_rules(spark):
     blocks = spark.createDataFrame([("mermaid", "\nflowchart LR\n A-->B\n"), ("python", "x")], "lang string, body string")
     inv = J.diagram_inventory(blocks).collect()
     assert len(inv) == 1 and inv[0].diagram_type == "flowchart" and inv[0].n_lines == 2
+
+
+def test_changelog_and_consistency(spark):
+    c = spark.createDataFrame([("feat", "api", 2, "b"), ("feat", "api", 1, "a"), ("fix", None, 3, "c")],
+                              "type string, scope string, seq int, description string")
+    rows = [(r.type, r.seq, r.n) for r in V.changelog(c).collect()]
+    assert rows == [("feat", 1, 2), ("feat", 2, 2), ("fix", 3, 1)]
+    v = spark.createDataFrame([("a", "skill", "1.0.0"), ("a", "py", "1.0.0"), ("b", "skill", "1.0.0"),
+                               ("b", "py", "1.1.0")], "component string, place string, version string")
+    assert [r.component for r in V.version_consistency(v).collect()] == ["b"]
