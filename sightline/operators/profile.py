@@ -147,13 +147,16 @@ def preview(
                              F.monotonically_increasing_id().alias("__row"))
         keys = [F.col("__file"), F.col("__row")]
     ordered = base.orderBy(*keys)
-    if not all_rows:
-        ordered = ordered.limit(n)
-    # pos from a window over at most n rows (all_rows=True is the caller's choice).
-    from pyspark.sql.window import Window
+    if all_rows:
+        # every row: a distributed range sort; no position column (numbering all
+        # rows would need one task to see the whole table)
+        out = ordered.select(*[qcol(c) for c in names])
+    else:
+        from pyspark.sql.window import Window
 
-    out = ordered.withColumn("preview_pos", F.row_number().over(Window.orderBy(*keys)))
-    out = out.select("preview_pos", *[qcol(c) for c in names])
+        # at most n rows reach this window
+        out = ordered.limit(n).withColumn("preview_pos", F.row_number().over(Window.orderBy(*keys)))
+        out = out.select("preview_pos", *[qcol(c) for c in names])
     if with_total:
         total = row_count(df).scalar()
         out = out.withColumn(

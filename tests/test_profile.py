@@ -116,3 +116,9 @@ def test_inventory_and_per_file(spark, sf_small):
     rows = {r.file_name: r.rows for r in per_file_aggregate(spark, [f"{sf_small}/region.parquet",
                                                                     f"{sf_small}/nation.parquet"]).collect()}
     assert rows == {"region.parquet": 5, "nation.parquet": 25}
+
+
+def test_preview_all_rows_is_a_plain_sort(points):
+    df = P.preview(points, all_rows=True, with_total=True)
+    assert df.count() == 10 and "preview_pos" not in df.columns
+    assert all(r.total is None for r in df.collect())
