@@ -16,6 +16,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches to Python workers are cut by size as well as by rows:
+    # pages can be megabytes each, so a fixed row count alone could hand one
+    # worker gigabytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 # Largest row count we accept for an explicit broadcast hint.
