@@ -35,7 +35,9 @@ def flow_conservation(edges: DataFrame, tolerance: float = 1e-6) -> DataFrame:
 def share_of_total(df: DataFrame, label: str, value: str, digits: int = 2) -> DataFrame:
     """K4: positive values only → share in percent of the total, rounded."""
     pos = df.groupBy(F.col(label).alias("label")).agg(F.sum(value).alias("value")).where(F.col("value") > 0)
-    total = pos.agg(F.sum("value").alias("t")).scalar()
+    # the total comes from a window over the aggregated slices (one row per
+    # label of a pie), so the source is scanned once
+    total = F.sum("value").over(Window.partitionBy())
     return pos.select("label", F.round("value", 4).alias("value"),
                       F.round(F.col("value") * 100.0 / total, digits).alias("share_pct"))
 

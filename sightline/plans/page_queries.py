@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sightline.functions.langs import sniff_language_col
 from sightline.operators import pages as PG
@@ -60,15 +61,22 @@ def _images(spark, d):
 
 @register("issue_rollup")
 def _rollup(spark, d):
-    """Issues by type and the share of clean pages (one pass, partial aggregation)."""
-    p = _processed(spark, d).select("page_id", "issues")
-    by_type = p.select(F.explode_outer("issues.type").alias("type")).where(F.col("type").isNotNull()).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-    pages = p.agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum(F.when(F.size("issues") == 0, 1).otherwise(0)).alias("clean"),
-    )
-    clean_share = pages.select(F.round(F.col("clean") / F.col("pages"), 4)).scalar()
-    return by_type.withColumn("clean_page_share", clean_share)
+    """Issues by type and the share of clean pages, in ONE pass over the pipeline.
+
+    Each page contributes one marker row (is it clean?) plus one row per
+    issue; a single aggregation counts both, and the page share is read from
+    the marker group by a window over the handful of aggregated rows.
+    """
+    p = _processed(spark, d).select("issues")
+    marker = F.struct(F.lit(None).cast("string").alias("type"), (F.size("issues") == 0).cast("int").alias("clean"))
+    rows = p.select(F.explode(F.concat(
+        F.array(marker),
+        F.transform("issues", lambda i: F.struct(i["type"].alias("type"), F.lit(0).alias("clean"))),
+    )).alias("r"))
+    agg = rows.groupBy("r.type").agg(F.count(F.lit(1)).alias("n"), F.sum("r.clean").alias("clean"))
+    share = F.max(F.when(F.col("type").isNull(), F.round(F.col("clean") / F.col("n"), 4))).over(Window.partitionBy())
+    return agg.withColumn("clean_page_share", share).where(F.col("type").isNotNull()).select(
+        "type", "n", "clean_page_share")
 
 
 @register("picked_by_counts")
