@@ -35,8 +35,9 @@ def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) ->
         F.count(F.lit(1)).alias("n"),
         F.count("__k").alias("nn"),
     )
-    n_right = stats.select("n").scalar()
-    has_null = stats.select(F.col("n") > F.col("nn")).scalar()
+    both = stats.select(F.struct("n", "nn").alias("s")).scalar()  # one scalar subquery, one pass
+    n_right = both["n"]
+    has_null = both["n"] > both["nn"]
     keys = rk.where(F.col("__k").isNotNull())
     anti = left.join(keys, left[left_col] == keys["__k"], "left_anti")
     return anti.where(~has_null & (F.col(left_col).isNotNull() | (n_right == 0)))
