@@ -33,6 +33,9 @@ EXTRACT_SCHEMA = T.StructType(
         T.StructField("picked_by", T.StringType()),
         T.StructField("meta_candidates", CANDIDATE_TYPE),
         T.StructField("cleanup_counts", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("div_candidates", T.ArrayType(T.StructType([
+            T.StructField("idx", T.IntegerType()), T.StructField("p_count", T.IntegerType()),
+            T.StructField("text_len", T.IntegerType())]))),
         T.StructField("article_text", T.StringType()),
         T.StructField("images", T.ArrayType(T.StringType())),
         T.StructField("markdown_raw", T.StringType()),
@@ -51,6 +54,7 @@ def _process(page_id, url, html, selector):
         root = html_tree.parse(html or "")
         rec["meta_candidates"] = page_rules.metadata_candidates(root)
         rec["cleanup_counts"] = page_rules.cleanup(root)
+        rec["div_candidates"] = page_rules.div_candidates(root)
         article, picked_by = page_rules.pick_article(root, selector)
         rec["picked_by"] = picked_by
         rec["article_text"] = article.text(" ", strip=True)
@@ -102,6 +106,16 @@ def merge_metadata(df: DataFrame, col: str = "meta_candidates") -> DataFrame:
 # ------------------------------------------------------------------ native columns
 
 
+def best_div(candidates: Column) -> Column:
+    """D16 as a set operation over the page's div candidates: score = 100 × direct
+    ``<p>`` children + text length; the highest positive score wins, the first on ties."""
+    scored = F.transform(candidates, lambda c: c.withField("score", c["p_count"] * 100 + c["text_len"]))
+    best = F.get(F.array_sort(F.filter(scored, lambda c: c["score"] > 0),
+                              lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
+                              .when(a["idx"] < b["idx"], -1).when(a["idx"] > b["idx"], 1).otherwise(0)), 0)
+    return best
+
+
 def word_count(text: Column) -> Column:
     """Whitespace-separated words (Python ``str.split()``)."""
     s = py_strip(text)

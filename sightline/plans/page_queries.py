@@ -174,6 +174,13 @@ def _pick_article(spark, d):
                     F.length("article_text").alias("text_chars"))
 
 
+@register("best_div")
+def _best_div(spark, d):
+    """The winning div of every page (index, score, direct paragraphs, text length)."""
+    x = _extracted(spark, d).select("page_id", PG.best_div(F.col("div_candidates")).alias("b"))
+    return x.select("page_id", "b.idx", "b.score", "b.p_count", "b.text_len").where(F.col("idx").isNotNull())
+
+
 @register("select_content")
 def _select_content(spark, d):
     """A CSS selector override (``article p``); pages where it matches nothing fall back."""

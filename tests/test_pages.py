@@ -259,3 +259,15 @@ def test_html_leak_detected(spark):
     issues = PG.detect_issues(df).select(F.explode("issues").alias("i")).select("i.*").collect()
     assert [(i.type, i.line) for i in issues] == [("HTML leakage", 3), ("HTML leakage", 3)]
     assert issues[0].find.startswith("# T\\n\\nleft <svg")
+
+
+def test_best_div_set_operator(spark):
+    from sightline.functions import html_tree, page_rules
+
+    html = ('<html><body><div id="a">short</div><div id="b"><p>one</p><p>two</p></div>'
+            '<div id="c">' + "x" * 150 + '</div><div id="d"><p>one</p><p>two</p></div></body></html>')
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    b = PG.extract_pages(pages).select(PG.best_div(F.col("div_candidates")).alias("b")).first().b
+    root = html_tree.parse(html)
+    want = page_rules.best_div(root)
+    assert root.find_all("div")[b.idx] is want and want.get("id") == "b"
