@@ -415,3 +415,25 @@ def schema_compare(per_file_schema: DataFrame) -> DataFrame:
     )
     total = per_file_schema.agg(F.count_distinct("file_name").alias("f")).scalar()
     return g.withColumn("consistent", (F.col("n_types") == 1) & (F.col("n_files") == total))
+
+
+def describe_lines(df: DataFrame, stem: str, accuracy: int = 10_000, rsd: float = 0.05) -> DataFrame:
+    """The ``describe`` report as text lines: a header ``stem{N cols, M rows}:`` and one
+    ``  name(TYPE): …`` line per column (numeric: min/max/avg/quartiles/null %;
+    temporal: min/max/quartiles/null %; other: approximate unique count/null %)."""
+    d = describe(df, accuracy, rsd)
+    num = F.concat(
+        F.lit("min="), F.col("min"), F.lit(" max="), F.col("max"),
+        F.when(F.col("avg").isNotNull(), F.concat(F.lit(" avg="), F.col("avg"))).otherwise(F.lit("")),
+        F.lit(" q25="), F.col("q25"), F.lit(" q50="), F.col("q50"), F.lit(" q75="), F.col("q75"),
+    )
+    stats = F.when(F.col("kind") == "other", F.concat(F.lit("unique="), F.col("unique").cast("string"))).otherwise(num)
+    body = d.select(
+        F.col("pos"),
+        F.concat(F.lit("  "), F.col("column_name"), F.lit("("), F.col("data_type"), F.lit("): "), stats,
+                 F.lit(" null="), F.col("null_pct"), F.lit("%")).alias("line"),
+        F.concat(F.lit(f"{stem}{{"), F.col("n_cols").cast("string"), F.lit(" cols, "), F.col("rows").cast("string"),
+                 F.lit(" rows}:")).alias("header"),
+    )
+    head = body.where(F.col("pos") == 1).select(F.lit(0).alias("pos"), F.col("header").alias("line"))
+    return head.unionByName(body.select("pos", "line")).orderBy("pos")

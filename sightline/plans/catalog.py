@@ -223,6 +223,12 @@ def _describe(spark, d):
     return P.describe(read_table(spark, d, "orders"))
 
 
+@register("describe_report")
+def _describe_report(spark, d):
+    """B10–B13 as the text report (header + one line per column) for lineitem."""
+    return P.describe_lines(read_table(spark, d, "lineitem"), "lineitem")
+
+
 @register(
     "null_pct",
     """SELECT source, ROUND(AVG(CASE WHEN q.doc_id IS NULL THEN 1.0 ELSE 0.0 END) * 100, 1) AS unlabelled_pct

@@ -122,3 +122,10 @@ def test_preview_all_rows_is_a_plain_sort(points):
     df = P.preview(points, all_rows=True, with_total=True)
     assert df.count() == 10 and "preview_pos" not in df.columns
     assert all(r.total is None for r in df.collect())
+
+
+def test_describe_lines(points):
+    lines = [r.line for r in P.describe_lines(points, "tourney_points").collect()]
+    assert lines[0] == "tourney_points{5 cols, 10 rows}:"
+    assert lines[4] == "  round_of(INTEGER): min=2 max=256 avg=86.2 q25=8 q50=32 q75=160 null=0%"
+    assert lines[1].startswith("  tourney_category(VARCHAR): unique=1 null=0%")
