@@ -435,5 +435,9 @@ def describe_lines(df: DataFrame, stem: str, accuracy: int = 10_000, rsd: float
         F.concat(F.lit(f"{stem}{{"), F.col("n_cols").cast("string"), F.lit(" cols, "), F.col("rows").cast("string"),
                  F.lit(" rows}:")).alias("header"),
     )
-    head = body.where(F.col("pos") == 1).select(F.lit(0).alias("pos"), F.col("header").alias("line"))
-    return head.unionByName(body.select("pos", "line")).orderBy("pos")
+    # header and column lines come out of the same rows: one pass over the table
+    out = body.select(F.explode(F.array(
+        F.when(F.col("pos") == 1, F.struct(F.lit(0).alias("pos"), F.col("header").alias("line"))),
+        F.struct(F.col("pos"), F.col("line")),
+    )).alias("r")).where(F.col("r").isNotNull()).select("r.pos", "r.line")
+    return out.orderBy("pos")
