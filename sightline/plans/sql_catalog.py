@@ -201,6 +201,11 @@ SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_returnflag, l_linestatus) AS
 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
 """)
 
+_q("sql_grouping_sets_explicit", """
+SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total
+FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
+""")
+
 _q("sql_cube", """
 SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n
 FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)
@@ -217,13 +222,15 @@ _q("sql_quantiles", """
 SELECT l_returnflag,
        MEDIAN(l_quantity) AS med_qty,
        PERCENTILE_CONT(0.25) WITHIN GROUP (ORDER BY l_quantity) AS q25_qty,
-       PERCENTILE_DISC(0.9) WITHIN GROUP (ORDER BY l_discount) AS p90_disc
+       PERCENTILE_DISC(0.9) WITHIN GROUP (ORDER BY l_discount) AS p90_disc,
+       MODE(l_linestatus) AS mode_status
 FROM lineitem GROUP BY l_returnflag
 """, """
 SELECT l_returnflag,
        MEDIAN(l_quantity) AS med_qty,
        QUANTILE_CONT(l_quantity, 0.25) AS q25_qty,
-       QUANTILE_DISC(l_discount, 0.9) AS p90_disc
+       QUANTILE_DISC(l_discount, 0.9) AS p90_disc,
+       MODE(l_linestatus) AS mode_status
 FROM lineitem GROUP BY l_returnflag
 """)
 
@@ -231,7 +238,8 @@ _q("sql_approx", """
 SELECT l_returnflag,
        approx_count_distinct(l_partkey, 0.02) AS approx_parts,
        percentile_approx(l_extendedprice, array(0.5, 0.9), 10000) AS approx_price_q,
-       hll_sketch_estimate(hll_sketch_agg(l_suppkey)) AS hll_suppliers
+       hll_sketch_estimate(hll_sketch_agg(l_suppkey)) AS hll_suppliers,
+       kll_sketch_get_quantile_double(kll_sketch_agg_double(l_extendedprice), 0.5) AS kll_median_price
 FROM lineitem GROUP BY l_returnflag
 """, None)
 
@@ -268,6 +276,12 @@ SELECT 'except', COUNT(*) FROM (
 UNION ALL
 SELECT 'union_all', COUNT(*) FROM (
   SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+UNION ALL
+SELECT 'intersect_all', COUNT(*) FROM (
+  SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+UNION ALL
+SELECT 'except_all', COUNT(*) FROM (
+  SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
 """)
 
 # Hierarchy region <- nation <- customer walked by a recursive CTE.
@@ -439,10 +453,14 @@ FROM (
 """)
 
 _q("sql_json", """
-SELECT event_type, CAST(get_json_object(props, '$.k') AS INT) AS k, COUNT(*) AS n
+SELECT event_type, CAST(get_json_object(props, '$.k') AS INT) AS k, COUNT(*) AS n,
+       MAX(variant_get(parse_json(props), '$.k', 'int')) AS k_variant,
+       MAX(from_json(props, 'k INT').k) AS k_struct
 FROM events GROUP BY event_type, CAST(get_json_object(props, '$.k') AS INT)
 """, """
-SELECT event_type, CAST(json_extract_string(props, '$.k') AS INT) AS k, COUNT(*) AS n
+SELECT event_type, CAST(json_extract_string(props, '$.k') AS INT) AS k, COUNT(*) AS n,
+       MAX(CAST(json_extract(props, '$.k') AS INTEGER)) AS k_variant,
+       MAX(CAST(json_extract(props, '$.k') AS INTEGER)) AS k_struct
 FROM events GROUP BY event_type, CAST(json_extract_string(props, '$.k') AS INT)
 """)
 
