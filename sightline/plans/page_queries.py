@@ -79,6 +79,15 @@ def _rollup(spark, d):
         "type", "n", "clean_page_share")
 
 
+@register("issue_rollup_by_site")
+def _rollup_site(spark, d):
+    """E17 corpus view: issue counts by ROLLUP(site, type) — per site and type, per site, overall."""
+    p = _processed(spark, d).select(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1).alias("site"),
+                                    "issues")
+    rows = p.select("site", F.explode_outer("issues.type").alias("type")).where(F.col("type").isNotNull())
+    return rows.rollup("site", "type").agg(F.count(F.lit(1)).alias("issues"), F.grouping_id().alias("level"))
+
+
 @register("picked_by_counts")
 def _picked(spark, d):
     """D15 audit: how many pages took each content rule (article / main / div / body)."""

@@ -98,13 +98,17 @@ _q("sql_regex", """
 SELECT doc_id,
        regexp_extract(text, '([A-Z][a-z]+)', 1) AS first_cap,
        regexp_count(text, '[0-9]+') AS n_numbers,
-       length(regexp_replace(text, '[aeiou]', '')) AS len_no_vowels
+       length(regexp_replace(text, '[aeiou]', '')) AS len_no_vowels,
+       regexp_extract_all(text, '([0-9]+)', 1)[0] AS first_number,
+       regexp_like(text, '[A-Z][a-z]+ [0-9]') AS word_then_number
 FROM documents WHERE text RLIKE '[0-9]{3}'
 """, """
 SELECT doc_id,
        regexp_extract(text, '([A-Z][a-z]+)', 1) AS first_cap,
        CAST(len(regexp_extract_all(text, '[0-9]+')) AS INTEGER) AS n_numbers,
-       CAST(length(regexp_replace(text, '[aeiou]', '', 'g')) AS INTEGER) AS len_no_vowels
+       CAST(length(regexp_replace(text, '[aeiou]', '', 'g')) AS INTEGER) AS len_no_vowels,
+       regexp_extract_all(text, '([0-9]+)', 1)[1] AS first_number,
+       regexp_matches(text, '[A-Z][a-z]+ [0-9]') AS word_then_number
 FROM documents WHERE regexp_matches(text, '[0-9]{3}')
 """)
 
@@ -364,6 +368,7 @@ SELECT CAST(date_trunc('MONTH', o_orderdate) AS TIMESTAMP_NTZ) AS month,
        date_format(MIN(o_orderdate), 'yyyy-MM-dd') AS first_day,
        MAX(o_orderdate) + INTERVAL 30 DAY AS due,
        CAST(datediff(MAX(o_orderdate), MIN(o_orderdate)) AS BIGINT) AS span_days,
+       to_timestamp_ntz(date_format(MIN(o_orderdate), 'yyyy-MM-dd HH:mm:ss'), 'yyyy-MM-dd HH:mm:ss') AS parsed_first,
        COUNT(*) AS n
 FROM orders GROUP BY date_trunc('MONTH', o_orderdate), EXTRACT(YEAR FROM o_orderdate)
 """, """
@@ -372,6 +377,7 @@ SELECT date_trunc('month', o_orderdate) AS month,
        strftime(MIN(o_orderdate), '%Y-%m-%d') AS first_day,
        MAX(o_orderdate) + INTERVAL 30 DAY AS due,
        CAST(date_diff('day', MIN(o_orderdate), MAX(o_orderdate)) AS BIGINT) AS span_days,
+       strptime(strftime(MIN(o_orderdate), '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed_first,
        COUNT(*) AS n
 FROM orders GROUP BY date_trunc('month', o_orderdate), EXTRACT(YEAR FROM o_orderdate)
 """)
