@@ -183,8 +183,8 @@ for _q, _kind in [("detect_empty_fence", "empty code block"), ("detect_wrong_lan
 
 @register(
     "drop_empty_fences",
-    "SELECT doc_id, CAST(length(text) - length(regexp_replace(text, '```[a-z]*\n\s*\n?```', '', 'g')) AS INTEGER) "
-    "AS removed_chars FROM documents WHERE regexp_matches(text, '```[a-z]*\n\s*\n?```')",
+    "SELECT doc_id, CAST(length(text) - length(regexp_replace(text, '```[a-z]*\\n\\s*\\n?```', '', 'g')) AS INTEGER) "
+    "AS removed_chars FROM documents WHERE regexp_matches(text, '```[a-z]*\\n\\s*\\n?```')",
 )
 def _drop_empty(spark, d):
     """E1 over whole documents: texts that lose an empty fenced block."""
