@@ -178,3 +178,34 @@ def first_last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     """First and last ``value`` per key in ``order`` — ``min_by``/``max_by`` aggregations."""
     okey = F.struct(*[F.col(c) for c in order])
     return df.groupBy(*keys).agg(F.min_by(value, okey).alias("__first"), F.max_by(value, okey).alias("__last"))
+
+
+def range_count_by(df: DataFrame, keys: Sequence[str], time_col: str, id_col: str, preceding: str,
+                   following: str | None = None, out: str = "n") -> DataFrame:
+    """Per row: how many rows of the same key have ``time_col`` in
+    ``[t - preceding, t + following]`` (both ends inclusive, the row itself
+    included) — ``COUNT(*) OVER (… RANGE BETWEEN preceding PRECEDING AND
+    following FOLLOWING)``, or a band join counted without forming pairs.
+
+    Two query points per row are merged into the key's time order — one just
+    after the events at ``t + following``, one just before the events at
+    ``t - preceding`` — and the running count of events (on ordered pieces,
+    so a hot key is split) at the two points gives the count.  Work is
+    O(rows), whatever the density of a key.  ``id_col`` must be unique.
+    """
+    keys = list(keys)
+    base = df.select(*keys, F.col(id_col).alias("__id"), F.col(time_col).alias("__t"))
+    hi = F.col("__t") + F.expr(f"INTERVAL {following}") if following else F.col("__t")
+    points = base.select(*keys, F.col("__t").alias("t"), F.lit(1).alias("side"), F.col("__id").alias("id"),
+                         F.lit(1).alias("w"), F.lit(None).cast(base.schema["__id"].dataType).alias("qid")).unionByName(
+        base.select(*keys, hi.alias("t"), F.lit(2).alias("side"), F.col("__id").alias("id"),
+                    F.lit(0).alias("w"), F.col("__id").alias("qid"))).unionByName(
+        base.select(*keys, (F.col("__t") - F.expr(f"INTERVAL {preceding}")).alias("t"), F.lit(0).alias("side"),
+                    F.col("__id").alias("id"), F.lit(0).alias("w"), F.col("__id").alias("qid")))
+    order = ["t", "side", "id"]
+    q = with_running_sum(ordered_pieces(points, keys, order), keys, order, "w", "__run").where(
+        F.col("qid").isNotNull())
+    counts = q.groupBy("qid").agg(
+        (F.sum(F.when(F.col("side") == 2, F.col("__run"))) - F.sum(F.when(F.col("side") == 0, F.col("__run"))))
+        .cast("bigint").alias(out))
+    return df.join(counts, df[id_col] == counts["qid"]).drop("qid")

@@ -507,21 +507,17 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
 
 
 def _theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C17: other events of the same user in the 10 minutes up to each event.
+
+    Counted as a RANGE count on ordered pieces (no event pairs are formed,
+    so a dense hot user costs O(events)); ``joins.interval_join`` is the
+    operator for when the pairs themselves are wanted.
+    """
+    from sightline.operators import windows as WN
+
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    a = ev.select(F.col("event_id").alias("a_id"), "user_id", F.col("ts").alias("a_ts"))
-    b = ev.select(F.col("event_id").alias("b_id"), "user_id", F.col("ts").alias("b_ts"))
-    pairs = joins.interval_join(
-        a, b, ["user_id"],
-        F.col("a_ts") - F.expr("INTERVAL 10 MINUTES"), F.col("a_ts"),
-        F.col("b_ts"), F.col("b_ts"),
-        bucket_seconds=600,
-    ).where(F.col("a_id") != F.col("b_id"))
-    counts = pairs.groupBy("a_id").agg(F.count(F.lit(1)).alias("n_recent"))
-    return (
-        ev.select(F.col("event_id"))
-        .join(counts, F.col("event_id") == F.col("a_id"), "left")
-        .select("event_id", F.coalesce("n_recent", F.lit(0)).cast("bigint").alias("n_recent"))
-    )
+    c = WN.range_count_by(ev, ["user_id"], "ts", "event_id", "10 MINUTES", out="n_in_range")
+    return c.select("event_id", (F.col("n_in_range") - 1).cast("bigint").alias("n_recent"))
 
 
 def _asof(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -589,18 +585,8 @@ def _window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     cnt = sum((v.isNotNull().cast("int") for v in vals), F.lit(0))
     x = x.select("event_id", F.round("running_value", 4).alias("running_value"),
                  F.round(F.when(cnt > 0, total / cnt), 4).alias("moving_avg3"))
-    points = ev.select("user_id", F.col("ts").alias("t"), F.lit(1).alias("side"), F.col("event_id").alias("id"),
-                       F.lit(1).alias("w"), F.lit(None).cast("long").alias("qid")).unionByName(
-        ev.select("user_id", F.col("ts").alias("t"), F.lit(2).alias("side"), F.col("event_id").alias("id"),
-                  F.lit(0).alias("w"), F.col("event_id").alias("qid"))).unionByName(
-        ev.select("user_id", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("t"), F.lit(0).alias("side"),
-                  F.col("event_id").alias("id"), F.lit(0).alias("w"), F.col("event_id").alias("qid")))
-    porder = ["t", "side", "id"]
-    q = WN.with_running_sum(WN.ordered_pieces(points, keys, porder), keys, porder, "w", "__run").where(
-        F.col("qid").isNotNull())
-    counts = q.groupBy("qid").agg(
-        (F.sum(F.when(F.col("side") == 2, F.col("__run"))) - F.sum(F.when(F.col("side") == 0, F.col("__run"))))
-        .cast("bigint").alias("n_last_day"))
+    counts = WN.range_count_by(ev, keys, "ts", "event_id", "1 DAY", out="n_last_day").select(
+        F.col("event_id").alias("qid"), "n_last_day")
     return x.join(counts, x.event_id == counts.qid).drop("qid")
 
 

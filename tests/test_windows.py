@@ -53,3 +53,17 @@ def test_shift_and_running_sum_match_plain_windows(spark):
                      F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
     got = x.select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_range_count_matches_brute_force(spark):
+    import datetime as dt
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, 0 if rnd.random() < 0.5 else rnd.randrange(1, 5), base + dt.timedelta(minutes=rnd.randrange(0, 600)))
+            for i in range(800)]  # minute resolution: many equal timestamps
+    df = spark.createDataFrame(rows, "id long, k int, ts timestamp")
+    got = {r.id: r.n for r in WN.range_count_by(df, ["k"], "ts", "id", "30 MINUTES", "5 MINUTES").collect()}
+    for i, k, t in rows:
+        lo, hi = t - dt.timedelta(minutes=30), t + dt.timedelta(minutes=5)
+        assert got[i] == sum(1 for _, k2, t2 in rows if k2 == k and lo <= t2 <= hi)
