@@ -57,6 +57,7 @@ def asof_join(
     strict: bool = True,
     bucket_seconds: int = 86_400,
     prefix: str = "asof_",
+    method: str = "pieces",
 ) -> DataFrame:
     """For each left row, the latest right row of the same ``by`` key with
     ``right_ts < left_ts`` (``<=`` when not ``strict``).  Left outer: no
@@ -72,7 +73,14 @@ def asof_join(
        not per event) carries the latest earlier-bucket row forward;
     4. left rows without an in-bucket match take it via an equi-join on
        ``(by, bucket)``.
+
+    ``method="pieces"`` (default) needs no time bucket at all: both sides are
+    merged in ``(by, time, side)`` order on range-partitioned pieces
+    (``windows.with_last_value``), so even a burst of one key inside one
+    bucket is split; ``method="buckets"`` is the plan above (no checkpoint).
     """
+    if method == "pieces":
+        return _asof_pieces(left, right, list(by), left_ts, right_ts, list(right_cols), strict, prefix)
     by = list(by)
     payload = F.struct(F.col(right_ts).alias("__ts"), *[F.col(c) for c in right_cols])
     l = left.withColumn("__b", _bucket(F.col(left_ts), bucket_seconds))
@@ -160,3 +168,23 @@ def interval_join(
     joined = ea.join(eb, cond, how)
     drop = ["__as", "__ae", "__ab0", "__bs", "__be", "__bb0"] + [f"__r_{k}" for k in keys]
     return joined.drop(ea["__bk"]).drop(eb["__bk"]).drop(*drop)
+
+
+def _asof_pieces(left, right, by, left_ts, right_ts, right_cols, strict, prefix):
+    from sightline.operators import windows as WN
+
+    payload = F.struct(F.col(right_ts).alias("__ts"), *[F.col(c) for c in right_cols])
+    ptype = right.select(payload.alias("p")).schema["p"].dataType
+    rowtype = left.select(F.struct(*[F.col(c) for c in left.columns]).alias("r")).schema["r"].dataType
+    # side: right rows sort before left rows at equal time only for "<="
+    r_side = 2 if strict else 0
+    lu = left.select(*by, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
+                     F.monotonically_increasing_id().alias("__seq"),
+                     F.lit(None).cast(ptype).alias("__p"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"))
+    ru = right.select(*by, F.col(right_ts).alias("__t"), F.lit(r_side).alias("__side"), F.lit(-1).cast("long").alias("__seq"),
+                      payload.alias("__p"), F.lit(None).cast(rowtype).alias("__row"))
+    order = ["__t", "__side", "__seq"]
+    x = WN.ordered_pieces(lu.unionByName(ru), by, order)
+    x = WN.with_last_value(x, by, order, "__p", "__m").where(F.col("__side") == 1)
+    return x.select("__row.*", *[F.col("__m")[c].alias(f"{prefix}{c}") for c in right_cols],
+                    F.col("__m")["__ts"].alias(f"{prefix}{right_ts}"))

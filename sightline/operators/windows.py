@@ -209,3 +209,23 @@ def range_count_by(df: DataFrame, keys: Sequence[str], time_col: str, id_col: st
         (F.sum(F.when(F.col("side") == 2, F.col("__run"))) - F.sum(F.when(F.col("side") == 0, F.col("__run"))))
         .cast("bigint").alias(out))
     return df.join(counts, df[id_col] == counts["qid"]).drop("qid")
+
+
+def with_last_value(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
+                    out: str) -> DataFrame:
+    """``LAST(value, ignorenulls) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)``
+    on pieces: inside a piece the window answers; otherwise the latest non-null
+    value of earlier pieces (one ``max_by`` row per piece, carried by a window
+    over those rows)."""
+    keys = list(keys)
+    ocols = _names(order)
+    w = _piece_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = x.withColumn("__lv", F.last(value, ignorenulls=True).over(w))
+    okey = F.struct(*ocols)
+    per = x.where(F.col(value).isNotNull()).groupBy("__pid", *keys).agg(F.max_by(value, okey).alias("__pl"))
+    # pieces without any value still need the carry of earlier pieces
+    pieces = x.select("__pid", *keys).distinct()
+    allp = pieces.join(per, ["__pid", *keys], "left").select(
+        "__pid", *keys, F.last("__pl", ignorenulls=True).over(_before_pieces(keys)).alias("__carry"))
+    j = local.join(allp, ["__pid", *keys], "left")
+    return j.withColumn(out, F.coalesce(F.col("__lv"), F.col("__carry"))).drop("__lv", "__carry")

@@ -89,3 +89,18 @@ def test_rollup_quadrant_cardinality(spark):
     c = spark.createDataFrame([(1,), (1,), (9,)], "fk int")
     r = K.relation_cardinality(p, "pk", c, "fk").first()
     assert (r.min_children, r.max_children, r.childless_parents, r.orphan_children) == (0, 2, 1, 1)
+
+
+def test_asof_both_methods_match_brute_force(spark):
+    rows, ev = _events(spark, n=300, users=3, seed=9)
+    purch = ev.where("event_type = 'purchase'").select("user_id", "ts", "event_id", "value")
+    for strict in (True, False):
+        want = {}
+        for i, u, ts, _t, _v in rows:
+            c = [(t2, j) for j, u2, t2, ty, _ in rows if u2 == u and ty == "purchase" and (t2 < ts or (not strict and t2 <= ts))]
+            want[i] = max(c)[1] if c else None
+        for method in ("pieces", "buckets"):
+            out = joins.asof_join(ev.select("event_id", "user_id", "ts"), purch, ["user_id"], "ts", "ts",
+                                  ["event_id", "value"], strict=strict, bucket_seconds=3600, method=method)
+            got = {r.event_id: r.asof_event_id for r in out.collect()}
+            assert got == want, (strict, method)
