@@ -55,7 +55,8 @@ def hierarchy_rollup(df: DataFrame, levels: Sequence[str], value: str) -> DataFr
 
 
 def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: str,
-                      start: str = "[*]", end: str = "[*]", bucket_seconds: int = 86_400) -> DataFrame:
+                      start: str = "[*]", end: str = "[*]", bucket_seconds: int = 86_400,
+                      method: str = "pieces") -> DataFrame:
     """K6: per entity ordered states → transition counts, with ``[*]`` at both ends.
 
     A hot entity must not become one window task, so rows are windowed per
@@ -63,8 +64,23 @@ def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: s
     transitions across bucket borders come from a window over one summary
     row per (entity, bucket) — first and last state — which is small.
     Counting is a partial aggregation over (from, to) pairs.
+
+    ``method="pieces"`` (default) instead takes ``lag``/``lead`` on ordered
+    pieces (``windows.with_shift``): no time bucket is needed and a burst of
+    one entity is split as well.
     """
     order = list(order)
+    if method == "pieces":
+        from sightline.operators import windows as WN
+
+        x = WN.ordered_pieces(df.select(entity, *order, F.col(state).alias("__s")), [entity], order)
+        x = WN.with_shift(x, [entity], order, "__s", 1, "prev")
+        x = WN.with_shift(x, [entity], order, "__s", -1, "next")
+        pairs = x.select(F.explode(F.array(
+            F.struct(F.coalesce("prev", F.lit(start)).alias("from_state"), F.col("__s").alias("to_state")),
+            F.when(F.col("next").isNull(), F.struct(F.col("__s").alias("from_state"), F.lit(end).alias("to_state"))),
+        )).alias("p")).where(F.col("p").isNotNull())
+        return pairs.groupBy("p.from_state", "p.to_state").agg(F.count(F.lit(1)).alias("n"))
     bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
     x = df.select(entity, *order, F.col(state).alias("__s")).withColumn("__b", bucket)
     w = Window.partitionBy(entity, "__b").orderBy(*order)

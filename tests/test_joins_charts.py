@@ -58,6 +58,9 @@ def test_transitions_match_brute_force(spark):
     rows, ev = _events(spark)
     got = {(r.from_state, r.to_state): r.n for r in K.state_transitions(ev, "user_id", ["ts", "event_id"], "event_type",
                                                                        bucket_seconds=7200).collect()}
+    got_b = {(r.from_state, r.to_state): r.n for r in K.state_transitions(
+        ev, "user_id", ["ts", "event_id"], "event_type", bucket_seconds=7200, method="buckets").collect()}
+    assert got_b == got
     want: dict = {}
     for u in {r[1] for r in rows}:
         seq = [r[3] for r in sorted((r for r in rows if r[1] == u), key=lambda r: (r[2], r[0]))]
