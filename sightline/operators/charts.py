@@ -70,6 +70,10 @@ def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: s
     one entity is split as well.
     """
     order = list(order)
+    if method == "auto":
+        from sightline.operators import windows as WN
+
+        method = "pieces" if WN.has_hot_key(df, [entity]) else "buckets"
     if method == "pieces":
         from sightline.operators import windows as WN
 

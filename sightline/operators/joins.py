@@ -74,11 +74,17 @@ def asof_join(
     4. left rows without an in-bucket match take it via an equi-join on
        ``(by, bucket)``.
 
-    ``method="pieces"`` (default) needs no time bucket at all: both sides are
-    merged in ``(by, time, side)`` order on range-partitioned pieces
+    ``method="pieces"`` needs no time bucket at all: both sides are merged in
+    ``(by, time, side)`` order on range-partitioned pieces
     (``windows.with_last_value``), so even a burst of one key inside one
-    bucket is split; ``method="buckets"`` is the plan above (no checkpoint).
+    bucket is split; ``method="buckets"`` is the plan above (no lineage
+    cut); ``"auto"`` measures the largest key first and picks pieces only
+    when one is hot.
     """
+    if method == "auto":
+        from sightline.operators import windows as WN
+
+        method = "pieces" if WN.has_hot_key(left.select(*by).unionByName(right.select(*by)), list(by)) else "buckets"
     if method == "pieces":
         return _asof_pieces(left, right, list(by), left_ts, right_ts, list(right_cols), strict, prefix)
     by = list(by)

@@ -229,3 +229,30 @@ def with_last_value(x: DataFrame, keys: Sequence[str], order: Sequence[str | Col
         "__pid", *keys, F.last("__pl", ignorenulls=True).over(_before_pieces(keys)).alias("__carry"))
     j = local.join(allp, ["__pid", *keys], "left")
     return j.withColumn(out, F.coalesce(F.col("__lv"), F.col("__carry"))).drop("__lv", "__carry")
+
+
+# Below this many rows in its largest key a window is not worth splitting.
+HOT_KEY_MIN_ROWS = 1_000_000
+
+
+def has_hot_key(df: DataFrame, keys: Sequence[str], parts: int | None = None,
+                min_rows: int = HOT_KEY_MIN_ROWS) -> bool:
+    """Does one key hold more rows than a fair partition share (and at least ``min_rows``)?
+
+    One aggregation over the key columns (partial aggregation, one row back
+    to the driver) — the same measure AQE uses to call a join partition
+    skewed, taken before choosing a window plan.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).agg(
+        F.max("__c").alias("mx"), F.sum("__c").alias("n")).first()
+    if r is None or r.mx is None:
+        return False
+    return r.mx >= min_rows and r.mx > r.n / parts
+
+
+def choose(df: DataFrame, keys: Sequence[str], plan: str = "auto") -> str:
+    """``"pieces"`` when a key is hot (or forced), else ``"plain"``."""
+    if plan != "auto":
+        return plan
+    return "pieces" if has_hot_key(df, keys) else "plain"

@@ -91,7 +91,8 @@ def _rollup(spark, d):
        GROUP BY from_state, to_state""",
 )
 def _transitions(spark, d):
-    return K.state_transitions(read_table(spark, d, "events"), "user_id", ["ts", "event_id"], "event_type")
+    return K.state_transitions(read_table(spark, d, "events"), "user_id", ["ts", "event_id"], "event_type",
+                               method="auto")
 
 
 @register(

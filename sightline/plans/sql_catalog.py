@@ -506,26 +506,40 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def _theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _theta(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
     """C17: other events of the same user in the 10 minutes up to each event.
 
-    Counted as a RANGE count on ordered pieces (no event pairs are formed,
-    so a dense hot user costs O(events)); ``joins.interval_join`` is the
-    operator for when the pairs themselves are wanted.
+    Without a hot user: a band join keyed by (user, 10-minute bucket), pairs
+    bounded by the events sharing a bucket.  With one: a RANGE count on
+    ordered pieces — no event pairs at all, O(events) for a dense user.
     """
     from sightline.operators import windows as WN
 
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    if WN.choose(ev, ["user_id"], plan) == "plain":
+        return _theta_buckets(ev)
     c = WN.range_count_by(ev, ["user_id"], "ts", "event_id", "10 MINUTES", out="n_in_range")
     return c.select("event_id", (F.col("n_in_range") - 1).cast("bigint").alias("n_recent"))
 
 
+def _theta_buckets(ev: DataFrame) -> DataFrame:
+    a = ev.select(F.col("event_id").alias("a_id"), "user_id", F.col("ts").alias("a_ts"))
+    b = ev.select(F.col("event_id").alias("b_id"), "user_id", F.col("ts").alias("b_ts"))
+    pairs = joins.interval_join(
+        a, b, ["user_id"], F.col("a_ts") - F.expr("INTERVAL 10 MINUTES"), F.col("a_ts"),
+        F.col("b_ts"), F.col("b_ts"), bucket_seconds=600,
+    ).where(F.col("a_id") != F.col("b_id"))
+    counts = pairs.groupBy("a_id").agg(F.count(F.lit(1)).alias("n_recent"))
+    return (ev.select("event_id").join(counts, F.col("event_id") == F.col("a_id"), "left")
+            .select("event_id", F.coalesce("n_recent", F.lit(0)).cast("bigint").alias("n_recent")))
+
+
 def _asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     purchases = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id", "value")
     out = joins.asof_join(
         ev.select("event_id", "user_id", "ts"), purchases, ["user_id"], "ts", "ts",
-        ["event_id", "value"], strict=True, bucket_seconds=86_400,
+        ["event_id", "value"], strict=True, bucket_seconds=86_400, method="auto",
     )
     return out.select("event_id", "asof_event_id", "asof_value", "asof_ts")
 
@@ -536,23 +550,34 @@ def _not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.not_in(cust, "c_custkey", orders, "o_custkey")
 
 
-def _window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C12 as a skew-safe plan: no window is keyed by the customer alone."""
+def _plain_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bind_views(spark, sf_dir)
+    return run_sql(spark, SQL[name][0])
+
+
+def _window_rank(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
+    """Spark's window when no customer is hot; otherwise the skew-safe
+    plan in which no window is keyed by the customer alone."""
     from sightline.operators import windows
 
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    if windows.choose(orders, ["o_custkey"], plan) == "plain":
+        return _plain_sql(spark, sf_dir, "sql_window_rank")
     x = windows.rank_family(orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], tiles=3)
     x = windows.value_ranks(x, ["o_custkey"], "o_orderstatus")
     return x.select("o_custkey", "o_orderkey", "rn", "rnk", "drnk", "tile",
                     F.round("prank", 6).alias("prank"), F.round("cdist", 6).alias("cdist"))
 
 
-def _window_analytic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C13 as a skew-safe plan: shifts on ordered pieces, first/last/nth from aggregates."""
+def _window_analytic(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
+    """Spark's window when no user is hot; otherwise shifts on ordered
+    pieces and first/last/nth values from aggregates."""
     from sightline.operators import windows as WN
 
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
     keys, order = ["user_id"], ["ts", "event_id"]
+    if WN.choose(ev, keys, plan) == "plain":
+        return _plain_sql(spark, sf_dir, "sql_window_analytic")
     x = WN.ordered_pieces(ev, keys, order)
     x = WN.with_shift(x, keys, order, "value", 1, "prev_value")
     x = WN.with_shift(x, keys, order, "value", -2, "next2_value")
@@ -564,7 +589,7 @@ def _window_analytic(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("__last").alias("last_type"), "second_value"))
 
 
-def _window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _window_frames(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
     """C14 as a skew-safe plan.
 
     Running sum and the 3-row moving average come from ordered pieces; the
@@ -576,6 +601,8 @@ def _window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     keys, order = ["user_id"], ["ts", "event_id"]
+    if WN.choose(ev, keys, plan) == "plain":
+        return _plain_sql(spark, sf_dir, "sql_window_frames")
     x = WN.ordered_pieces(ev, keys, order)
     x = WN.with_running_sum(x, keys, order, "value", "running_value")
     x = WN.with_shift(x, keys, order, "value", 1, "__l1")

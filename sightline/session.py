@@ -97,9 +97,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage through a written table in the shared checkpoint folder.
+
+    One job writes the rows as parquet (columnar, compressed) and the result
+    is a fresh scan of those files: later stages — and recomputation after a
+    lost executor — read the files instead of re-running the plan.  (An RDD
+    ``checkpoint()`` would run the plan a second time to write row-serialised
+    files.)
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sightline-cut-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

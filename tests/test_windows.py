@@ -67,3 +67,22 @@ def test_range_count_matches_brute_force(spark):
     for i, k, t in rows:
         lo, hi = t - dt.timedelta(minutes=30), t + dt.timedelta(minutes=5)
         assert got[i] == sum(1 for _, k2, t2 in rows if k2 == k and lo <= t2 <= hi)
+
+
+def test_registered_window_queries_same_rows_on_both_plans(spark, sf_small):
+    from sightline.plans import sql_catalog as SC
+
+    for fn in (SC._window_rank, SC._window_analytic, SC._window_frames, SC._theta):
+        a = fn(spark, sf_small, plan="pieces")
+        b = fn(spark, sf_small, plan="plain").select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__
+
+
+def test_hot_key_detection(spark):
+    from sightline.operators import windows as W2
+
+    hot = spark.createDataFrame([(0,)] * 900 + [(i,) for i in range(1, 101)], "k int")
+    flat = spark.createDataFrame([(i % 100,) for i in range(1000)], "k int")
+    assert W2.has_hot_key(hot, ["k"], parts=8, min_rows=10)
+    assert not W2.has_hot_key(flat, ["k"], parts=8, min_rows=10)
+    assert not W2.has_hot_key(hot, ["k"], parts=8)  # below the default minimum size
