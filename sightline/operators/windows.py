@@ -38,10 +38,10 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
     ``order`` must be a total order within a key (as for any meaningful
     row number).  Partition ids are only stable inside one plan, so the
-    range-partitioned rows are written once with their piece id (reliable
-    checkpoint in the shared checkpoint folder); numbering and offsets both
-    read that copy, and a lost executor re-reads it instead of re-deriving
-    different pieces.
+    range-partitioned rows are written once with their piece id (a parquet
+    table in the shared checkpoint folder, ``session.cut_lineage``);
+    numbering and offsets both read that copy, and a lost executor re-reads
+    it instead of re-deriving different pieces.
     """
     keys = list(keys)
     order_cols = _names(order)
@@ -104,7 +104,7 @@ def rank_family(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 
 # ---------------------------------------------------------------------------
-# Ordered pieces: one range-partitioned, checkpointed copy of the rows, on
+# Ordered pieces: one range-partitioned, written copy of the rows, on
 # which running aggregates and row shifts are computed piece by piece and
 # stitched together through small per-piece summaries.
 # ---------------------------------------------------------------------------
@@ -112,7 +112,7 @@ def rank_family(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 def ordered_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    parts: int | None = None) -> DataFrame:
-    """Rows range-partitioned on ``(keys, order)`` with their piece id ``__pid`` (checkpointed)."""
+    """Rows range-partitioned on ``(keys, order)`` with their piece id ``__pid`` (written once)."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(df.repartitionByRange(parts, *[F.col(k) for k in keys], *_names(order)).withColumn(
         "__pid", F.spark_partition_id()))
