@@ -195,17 +195,6 @@ FRONT_MATTER_RE = (r"\A---\n.*?^---", "MS")
 HTML_LEAK_RE = (r"<(svg|button|input|form)\b|role=[\"']", "")
 EMPTY_FENCE_RE = (r"```[a-z]*\n\s*\n?```", "")
 
-ISSUE_TYPE = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("line", T.IntegerType()),
-        T.StructField("find", T.StringType()),
-        T.StructField("detected", T.StringType()),
-        T.StructField("fix", T.StringType()),
-    ]
-)
-
-
 def line_of(md: Column, offset: Column) -> Column:
     """1-based line of a 0-based character offset."""
     pre = F.substring(md, F.lit(1), offset)
@@ -296,12 +285,6 @@ def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) ->
 
 _HEADING = r"(?dU)^(#{1,6})\s+(.+)$"
 
-SECTION_TYPE = T.ArrayType(T.StructType([
-    T.StructField("title", T.StringType()), T.StructField("line", T.IntegerType()),
-    T.StructField("tokens", T.IntegerType()),
-]))
-
-
 def section_map(df: DataFrame, md_col: str = "markdown") -> DataFrame:
     """``sections`` = headings with 1-based line and tokens = len(body) // 4.
 

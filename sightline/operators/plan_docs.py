@@ -7,7 +7,7 @@ no window group grows with the corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -114,6 +114,3 @@ def diagram_inventory(blocks: DataFrame, max_lines: int = 15) -> DataFrame:
         (n_lines > max_lines).alias("too_large"),
     )
 
-
-def col_or(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 # Must equal the reference's for the same results.
 # ---------------------------------------------------------------------------
 VERSION_LINE = r'(?mU)^\s*version:\s*"?([^"\s]+)"?\s*$'
-SEMVER = r"^(\d+)\.(\d+)\.(\d+)$"
 RANK = {"none": 0, "patch": 1, "minor": 2, "major": 3}
 COMMIT_TYPES = ("feat", "fix", "docs", "refactor", "test", "perf", "build", "ci", "chore", "style", "revert")
 HEADER = r"^(?i)([a-z]+)(?:\(([^()\r\n]*)\))?(!)?: (.+)$"
