@@ -47,3 +47,23 @@ def test_entry_and_registry(spark):
     assert df.count() > 0 and "next" in df.columns
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs) and len(qs) >= 80
+
+
+def test_feedback_plain_files_and_binary_pages(spark):
+    import os
+
+    from sightline.sources.tables import page_source_binary
+
+    root = tempfile.mkdtemp(prefix="fbf-")
+    os.makedirs(f"{root}/planning")
+    with open(f"{root}/planning/suggestion_20260428_214749_172289.md", "w") as fh:
+        fh.write("# Idea\n\n## Context\nx\n")
+    got = FB.feedback_scan_files(spark, f"{root}/*/suggestion_*.md").collect()
+    assert [(r.skill, r.key, str(r.ts), r.text) for r in got] == [
+        ("planning", "suggestion_20260428_214749_172289", "2026-04-28 21:47:49.172289", "# Idea\n\n## Context\nx\n")]
+
+    pages = tempfile.mkdtemp(prefix="pg-")
+    with open(f"{pages}/a.html", "wb") as fh:
+        fh.write(b"<html><body><p>caf\xe9 ok</p></body></html>")  # latin-1 byte: invalid UTF-8
+    r = page_source_binary(spark, f"{pages}/*.html").first()
+    assert r.url.endswith("a.html") and "caf� ok" in r.html

@@ -86,3 +86,31 @@ def test_hot_key_detection(spark):
     assert W2.has_hot_key(hot, ["k"], parts=8, min_rows=10)
     assert not W2.has_hot_key(flat, ["k"], parts=8, min_rows=10)
     assert not W2.has_hot_key(hot, ["k"], parts=8)  # below the default minimum size
+
+
+def test_auto_routes_hot_keys_to_pieces(spark, monkeypatch):
+    from sightline.operators import charts as K
+    from sightline.operators import joins
+
+    calls = []
+    real = WN.ordered_pieces
+
+    def spy(*a, **k):
+        calls.append(1)
+        return real(*a, **k)
+
+    monkeypatch.setattr(WN, "ordered_pieces", spy)
+    rows = [(i, 0 if i % 10 else 1, f"s{i % 3}") for i in range(400)]  # key 0 holds 90 % of the rows
+    df = spark.createDataFrame(rows, "id long, k int, s string").withColumn(
+        "ts", F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT), 0)"))
+    monkeypatch.setattr(WN, "HOT_KEY_MIN_ROWS", 10)
+    monkeypatch.setattr(WN.has_hot_key, "__defaults__", (None, 10))
+    K.state_transitions(df, "k", ["ts", "id"], "s", method="auto").collect()
+    assert calls, "a hot key must select the pieces plan"
+    calls.clear()
+    flat = df.withColumn("k", F.col("id") % 50)
+    K.state_transitions(flat, "k", ["ts", "id"], "s", method="auto").collect()
+    assert not calls, "without a hot key the bucketed plan runs"
+    left = df.select("id", "k", "ts")
+    joins.asof_join(left, df.select("k", "ts", F.col("id").alias("rid")), ["k"], "ts", "ts", ["rid"], method="auto").collect()
+    assert calls
