@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -47,8 +46,12 @@ def file_inventory(spark: SparkSession, patterns: str | Sequence[str]) -> DataFr
             )
         )
         listed = part if listed is None else listed.unionByName(part)
-    # The inventory is metadata (one row per file); a global window is fine here.
-    return listed.withColumn("file_pos", F.row_number().over(Window.orderBy("pattern_pos", "path")))
+    # Numbered in (pattern, path) order without a one-partition window: a glob can
+    # list millions of files, so the numbering is range-partitioned like any sort.
+    from sightline.operators.windows import row_number_by
+
+    return row_number_by(listed, [], ["pattern_pos", "path"], out="file_pos").withColumn(
+        "file_pos", F.col("file_pos").cast("int")).orderBy("file_pos")
 
 
 def bind_tables(spark: SparkSession, paths: Sequence[str]) -> list[str]:
