@@ -81,18 +81,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return configure(spark)
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    On a cluster the operator names it in ``spark.checkpoint.dir``; we only
-    invent one (a fresh temp folder) when it is unset, as in local tests.
+    On a cluster the operator names it in ``spark.checkpoint.dir``; only when
+    it is unset (local tests) a fresh temp folder is used, remembered per
+    application.  (The setting itself is a core config and cannot be changed
+    at runtime, so it is not written back.)
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="sightline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _FALLBACK_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="sightline-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -129,3 +129,34 @@ def test_describe_lines(points):
     assert lines[0] == "tourney_points{5 cols, 10 rows}:"
     assert lines[4] == "  round_of(INTEGER): min=2 max=256 avg=86.2 q25=8 q50=32 q75=160 null=0%"
     assert lines[1].startswith("  tourney_category(VARCHAR): unique=1 null=0%")
+
+
+def test_checkpoint_dir_fallback_without_setting():
+    """With spark.checkpoint.dir unset a per-application temp folder is used (the
+    setting itself cannot be changed at runtime)."""
+    from sightline import session as S
+
+    class Conf:
+        def get(self, k, d=None):
+            return d
+
+    class SC:
+        applicationId = "app-test"
+        _dir = None
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return self._dir
+
+        def setCheckpointDir(self, p):
+            self._dir = p
+
+    class Spark:
+        sparkContext = SC()
+        conf = Conf()
+
+    sp = Spark()
+    first = S.checkpoint_dir(sp)
+    assert S.checkpoint_dir(sp) == first and sp.sparkContext._dir == first
