@@ -39,17 +39,21 @@ def main() -> None:
     qs = all_queries()
     out: dict[str, float] = {}
     cold: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         times = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i == 0:
-                cold[name] = round(dt, 3)
-            else:
-                times.append(dt)
-        out[name] = round(statistics.median(times), 3)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i == 0:
+                    cold[name] = round(dt, 3)
+                else:
+                    times.append(dt)
+            out[name] = round(statistics.median(times), 3)
+        except Exception as exc:  # one failing query must not lose the whole report
+            errors[name] = f"{type(exc).__name__}: {exc}"[:300]
     sf = Path(sf_dir).name.removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_warm_median_sum",
@@ -60,6 +64,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
 
 
