@@ -33,3 +33,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.substring_dedup import substring_dedup
 
     return substring_dedup(J.table(spark, sf_dir, "documents")).drop("removed_spans", "kept_text")
+
+
+@query("op5_benchmark_decontamination", twins.DECONTAMINATION)
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.decontamination import contamination
+
+    return contamination(J.table(spark, sf_dir, "documents"), J.table(spark, sf_dir, "benchmark")).drop("items", "spans")

@@ -12,3 +12,20 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS
            list_transform(list_filter(list_zip(ws, generate_series(1, len(ws))), lambda x: NOT list_contains(ks, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN cut USING (doc_id)
 """
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bi AS (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(generate_series(1, len(ws) - least(10, len(ws)) + 1)) AS i FROM b WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS s FROM bi),
+di AS (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n),
+hits AS (SELECT doc_id, i, n, item_id FROM (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS s FROM di) JOIN iw USING (n, s)),
+hw AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hits) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+              string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""
