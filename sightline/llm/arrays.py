@@ -112,14 +112,21 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         row = min(stop, rows)
 
 
-def words(column: pa.Array, sep: np.ndarray = SPACE, fold: bool = False, seed: int = 0) -> Words:
-    """Words: longest runs of bytes outside ``sep`` within one text; ``fold`` hashes A-Z as a-z."""
+def words(column: pa.Array, sep: np.ndarray = SPACE, fold: bool = False, seed: int = 0, kinds: np.ndarray | None = None) -> Words:
+    """Words: longest runs of bytes outside ``sep`` within one text; ``fold`` hashes A-Z as a-z.
+
+    With ``kinds`` (a number for each byte), words also end between bytes of kinds 1 and 2.
+    """
     buf, offsets = utf8(column)
     inside = ~sep[buf]
     before, after = np.zeros_like(inside), np.zeros_like(inside)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     cut = offsets[(offsets > 0) & (offsets < len(buf))]
     before[cut], after[cut - 1] = False, False
+    if kinds is not None:
+        kind = kinds[buf]
+        cut = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+        before[cut], after[cut - 1] = False, False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     hashes = np.empty(0, _U)
     if len(starts):

@@ -40,3 +40,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     from sightline.llm.decontamination import contamination
 
     return contamination(J.table(spark, sf_dir, "documents"), J.table(spark, sf_dir, "benchmark")).drop("items", "spans")
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sightline.llm.token_files import tokenized
+
+    return tokenized(J.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
