@@ -49,3 +49,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.token_files import tokenized
 
     return tokenized(J.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_ngram_jaccard_join", twins.JACCARD_JOIN)
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(J.table(spark, sf_dir, "documents")).drop("set_id")
