@@ -56,3 +56,10 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.jaccard_join import jaccard_components
 
     return jaccard_components(J.table(spark, sf_dir, "documents")).drop("set_id")
+
+
+@query("op6_quality_rules", twins.QUALITY_RULES)
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.quality_rules import judged
+
+    return judged(J.table(spark, sf_dir, "documents"))

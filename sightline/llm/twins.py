@@ -42,3 +42,23 @@ reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT edges.b,
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)
 """
+
+QUALITY_RULES = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, unnest(generate_series(1, len(ws) - 2)) AS k, ws FROM w WHERE len(ws) >= 3),
+g AS (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[k:k + 2], ' ')) AS n FROM i),
+r AS (SELECT doc_id, count(DISTINCT k + j) AS n FROM g, (VALUES (0), (1), (2)) v(j) WHERE n >= 2 GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+       CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+       list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+       CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+       CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper, CAST(length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS BIGINT) AS n_letters
+     FROM w LEFT JOIN r USING (doc_id)),
+f AS (SELECT * EXCLUDE (ls), CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines FROM m)
+SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+       + 16 * (100 * n_upper > 50 * n_letters)::INT + 32 * (word_chars < 2 * n_words)::INT + 64 * (word_chars > 16 * n_words)::INT AS BIGINT) AS failed,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_upper > 50 * n_letters
+            OR word_chars < 2 * n_words OR word_chars > 16 * n_words) AS kept
+FROM f
+"""
