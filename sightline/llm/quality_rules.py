@@ -25,7 +25,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_phrases": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > 3 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 75 * n_lines",
     "shouting": "100 * n_upper > 50 * n_letters",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 16 * n_words",

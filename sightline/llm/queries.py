@@ -63,3 +63,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.quality_rules import judged
 
     return judged(J.table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm import byte_cnn
+
+    docs = J.table(spark, sf_dir, "documents")
+    return byte_cnn.scored(docs, byte_cnn.train(docs, J.table(spark, sf_dir, "labels")))

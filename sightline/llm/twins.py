@@ -55,10 +55,10 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(
        CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper, CAST(length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS BIGINT) AS n_letters
      FROM w LEFT JOIN r USING (doc_id)),
 f AS (SELECT * EXCLUDE (ls), CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines FROM m)
-SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT + 8 * (100 * n_dup_lines > 75 * n_lines)::INT
        + 16 * (100 * n_upper > 50 * n_letters)::INT + 32 * (word_chars < 2 * n_words)::INT + 64 * (word_chars > 16 * n_words)::INT AS BIGINT) AS failed,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_upper > 50 * n_letters
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR 100 * n_dup_lines > 75 * n_lines OR 100 * n_upper > 50 * n_letters
             OR word_chars < 2 * n_words OR word_chars > 16 * n_words) AS kept
 FROM f
 """
