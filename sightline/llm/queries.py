@@ -71,3 +71,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = J.table(spark, sf_dir, "documents")
     return byte_cnn.scored(docs, byte_cnn.train(docs, J.table(spark, sf_dir, "labels")))
+
+
+@query("op1_toxicity_kneser_ney")
+def op1_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm import kneser_ney
+
+    docs = J.table(spark, sf_dir, "documents")
+    return kneser_ney.scored(docs, kneser_ney.train(docs, J.table(spark, sf_dir, "labels")))
