@@ -13,8 +13,10 @@ of ``percent`` or more.  The search is exact (see below for the hashes):
    joined to its smallest (an edge, not all pairs), and the components of these
    edges are the groups.  Thirds without shingles name no signature, but where
    a set has them in two parts or more: then they do.
-3. Each group is opened by token-group matrix: its documents, in the order of
-   their least shingle, form small groups with the union of their shingles; a
+3. Each group is opened by token-group matrix.  A document's overlap with the
+   union of all others must reach the least overlap of a link, else it leaves
+   (and its shingles with it, so this repeats).  What is left, in the order of
+   its least shingles, forms small groups with the union of their shingles; a
    document's overlap with each union bounds its overlap with every member, and
    only small groups that reach the least overlap of a link are opened.
    Members that are connected already are passed over.
@@ -52,9 +54,11 @@ from sightline.llm.graph import components
 
 SHINGLE = 3
 PERCENT = 90
-CHUNK_TOKENS = 1 << 19
-CHUNK_DOCS = 2000
+CHUNK_TOKENS = 1 << 20
+CHUNK_DOCS = 8000
 GROUP_DOCS = 16
+#: cells of a token-group matrix, a byte each
+MATRIX_CELLS = 1 << 26
 PIVOTS = 4
 BUCKET_SIGNATURES = 1 << 19
 
@@ -195,51 +199,67 @@ def _met(bucket: pa.Table) -> pa.Table:
 
 # ------------------------------------------------------ token-group matrix
 
+def _shared(flat: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several sets have, of the sets that have enough of them for a link.
+
+    The bound by the union of all other sets, applied until it removes no more.
+    """
+    need = -(-percent * size // 100)
+    while len(flat):
+        names, counts = np.unique(flat, return_inverse=True, return_counts=True)[1:]
+        several = counts[names] > 1
+        enough = np.bincount(owner[several], minlength=len(size)) >= need
+        keep = several & enough[owner]
+        if keep.all():
+            return names, owner
+        flat, owner = flat[keep], owner[keep]
+    return flat.astype(np.int64), owner
+
+
 def linked(first: np.ndarray, hashes: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links that connect all sets which links connect; ``known``: components so far, by set.
 
     Not every link is returned: those between sets connected already are not looked for.
     """
     size = np.diff(first)
-    least = np.where(size > 0, hashes[np.minimum(first[:-1], max(0, len(hashes) - 1))], 0) if len(hashes) else np.zeros(len(size), np.uint64)
+    least = np.zeros(len(size), np.uint64)
+    least[size > 0] = hashes[first[:-1][size > 0]]
     order = np.lexsort((size, least))  # sets with the same least shingle are next to each other
     order = order[size[order] > 0]
-    if len(order) < 2:
-        return []
-    size, comp = size[order], np.unique(known, return_inverse=True)[1][order].copy()
+    size = size[order]
     begin = np.cumsum(size) - size
     flat = hashes[np.repeat(first[:-1][order] - begin, size) + np.arange(int(size.sum()))]
-    _, flat, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(size)), size)
-    shared = counts[flat] > 1  # a shingle of one set adds to no overlap
-    flat, owner = np.unique(flat[shared], return_inverse=True)[1], owner[shared]
+    flat, owner = _shared(flat, np.repeat(np.arange(len(size)), size), size, percent)
+    if not len(flat):
+        return []
+    left, owner = np.unique(owner, return_inverse=True)
+    order, size = order[left], size[left]
+    comp = np.unique(known[order], return_inverse=True)[1]
     begin = np.searchsorted(owner, np.arange(len(size) + 1))
-    group = np.arange(len(size)) // GROUP_DOCS
-    groups, tokens = int(group[-1]) + 1, int(flat.max(initial=-1)) + 1
-    matrix = np.zeros((groups, tokens), bool)
+    tokens = int(flat.max()) + 1
+    per = max(GROUP_DOCS, -(-len(size) * tokens // MATRIX_CELLS))
+    group = np.arange(len(size)) // per
+    matrix = np.zeros((int(group[-1]) + 1, tokens), bool)
     matrix[group[owner], flat] = True
-    from_group = begin[np.minimum(np.arange(groups + 1) * GROUP_DOCS, len(size))]
-    here, found = np.zeros(tokens, bool), []
-    for q in range(len(size)):
-        mine = flat[begin[q] : begin[q + 1]]
-        need = -(-percent * int(size[q]) // 100)
-        if len(mine) < need:
+    here, found = np.zeros(tokens, np.uint8), []
+    for q in range(len(size) - 1):
+        apart = comp[q + 1 :] != comp[q]
+        if not apart.any():
             continue
+        mine = flat[begin[q] : begin[q + 1]]
         bound = np.count_nonzero(matrix[group[q] :, mine], axis=1)
-        here[mine] = True
-        for g in (np.flatnonzero(bound >= need) + group[q]).tolist():
-            a, b = g * GROUP_DOCS, min((g + 1) * GROUP_DOCS, len(size))
-            apart = comp[a:b] != comp[q]
-            apart[: max(0, q + 1 - a)] = False
-            if not apart.any():
-                continue
-            hits = np.concatenate([[0], np.cumsum(here[flat[from_group[g] : from_group[g + 1]]])])
-            overlap = np.diff(hits[begin[a : b + 1] - begin[a]])
-            for s in (np.flatnonzero(apart & (100 * overlap >= percent * (size[a:b] + size[q] - overlap))) + a).tolist():
-                if comp[s] != comp[q]:
-                    comp[comp == comp[s]] = comp[q]
-                    found.append((int(order[q]), int(order[s])))
-        here[mine] = False
+        opened = (bound >= -(-percent * int(size[q]) // 100))[group[q + 1 :] - group[q]]
+        others = np.flatnonzero(apart & opened & (100 * size[q] >= percent * size[q + 1 :]) & (100 * size[q + 1 :] >= percent * size[q])) + q + 1
+        if not len(others):
+            continue
+        here[mine] = 1
+        a, b = begin[others[0]], begin[others[-1] + 1]
+        overlap = np.add.reduceat(here[flat[a:b]], begin[others[0] : others[-1] + 1] - a, dtype=np.int64)[others - others[0]]
+        here[mine] = 0
+        for s in others[100 * overlap >= percent * (size[others] + size[q] - overlap)].tolist():
+            if comp[s] != comp[q]:
+                comp[comp == comp[s]] = comp[q]
+                found.append((int(order[q]), int(order[s])))
     return found
 
 
