@@ -79,3 +79,10 @@ def op1_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = J.table(spark, sf_dir, "documents")
     return kneser_ney.scored(docs, kneser_ney.train(docs, J.table(spark, sf_dir, "labels")))
+
+
+@query("op7_source_mixing")
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.mixing import mix
+
+    return mix(J.table(spark, sf_dir, "documents")).drop("passes", "source", "key")
