@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm import jobs as J
 
 
+def forest(edges: np.ndarray) -> np.ndarray:
+    """As few edges with the same components: each node with the least of its own. ``edges``: pairs of numbers."""
+    nodes, ends = np.unique(edges, return_inverse=True)
+    ends, root = ends.reshape(-1, 2), np.arange(len(nodes))
+    while True:
+        a, b = root[ends[:, 0]], root[ends[:, 1]]
+        if (a == b).all():
+            break
+        least = np.minimum(a, b)
+        np.minimum.at(root, a, least)
+        np.minimum.at(root, b, least)
+        while (root[root] != root).any():
+            root = root[root]
+    out = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.stack([nodes[out], nodes[root[out]]], 1)
+
+
 def _star(edges: DataFrame, both: bool) -> DataFrame:
     """Each node sends its larger (``both``: large star) or its smaller neighbours to the least of them and itself."""
     turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))

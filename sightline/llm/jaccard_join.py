@@ -28,7 +28,9 @@ of ``percent`` or more.  The search is exact (see below for the hashes):
    mostly do *not* link costs more (its blocks times its chunks).
 
 Signatures are packed per batch of documents, each with the smallest document
-that has it, so a signature of very many documents is one entry a batch.
+that has it, so a signature of very many documents is one entry a batch.  Texts
+are shuffled only if they are in a group of two sets or more, as far as a bitmap
+of fixed size tells.
 
 Shingles are 64-bit hashes of their words: different shingles of two documents
 meet with a chance of about n^2 / 2^65 for n shingles of both.
@@ -50,7 +52,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm import arrays as A
 from sightline.llm import jobs as J
-from sightline.llm.graph import components
+from sightline.llm.graph import components, forest
 
 SHINGLE = 3
 PERCENT = 90
@@ -116,19 +118,36 @@ def size_bands(percent: int, largest: int) -> np.ndarray:
     return np.array(ends)
 
 
-def signatures(first: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of sets, and the set of each."""
+def _parts(bands: np.ndarray, scheme: np.ndarray, percent: int) -> np.ndarray:
+    """Parts that the sets of two neighbouring bands are dealt into; a scheme has the number of the lower one."""
+    differ = (bands[scheme + 1] - 1) * (100 - percent) // percent
+    return (differ + 2) // 2 + 1
+
+
+def bucket_bits(sizes: dict[int, int], percent: int, per_bucket: int = BUCKET_SIGNATURES) -> np.ndarray:
+    """How many bits of a signature deal each scheme's signatures to its buckets, by the numbers of sets of each size."""
+    bands = size_bands(percent, max(sizes, default=1))
+    load = np.zeros(len(bands))
+    for size, n in sizes.items():
+        band = int(np.searchsorted(bands, size, "right")) - 1
+        for scheme in (band, band - 1):
+            if scheme >= 0:
+                load[scheme] += 3 * n * int(_parts(bands, np.array([scheme]), percent)[0])
+    return np.array([J.power_of_two(x / per_bucket) for x in load], np.uint64)
+
+
+def signatures(first: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of sets, the set of each, and the scheme of each."""
     size = np.diff(first)
     bands = size_bands(percent, int(size.max(initial=1)))
     band = np.searchsorted(bands, size, "right") - 1
     doc = np.repeat(np.arange(len(size)), size)
     third = (hashes >> np.uint64(40)) % np.uint64(3)
-    out, owner = [], []
+    out, owner, of_scheme = [], [], []
     for scheme in (band, band - 1):  # with its own band and the next; with the one before
         use = np.flatnonzero((band >= 0) & (scheme >= 0))
         parts = np.zeros(len(size), np.int64)
-        differ = (bands[scheme[use] + 1] - 1) * (100 - percent) // percent
-        parts[use] = (differ + 2) // 2 + 1
+        parts[use] = _parts(bands, scheme[use], percent)
         base = np.cumsum(parts) - parts
         mine = parts[doc] > 0
         part = base[doc[mine]] + (hashes[mine] >> np.uint64(4)).astype(np.int64) % parts[doc[mine]] if mine.any() else np.empty(0, np.int64)
@@ -144,37 +163,49 @@ def signatures(first: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.
             keep = ~empty[:, j] | hollow[of]
             out.append(A.mix(A.mix(sums[:, a] + sums[:, b] * np.uint64(3)) + name + np.uint64(j))[keep])
             owner.append(of[keep])
-    return np.concatenate(out), np.concatenate(owner)
+            of_scheme.append(scheme[of[keep]])
+    return np.concatenate(out), np.concatenate(owner), np.concatenate(of_scheme)
+
 
+def _starts(sorted_values: np.ndarray) -> np.ndarray:
+    new = np.ones(len(sorted_values), bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return new
 
-def _packed(k: int, percent: int, bits: int):
+
+def _to_least(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For signatures in order, and by document: which come first, and edges from the others' documents to the first's."""
+    new = _starts(sig)
+    least = doc[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
+    edges = np.stack([doc[~new], least[~new]], 1)
+    return new, forest(edges[edges[:, 0] != edges[:, 1]])
+
+
+def _packed(k: int, percent: int, bits: np.ndarray):
+    """Per batch and bucket: signatures with the smallest document of each, and edges within the batch.
+
+    A bucket holds signatures of one scheme, so copies meet in few buckets, whatever their signatures.
+    """
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
         ids, texts = ids[order], batch.column("text").take(pa.array(order))
-        sig, owner, done = [], [], 0
+        found, done = [], 0
         for a, b in A.slices(texts):
-            s, o = signatures(*shingle_sets(texts.slice(a, b - a), k), percent)
-            sig.append(s)
-            owner.append(o + done)
+            s, o, c = signatures(*shingle_sets(texts.slice(a, b - a), k), percent)
+            found.append((s, o + done, c))
             done = b
-        sig, owner = np.concatenate(sig), np.concatenate(owner)
-        order = np.lexsort((owner, sig))
-        sig, owner = sig[order], owner[order]
-        new = np.ones(len(sig), bool)
-        new[1:] = sig[1:] != sig[:-1]
-        least = owner[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
-        edges = np.unique(np.stack([owner[~new], least[~new]], 1), axis=0)
-        edges = ids[edges[edges[:, 0] != edges[:, 1]]]
-        sig, owner = sig[new], owner[new]
-        bucket = (sig >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sig), np.int64)
-        ends = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(bucket)]
-        per = -(-len(edges) // max(1, len(ends) - 1))
-        rows = []
-        for i, (a, b) in enumerate(zip(ends, ends[1:])):
-            by_doc = np.argsort(owner[a:b], kind="stable")
-            who, n = np.unique(owner[a:b], return_counts=True)
-            rows.append((int(bucket[a]), A.binary(sig[a:b][by_doc]), A.binary(ids[who]), A.binary(n.astype(np.int32)), A.binary(edges[i * per : (i + 1) * per])))
+        sig, owner, scheme = (np.concatenate(x) for x in zip(*found))
+        shift = np.uint64(64) - bits[scheme]
+        bucket = (scheme << 32) | np.where(bits[scheme] > 0, sig >> np.minimum(shift, np.uint64(63)), np.uint64(0)).astype(np.int64)
+        order = np.lexsort((owner, sig, bucket))
+        sig, owner, bucket = sig[order], owner[order], bucket[order]
+        ends, rows = np.flatnonzero(_starts(bucket)).tolist() + [len(bucket)], []
+        for a, b in zip(ends, ends[1:]):
+            new, edges = _to_least(sig[a:b], owner[a:b])
+            by_doc = np.argsort(owner[a:b][new], kind="stable")
+            who, n = np.unique(owner[a:b][new], return_counts=True)
+            rows.append((int(bucket[a]), A.binary(sig[a:b][new][by_doc]), A.binary(ids[who]), A.binary(n.astype(np.int32)), A.binary(ids[edges])))
         cols = list(zip(*rows)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "sigs", "ids", "counts", "edges"])
 
@@ -182,18 +213,12 @@ def _packed(k: int, percent: int, bits: int):
 
 
 def _met(bucket: pa.Table) -> pa.Table:
-    """Edges from each document to the smallest one with the same signature."""
+    """Edges that connect documents with a signature in common."""
     blobs = {c: J.column(bucket, c).to_pylist() for c in ("sigs", "ids", "counts", "edges")}
     sig = np.concatenate([A.numbers(x, np.uint64) for x in blobs["sigs"]])
     ids = np.concatenate([np.repeat(A.numbers(i, np.int64), A.numbers(n, np.int32)) for i, n in zip(blobs["ids"], blobs["counts"])])
     order = np.lexsort((ids, sig))
-    sig, ids = sig[order], ids[order]
-    new = np.ones(len(sig), bool)
-    new[1:] = sig[1:] != sig[:-1]
-    least = ids[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
-    edges = [np.stack([ids[~new], least[~new]], 1), *(A.numbers(x, np.int64).reshape(-1, 2) for x in blobs["edges"])]
-    edges = np.unique(np.concatenate(edges), axis=0)
-    edges = edges[edges[:, 0] != edges[:, 1]]
+    edges = forest(np.concatenate([_to_least(sig[order], ids[order])[1], *(A.numbers(x, np.int64).reshape(-1, 2) for x in blobs["edges"])]))
     return pa.table({"a": pa.array(edges[:, 0], pa.int64()), "b": pa.array(edges[:, 1], pa.int64())})
 
 
@@ -281,7 +306,7 @@ def _opened(k: int, percent: int):
 def _open(texts: DataFrame, rows: DataFrame, tokens: int, k: int, percent: int) -> DataFrame:
     """Links within each (grp, block, chunk) of ``rows``; small ones share a task."""
     tasks = max(1, -(-tokens // CHUNK_TOKENS))
-    dealt = rows.join(texts, "id").withColumn("task", F.pmod(F.xxhash64("grp", "block", "chunk"), F.lit(tasks)))
+    dealt = J.known_rows(texts, rows, "id").withColumn("task", F.pmod(F.xxhash64("grp", "block", "chunk"), F.lit(tasks)))
     return dealt.groupBy("task").applyInArrow(_opened(k, percent), "a long, b long")
 
 
@@ -291,13 +316,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    bits = J.power_of_two(J.text_bytes(texts) / 18 / BUCKET_SIGNATURES)
     profile = J.cut_lineage(J.map_arrow(texts, _profile(shingle), "id long, n long, f1 long, f2 long"))
     nodes = profile.where("id IS NOT NULL AND n > 0")
     sets = nodes.groupBy("n", "f1", "f2").agg(F.min("id").alias("set_id"))
     texts = texts.where("id IS NOT NULL")
 
-    packed = J.map_arrow(texts, _packed(shingle, percent, bits), "bucket long, sigs binary, ids binary, counts binary, edges binary")
+    sizes = {r.n: r.m for r in nodes.groupBy("n").agg(F.count("*").alias("m")).collect()}  # a row for each size of set
+    packed = J.map_arrow(texts, _packed(shingle, percent, bucket_bits(sizes, percent)), "bucket long, sigs binary, ids binary, counts binary, edges binary")
     groups = components(packed.groupBy("bucket").applyInArrow(_met, "a long, b long")).withColumnRenamed("component", "grp")
     own = sets.select(F.col("set_id").alias("id"), "n").groupBy("id").agg(F.sum("n").alias("n"))
     members = groups.join(own, groups.node == own.id).select("id", "grp", "n")

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from sightline.llm import jaccard_join as JJ
-from sightline.llm.graph import components
+from sightline.llm.graph import components, forest
 
 
 def sets_of(text, k=3):
@@ -79,7 +79,7 @@ def test_every_link_shares_a_signature():
                 o = len(np.intersect1d(a, b))
                 if not len(b) or 100 * o < percent * (len(a) + len(b) - o) or np.array_equal(a, b):
                     continue
-                sig, owner = JJ.signatures(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]), percent)
+                sig, owner, _ = JJ.signatures(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]), percent)
                 assert np.intersect1d(sig[owner == 0], sig[owner == 1]).size
 
 
@@ -89,6 +89,19 @@ def test_shingle_sets_are_sets():
     assert np.diff(first).tolist() == [len(sets_of(t)) for t in texts]
 
 
+def test_forest_keeps_components():
+    rnd = np.random.default_rng(2)
+    for n in (1, 5, 60):
+        edges = rnd.integers(-40, 40, (n, 2))
+        got = {int(a): int(b) for a, b in forest(edges)}
+        label = {int(x): int(x) for x in edges.ravel()}
+        for _ in range(100):
+            for a, b in edges.tolist():
+                label[a] = label[b] = min(label[a], label[b])
+        assert got == {x: c for x, c in label.items() if x != c}
+    assert forest(np.empty((0, 2), np.int64)).shape == (0, 2)
+
+
 def test_components_of_odd_edges(spark):
     edges = spark.createDataFrame([(5, 4), (4, 9), (9, 9), (None, 1), (7, 8), (2, 3), (3, 2), (2, 3), (20, 5)], "a long, b long")
     assert sorted(map(tuple, components(edges).collect())) == [(2, 2), (3, 2), (4, 4), (5, 4), (7, 7), (8, 7), (9, 4), (20, 4)]
