@@ -63,7 +63,8 @@ def known_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """``rows`` joined to ``keys`` by ``on``; most rows without a key leave before they are shuffled.
 
     The filter is a bitmap of 2^23 hashed keys (1 MB, whatever the number of
-    keys) that is broadcast; the join itself decides.
+    keys) that is broadcast; the join itself decides.  It is a merge join at any
+    size: one plan, whose cost follows the input.
     """
     bit = F.pmod(F.xxhash64(on), F.lit(1 << 23))
     marks = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("__bucket")).agg(
@@ -72,4 +73,4 @@ def known_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     near = rows.join(F.broadcast(marks), F.bitmap_bucket_number(bit) == F.col("__bucket"))
     near = near.where(F.pmod(F.floor(byte / F.pow(F.lit(2), place % 8)), F.lit(2)) == 1).drop("__bucket", "__bits")
-    return near.join(keys, on)
+    return near.join(keys.hint("merge"), on)
