@@ -86,3 +86,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.mixing import mix
 
     return mix(J.table(spark, sf_dir, "documents")).drop("passes", "source", "key")
+
+
+@query("op8_line_dedup", twins.LINE_DEDUP)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.line_dedup import line_dedup
+
+    return line_dedup(J.table(spark, sf_dir, "documents")).drop("deleted", "kept_text")

@@ -62,3 +62,14 @@ SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::
             OR word_chars < 2 * n_words OR word_chars > 16 * n_words) AS kept
 FROM f
 """
+
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+nb AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT doc_id, seq, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY seq) AS s FROM nb),
+r AS (SELECT doc_id, seq, row_number() OVER (PARTITION BY s ORDER BY doc_id, seq) AS n FROM w WHERE s IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, seq + j AS seq FROM r, (VALUES (0), (1)) v(j) WHERE n > 1),
+kept AS (SELECT l.doc_id, l.pos, l.line, nb.seq, gone.seq AS cut FROM l LEFT JOIN nb USING (doc_id, pos) LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.seq = nb.seq)
+SELECT doc_id, count(seq) AS n_lines, count(cut) AS n_deleted, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (cut IS NULL), '')) AS kept_sha256
+FROM kept GROUP BY doc_id
+"""
