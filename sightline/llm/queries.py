@@ -93,3 +93,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.line_dedup import line_dedup
 
     return line_dedup(J.table(spark, sf_dir, "documents")).drop("deleted", "kept_text")
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm import language_id
+
+    return language_id.identify(J.table(spark, sf_dir, "pages"), language_id.train(J.table(spark, sf_dir, "documents")))
