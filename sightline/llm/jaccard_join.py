@@ -360,8 +360,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the smallest document of each component; rows without an id stay."""
-    key = "__component"
+    """``docs`` with the smallest document of each component; rows without an id stay, and so do rows that share one."""
     found = jaccard_components(docs, id_col, text_col, shingle, percent)
-    later = found.where("doc_id != component_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(later, docs[id_col] == later[key], "left_anti")
+    later = J.cut_lineage(found.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct())
+    return J.without(docs, later, id_col)

@@ -59,18 +59,27 @@ def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return c
 
 
-def known_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """``rows`` joined to ``keys`` by ``on``; most rows without a key leave before they are shuffled.
-
-    The filter is a bitmap of 2^23 hashed keys (1 MB, whatever the number of
-    keys) that is broadcast; the join itself decides.  It is a merge join at any
-    size: one plan, whose cost follows the input.
-    """
+def _near(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``rows`` with ``__near``: whether the key is marked in a bitmap of 2^23 hashed keys (1 MB, whatever their number)."""
     bit = F.pmod(F.xxhash64(on), F.lit(1 << 23))
     marks = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("__bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("__bits"))
     place = F.bitmap_bit_position(bit)
     byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    near = rows.join(F.broadcast(marks), F.bitmap_bucket_number(bit) == F.col("__bucket"))
-    near = near.where(F.pmod(F.floor(byte / F.pow(F.lit(2), place % 8)), F.lit(2)) == 1).drop("__bucket", "__bits")
-    return near.join(keys.hint("merge"), on)
+    near = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), place % 8)), F.lit(2)) == 1, F.lit(False))
+    return rows.join(F.broadcast(marks), F.bitmap_bucket_number(bit) == F.col("__bucket"), "left").withColumn("__near", near).drop("__bucket", "__bits")
+
+
+def known_rows(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``rows`` joined to ``keys`` by ``on``; most rows without a key leave before they are shuffled.
+
+    The join is a merge join at any size: one plan, whose cost follows the input.
+    """
+    return _near(rows, keys, on).where("__near").drop("__near").join(keys.hint("merge"), on)
+
+
+def without(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``rows`` whose ``on`` is not in ``keys``; most of them are not shuffled."""
+    marked = _near(rows, keys, on)
+    kept = marked.where("__near").join(keys.hint("merge"), on, "left_anti")
+    return marked.where("NOT __near").unionByName(kept).select(*rows.columns)

@@ -20,9 +20,8 @@ are numbered through a range shuffle.  Nothing but totals comes to the driver.
 
 Defined results: null and empty texts have no words, and are taken 0 times; a
 null source is a source, the last; repeated rows are documents of their own,
-told apart by the order in which their hash, id and text come; equal rows share
-what is taken for them in that order; an empty table gives no rows; further
-columns pass through :func:`mixed` unread.
+and of rows with equal id and text any may be the one that is taken; an empty
+table gives no rows; further columns pass through :func:`mixed` unread.
 """
 
 from __future__ import annotations
@@ -136,41 +135,51 @@ def _fitted(source: pa.Table) -> pa.Table:
 
 # --------------------------------------------------------------------- mix
 
+def _with_passes(rows: DataFrame, plain: DataFrame, weights: tuple[float, ...], budget: float, max_epochs: int) -> DataFrame:
+    """``rows`` with ``__passes`` and its source's ``__goal`` and ``__total``.
+
+    Both frames have ``__id, __source, __size, __key`` of the same documents;
+    ``plain``, read for the counts, has nothing else.
+    """
+    number = F.xxhash64("__source", F.col("__source").isNull())
+    counted = plain.groupBy("__source", "__size").agg(F.count("*").alias("n"))
+    sizes = counted.groupBy(F.col("__source").alias("source")).agg(F.sum(F.col("__size") * F.col("n")).alias("source_size"))
+    goals = targets(sizes, weights, budget, max_epochs).withColumn("number", F.xxhash64("source", F.col("source").isNull()))
+    goals = J.cut_lineage(goals.select("number", F.col("target").alias("__goal"), F.col("source_size").alias("__total")))
+    cell = ["number", "size"]
+    chosen = counted.where("__size > 0").select(number.alias("number"), F.col("__size").alias("size"), "n").join(goals.select("number", F.col("__goal").alias("target")), "number")
+    chosen = chosen.groupBy("number").applyInArrow(_fitted, "number long, size long, passes long, rest long")
+    split = F.shiftrightunsigned("__key", 64 - SPLIT_BITS)
+    splits = plain.groupBy(number.alias("number"), F.col("__size").alias("size"), split.alias("split")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*cell).orderBy("split")) - F.col("n")  # at most 2^SPLIT_BITS rows a length
+    splits = splits.withColumn("before", before).join(chosen, cell, "left").join(goals, "number")
+    splits = splits.select(F.col("number").alias("__number"), F.col("size").alias("__size"), F.col("split").alias("__split"),
+                           F.col("passes").alias("__whole"), (F.col("rest") - F.col("before")).alias("__open"), "__goal", "__total")
+    place = ["__number", "__size", "__split"]
+    rank = F.row_number().over(Window.partitionBy(*place).orderBy("__key", "__id"))
+    out = rows.withColumns({"__number": number, "__split": split}).withColumn("__rank", rank).join(splits.hint("merge"), place)
+    return out.withColumn("__passes", F.coalesce(F.col("__whole") + (F.col("__rank") <= F.col("__open")).cast("long"), F.lit(0).cast("long")))
+
+
+def _columns(id_col: str, text_col: str, source_col: str, seed: int) -> dict:
+    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return {"__id": F.col(id_col), "__source": F.col(source_col).cast("string"), "__size": size,
+            "__key": F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col).cast("string"))}
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS,
         budget: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """``doc_id, size, source_size, target, taken, passes, source`` for each row; ``taken`` is ``size`` times ``passes``."""
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
-                       F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("key"))
-    rows = J.cut_lineage(rows)
-    counted = rows.groupBy("source", "size").agg(F.count("*").alias("n"))
-    goals = targets(counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, budget, max_epochs)
-    goals = J.cut_lineage(goals.withColumn("number", F.xxhash64("source", F.col("source").isNull())))
-    named = counted.withColumn("number", F.xxhash64("source", F.col("source").isNull())).where("size > 0")
-    chosen = named.join(goals.select("number", "target"), "number").select("number", "size", "n", "target").groupBy("number").applyInArrow(
-        _fitted, "number long, size long, passes long, rest long")
-
-    rows = rows.withColumns({"number": F.xxhash64("source", F.col("source").isNull()), "split": F.shiftrightunsigned("key", 64 - SPLIT_BITS)})
-    cell = ["number", "size"]
-    splits = rows.groupBy(*cell, "split").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*cell).orderBy("split")) - F.col("n")  # at most 2^SPLIT_BITS rows a length
-    splits = splits.withColumn("before", before).join(chosen, cell, "left").select(
-        *cell, "split", "passes", (F.col("rest") - F.col("before")).alias("open"))
-    rank = F.row_number().over(Window.partitionBy(*cell, "split").orderBy("key", "doc_id"))
-    out = rows.withColumn("rank", rank).join(splits, [*cell, "split"]).join(goals.drop("source"), "number")
-    passes = F.coalesce(F.col("passes") + (F.col("rank") <= F.col("open")).cast("long"), F.lit(0).cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * passes).alias("taken"), passes.alias("passes"), "source", "key")
+    rows = J.cut_lineage(docs.select(*(c.alias(n) for n, c in _columns(id_col, text_col, source_col, seed).items())))
+    out = _with_passes(rows, rows, weights, budget, max_epochs)
+    return out.select(F.col("__id").alias("doc_id"), F.col("__size").alias("size"), F.col("__total").alias("source_size"), F.col("__goal").alias("target"),
+                      (F.col("__size") * F.col("__passes")).alias("taken"), F.col("__passes").alias("passes"), F.col("__source").alias("source"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS,
+          budget: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: each document as often as it passes, the others left out."""
-    found = mix(docs, id_col, text_col, source_col, **options)
-    # equal rows share what is taken for all of them: first come, most taken
-    at = Window.partitionBy("__key", "__id")
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("string"), "__key": F.xxhash64(F.lit(options.get("seed", SEED)), F.col(id_col).cast("string"), F.col(text_col).cast("string"))})
-    keyed = keyed.withColumn("__turn", F.row_number().over(at.orderBy(F.lit(1))))
-    found = found.select(F.col("doc_id").cast("string").alias("__id2"), F.col("key").alias("__key2"), F.col("passes").alias("__passes"))
-    found = found.withColumn("__turn2", F.row_number().over(Window.partitionBy("__key2", "__id2").orderBy(F.desc("__passes"))))
-    same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__key") == F.col("__key2")) & (F.col("__turn") == F.col("__turn2"))
-    taken = keyed.join(found.where("__passes > 0"), same)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__passes").cast("int")))).select(*docs.columns)
+    extra = _columns(id_col, text_col, source_col, seed)
+    plain = J.cut_lineage(docs.select(*(c.alias(n) for n, c in extra.items())))
+    out = _with_passes(docs.withColumns(extra), plain, weights, budget, max_epochs).where("__passes > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__passes").cast("int")))).select(*docs.columns)

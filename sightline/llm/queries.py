@@ -85,7 +85,7 @@ def op1_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm.mixing import mix
 
-    return mix(J.table(spark, sf_dir, "documents")).drop("passes", "source", "key")
+    return mix(J.table(spark, sf_dir, "documents")).drop("passes", "source")
 
 
 @query("op8_line_dedup", twins.LINE_DEDUP)
