@@ -3,8 +3,7 @@
 Every operator is an aggregation (partial aggregation before the shuffle)
 or a join of aggregates; global normalisers (totals, min/max) are one-row
 aggregates attached as scalar subqueries, never a window over the whole
-table.  Per-entity windows (K6) are partitioned by entity *and* ordered
-by time; a hot entity is split by a time bucket first.
+table.  Per-entity windows (K6) run on ordered pieces of an entity's rows.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def flow_edges(df: DataFrame, source: str, target: str, value: str | None = None, digits: int = 2) -> DataFrame:
@@ -35,9 +33,7 @@ def flow_conservation(edges: DataFrame, tolerance: float = 1e-6) -> DataFrame:
 def share_of_total(df: DataFrame, label: str, value: str, digits: int = 2) -> DataFrame:
     """K4: positive values only → share in percent of the total, rounded."""
     pos = df.groupBy(F.col(label).alias("label")).agg(F.sum(value).alias("value")).where(F.col("value") > 0)
-    # the total comes from a window over the aggregated slices (one row per
-    # label of a pie), so the source is scanned once
-    total = F.sum("value").over(Window.partitionBy())
+    total = pos.agg(F.sum("value").alias("t")).scalar()
     return pos.select("label", F.round("value", 4).alias("value"),
                       F.round(F.col("value") * 100.0 / total, digits).alias("share_pct"))
 
@@ -55,55 +51,27 @@ def hierarchy_rollup(df: DataFrame, levels: Sequence[str], value: str) -> DataFr
 
 
 def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: str,
-                      start: str = "[*]", end: str = "[*]", bucket_seconds: int = 86_400,
-                      method: str = "pieces") -> DataFrame:
+                      start: str = "[*]", end: str = "[*]") -> DataFrame:
     """K6: per entity ordered states → transition counts, with ``[*]`` at both ends.
 
-    A hot entity must not become one window task, so rows are windowed per
-    ``(entity, time bucket)`` (first ``order`` column is the time); the
-    transitions across bucket borders come from a window over one summary
-    row per (entity, bucket) — first and last state — which is small.
-    Counting is a partial aggregation over (from, to) pairs.
-
-    ``method="pieces"`` (default) instead takes ``lag``/``lead`` on ordered
-    pieces (``windows.with_shift``): no time bucket is needed and a burst of
-    one entity is split as well.
+    ``lag``/``lead`` on ordered pieces (``windows.with_shift``), so neither a
+    hot entity nor a burst of one is a single window task.  Counting is a
+    partial aggregation over (from, to) pairs.  Rows without an entity are
+    one entity; a state may be NULL.
     """
+    from sightline.operators import windows as WN
+
     order = list(order)
-    if method == "auto":
-        from sightline.operators import windows as WN
-
-        method = "pieces" if WN.has_hot_key(df, [entity]) else "buckets"
-    if method == "pieces":
-        from sightline.operators import windows as WN
-
-        x = WN.ordered_pieces(df.select(entity, *order, F.col(state).alias("__s")), [entity], order)
-        x = WN.with_shift(x, [entity], order, "__s", 1, "prev")
-        x = WN.with_shift(x, [entity], order, "__s", -1, "next")
-        pairs = x.select(F.explode(F.array(
-            F.struct(F.coalesce("prev", F.lit(start)).alias("from_state"), F.col("__s").alias("to_state")),
-            F.when(F.col("next").isNull(), F.struct(F.col("__s").alias("from_state"), F.lit(end).alias("to_state"))),
-        )).alias("p")).where(F.col("p").isNotNull())
-        return pairs.groupBy("p.from_state", "p.to_state").agg(F.count(F.lit(1)).alias("n"))
-    bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-    x = df.select(entity, *order, F.col(state).alias("__s")).withColumn("__b", bucket)
-    w = Window.partitionBy(entity, "__b").orderBy(*order)
-    inner = x.select(F.lag("__s").over(w).alias("from_state"), F.col("__s").alias("to_state")).where(
-        F.col("from_state").isNotNull())
-    okey = F.struct(*order)
-    summ = x.groupBy(entity, "__b").agg(
-        F.min_by("__s", okey).alias("first_s"), F.max_by("__s", okey).alias("last_s"))
-    wb = Window.partitionBy(entity).orderBy("__b")
-    summ = summ.select(
-        "first_s", "last_s",
-        F.lag("last_s").over(wb).alias("prev_last"),
-        F.lead("first_s").over(wb).alias("next_first"),
-    )
-    border = summ.select(F.explode(F.array(
-        F.struct(F.coalesce("prev_last", F.lit(start)).alias("from_state"), F.col("first_s").alias("to_state")),
-        F.when(F.col("next_first").isNull(), F.struct(F.col("last_s").alias("from_state"), F.lit(end).alias("to_state"))),
-    )).alias("p")).where(F.col("p").isNotNull()).select("p.from_state", "p.to_state")
-    return inner.unionByName(border).groupBy("from_state", "to_state").agg(F.count(F.lit(1)).alias("n"))
+    x = WN.ordered_pieces(df.select(entity, *order, F.struct(F.col(state).alias("s")).alias("__s")), [entity], order)
+    x = WN.with_shift(x, [entity], order, "__s", 1, "prev")
+    x = WN.with_shift(x, [entity], order, "__s", -1, "next")
+    now = F.col("__s")["s"]
+    came = F.when(F.col("prev").isNull(), F.lit(start)).otherwise(F.col("prev")["s"])
+    pairs = x.select(F.explode(F.array(
+        F.struct(came.alias("from_state"), now.alias("to_state")),
+        F.when(F.col("next").isNull(), F.struct(now.alias("from_state"), F.lit(end).alias("to_state"))),
+    )).alias("p")).where(F.col("p").isNotNull())
+    return pairs.groupBy("p.from_state", "p.to_state").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quadrant_class(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:

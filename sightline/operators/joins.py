@@ -2,8 +2,8 @@
 
 * ``not_in``      — SQL ``NOT IN (subquery)`` without the null-aware
                     broadcast-nested-loop fallback.
-* ``asof_join``   — latest earlier right row per left row, split into
-                    time buckets so a hot key never lands in one task.
+* ``asof_join``   — latest earlier right row per left row, on ordered
+                    pieces, so a hot key never lands in one task.
 * ``interval_join`` — overlap join keyed by (key, time bucket), each pair
                     emitted once; never all pairs of a key.
 """
@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
@@ -55,82 +54,40 @@ def asof_join(
     right_ts: str,
     right_cols: Sequence[str],
     strict: bool = True,
-    bucket_seconds: int = 86_400,
+    tie: Sequence[str] | None = None,
     prefix: str = "asof_",
-    method: str = "pieces",
 ) -> DataFrame:
     """For each left row, the latest right row of the same ``by`` key with
     ``right_ts < left_ts`` (``<=`` when not ``strict``).  Left outer: no
     match → nulls.
 
-    Plan (no window ever spans a whole key):
-    1. rows of both sides get a time bucket; a window partitioned by
-       ``(by, bucket)`` and ordered by time carries the last right row
-       forward (``last(..., ignorenulls)``) — finds matches in the same bucket;
-    2. per ``(by, bucket)`` the right side is reduced to its latest row
-       (``max_by``, partial aggregation before the shuffle);
-    3. a window over those per-bucket summaries (one row per key and bucket,
-       not per event) carries the latest earlier-bucket row forward;
-    4. left rows without an in-bucket match take it via an equi-join on
-       ``(by, bucket)``.
-
-    ``method="pieces"`` needs no time bucket at all: both sides are merged in
-    ``(by, time, side)`` order on range-partitioned pieces
-    (``windows.with_last_value``), so even a burst of one key inside one
-    bucket is split; ``method="buckets"`` is the plan above (no lineage
-    cut); ``"auto"`` measures the largest key first and picks pieces only
-    when one is hot.
+    Both sides are merged in ``(by, time, side)`` order on range-partitioned
+    pieces (``windows.with_last_value``): no window spans a key, so a hot key
+    and even a burst of one key are split.  Of right rows at one time the one
+    with the greatest ``tie`` columns (``right_cols`` unless given) counts.
+    As in SQL, rows with a NULL key or time match nothing.
     """
-    if method == "auto":
-        from sightline.operators import windows as WN
+    from sightline.operators import windows as WN
 
-        method = "pieces" if WN.has_hot_key(left.select(*by).unionByName(right.select(*by)), list(by)) else "buckets"
-    if method == "pieces":
-        return _asof_pieces(left, right, list(by), left_ts, right_ts, list(right_cols), strict, prefix)
-    by = list(by)
+    by, tie = list(by), list(tie or right_cols)
+    known = right.where(F.col(right_ts).isNotNull()).dropna(subset=by)
     payload = F.struct(F.col(right_ts).alias("__ts"), *[F.col(c) for c in right_cols])
-    l = left.withColumn("__b", _bucket(F.col(left_ts), bucket_seconds))
-    r = right.select(*by, F.col(right_ts).alias("__rts"), payload.alias("__p")).withColumn(
-        "__b", _bucket(F.col("__rts"), bucket_seconds)
-    )
-    # side 0 = right, 1 = left; at equal time a right row comes first only for <=.
-    tie_right_first = 0 if not strict else 2
-    lu = l.select(
-        *by, "__b", F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
-        F.lit(None).cast(r.schema["__p"].dataType).alias("__p"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"),
-    )
-    ru = r.select(
-        *by, "__b", F.col("__rts").alias("__t"), F.lit(tie_right_first).alias("__side"), "__p",
-        F.lit(None).cast(lu.schema["__row"].dataType).alias("__row"),
-    )
-    w = (
-        Window.partitionBy(*by, "__b")
-        .orderBy("__t", "__side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    both = lu.unionByName(ru).withColumn("__m", F.last("__p", ignorenulls=True).over(w))
-    # strict: right rows at the same instant sort after the left row (side 2), so they
-    # are outside its frame.
-    in_bucket = both.where(F.col("__side") == 1).select(*by, "__b", "__row", "__m")
-
-    last_per_bucket = r.groupBy(*by, "__b").agg(F.max_by("__p", "__rts").alias("__lp"))
-    wk = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    left_buckets = l.select(*by, "__b").distinct().withColumn("__lp", F.lit(None).cast(last_per_bucket.schema["__lp"].dataType))
-    carry = (
-        left_buckets.withColumn("__is_left", F.lit(True))
-        .unionByName(last_per_bucket.withColumn("__is_left", F.lit(False)))
-        .withColumn("__carry", F.last("__lp", ignorenulls=True).over(wk))
-        .where("__is_left")
-        .select(*by, "__b", "__carry")
-    )
-    joined = in_bucket.join(carry, [*by, "__b"], "left")
-    match = F.coalesce(F.col("__m"), F.col("__carry"))
-    out = joined.select(
-        "__row.*",
-        *[match[c].alias(f"{prefix}{c}") for c in right_cols],
-        match["__ts"].alias(f"{prefix}{right_ts}"),
-    )
-    return out
+    order_by = F.struct(*[F.col(c) for c in tie])
+    ptype = right.select(payload.alias("p")).schema["p"].dataType
+    otype = right.select(order_by.alias("o")).schema["o"].dataType
+    row = F.struct(*[F.col(c) for c in left.columns])
+    rowtype = left.select(row.alias("r")).schema["r"].dataType
+    # side: right rows sort before left rows at equal time only for "<="
+    r_side = 2 if strict else 0
+    lu = left.select(*by, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(otype).alias("__tie"),
+                     F.lit(None).cast(ptype).alias("__p"), row.alias("__row"))
+    ru = known.select(*by, F.col(right_ts).alias("__t"), F.lit(r_side).alias("__side"), order_by.alias("__tie"),
+                      payload.alias("__p"), F.lit(None).cast(rowtype).alias("__row"))
+    order = ["__t", "__side", "__tie"]
+    x = WN.ordered_pieces(lu.unionByName(ru), by, order)
+    x = WN.with_last_value(x, by, order, "__p", "__m").where(F.col("__side") == 1)
+    return x.select("__row.*", *[F.col("__m")[c].alias(f"{prefix}{c}") for c in right_cols],
+                    F.col("__m")["__ts"].alias(f"{prefix}{right_ts}"))
 
 
 def interval_join(
@@ -174,23 +131,3 @@ def interval_join(
     joined = ea.join(eb, cond, how)
     drop = ["__as", "__ae", "__ab0", "__bs", "__be", "__bb0"] + [f"__r_{k}" for k in keys]
     return joined.drop(ea["__bk"]).drop(eb["__bk"]).drop(*drop)
-
-
-def _asof_pieces(left, right, by, left_ts, right_ts, right_cols, strict, prefix):
-    from sightline.operators import windows as WN
-
-    payload = F.struct(F.col(right_ts).alias("__ts"), *[F.col(c) for c in right_cols])
-    ptype = right.select(payload.alias("p")).schema["p"].dataType
-    rowtype = left.select(F.struct(*[F.col(c) for c in left.columns]).alias("r")).schema["r"].dataType
-    # side: right rows sort before left rows at equal time only for "<="
-    r_side = 2 if strict else 0
-    lu = left.select(*by, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
-                     F.monotonically_increasing_id().alias("__seq"),
-                     F.lit(None).cast(ptype).alias("__p"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"))
-    ru = right.select(*by, F.col(right_ts).alias("__t"), F.lit(r_side).alias("__side"), F.lit(-1).cast("long").alias("__seq"),
-                      payload.alias("__p"), F.lit(None).cast(rowtype).alias("__row"))
-    order = ["__t", "__side", "__seq"]
-    x = WN.ordered_pieces(lu.unionByName(ru), by, order)
-    x = WN.with_last_value(x, by, order, "__p", "__m").where(F.col("__side") == 1)
-    return x.select("__row.*", *[F.col("__m")[c].alias(f"{prefix}{c}") for c in right_cols],
-                    F.col("__m")["__ts"].alias(f"{prefix}{right_ts}"))

@@ -13,8 +13,9 @@ key holds a third of the table that task does a third of the work.  Here:
 * ``rank_family`` derives ``ntile``, ``percent_rank`` and ``cume_dist``
   from the row number and the key's row count (a partial aggregation).
 
-Joins back to the row level are equi-joins on the key; AQE's skew-join
-splitting handles the hot key there.
+Joins back to the row level are null-safe equi-joins on the key (a window
+puts NULL keys into one group, so these plans do too); AQE's skew-join
+splitting handles the hot key there.  The plans are the same at every size.
 """
 
 from __future__ import annotations
@@ -32,6 +33,13 @@ def _names(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; ``left``'s key columns stay."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys]
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "rn",
                   parts: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` without a per-key task.
@@ -53,7 +61,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     pieces = x.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
-    return local.join(offsets, ["__pid", *keys]).withColumn(out, (F.col("__lrn") + F.col("__off")).cast("bigint")).drop(
+    return join_keys(local, offsets, ["__pid", *keys]).withColumn(out, (F.col("__lrn") + F.col("__off")).cast("bigint")).drop(
         "__pid", "__lrn", "__off")
 
 
@@ -70,7 +78,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool
         .cast("bigint").alias(rank_col),
         F.row_number().over(w).cast("bigint").alias(dense_col),
     )
-    return df.join(ranks, [*keys, value], "left")
+    return join_keys(df, ranks, [*keys, value], "left")
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -93,7 +101,7 @@ def rank_family(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     With a total order, rank = row_number, so ``percent_rank = (rn-1)/(n-1)``
     and ``cume_dist = rn/n``.
     """
-    x = row_number_by(df, keys, order, rn).join(key_counts(df, keys, "__n"), list(keys))
+    x = join_keys(row_number_by(df, keys, order, rn), key_counts(df, keys, "__n"), list(keys))
     r, n = F.col(rn), F.col("__n")
     return x.select(
         "*",
@@ -137,7 +145,7 @@ def with_running_sum(x: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     off = per.select("__pid", *keys,
                      F.coalesce(F.sum("__ps").over(_before_pieces(keys)), F.lit(0)).alias("__os"),
                      F.coalesce(F.sum("__pc").over(_before_pieces(keys)), F.lit(0)).alias("__oc"))
-    j = local.join(off, ["__pid", *keys])
+    j = join_keys(local, off, ["__pid", *keys])
     total = F.when(F.col("__lc") + F.col("__oc") > 0, F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__os"))
     return j.withColumn(out, total).drop("__ls", "__lc", "__os", "__oc")
 
@@ -163,7 +171,7 @@ def with_shift(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         F.transform(F.sort_array(F.collect_list(F.struct("__lrn", F.col(value).alias("v")))), lambda s: s["v"]).alias("__e"))
     frame = _before_pieces(keys, -k, -1) if lag else _before_pieces(keys, 1, k)
     carry = edges.select("__pid", *keys, F.flatten(F.collect_list("__e").over(frame)).alias("__carry"))
-    j = local.join(carry, ["__pid", *keys], "left")
+    j = join_keys(local, carry, ["__pid", *keys], "left")
     r, n, c = F.col("__lrn"), F.col("__cnt"), F.coalesce(F.col("__carry"), F.array())
     if lag:
         idx = F.size(c) - k + r - 1
@@ -191,7 +199,9 @@ def range_count_by(df: DataFrame, keys: Sequence[str], time_col: str, id_col: st
     after the events at ``t + following``, one just before the events at
     ``t - preceding`` — and the running count of events (on ordered pieces,
     so a hot key is split) at the two points gives the count.  Work is
-    O(rows), whatever the density of a key.  ``id_col`` must be unique.
+    O(rows), whatever the density of a key.  ``id_col`` must be unique and
+    not NULL.  As in a window, NULL keys are one group, and a row without a
+    time counts the rows of its key without one.
     """
     keys = list(keys)
     base = df.select(*keys, F.col(id_col).alias("__id"), F.col(time_col).alias("__t"))
@@ -225,34 +235,7 @@ def with_last_value(x: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     per = x.where(F.col(value).isNotNull()).groupBy("__pid", *keys).agg(F.max_by(value, okey).alias("__pl"))
     # pieces without any value still need the carry of earlier pieces
     pieces = x.select("__pid", *keys).distinct()
-    allp = pieces.join(per, ["__pid", *keys], "left").select(
+    allp = join_keys(pieces, per, ["__pid", *keys], "left").select(
         "__pid", *keys, F.last("__pl", ignorenulls=True).over(_before_pieces(keys)).alias("__carry"))
-    j = local.join(allp, ["__pid", *keys], "left")
+    j = join_keys(local, allp, ["__pid", *keys], "left")
     return j.withColumn(out, F.coalesce(F.col("__lv"), F.col("__carry"))).drop("__lv", "__carry")
-
-
-# Below this many rows in its largest key a window is not worth splitting.
-HOT_KEY_MIN_ROWS = 1_000_000
-
-
-def has_hot_key(df: DataFrame, keys: Sequence[str], parts: int | None = None,
-                min_rows: int = HOT_KEY_MIN_ROWS) -> bool:
-    """Does one key hold more rows than a fair partition share (and at least ``min_rows``)?
-
-    One aggregation over the key columns (partial aggregation, one row back
-    to the driver) — the same measure AQE uses to call a join partition
-    skewed, taken before choosing a window plan.
-    """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).agg(
-        F.max("__c").alias("mx"), F.sum("__c").alias("n")).first()
-    if r is None or r.mx is None:
-        return False
-    return r.mx >= min_rows and r.mx > r.n / parts
-
-
-def choose(df: DataFrame, keys: Sequence[str], plan: str = "auto") -> str:
-    """``"pieces"`` when a key is hot (or forced), else ``"plain"``."""
-    if plan != "auto":
-        return plan
-    return "pieces" if has_hot_key(df, keys) else "plain"

@@ -288,8 +288,20 @@ SELECT 'except_all', COUNT(*) FROM (
   SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
 """)
 
-# Hierarchy region <- nation <- customer walked by a recursive CTE.
+# Hierarchy region <- nation <- customer.  Spark stops a recursive CTE at a million rows, so the
+# recursion climbs the levels that don't grow with the data and customers come by one equi-join.
 _q("sql_recursive", """
+WITH RECURSIVE walk AS (
+  SELECT CAST(r_regionkey AS BIGINT) AS node, CAST(r_regionkey AS BIGINT) AS root, 0 AS depth FROM region
+  UNION ALL
+  SELECT CAST(n.n_nationkey + 1000 AS BIGINT), w.root, w.depth + 1
+  FROM walk w JOIN nation n ON CAST(n.n_regionkey AS BIGINT) = w.node WHERE w.depth = 0
+)
+SELECT root, depth, COUNT(*) AS n_nodes FROM walk GROUP BY root, depth
+UNION ALL
+SELECT w.root, w.depth + 1, COUNT(*) FROM walk w JOIN customer c ON CAST(c.c_nationkey + 1000 AS BIGINT) = w.node
+WHERE w.depth = 1 GROUP BY w.root, w.depth
+""", """
 WITH RECURSIVE edges AS (
   SELECT CAST(n_nationkey + 1000 AS BIGINT) AS child, CAST(n_regionkey AS BIGINT) AS parent FROM nation
   UNION ALL
@@ -506,40 +518,29 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def _theta(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
+def _theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C17: other events of the same user in the 10 minutes up to each event.
 
-    Without a hot user: a band join keyed by (user, 10-minute bucket), pairs
-    bounded by the events sharing a bucket.  With one: a RANGE count on
-    ordered pieces — no event pairs at all, O(events) for a dense user.
+    A RANGE count on ordered pieces: no pairs of events are formed, O(events)
+    for a dense user.  A comparison with NULL matches nothing.
     """
-    from sightline.operators import windows as WN
-
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    if WN.choose(ev, ["user_id"], plan) == "plain":
-        return _theta_buckets(ev)
-    c = WN.range_count_by(ev, ["user_id"], "ts", "event_id", "10 MINUTES", out="n_in_range")
-    return c.select("event_id", (F.col("n_in_range") - 1).cast("bigint").alias("n_recent"))
+    return theta_count(ev)
+
 
+def theta_count(ev: DataFrame) -> DataFrame:
+    from sightline.operators import windows as WN
 
-def _theta_buckets(ev: DataFrame) -> DataFrame:
-    a = ev.select(F.col("event_id").alias("a_id"), "user_id", F.col("ts").alias("a_ts"))
-    b = ev.select(F.col("event_id").alias("b_id"), "user_id", F.col("ts").alias("b_ts"))
-    pairs = joins.interval_join(
-        a, b, ["user_id"], F.col("a_ts") - F.expr("INTERVAL 10 MINUTES"), F.col("a_ts"),
-        F.col("b_ts"), F.col("b_ts"), bucket_seconds=600,
-    ).where(F.col("a_id") != F.col("b_id"))
-    counts = pairs.groupBy("a_id").agg(F.count(F.lit(1)).alias("n_recent"))
-    return (ev.select("event_id").join(counts, F.col("event_id") == F.col("a_id"), "left")
-            .select("event_id", F.coalesce("n_recent", F.lit(0)).cast("bigint").alias("n_recent")))
+    c = WN.range_count_by(ev, ["user_id"], "ts", "event_id", "10 MINUTES", out="n_in_range")
+    known = F.col("user_id").isNotNull() & F.col("ts").isNotNull()
+    return c.select("event_id", F.when(known, F.col("n_in_range") - 1).otherwise(0).cast("bigint").alias("n_recent"))
 
 
 def _asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     purchases = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id", "value")
     out = joins.asof_join(
-        ev.select("event_id", "user_id", "ts"), purchases, ["user_id"], "ts", "ts",
-        ["event_id", "value"], strict=True, bucket_seconds=86_400, method="auto",
+        ev.select("event_id", "user_id", "ts"), purchases, ["user_id"], "ts", "ts", ["event_id", "value"], strict=True,
     )
     return out.select("event_id", "asof_event_id", "asof_value", "asof_ts")
 
@@ -550,46 +551,33 @@ def _not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.not_in(cust, "c_custkey", orders, "o_custkey")
 
 
-def _plain_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    bind_views(spark, sf_dir)
-    return run_sql(spark, SQL[name][0])
-
-
-def _window_rank(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
-    """Spark's window when no customer is hot; otherwise the skew-safe
-    plan in which no window is keyed by the customer alone."""
-    from sightline.operators import windows
+def window_rank(orders: DataFrame) -> DataFrame:
+    """C12 on ordered pieces: no window is keyed by the customer alone."""
+    from sightline.operators import windows as WN
 
-    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
-    if windows.choose(orders, ["o_custkey"], plan) == "plain":
-        return _plain_sql(spark, sf_dir, "sql_window_rank")
-    x = windows.rank_family(orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], tiles=3)
-    x = windows.value_ranks(x, ["o_custkey"], "o_orderstatus")
+    x = WN.rank_family(orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], tiles=3)
+    x = WN.value_ranks(x, ["o_custkey"], "o_orderstatus")
     return x.select("o_custkey", "o_orderkey", "rn", "rnk", "drnk", "tile",
                     F.round("prank", 6).alias("prank"), F.round("cdist", 6).alias("cdist"))
 
 
-def _window_analytic(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
-    """Spark's window when no user is hot; otherwise shifts on ordered
-    pieces and first/last/nth values from aggregates."""
+def window_analytic(ev: DataFrame) -> DataFrame:
+    """Shifts on ordered pieces, first/last/nth values from aggregates."""
     from sightline.operators import windows as WN
 
-    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
     keys, order = ["user_id"], ["ts", "event_id"]
-    if WN.choose(ev, keys, plan) == "plain":
-        return _plain_sql(spark, sf_dir, "sql_window_analytic")
     x = WN.ordered_pieces(ev, keys, order)
     x = WN.with_shift(x, keys, order, "value", 1, "prev_value")
     x = WN.with_shift(x, keys, order, "value", -2, "next2_value")
     x = WN.with_running_sum(x, keys, order, F.lit(1), "__rn").drop("__pid")
     second = x.where(F.col("__rn") == 2).select("user_id", F.col("value").alias("second_value"))
     ends = WN.first_last_by(ev, keys, order, "event_type")
-    return (x.join(ends, keys).join(second, keys, "left")
-            .select("event_id", "user_id", "prev_value", "next2_value", F.col("__first").alias("first_type"),
-                    F.col("__last").alias("last_type"), "second_value"))
+    x = WN.join_keys(WN.join_keys(x, ends, keys), second, keys, "left")
+    return x.select("event_id", "user_id", "prev_value", "next2_value", F.col("__first").alias("first_type"),
+                    F.col("__last").alias("last_type"), "second_value")
 
 
-def _window_frames(spark: SparkSession, sf_dir: str, plan: str = "auto") -> DataFrame:
+def window_frames(ev: DataFrame) -> DataFrame:
     """C14 as a skew-safe plan.
 
     Running sum and the 3-row moving average come from ordered pieces; the
@@ -599,10 +587,7 @@ def _window_frames(spark: SparkSession, sf_dir: str, plan: str = "auto") -> Data
     """
     from sightline.operators import windows as WN
 
-    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     keys, order = ["user_id"], ["ts", "event_id"]
-    if WN.choose(ev, keys, plan) == "plain":
-        return _plain_sql(spark, sf_dir, "sql_window_frames")
     x = WN.ordered_pieces(ev, keys, order)
     x = WN.with_running_sum(x, keys, order, "value", "running_value")
     x = WN.with_shift(x, keys, order, "value", 1, "__l1")
@@ -617,6 +602,18 @@ def _window_frames(spark: SparkSession, sf_dir: str, plan: str = "auto") -> Data
     return x.join(counts, x.event_id == counts.qid).drop("qid")
 
 
+def _window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_rank(read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus"))
+
+
+def _window_analytic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_analytic(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value"))
+
+
+def _window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_frames(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"))
+
+
 def _alias_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.sources.tables import bind_tables, table_path
 
@@ -635,12 +632,19 @@ _DATAFRAME_PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def named_tables(text: str) -> list[str]:
+    import re
+
+    words = set(re.findall(r"\w+", text))
+    return [t for t in TABLES if t in words]
+
+
 def sql_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     if name in _DATAFRAME_PLANS:
         return _DATAFRAME_PLANS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bind_views(spark, sf_dir)
+        bind_views(spark, sf_dir, named_tables(SQL[name][0]))
         return run_sql(spark, SQL[name][0])
 
     return run

@@ -69,48 +69,98 @@ def test_range_count_matches_brute_force(spark):
         assert got[i] == sum(1 for _, k2, t2 in rows if k2 == k and lo <= t2 <= hi)
 
 
-def test_registered_window_queries_same_rows_on_both_plans(spark, sf_small):
+# --- the registered plans against DuckDB, on frames with NULL keys, NULL times, ties and a key with half of the rows
+
+
+def _duck(sql, **tables):
+    import duckdb
+
+    con = duckdb.connect()
+    for name, df in tables.items():
+        con.register(name, df.toPandas())
+    return con.execute(sql).df()
+
+
+def _same(spark_df, pandas_df):
+    import math
+
+    def clean(v):
+        missing = v is None or v != v or str(v) == "NaT"
+        return None if missing else round(float(v), 6) if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "if" else str(v)
+
+    cols = spark_df.columns
+    got = sorted((tuple(clean(v) for v in r) for r in spark_df.toPandas().astype(object).itertuples(index=False)), key=str)
+    want = sorted((tuple(clean(v) for v in r) for r in pandas_df[cols].astype(object).itertuples(index=False)), key=str)
+    assert got == want and math.isfinite(len(got))
+
+
+def _odd_events(spark, n=600):
+    import datetime as dt
+
+    rnd = random.Random(21)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.choice([7, 7, 7, None, *range(6)]), None if rnd.random() < 0.05 else base + dt.timedelta(minutes=5 * rnd.randrange(900)),
+             rnd.choice(["view", "click", "purchase"]), None if rnd.random() < 0.1 else float(rnd.randrange(9))) for i in range(n)]
+    return spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").repartition(6)
+
+
+def test_rank_plan_on_odd_keys(spark):
     from sightline.plans import sql_catalog as SC
 
-    for fn in (SC._window_rank, SC._window_analytic, SC._window_frames, SC._theta):
-        a = fn(spark, sf_small, plan="pieces")
-        b = fn(spark, sf_small, plan="plain").select(*a.columns)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__
+    rnd = random.Random(2)
+    rows = [(rnd.choice([1, 1, 1, None, 2, 3]), i, float(rnd.randrange(20)), rnd.choice(["F", "O", None])) for i in range(500)]
+    df = spark.createDataFrame(rows, "o_custkey long, o_orderkey long, o_totalprice double, o_orderstatus string")
+    got = SC.window_rank(df)
+    w = "PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey"
+    s = "PARTITION BY o_custkey ORDER BY o_orderstatus NULLS FIRST"
+    _same(got, _duck(f"""SELECT o_custkey, o_orderkey, row_number() OVER ({w}) AS rn, rank() OVER ({s}) AS rnk, dense_rank() OVER ({s}) AS drnk,
+                         ntile(3) OVER ({w}) AS tile, round(percent_rank() OVER ({w}), 6) AS prank, round(cume_dist() OVER ({w}), 6) AS cdist FROM t""", t=df))
 
 
-def test_hot_key_detection(spark):
-    from sightline.operators import windows as W2
+def test_analytic_plan_on_odd_keys(spark):
+    from sightline.plans import sql_catalog as SC
+
+    ev = _odd_events(spark)
+    w = "PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id"
+    all_ = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    _same(SC.window_analytic(ev), _duck(f"""SELECT event_id, user_id, lag(value) OVER ({w}) AS prev_value, lead(value, 2) OVER ({w}) AS next2_value,
+        first(event_type) OVER {all_} AS first_type, last(event_type) OVER {all_} AS last_type, nth_value(value, 2) OVER {all_} AS second_value FROM t""", t=ev))
+
+
+def test_frames_plan_on_odd_keys(spark):
+    from sightline.plans import sql_catalog as SC
+
+    ev = _odd_events(spark)
+    w = "PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id"
+    _same(SC.window_frames(ev), _duck(f"""SELECT event_id, round(sum(value) OVER ({w} ROWS UNBOUNDED PRECEDING), 4) AS running_value,
+        round(avg(value) OVER ({w} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving_avg3,
+        count(*) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS n_last_day FROM t""", t=ev))
+
 
-    hot = spark.createDataFrame([(0,)] * 900 + [(i,) for i in range(1, 101)], "k int")
-    flat = spark.createDataFrame([(i % 100,) for i in range(1000)], "k int")
-    assert W2.has_hot_key(hot, ["k"], parts=8, min_rows=10)
-    assert not W2.has_hot_key(flat, ["k"], parts=8, min_rows=10)
-    assert not W2.has_hot_key(hot, ["k"], parts=8)  # below the default minimum size
+def test_theta_plan_on_odd_keys(spark):
+    from sightline.plans import sql_catalog as SC
+
+    ev = _odd_events(spark)
+    _same(SC.theta_count(ev), _duck("""SELECT a.event_id, count(b.event_id) AS n_recent FROM t a LEFT JOIN t b ON a.user_id = b.user_id
+        AND a.event_id <> b.event_id AND b.ts BETWEEN a.ts - INTERVAL 10 MINUTE AND a.ts GROUP BY a.event_id""", t=ev))
 
 
-def test_auto_routes_hot_keys_to_pieces(spark, monkeypatch):
+def test_transitions_on_odd_keys(spark):
     from sightline.operators import charts as K
-    from sightline.operators import joins
-
-    calls = []
-    real = WN.ordered_pieces
-
-    def spy(*a, **k):
-        calls.append(1)
-        return real(*a, **k)
-
-    monkeypatch.setattr(WN, "ordered_pieces", spy)
-    rows = [(i, 0 if i % 10 else 1, f"s{i % 3}") for i in range(400)]  # key 0 holds 90 % of the rows
-    df = spark.createDataFrame(rows, "id long, k int, s string").withColumn(
-        "ts", F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT), 0)"))
-    monkeypatch.setattr(WN, "HOT_KEY_MIN_ROWS", 10)
-    monkeypatch.setattr(WN.has_hot_key, "__defaults__", (None, 10))
-    K.state_transitions(df, "k", ["ts", "id"], "s", method="auto").collect()
-    assert calls, "a hot key must select the pieces plan"
-    calls.clear()
-    flat = df.withColumn("k", F.col("id") % 50)
-    K.state_transitions(flat, "k", ["ts", "id"], "s", method="auto").collect()
-    assert not calls, "without a hot key the bucketed plan runs"
-    left = df.select("id", "k", "ts")
-    joins.asof_join(left, df.select("k", "ts", F.col("id").alias("rid")), ["k"], "ts", "ts", ["rid"], method="auto").collect()
-    assert calls
+
+    ev = _odd_events(spark)
+    w = "PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id"
+    _same(K.state_transitions(ev, "user_id", ["ts", "event_id"], "event_type"), _duck(f"""
+        WITH s AS (SELECT event_type, lag(event_type) OVER ({w}) AS p, lead(event_type) OVER ({w}) AS q FROM t)
+        SELECT from_state, to_state, count(*) AS n FROM (SELECT coalesce(p, '[*]') AS from_state, event_type AS to_state FROM s
+        UNION ALL SELECT event_type, '[*]' FROM s WHERE q IS NULL) GROUP BY ALL""", t=ev))
+
+
+def test_hierarchy_beyond_a_million_rows(spark, tmp_path):
+    from sightline.plans import sql_catalog as SC
+
+    spark.createDataFrame([(0,), (1,)], "r_regionkey int").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(0, 0), (1, 0), (2, 1)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1_200_000).selectExpr("id AS c_custkey", "CAST(id % 3 AS INT) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {(r.root, r.depth): r.n_nodes for r in SC.sql_query("sql_recursive")(spark, str(tmp_path)).collect()}
+    assert got == {(0, 0): 1, (1, 0): 1, (0, 1): 2, (1, 1): 1, (0, 2): 800_000, (1, 2): 400_000}
