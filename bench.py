@@ -22,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 HEADLINE = [
     "sql_sum", "groupby_count", "profile_numeric", "describe", "unique_values", "sql_join_using",
     "sql_window_rank", "sql_window_analytic", "sql_window_frames", "sql_topk", "sql_asof", "sql_theta_join", "sql_not_in", "state_transitions",
-    "flow_edges", "set_overlap", "detect_fused_text", "promote_bold_headings", "page_summary", "issue_report",
+    "flow_edges", "set_overlap", "detect_fused_text", "promote_bold_headings", "markdown_summary", "page_metadata", "issue_report",
     "section_map",
 ]
 

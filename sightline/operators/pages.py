@@ -1,123 +1,22 @@
-"""Web pages → article, metadata, markdown, issues and sections (D, E).
-
-One ``mapInPandas`` pass parses each page once (tree, metadata, cleanup,
-article choice, markdown).  Everything after that — word counts, reading
-time, image names, markdown normalisation, the five detectors, the
-section map and the per-page summary — is native column work on that
-record, inside the same stage: the whole pipeline has no shuffle, pages
-are independent rows, a failing page is a row with ``error_stage`` set.
+"""Markdown texts → normalised text, issues, sections and summary (E1–E17), as native columns.
+
+Texts are independent rows: normalisation, the detectors, the section map and
+the summary add columns to them, without a shuffle.  Only the offsets of regex
+matches come from an Arrow UDF (``functions.spans``), one call for each pattern
+a detector needs.  Page metadata is in ``operators.page_meta``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sightline.functions.langs import py_lstrip, py_rstrip, py_strip, sniff_language_col
 from sightline.functions.spans import regex_spans, span_type as SPAN_TYPE
-from sightline.session import spread_for_cpu
-
-META_FIELDS = ("title", "author", "date", "description", "canonical_url", "og_image", "site_name", "lang")
-CANDIDATE_TYPE = T.ArrayType(T.StructType([
-    T.StructField("source", T.StringType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
-]))
-
-EXTRACT_SCHEMA = T.StructType(
-    [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("picked_by", T.StringType()),
-        T.StructField("meta_candidates", CANDIDATE_TYPE),
-        T.StructField("cleanup_counts", T.MapType(T.StringType(), T.IntegerType())),
-        T.StructField("div_candidates", T.ArrayType(T.StructType([
-            T.StructField("idx", T.IntegerType()), T.StructField("p_count", T.IntegerType()),
-            T.StructField("text_len", T.IntegerType())]))),
-        T.StructField("article_text", T.StringType()),
-        T.StructField("images", T.ArrayType(T.StringType())),
-        T.StructField("markdown_raw", T.StringType()),
-        T.StructField("error_stage", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
-
-
-def _process(page_id, url, html, selector):
-    from sightline.functions import html_tree, markdown, page_rules
-
-    rec = {"page_id": page_id, "url": url}
-    stage = "extract"
-    try:
-        root = html_tree.parse(html or "")
-        rec["meta_candidates"] = page_rules.metadata_candidates(root)
-        rec["cleanup_counts"] = page_rules.cleanup(root)
-        rec["div_candidates"] = page_rules.div_candidates(root)
-        article, picked_by = page_rules.pick_article(root, selector)
-        rec["picked_by"] = picked_by
-        rec["article_text"] = article.text(" ", strip=True)
-        rec["images"] = page_rules.image_sources(article)
-        stage = "convert"
-        rec["markdown_raw"] = markdown.to_markdown(article)
-    except Exception as exc:  # one bad page must not fail the job
-        rec["error_stage"] = stage
-        rec["error"] = f"{type(exc).__name__}: {exc}"[:1000]
-    return rec
-
-
-def _extract_fn(selector: str | None):
-    cols = [f.name for f in EXTRACT_SCHEMA.fields]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            recs = [_process(int(p), u, h, selector) for p, u, h in zip(pdf["page_id"], pdf["url"], pdf["html"])]
-            # object dtype keeps all-null text columns as nulls (not float NaN)
-            yield pd.DataFrame({c: pd.Series([r.get(c) for r in recs], dtype="int64" if c == "page_id" else object)
-                                for c in cols})
-
-    return run
-
-
-def extract_pages(pages: DataFrame, selector: str | None = None) -> DataFrame:
-    """The per-page parse, as one Arrow-batched Python pass,
-    then the metadata merge (D4) as native columns."""
-    raw = spread_for_cpu(pages.select("page_id", "url", "html")).mapInPandas(_extract_fn(selector), EXTRACT_SCHEMA)
-    return merge_metadata(raw)
-
-
-def merge_metadata(df: DataFrame, col: str = "meta_candidates") -> DataFrame:
-    """Per field the first non-empty candidate in priority order
-    (JSON-LD → meta tags → fallbacks); ``<html lang>`` overrides ``og:locale``."""
-    c = F.col(col)
-
-    def first(pred) -> Column:
-        return F.get(F.filter(c, pred), 0)["value"]
-
-    def key_is(k: str):
-        return lambda x: x["key"] == k  # one-argument lambda (two would receive the index)
-
-    fields = {k: first(key_is(k)) for k in META_FIELDS}
-    fields["lang"] = F.coalesce(first(lambda x: x["source"] == "html_lang"), fields["lang"])
-    return df.withColumns(fields)
-
-
-# ------------------------------------------------------------------ native columns
-
-
-def best_div(candidates: Column) -> Column:
-    """D16 as a set operation over the page's div candidates: score = 100 × direct
-    ``<p>`` children + text length; the highest positive score wins, the first on ties."""
-    scored = F.transform(candidates, lambda c: c.withField("score", c["p_count"] * 100 + c["text_len"]))
-    best = F.get(F.array_sort(F.filter(scored, lambda c: c["score"] > 0),
-                              lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
-                              .when(a["idx"] < b["idx"], -1).when(a["idx"] > b["idx"], 1).otherwise(0)), 0)
-    return best
 
 
 def word_count(text: Column) -> Column:
-    """Whitespace-separated words (Python ``str.split()``)."""
+    """Whitespace-separated words."""
     s = py_strip(text)
     return F.when(s.isNull() | (s == ""), F.lit(0)).otherwise(F.size(F.split(s, r"(?U)\s+")))
 
@@ -127,20 +26,7 @@ def reading_time(words: Column) -> Column:
     return F.greatest(F.lit(1), F.bround(words / 250.0, 0).cast("int"))
 
 
-def image_manifest(extracted: DataFrame) -> DataFrame:
-    """One row per image: source, local file name (``[^A-Za-z0-9]``→``_``, last 40, + extension)."""
-    img = extracted.select("page_id", F.posexplode_outer("images").alias("img_pos", "src")).where(
-        F.col("img_pos").isNotNull())
-    path = F.regexp_extract(F.regexp_replace("src", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"^([^?#]*)", 1)
-    name = F.regexp_extract(path, r"([^/]*)$", 1)
-    ext = F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
-    local = F.concat(
-        F.right(F.regexp_replace("src", r"[^a-zA-Z0-9]", "_"), F.lit(40)),
-        F.when(ext == "", F.lit(".bin")).otherwise(ext),
-    )
-    return img.select("page_id", "img_pos", "src", local.alias("local_name"))
-
-
+# Fixed value: a line that stands for a heading.
 _BOLD = r"^\*\*([A-Z][^*]{3,80})\*\*$"
 
 
@@ -161,32 +47,49 @@ def front_matter(title: Column, author: Column, date: Column, source: Column) ->
     )
 
 
-def normalize_markdown(df: DataFrame, md_col: str = "markdown_raw", out_col: str = "markdown",
-                       title: str = "title", author: str = "author", date: str = "date",
-                       source: str = "canonical_url") -> DataFrame:
+# Fixed value: an empty fenced block, as the reference finds it.
+_EMPTY_FENCE = r"(?U)```[a-z]*\n\s*\n?```"
+
+
+def drop_empty_fences(md: Column) -> Column:
+    """Fenced blocks with only white space go."""
+    return F.regexp_replace(md, _EMPTY_FENCE, "")
+
+
+def promote_bold_headings(md: Column) -> Column:
+    """A line that is only ``**Capitalised text**`` becomes ``#### …``; other lines are right-trimmed."""
+    return F.array_join(F.transform(F.split(md, "\n", -1), lambda l: F.when(
+        py_strip(l).rlike(_BOLD), F.concat(F.lit("#### "), F.regexp_extract(py_strip(l), _BOLD, 1))).otherwise(py_rstrip(l))), "\n")
+
+
+def inject_h1(md: Column, title: Column) -> Column:
+    """``# title`` in front, unless the first line with text is a ``# `` heading or there is no title."""
+    first = F.coalesce(F.regexp_extract(py_lstrip(md), r"^([^\n]*)", 1), F.lit(""))
+    return F.when(~first.startswith("# ") & _truthy(title), F.concat(F.lit("# "), title, F.lit("\n\n"), md)).otherwise(md)
+
+
+def collapse_blank_lines(md: Column) -> Column:
+    """E5: three or more line ends become two; stripped, with one line end."""
+    return F.concat(py_strip(F.regexp_replace(md, r"\n{3,}", "\n\n")), F.lit("\n"))
+
+
+def normalize_markdown(df: DataFrame, md_col: str, out_col: str = "markdown", title: str = "title", author: str = "author",
+                       date: str = "date", source: str = "canonical_url") -> DataFrame:
     """E1–E5 on one markdown column.
 
-    Written as successive columns on purpose: each intermediate text is used
-    more than once, and a separate projection per step lets Catalyst compute
-    it once instead of inlining the regex chain into every use.
+    Successive columns on purpose: each intermediate text is used more than
+    once, and a separate projection per step lets Catalyst compute it once.
     """
-    md = F.col(md_col)
-    x = df.withColumn("__md1", F.regexp_replace(md, r"(?U)```[a-z]*\n\s*\n?```", ""))  # E1
-    x = x.withColumn("__md2", F.array_join(F.transform(F.split("__md1", "\n", -1), lambda l: F.when(  # E2
-        py_strip(l).rlike(_BOLD), F.concat(F.lit("#### "), F.regexp_extract(py_strip(l), _BOLD, 1))
-    ).otherwise(py_rstrip(l))), "\n"))
-    first = F.coalesce(F.get(F.filter(F.split(py_lstrip(F.col("__md2")), "\n", -1), lambda l: py_strip(l) != ""), 0),
-                       F.lit(""))
-    t = F.col(title)
-    x = x.withColumn("__md3", F.when(~first.startswith("# ") & _truthy(t),                       # E3
-                                     F.concat(F.lit("# "), t, F.lit("\n\n"), F.col("__md2"))).otherwise(F.col("__md2")))
-    md4 = F.regexp_replace("__md3", r"\n{3,}", "\n\n")                                      # E5
-    out = F.concat(front_matter(t, F.col(author), F.col(date), F.col(source)), F.lit("\n\n"), py_strip(md4), F.lit("\n"))
-    return x.withColumn(out_col, F.when(md.isNotNull(), out)).drop("__md1", "__md2", "__md3")
+    x = df.withColumn("__1", drop_empty_fences(F.col(md_col)))
+    x = x.withColumn("__2", promote_bold_headings(F.col("__1")))
+    x = x.withColumn("__3", inject_h1(F.col("__2"), F.col(title)))
+    head = front_matter(F.col(title), F.col(author), F.col(date), F.col(source))
+    return x.withColumn(out_col, F.concat(head, F.lit("\n\n"), collapse_blank_lines(F.col("__3")))).drop("__1", "__2", "__3")
 
 
 # -- detectors (E6–E12) ------------------------------------------------------
 
+# Patterns that must equal the reference's for the same results.
 FENCE_RE = (r"^```[^\n]*\n.*?^```", "MS")
 FENCE_LANG_RE = (r"^```(\w*)\n(.*?)^```", "MS")
 LINK_URL_RE = (r"\]\([^\)]+\)", "")
@@ -195,6 +98,7 @@ FRONT_MATTER_RE = (r"\A---\n.*?^---", "MS")
 HTML_LEAK_RE = (r"<(svg|button|input|form)\b|role=[\"']", "")
 EMPTY_FENCE_RE = (r"```[a-z]*\n\s*\n?```", "")
 
+
 def line_of(md: Column, offset: Column) -> Column:
     """1-based line of a 0-based character offset."""
     pre = F.substring(md, F.lit(1), offset)
@@ -216,13 +120,16 @@ def _guarded(pattern: tuple[str, str], md: Column, maybe: Column) -> Column:
 
 
 def exclusion_zones(md: Column) -> Column:
-    """Spans of fences, link URLs, inline code and front matter."""
-    return F.concat(
+    """Spans of fences, link URLs, inline code and front matter, in order of their starts."""
+    return F.array_sort(F.concat(
         _guarded(FENCE_RE, md, md.contains("```")),
         _guarded(LINK_URL_RE, md, md.contains("](")),
         _guarded(INLINE_CODE_RE, md, md.contains("`")),
         _guarded(FRONT_MATTER_RE, md, md.startswith("---\n")),
-    )
+    ))
+
+
+ISSUES = "array<struct<type:string,line:int,find:string,detected:string,fix:string>>"
 
 
 def _issue(type_: str, line: Column, find: Column | None, detected: Column | None, fix: Column) -> Column:
@@ -234,53 +141,64 @@ def _issue(type_: str, line: Column, find: Column | None, detected: Column | Non
     )
 
 
-def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) -> DataFrame:
-    """Adds ``issues`` = array of issue structs in the fixed detector order."""
+def _located(spans: Column, md: Column, type_: str, fix: str, ctx: int = 40) -> Column:
+    return F.transform(spans, lambda s: _issue(type_, line_of(md, s["start"]), context_around(md, s["start"], s["end"], ctx), None, F.lit(fix)))
+
+
+def fused_text(df: DataFrame, md_col: str, min_len: int = 80) -> DataFrame:
+    """Adds ``fused``: runs of ``min_len`` non-space characters outside the exclusion zones."""
+    md = F.col(md_col)
+    long = md.rlike(rf"(?U)\S{{{min_len},}}")
+    df = df.withColumn("__runs", _guarded((rf"\S{{{min_len},}}", ""), md, long))
+    df = df.withColumn("__zones", exclusion_zones(F.when(long, md)))  # zones matter only where there is a run
+    free = F.filter("__runs", lambda s: ~F.exists(F.coalesce("__zones", F.array().cast(SPAN_TYPE)), lambda z: (s["start"] < z["end"]) & (s["end"] > z["start"])))
+    return df.withColumn("fused", _located(free, md, "fused text", "verify whitespace between tokens")).drop("__runs", "__zones")
+
+
+def html_leaks(df: DataFrame, md_col: str) -> DataFrame:
+    """Adds ``leaks``: HTML that is left in the text."""
+    md = F.col(md_col)
+    found = _guarded(HTML_LEAK_RE, md, md.contains("<") | md.contains("role="))
+    return df.withColumn("leaks", _located(found, md, "HTML leakage", "remove or convert to markdown"))
+
+
+def empty_fences(df: DataFrame, md_col: str) -> DataFrame:
+    """Adds ``empties``: fenced blocks without text."""
+    md = F.col(md_col)
+    return df.withColumn("empties", _located(_guarded(EMPTY_FENCE_RE, md, md.contains("```")), md, "empty code block", "remove empty fence", 20))
+
+
+def wrong_languages(df: DataFrame, md_col: str) -> DataFrame:
+    """Adds ``mislabelled``: unlabelled or ``text`` fences of 8 characters or more whose rules name a language."""
+    md = F.col(md_col)
+    df = df.withColumn("__fences", F.transform(_guarded(FENCE_LANG_RE, md, md.contains("```")), lambda s: F.struct(
+        s["start"].alias("start"), s["g1"].alias("lang"), py_strip(s["g2"]).alias("body"))))
+    named = F.transform(F.filter("__fences", lambda f: f["lang"].isin("", "text") & (F.length(f["body"]) >= 8)),
+                        lambda f: f.withField("sniffed", sniff_language_col(f["body"])))
+    found = F.transform(F.filter(named, lambda f: f["sniffed"] != "text"), lambda f: _issue(
+        "wrong language", line_of(md, f["start"]), None, f["sniffed"], F.concat(F.lit("change fence to ```"), f["sniffed"])))
+    return df.withColumn("mislabelled", found).drop("__fences")
+
+
+def tab_labels(df: DataFrame, md_col: str) -> DataFrame:
+    """Adds ``labels``: lines of 2–15 letters directly before a fence."""
     md = F.col(md_col)
-    df = spread_for_cpu(df)
-    df = df.withColumn("__zones", exclusion_zones(md))
-    fused = F.transform(
-        F.filter(_guarded((rf"\S{{{min_len},}}", ""), md, md.rlike(rf"(?U)\S{{{min_len},}}")),
-                 lambda s: ~F.exists(F.col("__zones"), lambda z: (s["start"] < z["end"]) & (s["end"] > z["start"]))),
-        lambda s: _issue("fused text", line_of(md, s["start"]), context_around(md, s["start"], s["end"]), None,
-                         F.lit("verify whitespace between tokens")),
-    )
-    leak = F.transform(
-        _guarded(HTML_LEAK_RE, md, md.contains("<") | md.contains("role=")),
-        lambda s: _issue("HTML leakage", line_of(md, s["start"]), context_around(md, s["start"], s["end"]), None,
-                         F.lit("remove or convert to markdown")),
-    )
-    empty = F.transform(
-        _guarded(EMPTY_FENCE_RE, md, md.contains("```")),
-        lambda s: _issue("empty code block", line_of(md, s["start"]), context_around(md, s["start"], s["end"], 20),
-                         None, F.lit("remove empty fence")),
-    )
-    df = df.withColumn(
-        "__fences",
-        F.transform(_guarded(FENCE_LANG_RE, md, md.contains("```")), lambda s: F.struct(
-            s["start"].alias("start"), s["g1"].alias("lang"), py_strip(s["g2"]).alias("body"))),
-    )
-    wrong = F.transform(
-        F.filter(
-            F.transform(F.col("__fences"), lambda f: f.withField("sniffed", sniff_language_col(f["body"]))),
-            lambda f: ((f["lang"] == "") | (f["lang"] == "text")) & (F.length(f["body"]) >= 8) & (f["sniffed"] != "text"),
-        ),
-        lambda f: _issue("wrong language", line_of(md, f["start"]), None, f["sniffed"],
-                         F.concat(F.lit("change fence to ```"), f["sniffed"])),
-    )
     df = df.withColumn("__lines", F.when(md.contains("```"), F.split(md, "\n", -1)))
     n = F.size("__lines")
-    # a label needs a fence on the next line: texts without ``` skip the line scan
-    idx = F.when((n >= 2) & md.contains("```"), F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    tab = F.transform(
-        F.filter(idx, lambda i: py_strip(F.get(F.col("__lines"), i)).rlike(r"^(?i)[a-z]{2,15}$")
-                 & py_strip(F.get(F.col("__lines"), i + 1)).startswith("```")),
-        lambda i: _issue("suspicious tab label", (i + 1).cast("int"),
-                         F.concat(py_strip(F.get(F.col("__lines"), i)), F.lit("\\n"),
-                                  py_strip(F.get(F.col("__lines"), i + 1))),
-                         None, F.lit("merge as prose prefix or remove")),
-    )
-    return df.withColumn("issues", F.concat(fused, leak, empty, wrong, tab)).drop("__zones", "__fences", "__lines")
+    places = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    at = lambda i: py_strip(F.get(F.col("__lines"), i))
+    found = F.transform(F.filter(places, lambda i: at(i).rlike(r"^(?i)[a-z]{2,15}$") & at(i + 1).startswith("```")), lambda i: _issue(
+        "suspicious tab label", (i + 1).cast("int"), F.concat(at(i), F.lit("\\n"), at(i + 1)), None, F.lit("merge as prose prefix or remove")))
+    return df.withColumn("labels", found).drop("__lines")
+
+
+def detect_issues(df: DataFrame, md_col: str = "markdown", min_len: int = 80) -> DataFrame:
+    """Adds ``issues``: those of all five detectors, in their fixed order."""
+    df = fused_text(df, md_col, min_len)
+    for detector in (html_leaks, empty_fences, wrong_languages, tab_labels):
+        df = detector(df, md_col)
+    names = ("fused", "leaks", "empties", "mislabelled", "labels")
+    return df.withColumn("issues", F.concat(*(F.coalesce(n, F.array().cast(ISSUES)) for n in names))).drop(*names)
 
 
 _HEADING = r"(?dU)^(#{1,6})\s+(.+)$"
@@ -315,40 +233,25 @@ def section_map(df: DataFrame, md_col: str = "markdown") -> DataFrame:
     return df.withColumn("sections", F.transform(F.col("__h"), section)).drop("__l", "__h")
 
 
-def page_pipeline(pages: DataFrame, selector: str | None = None, min_len: int = 80) -> DataFrame:
-    """Extract → convert → normalise → detect → sections, one row per page."""
-    x = extract_pages(pages, selector)
-    x = x.withColumn("word_count", word_count(F.col("article_text")))
-    x = x.withColumn("reading_time_minutes", reading_time(F.col("word_count")))
-    x = normalize_markdown(x)
-    x = detect_issues(x, "markdown", min_len)
-    x = section_map(x, "markdown")
-    return x
-
-
-def page_summary(processed: DataFrame) -> DataFrame:
-    """Title, total tokens, issue count and next action per page."""
+def markdown_summary(processed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Total tokens, sections, issues and the next action of each text."""
     tokens = F.aggregate(F.col("sections"), F.lit(0), lambda a, s: a + s["tokens"])
     n_issues = F.size("issues")
     return processed.select(
-        "page_id", "url", F.coalesce("title", F.lit("")).alias("title"), "picked_by",
-        "word_count", "reading_time_minutes",
-        tokens.cast("int").alias("tokens"), F.size("sections").alias("n_sections"), n_issues.alias("n_issues"),
-        F.when(n_issues > 0, F.lit("fix")).otherwise(F.lit("clean")).alias("next"),
-        "error_stage",
-    )
+        id_col, tokens.cast("int").alias("tokens"), F.size("sections").alias("n_sections"), n_issues.alias("n_issues"),
+        F.when(n_issues > 0, F.lit("fix")).otherwise(F.lit("clean")).alias("next"))
 
 
-def issue_report(processed: DataFrame) -> DataFrame:
+def issue_report(processed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """E12 long form: one row per issue, ``issue_pos`` keeps the detector order."""
     # posexplode_outer + filter: a plain posexplode makes Catalyst infer a
     # size(issues) > 0 filter and push it below the projections, which would
     # evaluate the whole detector chain twice.
-    return processed.select("page_id", F.posexplode_outer("issues").alias("issue_pos", "i")).where(
-        F.col("issue_pos").isNotNull()).select("page_id", "issue_pos", "i.type", "i.line", "i.find", "i.detected", "i.fix")
+    return processed.select(id_col, F.posexplode_outer("issues").alias("issue_pos", "i")).where(
+        F.col("issue_pos").isNotNull()).select(id_col, "issue_pos", "i.type", "i.line", "i.find", "i.detected", "i.fix")
 
 
-def sections_long(processed: DataFrame) -> DataFrame:
+def sections_long(processed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """E15 long form: one row per section."""
-    return processed.select("page_id", F.posexplode_outer("sections").alias("section_pos", "s")).where(
-        F.col("section_pos").isNotNull()).select("page_id", "section_pos", "s.title", "s.line", "s.tokens")
+    return processed.select(id_col, F.posexplode_outer("sections").alias("section_pos", "s")).where(
+        F.col("section_pos").isNotNull()).select(id_col, "section_pos", "s.title", "s.line", "s.tokens")

@@ -48,7 +48,7 @@ def status_by_section(plans: DataFrame, id_cols: list[str], text_col: str = "tex
     w = Window.partitionBy(*id_cols).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     is_head = F.col("line").startswith("## ")
     lines = lines.withColumn("section_no", F.sum(is_head.cast("int")).over(w)).withColumn(
-        "section", F.last(F.when(is_head, F.substring("line", 4, 10_000)), ignorenulls=True).over(w)
+        "section", F.last(F.when(is_head, F.expr("substring(line, 4)")), ignorenulls=True).over(w)
     )
     counts = [F.sum(F.size(F.regexp_extract_all("line", F.lit(rf"\[{m}\]"), 0))).alias(m.lower()) for m in MARKERS]
     return lines.groupBy(*id_cols, "section_no", "section").agg(*counts)

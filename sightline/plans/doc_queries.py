@@ -18,52 +18,187 @@ from sightline.streaming import feedback_stream as FS
 _STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
-@register(
-    "collapse_blank_lines",
-    "SELECT doc_id, CAST(len(string_split(c, chr(10))) AS INTEGER) AS n_lines, CAST(length(c) AS INTEGER) AS n_chars "
-    "FROM (SELECT doc_id, " + _STRIP.format(x="regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g')") + " AS c FROM documents)",
-)
-def _collapse(spark, d):
-    """E5 + E14 on whole documents: ≥3 newlines → 2, stripped; line and character counts."""
+# Markdown made of every whole document: header, a bold line, blank lines, fences of all kinds, leftover HTML, status
+# marks and sections around the text, from the row's own columns.  The same expression stands in the twins.
+_MD = """'---' || chr(10) || 'title: "' || source || ' ' || doc_id || '"' || chr(10) || 'version: "1.' || doc_id % 10 || '.0"' || chr(10) || '---' || chr(10) || chr(10)
+  || '**Notes from source ' || source || '**  ' || chr(10) || chr(10) || chr(10) || chr(10) || text || chr(10) || chr(10)
+  || CASE WHEN doc_id % 3 = 0 THEN '```' || chr(10) || ' ' || chr(10) || '```' || chr(10) || 'Then on.' || chr(10) ELSE '' END
+  || CASE WHEN doc_id % 4 = 0 THEN '```' || chr(10) || 'SELECT doc_id FROM ' || source || chr(10) || '```' || chr(10) || 'Then on.' || chr(10) ELSE '' END
+  || CASE WHEN doc_id % 5 = 0 THEN 'bash' || chr(10) || '```bash' || chr(10) || 'npm run ' || source || chr(10) || '```' || chr(10) || 'Then on.' || chr(10) ELSE '' END
+  || CASE WHEN doc_id % 6 = 0 THEN '```mermaid' || chr(10) || 'flowchart TD' || chr(10) || 'A --> B' || chr(10) || '```' || chr(10) || 'Then on.' || chr(10) ELSE '' END
+  || CASE WHEN doc_id % 7 = 0 THEN '<svg role="img"> ' || doc_id || chr(10) || '<button>' || chr(10) ELSE '' END
+  || '## Status' || chr(10) || '[DECIDED] ' || lang || ' [OPEN] [OPEN]' || chr(10) || '## End ' || doc_id || chr(10) || '- [PROPOSED] done' || chr(10)"""
+_RAW = f"(SELECT doc_id, source, {_MD} AS md FROM documents)"
+
+
+def prepared(spark, d):
     docs = read_table(spark, d, "documents")
-    c = py_strip(F.regexp_replace("text", r"\n{3,}", "\n\n"))
-    return docs.select("doc_id", F.size(F.split(c, "\n", -1)).alias("n_lines"), F.length(c).alias("n_chars"))
+    return docs.select("doc_id", "source", F.expr(_MD).alias("md"))
+
+
+def _located(pattern: str) -> str:
+    """Line of each match of a pattern, from the pieces between matches."""
+    lines = "list_sum(list_transform({x}, lambda p: length(p) - length(replace(p, chr(10), ''))))"
+    return (f"SELECT doc_id, CAST(1 + {lines.format(x='ps[1:k]')} + coalesce({lines.format(x='ms[1:k - 1]')}, 0) AS INTEGER) AS line, ms[k] AS hit FROM ("
+            f"SELECT *, unnest(generate_series(1, len(ms))) AS k FROM (SELECT doc_id, regexp_extract_all(md, '{pattern}') AS ms, regexp_split_to_array(md, '{pattern}') AS ps FROM {_RAW}))")
+
+
+_BOLD_DUCK = "'^\\*\\*([A-Z][^*]{3,80})\\*\\*$'"
+_FENCE = "```[a-z]*\\n\\s*\\n?```"
+_LEAK = "<(?:svg|button|input|form)\\b|role=[\"'']"
+_E1 = f"regexp_replace(md, '{_FENCE}', '', 'g')"
+_E2 = ("array_to_string(list_transform(string_split({x}, chr(10)), lambda l: CASE WHEN regexp_matches(" + _STRIP.format(x="l") + f", {_BOLD_DUCK}) "
+       "THEN '#### ' || regexp_extract(" + _STRIP.format(x="l") + f", {_BOLD_DUCK}, 1) ELSE regexp_replace(l, '\\s+$', '') END), chr(10))")
+_E5 = _STRIP.format(x="regexp_replace({x}, '\n{{3,}}', chr(10) || chr(10), 'g')") + " || chr(10)"
+
+
+def _whole(out):
+    return F.sha2(out, 256).alias("sha256"), F.length(out).alias("n_chars")
+
+
+def _whole_sql(out: str) -> str:
+    return f"SELECT doc_id, sha256(o) AS sha256, CAST(length(o) AS INTEGER) AS n_chars FROM (SELECT doc_id, {out} AS o FROM {_RAW})"
+
+
+@register("drop_empty_fences", _whole_sql(_E1))
+def _drop_empty(spark, d):
+    """The whole text after empty fences went, by hash."""
+    return prepared(spark, d).select("doc_id", *_whole(PG.drop_empty_fences(F.col("md"))))
+
+
+@register("promote_bold_headings", _whole_sql(_E2.replace("{x}", "md")))
+def _bold(spark, d):
+    """The whole text with bold lines as headings, by hash."""
+    return prepared(spark, d).select("doc_id", *_whole(PG.promote_bold_headings(F.col("md"))))
+
+
+@register("inject_h1", _whole_sql("'# ' || source || chr(10) || chr(10) || md"))
+def _inject(spark, d):
+    """The whole text under its title (no text starts with a heading), by hash."""
+    return prepared(spark, d).select("doc_id", *_whole(PG.inject_h1(F.col("md"), F.col("source"))))
+
+
+@register("collapse_blank_lines", _whole_sql(_E5.format(x="md")))
+def _collapse(spark, d):
+    """E5: the whole text with single blank lines, by hash."""
+    return prepared(spark, d).select("doc_id", *_whole(PG.collapse_blank_lines(F.col("md"))))
+
+
+_HEAD_SQL = "'---' || chr(10) || 'title: \"' || source || '\"' || chr(10) || 'source: \"s' || doc_id || '\"' || chr(10) || '---'"
+
+
+@register("front_matter", _whole_sql(_HEAD_SQL))
+def _header(spark, d):
+    """The header of the fields that are present."""
+    none = F.lit(None).cast("string")
+    return prepared(spark, d).select("doc_id", *_whole(PG.front_matter(F.col("source"), none, F.lit(""), F.concat(F.lit("s"), F.col("doc_id").cast("string")))))
+
+
+@register("normalize_markdown", _whole_sql(f"{_HEAD_SQL} || chr(10) || chr(10) || " + _E5.format(x="'# ' || source || chr(10) || chr(10) || " + _E2.replace("{x}", _E1))))
+def _normalized(spark, d):
+    """E1–E5 by the operator that composes them."""
+    return _processed_md(spark, d).select("doc_id", *_whole(F.col("markdown")))
+
+
+def _processed_md(spark, d):
+    x = prepared(spark, d).withColumns({"author": F.lit(None).cast("string"), "date": F.lit(""), "src": F.concat(F.lit("s"), F.col("doc_id").cast("string"))})
+    return PG.normalize_markdown(x, "md", title="source", source="src")
+
+
+_SECTIONS = f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS section_pos,
+  regexp_replace(regexp_extract(l, '^(#{{1,6}})\\s+(.+)$', 2), '\\s+$', '') AS title, CAST(i AS INTEGER) AS line,
+  CAST(greatest(0, coalesce(list_sum(list_transform(ls[i + 1:e], lambda x: length(x))), 0) + greatest(len(ls[i + 1:e]) - 1, 0)) // 4 AS INTEGER) AS tokens
+  FROM (SELECT *, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - 1, len(ls)) AS e FROM (
+    SELECT doc_id, ls, unnest(ls) AS l, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split(md, chr(10)) AS ls FROM {_RAW}))
+    WHERE regexp_matches(l, '^(#{{1,6}})\\s+(.+)$'))"""
+
+
+@register("section_map", _SECTIONS)
+def _sections(spark, d):
+    """Every section of the prepared texts."""
+    return PG.sections_long(PG.section_map(prepared(spark, d), "md"))
+
+
+def _hits(detector, column, *args):
+    def run(spark, d):
+        x = detector(prepared(spark, d), "md", *args).select("doc_id", F.explode_outer(column).alias("i")).where("i IS NOT NULL")
+        return x.select("doc_id", "i.line", F.coalesce("i.detected", F.lit("")).alias("detected"), "i.fix")
+
+    return run
+
+
+def _hits_sql(pattern: str, fix: str) -> str:
+    return f"SELECT doc_id, line, '' AS detected, '{fix}' AS fix FROM ({_located(pattern)})"
+
+
+register("detect_fused_text", _hits_sql("\\S{20,}", "verify whitespace between tokens"))(_hits(PG.fused_text, "fused", 20))
+register("detect_fused_text_80", _hits_sql("\\S{80,}", "verify whitespace between tokens"))(_hits(PG.fused_text, "fused"))
+register("detect_html_leak", _hits_sql(_LEAK, "remove or convert to markdown"))(_hits(PG.html_leaks, "leaks"))
+register("detect_empty_fence", _hits_sql(_FENCE, "remove empty fence"))(_hits(PG.empty_fences, "empties"))
+register("detect_wrong_language", "SELECT doc_id, line, 'sql' AS detected, 'change fence to ```sql' AS fix FROM (" + _located("```\\nSELECT") + ")")(
+    _hits(PG.wrong_languages, "mislabelled"))
+register("detect_tab_label", "SELECT doc_id, line + 1 AS line, '' AS detected, 'merge as prose prefix or remove' AS fix FROM (" + _located("\\nbash\\n```bash") + ")")(
+    _hits(PG.tab_labels, "labels"))
 
 
 @register(
-    "detect_fused_text",
-    "SELECT doc_id, CAST(len(regexp_extract_all(text, '\\S{20,}')) AS INTEGER) AS n_fused, "
-    "CAST(len(string_split(substr(text, 1, strpos(text, regexp_extract(text, '\\S{20,}')) - 1), chr(10))) AS INTEGER) "
-    "AS first_line FROM documents WHERE regexp_matches(text, '\\S{20,}')",
+    "context_snippet",
+    f"""SELECT doc_id, replace(substr(md, greatest(s - 40, 0) + 1, least(length(md), s + 10 + 40) - greatest(s - 40, 0)), chr(10), '\\n') AS find
+        FROM (SELECT doc_id, md, strpos(md, '[PROPOSED]') - 1 AS s FROM {_RAW})""",
 )
-def _fused(spark, d):
-    """E6/E7/E13/E14 over whole documents with min_len = 20 (documents hold no run of 80)."""
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
-    issues = PG.detect_issues(docs, "text", min_len=20)
-    fused = F.filter("issues", lambda i: i["type"] == "fused text")
-    return issues.select("doc_id", F.size(fused).alias("n_fused"), F.get(fused, 0)["line"].alias("first_line")).where(
-        F.col("n_fused") > 0)
+def _context(spark, d):
+    """40 characters around a mark of each text."""
+    md = F.col("md")
+    start = F.instr(md, "[PROPOSED]") - 1
+    return prepared(spark, d).select("doc_id", PG.context_around(md, start, start + 10).alias("find"))
 
 
-_BOLD_DUCK = "'^\\*\\*([A-Z][^*]{3,80})\\*\\*$'"
+_ZONES = " UNION ALL ".join(
+    f"SELECT doc_id, '{k}' AS kind, CAST(len(regexp_extract_all(md, '{p}')) AS INTEGER) AS n FROM {_RAW}" for k, p in (
+        ("fence", "(?ms)^```[^\\n]*\\n.*?^```"), ("link", "\\]\\([^\\)]+\\)"), ("code", "`[^`]+`"), ("header", "(?ms)\\A---\\n.*?^---")))
+
+
+@register("exclusion_zones", f"SELECT doc_id, CAST(sum(n) AS INTEGER) AS n_zones, CAST(0 AS INTEGER) AS first_start, true AS in_order FROM ({_ZONES}) GROUP BY doc_id")
+def _zones(spark, d):
+    """Zones of the prepared texts, in order; the header is the first."""
+    x = prepared(spark, d).select("doc_id", PG.exclusion_zones(F.col("md"))["start"].alias("z"))
+    return x.select("doc_id", F.size("z").alias("n_zones"), F.col("z")[0].alias("first_start"), (F.array_sort("z") == F.col("z")).alias("in_order"))
+
+
+def _issues_md(spark, d):
+    return PG.section_map(PG.detect_issues(prepared(spark, d), "md"), "md")
+
+
+_COUNTS = f"""SELECT doc_id, CAST(len(regexp_extract_all(md, '\\S{{80,}}')) + 3 * (doc_id % 7 = 0)::INT + (doc_id % 3 = 0)::INT + (doc_id % 4 = 0)::INT
+  + (doc_id % 5 = 0)::INT AS INTEGER) AS n_issues FROM {_RAW}"""
+
+
+@register("markdown_summary", f"SELECT doc_id, tokens, n_sections, n_issues, CASE WHEN n_issues > 0 THEN 'fix' ELSE 'clean' END AS next FROM ({_COUNTS}) "
+          f"JOIN (SELECT doc_id, CAST(sum(tokens) AS INTEGER) AS tokens, CAST(count(*) AS INTEGER) AS n_sections FROM ({_SECTIONS}) GROUP BY doc_id) USING (doc_id)")
+def _md_summary(spark, d):
+    """E16 on the prepared texts."""
+    return PG.markdown_summary(_issues_md(spark, d))
+
+
+@register("issue_report", "SELECT type, CAST(count(*) AS BIGINT) AS n, count(DISTINCT doc_id) AS n_docs FROM ("
+          + " UNION ALL ".join(f"SELECT '{t}' AS type, doc_id FROM ({q})" for t, q in (
+              ("fused text", _located("\\S{80,}")), ("HTML leakage", _located(_LEAK)), ("empty code block", _located(_FENCE)),
+              ("wrong language", _located("```\\nSELECT")), ("suspicious tab label", _located("\\nbash\\n```bash")))) + ") GROUP BY type")
+def _issues(spark, d):
+    """Issues by type over all prepared texts."""
+    rows = PG.issue_report(PG.detect_issues(prepared(spark, d), "md"))
+    return rows.groupBy("type").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 
 @register(
-    "promote_bold_headings",
-    "SELECT doc_id, line_no, '#### ' || regexp_extract(s, " + _BOLD_DUCK + ", 1) AS heading FROM ("
-    "SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, " + _STRIP.format(x="l") + " AS s FROM ("
-    "SELECT doc_id, unnest(string_split(text, chr(10))) AS l, "
-    "unnest(generate_series(1, len(string_split(text, chr(10))))) AS line_no FROM documents)) "
-    "WHERE regexp_matches(s, " + _BOLD_DUCK + ")",
+    "issue_rollup",
+    f"""SELECT source, type, CAST(count(*) AS BIGINT) AS issues FROM (SELECT doc_id, 'HTML leakage' AS type FROM ({_located(_LEAK)}))
+        JOIN documents USING (doc_id) GROUP BY ROLLUP(source, type)""",
 )
-def _bold(spark, d):
-    """E2 on whole documents: lines that are only ``**Capitalised text**`` become ``#### …``."""
-    docs = read_table(spark, d, "documents")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "l"))
-    s = py_strip(F.col("l"))
-    return lines.where(s.rlike(PG._BOLD)).select(
-        "doc_id", (F.col("pos") + 1).cast("int").alias("line_no"),
-        F.concat(F.lit("#### "), F.regexp_extract(s, PG._BOLD, 1)).alias("heading"))
+def _rollup(spark, d):
+    """Leaked HTML by source and type, per source and overall."""
+    x = PG.html_leaks(prepared(spark, d), "md").select("source", F.explode_outer("leaks.type").alias("type")).where("type IS NOT NULL")
+    return x.rollup("source", "type").agg(F.count("*").alias("issues"))
 
 
 @register(
@@ -78,18 +213,24 @@ def _summary_line(spark, d):
     return conv.select("conv_id", "turn", W.summary_line(F.col("text")).alias("summary"))
 
 
-@register("split_front_matter")
+@register(
+    "split_front_matter",
+    f"""SELECT doc_id, '{{"title": "' || source || ' ' || doc_id || '", "version": "1.' || doc_id % 10 || '.0"}}' AS header_json,
+        sha256(regexp_replace(substr(md, strpos(md, '.0"' || chr(10) || '---') + 7), '^\\n+', '')) AS body FROM {_RAW}""",
+)
 def _front_matter(spark, d):
-    """F7 on whole documents (plain texts have no header: header ``{}``, body unchanged)."""
-    docs = read_table(spark, d, "documents")
-    return docs.select("doc_id", *W.split_front_matter(F.col("text"))).select(
-        "doc_id", "header_json", F.length("body").alias("body_chars"))
+    """header and body of the prepared texts."""
+    return prepared(spark, d).select("doc_id", *W.split_front_matter(F.col("md"))).withColumn("body", F.sha2("body", 256))
 
 
-@register("fenced_blocks")
+@register(
+    "fenced_blocks",
+    f"""SELECT doc_id, CAST(len(regexp_extract_all(md, '(?ms)^```[^\\n]*\\n.*?^```')) AS BIGINT) AS n FROM {_RAW} WHERE regexp_matches(md, '(?ms)^```[^\\n]*\\n.*?^```')""",
+)
 def _fenced(spark, d):
-    """F1 over whole documents (none of the driver documents has a fence)."""
-    return W.fenced_blocks(read_table(spark, d, "documents"), "text", "doc_id")
+    """fenced blocks of the prepared texts."""
+    blocks = W.fenced_blocks(prepared(spark, d), "md", "doc_id")
+    return blocks.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
 def _feedback_entries(spark, d):
@@ -135,64 +276,6 @@ def _feedback_stream(spark, d):
     return spark.read.parquet(out).groupBy("skill").agg(F.count(F.lit(1)).alias("entries"))
 
 
-def _doc_issues(spark, d, min_len=20):
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
-    return PG.detect_issues(docs, "text", min_len=min_len)
-
-
-@register(
-    "context_snippet",
-    "WITH m AS (SELECT doc_id, text, regexp_extract(text, '\\S{20,}') AS mt FROM documents "
-    "WHERE regexp_matches(text, '\\S{20,}')), p AS (SELECT doc_id, text, mt, strpos(text, mt) - 1 AS s FROM m) "
-    "SELECT doc_id, CAST(len(string_split(substr(text, 1, s), chr(10))) AS INTEGER) AS line, "
-    "replace(substr(text, greatest(s - 40, 0) + 1, least(length(text), s + length(mt) + 40) - greatest(s - 40, 0)), "
-    "chr(10), '\\n') AS find FROM p",
-)
-def _context(spark, d):
-    """Line and ±40-character context of the first fused run of every document."""
-    x = _doc_issues(spark, d)
-    first = F.get(F.filter("issues", lambda i: i["type"] == "fused text"), 0)
-    return x.select("doc_id", first["line"].alias("line"), first["find"].alias("find")).where(F.col("line").isNotNull())
-
-
-@register(
-    "detect_html_leak",
-    "SELECT doc_id, CAST(len(regexp_extract_all(text, '<(svg|button|input|form)\\b|role=[\"'']')) AS INTEGER) AS n "
-    "FROM documents WHERE regexp_matches(text, '<(svg|button|input|form)\\b|role=[\"'']')",
-)
-def _leak(spark, d):
-    """E8 over whole documents."""
-    x = _doc_issues(spark, d)
-    return x.select("doc_id", F.size(F.filter("issues", lambda i: i["type"] == "HTML leakage")).alias("n")).where("n > 0")
-
-
-def _doc_issue_rows(kind):
-    def run(spark, d):
-        x = _doc_issues(spark, d)
-        return x.select("doc_id", F.explode_outer(F.filter("issues", lambda i: i["type"] == kind)).alias("i")).where(
-            F.col("i").isNotNull()).select("doc_id", "i.line", "i.find", "i.detected", "i.fix")
-
-    run.__doc__ = f"{kind} issues over whole documents."
-    return run
-
-
-for _q, _kind in [("detect_empty_fence", "empty code block"), ("detect_wrong_language", "wrong language"),
-                  ("detect_tab_label", "suspicious tab label")]:
-    register(_q)(_doc_issue_rows(_kind))
-
-
-@register(
-    "drop_empty_fences",
-    "SELECT doc_id, CAST(length(text) - length(regexp_replace(text, '```[a-z]*\\n\\s*\\n?```', '', 'g')) AS INTEGER) "
-    "AS removed_chars FROM documents WHERE regexp_matches(text, '```[a-z]*\\n\\s*\\n?```')",
-)
-def _drop_empty(spark, d):
-    """E1 over whole documents: texts that lose an empty fenced block."""
-    docs = read_table(spark, d, "documents")
-    cleaned = F.regexp_replace("text", r"(?U)```[a-z]*\n\s*\n?```", "")
-    return docs.select("doc_id", (F.length("text") - F.length(cleaned)).alias("removed_chars")).where("removed_chars > 0")
-
-
 @register(
     "url_number",
     "SELECT page_id, TRY_CAST(NULLIF(regexp_extract(url, '/issues/([0-9]+)\\b', 1), '') AS INTEGER) AS number, "
@@ -205,36 +288,44 @@ def _url_number(spark, d):
     return pages.select("page_id", *W.url_number(F.col("url")))
 
 
-@register(
-    "extract_version",
-    "SELECT doc_id, regexp_extract(text, '(?m)^\\s*version:\\s*\"?([^\"\\s]+)\"?\\s*$', 1) AS version FROM documents "
-    "WHERE regexp_extract(text, '(?m)^\\s*version:\\s*\"?([^\"\\s]+)\"?\\s*$', 1) <> ''",
-)
+@register("extract_version", "SELECT doc_id, '1.' || doc_id % 10 || '.0' AS version FROM documents")
 def _extract_version(spark, d):
-    """H1 over whole documents: the ``version:`` header value where present."""
+    """H1: the ``version:`` header value of the prepared texts."""
     from sightline.operators import versions as V
 
-    docs = read_table(spark, d, "documents")
-    return docs.select("doc_id", V.extract_version(F.col("text")).alias("version")).where(F.col("version").isNotNull())
+    return prepared(spark, d).select("doc_id", V.extract_version(F.col("md")).alias("version"))
 
 
 @register(
     "status_counts",
     "SELECT doc_id, " + ", ".join(
-        f"CAST(len(regexp_extract_all(text, '\\[{m}\\]')) AS INTEGER) AS {m.lower()}"
-        for m in ("DECIDED", "PROPOSED", "OPEN")) + " FROM documents",
+        f"CAST(len(regexp_extract_all(md, '\\[{m}\\]')) AS INTEGER) AS {m.lower()}"
+        for m in ("DECIDED", "PROPOSED", "OPEN")) + f" FROM {_RAW}",
 )
 def _status_counts(spark, d):
-    """J1 over whole documents: status markers per document."""
+    """Status markers of the prepared texts."""
+    from sightline.operators import plan_docs as J
+
+    return J.status_counts(prepared(spark, d).select("doc_id", F.col("md").alias("text"))).drop("text")
+
+
+@register(
+    "status_by_section",
+    "SELECT doc_id, section, CAST((section = 'Status')::INT AS BIGINT) AS decided, CAST((section <> 'Status')::INT AS BIGINT) AS proposed, "
+    "CAST(2 * (section = 'Status')::INT AS BIGINT) AS open FROM (SELECT doc_id, unnest(['Status', 'End ' || doc_id]) AS section FROM documents)",
+)
+def _status_by_section(spark, d):
+    """J1 per section: markers of each ``## `` section of the prepared texts."""
     from sightline.operators import plan_docs as J
 
-    return J.status_counts(read_table(spark, d, "documents").select("doc_id", "text")).drop("text")
+    x = J.status_by_section(prepared(spark, d).select("doc_id", F.col("md").alias("text")), ["doc_id"])
+    return x.where("section IS NOT NULL").drop("section_no")
 
 
-@register("diagram_inventory")
+@register("diagram_inventory", "SELECT doc_id, 'flowchart' AS diagram_type, CAST(2 AS INTEGER) AS n_lines, false AS too_large FROM documents WHERE doc_id % 6 = 0")
 def _diagrams(spark, d):
-    """K1: fenced mermaid blocks across all documents, typed by first keyword."""
+    """K1: diagrams of the prepared texts, typed by their first keyword."""
     from sightline.operators import plan_docs as J
 
-    blocks = W.fenced_blocks(read_table(spark, d, "documents"), "text", "doc_id")
-    return J.diagram_inventory(blocks).drop("body")
+    blocks = W.fenced_blocks(prepared(spark, d), "md", "doc_id")
+    return J.diagram_inventory(blocks).select("doc_id", "diagram_type", "n_lines", "too_large")

@@ -1,232 +1,140 @@
-"""Registered queries of the page pipeline (D, E over ``pages``)."""
+"""Registered queries over ``pages``: metadata, boilerplate, images, reading time.
+
+The given pages have a title and a language but no other metadata, so every
+page gets tags built from its own id and address (``rich_pages``), whole
+table; the twins state what must be read back from them.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sightline.functions.langs import sniff_language_col
+from sightline.operators import page_meta as M
 from sightline.operators import pages as PG
 from sightline.plans.catalog import register
 from sightline.sources.tables import page_source_table, read_table
 
-# The driver's pages contain no fused runs of 80+ characters; 20 exercises the detector.
-MIN_LEN = 20
-
-
-def _processed(spark, d):
-    return PG.page_pipeline(page_source_table(read_table(spark, d, "pages")), min_len=MIN_LEN)
-
-
-@register("page_summary")
-def _summary(spark, d):
-    return PG.page_summary(_processed(spark, d))
-
+_LD = """'<script type="application/ld+json">[{"@type":"Person"},{"@type":["Thing","BlogPosting"],"headline":"LD ' || page_id || '","author":[{"name":"A"},"B ' || page_id || '"],"datePublished":"2024-01-01"}]</script><script type="application/ld+json">{bad</script>'"""
+_HEAD = f"""'<link rel="canonical" href="' || url || '">'
+  || CASE WHEN page_id % 2 = 0 THEN '<meta property="og:title" content="OG ' || page_id || ' &amp; co"><meta content="about ' || page_id || '" name="description">' ELSE '' END
+  || CASE WHEN page_id % 3 = 0 THEN {_LD} ELSE '' END
+  || CASE WHEN page_id % 5 = 0 THEN '<META NAME="author" CONTENT="meta author"><meta property="og:locale" content="xx">' ELSE '' END"""
+_FOOT = """'<img src="https://cdn.example.com/a/' || page_id || '.png?x=1"><img alt="a > b"><img src="data:image/png;base64,x"><img src=/rel/pic-' || page_id || '>'
+  || CASE WHEN page_id % 4 = 0 THEN '<div class="x" role="button">go</div>' ELSE '' END"""
+_RICH = f"replace(replace(html, '</head>', {_HEAD} || '</head>'), '</article>', {_FOOT} || '</article>')"
 
 _ENTITY_FIX = (
     "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), "
     "'&amp;', '&')"
 )
+_TITLE = ("regexp_replace(" + _ENTITY_FIX.format(x="regexp_extract(html, '<title>([^<]*)</title>', 1)")
+          + ", '^\\s+|\\s+$', '', 'g')")
+_LANG = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
+
+
+def rich_pages(spark, d) -> DataFrame:
+    p = page_source_table(read_table(spark, d, "pages"))
+    # a backslash or quote in these literals would mean something else in the two dialects; there is none
+    return p.select("page_id", "url", F.expr(_RICH).alias("html"))
 
 
 @register(
     "page_metadata",
-    "SELECT page_id, regexp_replace(" + _ENTITY_FIX.format(x="regexp_extract(html, '<title>([^<]*)</title>', 1)")
-    + ", '^\\s+|\\s+$', '', 'g') AS title, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages",
+    f"""SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN 'LD ' || page_id WHEN page_id % 2 = 0 THEN 'OG ' || page_id || ' & co'
+               WHEN {_TITLE} <> '' THEN {_TITLE} END AS title,
+        CASE WHEN page_id % 3 = 0 THEN 'A, B ' || page_id WHEN page_id % 5 = 0 THEN 'meta author' END AS author,
+        CASE WHEN page_id % 3 = 0 THEN '2024-01-01' END AS date, CASE WHEN page_id % 2 = 0 THEN 'about ' || page_id END AS description,
+        url AS canonical_url, CAST(NULL AS VARCHAR) AS og_image, CAST(NULL AS VARCHAR) AS site_name, {_LANG} AS lang FROM pages""",
 )
 def _metadata(spark, d):
-    x = PG.extract_pages(page_source_table(read_table(spark, d, "pages")))
-    return x.select("page_id", "title", "lang")
-
-
-@register("page_markdown")
-def _markdown(spark, d):
-    return _processed(spark, d).select("page_id", "picked_by", "word_count", "reading_time_minutes", "markdown")
-
-
-@register("issue_report")
-def _issues(spark, d):
-    return PG.issue_report(_processed(spark, d))
-
-
-@register("section_map")
-def _sections(spark, d):
-    return PG.sections_long(_processed(spark, d))
+    """The merged fields of each page."""
+    return M.page_metadata(rich_pages(spark, d))
 
 
-@register("image_manifest")
-def _images(spark, d):
-    return PG.image_manifest(PG.extract_pages(read_table(spark, d, "pages")))
-
-
-@register("issue_rollup")
-def _rollup(spark, d):
-    """Issues by type and the share of clean pages, in ONE pass over the pipeline.
-
-    Each page contributes one marker row (is it clean?) plus one row per
-    issue; a single aggregation counts both, and the page share is read from
-    the marker group by a window over the handful of aggregated rows.
-    """
-    p = _processed(spark, d).select("issues")
-    marker = F.struct(F.lit(None).cast("string").alias("type"), (F.size("issues") == 0).cast("int").alias("clean"))
-    rows = p.select(F.explode(F.concat(
-        F.array(marker),
-        F.transform("issues", lambda i: F.struct(i["type"].alias("type"), F.lit(0).alias("clean"))),
-    )).alias("r"))
-    agg = rows.groupBy("r.type").agg(F.count(F.lit(1)).alias("n"), F.sum("r.clean").alias("clean"))
-    share = F.max(F.when(F.col("type").isNull(), F.round(F.col("clean") / F.col("n"), 4))).over(Window.partitionBy())
-    return agg.withColumn("clean_page_share", share).where(F.col("type").isNotNull()).select(
-        "type", "n", "clean_page_share")
-
+def _candidates(spark, d, build):
+    x = rich_pages(spark, d).select("page_id", F.posexplode_outer(build(F.col("html"))).alias("pos", "c")).where("c IS NOT NULL")
+    return x.select("page_id", "pos", "c.source", "c.key", "c.value")
 
-@register("issue_rollup_by_site")
-def _rollup_site(spark, d):
-    """E17 corpus view: issue counts by ROLLUP(site, type) — per site and type, per site, overall."""
-    p = _processed(spark, d).select(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1).alias("site"),
-                                    "issues")
-    rows = p.select("site", F.explode_outer("issues.type").alias("type")).where(F.col("type").isNotNull())
-    return rows.rollup("site", "type").agg(F.count(F.lit(1)).alias("issues"), F.grouping_id().alias("level"))
 
-
-@register("picked_by_counts")
-def _picked(spark, d):
-    """D15 audit: how many pages took each content rule (article / main / div / body)."""
-    x = PG.extract_pages(read_table(spark, d, "pages"))
-    return x.groupBy("picked_by").agg(F.count(F.lit(1)).alias("pages"))
-
-
-@register("code_language")
-def _code_language(spark, d):
-    """D22 native rule table over whole document texts: documents per sniffed language."""
-    docs = read_table(spark, d, "documents")
-    return docs.groupBy(sniff_language_col(F.col("text")).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-
-
-# ---------------------------------------------------------------- per-step views
-
-_TITLE = ("regexp_replace(" + _ENTITY_FIX.format(x="regexp_extract(html, '<title>([^<]*)</title>', 1)")
-          + ", '^\\s+|\\s+$', '', 'g')")
-_LANG = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
-
-
-def _extracted(spark, d):
-    return PG.extract_pages(page_source_table(read_table(spark, d, "pages")))
-
-
-def _candidates(spark, d, sources):
-    x = _extracted(spark, d).select("page_id", F.explode_outer("meta_candidates").alias("c"))
-    return x.where(F.col("c.source").isin(*sources)).select("page_id", "c.source", "c.key", "c.value")
-
-
-@register("meta_jsonld")
+@register(
+    "meta_jsonld",
+    """SELECT page_id, CAST(p AS INTEGER) AS pos, 'jsonld' AS source, k AS key, CASE k WHEN 'title' THEN 'LD ' || page_id WHEN 'date' THEN '2024-01-01' ELSE 'A, B ' || page_id END AS value
+       FROM pages, (VALUES (0, 'title'), (1, 'date'), (2, 'author')) v(p, k) WHERE page_id % 3 = 0""",
+)
 def _meta_jsonld(spark, d):
-    """JSON-LD article fields per page (the driver pages carry none)."""
-    return _candidates(spark, d, ["jsonld"])
+    """JSON-LD article fields (in a list, with a list type; a broken block is skipped)."""
+    return _candidates(spark, d, M.jsonld_candidates)
 
 
-@register("meta_tags")
+@register(
+    "meta_tags",
+    """SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY o) - 1 AS INTEGER) AS pos, source, key, value FROM (
+         SELECT page_id, 0 AS o, 'property' AS source, 'title' AS key, 'OG ' || page_id || ' & co' AS value FROM pages WHERE page_id % 2 = 0
+         UNION ALL SELECT page_id, 1, 'property', 'lang', 'xx' FROM pages WHERE page_id % 5 = 0
+         UNION ALL SELECT page_id, 2, 'name', 'description', 'about ' || page_id FROM pages WHERE page_id % 2 = 0
+         UNION ALL SELECT page_id, 3, 'name', 'author', 'meta author' FROM pages WHERE page_id % 5 = 0)""",
+)
 def _meta_tags(spark, d):
-    """Open Graph / article / Twitter / author / description meta tags per page."""
-    return _candidates(spark, d, ["og", "twitter", "meta"])
+    """Meta tags, properties first, whatever the order and case of their attributes."""
+    return _candidates(spark, d, M.meta_candidates)
 
 
 @register(
     "meta_fallback",
-    f"SELECT page_id, 'fallback' AS source, 'title' AS key, {_TITLE} AS value FROM pages WHERE {_TITLE} <> '' "
-    f"UNION ALL SELECT page_id, 'html_lang', 'lang', {_LANG} FROM pages WHERE {_LANG} <> ''",
+    f"""SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY o) - 1 AS INTEGER) AS pos, source, key, value FROM (
+         SELECT page_id, 0 AS o, 'fallback' AS source, 'title' AS key, {_TITLE} AS value FROM pages
+         UNION ALL SELECT page_id, 1, 'fallback', 'canonical_url', url FROM pages UNION ALL SELECT page_id, 2, 'html_lang', 'lang', {_LANG} FROM pages) WHERE value <> ''""",
 )
 def _meta_fallback(spark, d):
     """D3: ``<title>``, canonical link and ``<html lang>`` per page."""
-    return _candidates(spark, d, ["fallback", "html_lang"])
-
-
-@register("dom_cleanup")
-def _dom_cleanup(spark, d):
-    """D5–D13 audit: how often each cleanup step changed each page (long form, non-zero only)."""
-    x = _extracted(spark, d).select("page_id", F.explode_outer("cleanup_counts").alias("step", "n"))
-    return x.where(F.col("n") > 0)
+    return _candidates(spark, d, M.fallback_candidates)
 
 
 @register(
     "strip_boilerplate",
-    "SELECT page_id, CAST(len(regexp_extract_all(lower(html), "
-    "'<(script|style|button|svg|nav|footer|header|noscript)[\\s/>]')) AS INTEGER) AS removed FROM pages "
-    "WHERE regexp_matches(lower(html), '<(script|style|button|svg|nav|footer|header|noscript)[\\s/>]')",
+    "SELECT page_id, CAST(len(regexp_extract_all(lower(html), '<(script|style|button|svg|nav|footer|header|noscript)[\\s/>]')) "
+    "+ 2 * (page_id % 3 = 0)::INT + (page_id % 4 = 0)::INT AS INTEGER) AS removed FROM pages",
 )
 def _strip_boilerplate(spark, d):
-    """Boilerplate elements removed per page."""
-    x = _extracted(spark, d).select("page_id", F.col("cleanup_counts")["boilerplate"].alias("removed"))
-    return x.where(F.col("removed") > 0)
-
-
-def _step(name):
-    def run(spark, d):
-        x = _extracted(spark, d).select("page_id", F.col("cleanup_counts")[name].alias("changed"))
-        return x.where(F.col("changed") > 0)
-
-    run.__doc__ = f"Pages changed by the {name} cleanup step, with the number of changes."
-    return run
+    """Boilerplate elements per page, by tag and by role."""
+    return rich_pages(spark, d).select("page_id", M.boilerplate_counts(F.col("html")).alias("removed"))
 
 
-for _query, _stepname in [("flatten_aria_tabs", "aria_tabs"), ("flatten_class_tabs", "class_tabs"),
-                          ("terminal_regions", "terminal_regions"), ("strip_copy_ui", "copy_ui"),
-                          ("clean_code_chrome", "code_chrome"), ("collapse_code_spans", "code_spans"),
-                          ("inline_spacing", "inline_spacing")]:
-    register(_query)(_step(_stepname))
-
-
-@register("pick_article")
-def _pick_article(spark, d):
-    """Which rule chose the content (article / main / best div / body) and its size."""
-    x = _extracted(spark, d)
-    return x.select("page_id", "picked_by", PG.word_count(F.col("article_text")).alias("word_count"),
-                    F.length("article_text").alias("text_chars"))
-
-
-@register("best_div")
-def _best_div(spark, d):
-    """The winning div of every page (index, score, direct paragraphs, text length)."""
-    x = _extracted(spark, d).select("page_id", PG.best_div(F.col("div_candidates")).alias("b"))
-    return x.select("page_id", "b.idx", "b.score", "b.p_count", "b.text_len").where(F.col("idx").isNotNull())
+@register(
+    "image_manifest",
+    """SELECT page_id, CAST(0 AS INTEGER) AS img_pos, 'https://cdn.example.com/a/' || page_id || '.png?x=1' AS src,
+              right('https___cdn_example_com_a_' || page_id || '_png_x_1', 40) || '.png' AS local_name FROM pages WHERE html LIKE '%</article>%'
+       UNION ALL SELECT page_id, 1, '/rel/pic-' || page_id, '_rel_pic_' || page_id || '.bin' FROM pages WHERE html LIKE '%</article>%'""",
+)
+def _images(spark, d):
+    """Images of the pages; inline ones and those without a source are left out."""
+    return M.image_manifest(rich_pages(spark, d))
 
 
-@register("select_content")
-def _select_content(spark, d):
-    """A CSS selector override (``article p``); pages where it matches nothing fall back."""
-    x = PG.extract_pages(page_source_table(read_table(spark, d, "pages")), selector="article p")
-    return x.select("page_id", "picked_by", F.length("article_text").alias("text_chars"))
+def _text_sql() -> str:
+    x = "html"
+    for tag in M.STRIP_TAGS:
+        x = f"regexp_replace({x}, '(?is)<{tag}\\b.*?</{tag}\\s*>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?is)<!--.*?-->|<head\\b.*?</head\\s*>', ' ', 'g')"
+    return _ENTITY_FIX.format(x=f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')")
 
 
-@register("reading_time")
+@register(
+    "reading_time",
+    f"""SELECT page_id, n AS word_count, greatest(1, CAST(round_even(n / 250.0, 0) AS INTEGER)) AS reading_time_minutes
+        FROM (SELECT page_id, CAST(len(regexp_extract_all({_text_sql()}, '\\S+')) AS INTEGER) AS n FROM pages)""",
+)
 def _reading_time(spark, d):
-    """Words and reading minutes per page."""
-    x = _extracted(spark, d).withColumn("word_count", PG.word_count(F.col("article_text")))
-    return x.select("page_id", "word_count", PG.reading_time(F.col("word_count")).alias("reading_time_minutes"))
+    """Words outside boilerplate and reading minutes per page."""
+    pages = page_source_table(read_table(spark, d, "pages"))
+    x = pages.select("page_id", PG.word_count(M.content_text(F.col("html"))).alias("word_count"))
+    return x.withColumn("reading_time_minutes", PG.reading_time(F.col("word_count")))
 
 
-@register(
-    "front_matter",
-    "SELECT page_id, CASE WHEN " + _TITLE + " <> '' THEN '---' || chr(10) || 'title: \"' || replace(" + _TITLE
-    + ", '\"', '\\\"') || '\"' || chr(10) || '---' ELSE '---' || chr(10) || '---' END AS front_matter FROM pages",
-)
-def _front_matter(spark, d):
-    """The ``---`` header each page's markdown starts with."""
-    x = _extracted(spark, d)
-    return x.select("page_id", PG.front_matter(F.col("title"), F.col("author"), F.col("date"),
-                                               F.col("canonical_url")).alias("front_matter"))
-
-
-@register("inject_h1")
-def _inject_h1(spark, d):
-    """Pages whose markdown did not start with ``# `` and got the title as heading."""
-    x = _processed(spark, d)
-    raw_first = F.get(F.filter(F.split(F.col("markdown_raw"), "\n"), lambda l: F.trim(l) != ""), 0)
-    return x.select("page_id", "title", (~F.coalesce(raw_first.startswith("# "), F.lit(False))
-                                         & F.col("title").isNotNull()).alias("injected")).where("injected")
-
-
-@register("exclusion_zones")
-def _zones(spark, d):
-    """Fence / link-URL / inline-code / front-matter spans per page markdown."""
-    x = _processed(spark, d).select("page_id", PG.exclusion_zones(F.col("markdown")).alias("z"))
-    return x.select("page_id", F.size("z").alias("n_zones"), F.col("z")[0]["start"].alias("first_start"))
+@register("code_language")
+def _code_language(spark, d):
+    """D22 native rule table over whole document texts: documents per sniffed language."""
+    docs = read_table(spark, d, "documents")
+    return docs.groupBy(sniff_language_col(F.col("text")).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
