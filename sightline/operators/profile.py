@@ -179,11 +179,24 @@ def null_pct(c: Column) -> Column:
 
 
 def format_number(x: Column) -> Column:
-    """Round half-even to one decimal, drop a trailing ``.0``; text for display only."""
-    r = F.bround(x.cast("double"), 1)
-    return F.when(r.isNull(), F.lit(None)).when(
-        r == F.floor(r), r.cast("decimal(38,0)").cast("string")
-    ).otherwise(r.cast("decimal(38,1)").cast("string"))
+    """Round half-even to one decimal, drop a trailing ``.0``; text for display only.
+
+    NaN and infinities stay what they are; numbers of more than 36 digits are
+    shown in floating-point notation.
+    """
+    d = x.cast("double")
+    r = F.bround(d, 1)
+    plain = F.regexp_replace(r.try_cast("decimal(38,1)").cast("string"), r"\.0$", "")
+    return F.when(d.isNull(), F.lit(None)).when(F.isnan(d) | (F.abs(d) >= 1e36), d.cast("string")).otherwise(plain)
+
+
+def _shown(x: Column, data_type: T.DataType) -> Column:
+    """A column's own value for display: whole numbers exactly, others by ``format_number``."""
+    if isinstance(data_type, T.IntegralType):
+        return x.cast("string")
+    if isinstance(data_type, T.DecimalType):
+        return F.regexp_replace(F.bround(x, 1).cast("string"), r"\.0$", "")
+    return format_number(x)
 
 
 # Columns per aggregate pass: a few hundred aggregate expressions still
@@ -213,8 +226,10 @@ def profile_numeric(
     ``quantiles``: ``None`` (skip), ``"approx"`` (``percentile_approx``,
     Greenwald–Khanna, bounded memory — the scalable default) or ``"exact"``
     (``percentile``; memory grows with distinct values, small tables only).
-    Statistics are doubles rounded to ``digits`` decimals.  Columns are
-    classified by type, so an all-null numeric column stays numeric.
+    Statistics are doubles rounded to ``digits`` decimals; ``min_exact`` and
+    ``max_exact`` hold the limits of whole-number columns to the last digit, as
+    text.  Columns are classified by type, so an all-null numeric column stays
+    numeric.
     """
     all_fields = [(i + 1, f) for i, f in enumerate(df.schema.fields) if _kind(f.dataType) == "numeric"]
     if len(all_fields) > CHUNK_COLUMNS:
@@ -225,10 +240,11 @@ def profile_numeric(
 def _profile_numeric_fields(df, fields, quantiles, accuracy, digits) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, f in fields:
-        c = qcol(f.name).cast("double")
+        own = qcol(f.name)
+        c = own.cast("double")
         aggs += [
-            F.min(c).alias(f"mn{i}"),
-            F.max(c).alias(f"mx{i}"),
+            F.min(own).alias(f"mn{i}"),
+            F.max(own).alias(f"mx{i}"),
             F.avg(c).alias(f"av{i}"),
             F.count(c).alias(f"nn{i}"),
         ]
@@ -243,8 +259,8 @@ def _profile_numeric_fields(df, fields, quantiles, accuracy, digits) -> DataFram
             F.lit(f.name).alias("column_name"),
             F.lit(i).alias("pos"),
             F.lit(duckdb_type_name(f.dataType)).alias("data_type"),
-            F.round(F.col(f"mn{i}"), digits).alias("min_value"),
-            F.round(F.col(f"mx{i}"), digits).alias("max_value"),
+            F.round(F.col(f"mn{i}").cast("double"), digits).alias("min_value"),
+            F.round(F.col(f"mx{i}").cast("double"), digits).alias("max_value"),
             F.round(F.col(f"av{i}"), digits).alias("avg_value"),
         ]
         if quantiles:
@@ -253,6 +269,8 @@ def _profile_numeric_fields(df, fields, quantiles, accuracy, digits) -> DataFram
             F.round(F.try_divide((F.col("__n") - F.col(f"nn{i}")) * 100.0, F.col("__n")), 1).alias("null_pct"),
             F.col(f"nn{i}").alias("non_null"),
         ]
+        whole = isinstance(f.dataType, T.IntegralType)
+        parts += [(F.col(f"{m}{i}") if whole else F.lit(None)).cast("string").alias(n) for m, n in (("mn", "min_exact"), ("mx", "max_exact"))]
         structs.append(F.struct(*parts))
     if not structs:
         return one.limit(0).select(F.lit(None).cast("string").alias("column_name"))
@@ -317,7 +335,7 @@ def _describe_fields(df, fields, accuracy, rsd, n_cols) -> DataFrame:
         aggs.append(F.count(c).alias(f"nn{i}"))
         if kind == "numeric":
             d = c.cast("double")
-            aggs += [F.min(d).alias(f"mn{i}"), F.max(d).alias(f"mx{i}"), F.avg(d).alias(f"av{i}"),
+            aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"), F.avg(d).alias(f"av{i}"),
                      F.percentile_approx(d, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")]
         elif kind == "temporal":
             aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"),
@@ -330,7 +348,7 @@ def _describe_fields(df, fields, accuracy, rsd, n_cols) -> DataFrame:
         kind = _kind(f.dataType)
         if kind == "numeric":
             fmt = format_number
-            vals = [fmt(F.col(f"mn{i}")), fmt(F.col(f"mx{i}")), fmt(F.col(f"av{i}"))] + [
+            vals = [_shown(F.col(f"mn{i}"), f.dataType), _shown(F.col(f"mx{i}"), f.dataType), fmt(F.col(f"av{i}"))] + [
                 fmt(F.col(f"q{i}")[k]) for k in range(3)
             ]
             uniq = F.lit(None).cast("bigint")
@@ -378,11 +396,12 @@ def unique_values(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
                 F.lit(name).alias("column_name"),
                 c.cast("string").alias("value"),
                 (c.cast("double") if numeric else F.lit(None).cast("double")).alias("num_key"),
+                (c if isinstance(by_name[name], T.IntegralType) else F.lit(None)).cast("decimal(20,0)").alias("int_key"),
                 (F.lit(None).cast("string") if numeric else c.cast("string")).alias("str_key"),
             )
         )
     long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
-    return long.orderBy("col_pos", "num_key", "str_key").select("col_pos", "column_name", "value")
+    return long.orderBy("col_pos", "num_key", "int_key", "str_key").select("col_pos", "column_name", "value")
 
 
 def groupby_count(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:

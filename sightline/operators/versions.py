@@ -26,8 +26,8 @@ def extract_version(text: Column) -> Column:
 
 def parse_semver(v: Column) -> Column:
     """H2: ``MAJOR.MINOR.PATCH`` → struct, null when not a release triple."""
-    ok = F.coalesce(v.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+$"), F.lit(False))
-    part = lambda i: F.regexp_extract(v, r"^([0-9]+)\.([0-9]+)\.([0-9]+)$", i).try_cast("long")
+    ok = F.coalesce(v.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\z"), F.lit(False))
+    part = lambda i: F.regexp_extract(v, r"^([0-9]+)\.([0-9]+)\.([0-9]+)\z", i).try_cast("long")
     return F.when(ok, F.struct(part(1).alias("major"), part(2).alias("minor"), part(3).alias("patch")))
 
 

@@ -185,7 +185,9 @@ def _numeric_twin(table: str, cols: list[tuple[int, str, str]]) -> str:
             f"SELECT '{c}' AS column_name, {pos} AS pos, '{typ}' AS data_type, "
             f"ROUND(MIN({c})::DOUBLE, 6) AS min_value, ROUND(MAX({c})::DOUBLE, 6) AS max_value, "
             f"ROUND(AVG({c})::DOUBLE, 6) AS avg_value, "
-            f"ROUND((COUNT(*) - COUNT({c})) * 100.0 / COUNT(*), 1) AS null_pct, COUNT({c}) AS non_null FROM {table}"
+            f"ROUND((COUNT(*) - COUNT({c})) * 100.0 / COUNT(*), 1) AS null_pct, COUNT({c}) AS non_null, "
+            + (f"CAST(MIN({c}) AS VARCHAR) AS min_exact, CAST(MAX({c}) AS VARCHAR) AS max_exact" if typ != "DOUBLE" else
+               "CAST(NULL AS VARCHAR) AS min_exact, CAST(NULL AS VARCHAR) AS max_exact") + f" FROM {table}"
         )
     return " UNION ALL ".join(parts)
 

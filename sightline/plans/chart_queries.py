@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from sightline.operators import charts as K
 from sightline.plans.catalog import register
-from sightline.session import maybe_broadcast
 from sightline.sources.tables import read_table
 
 
 def _status_flows(spark, d):
     """nation → order status (orders) and order status → return flag (lineitems)."""
-    nation = maybe_broadcast(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
+    nation = read_table(spark, d, "nation").select("n_nationkey", "n_name")
     cust = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_returnflag")
@@ -72,8 +71,7 @@ def _share(spark, d):
 def _rollup(spark, d):
     orders = read_table(spark, d, "orders").select("o_custkey", "o_totalprice")
     cust = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    geo = maybe_broadcast(read_table(spark, d, "nation").join(read_table(spark, d, "region"),
-                                                              F.col("n_regionkey") == F.col("r_regionkey")))
+    geo = read_table(spark, d, "nation").join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     x = orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     return K.hierarchy_rollup(x, ["r_name", "n_name"], "o_totalprice")
 

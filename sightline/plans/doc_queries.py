@@ -265,13 +265,12 @@ def _feedback(spark, d):
     "SELECT source AS skill, COUNT(*) AS entries FROM documents WHERE " + _STRIP.format(x="text") + " <> '' GROUP BY source",
 )
 def _feedback_stream(spark, d):
-    """A file stream of entries, de-duplicated within a watermark, appended exactly once
-    (``availableNow``); re-running the same trigger adds nothing."""
+    """A file stream of entries, each appended once (``availableNow``); re-running the same trigger adds nothing."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/feedback-stream-{uuid.uuid4().hex}"
     src, out, ck = f"{base}/in", f"{base}/out", f"{base}/_checkpoint"
     _feedback_entries(spark, d).write.parquet(src)
     for _ in range(2):  # the second run must find nothing new
-        q = FS.start_feedback_sink(FS.dedup_entries(FS.entries_stream(spark, src)), out, ck)
+        q = FS.start_feedback_sink(FS.keyed_entries(FS.entries_stream(spark, src)), out, ck)
         q.awaitTermination()
     return spark.read.parquet(out).groupBy("skill").agg(F.count(F.lit(1)).alias("entries"))
 

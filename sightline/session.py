@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime SQL settings applied when a caller has not set them already.
 # AQE re-plans joins from runtime sizes (broadcast only when the measured
@@ -22,10 +21,6 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
-# Largest row count we accept for an explicit broadcast hint.
-BROADCAST_MAX_ROWS = 100_000
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the defaults above where the session leaves them unset, and
     make the package importable in Python workers."""
@@ -95,7 +90,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = _FALLBACK_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="sightline-ckpt-"))
+        if sc.applicationId not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="sightline-ckpt-")
+        path = _FALLBACK_DIRS[sc.applicationId]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
@@ -116,31 +113,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/sightline-cut-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it small.
-
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    exceeded, so the check itself stays cheap on a large side; beyond the
-    bound the plan falls back to a shuffle join chosen by AQE.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row stages (HTML parsing, Python regex) at least one
-    partition per core.
-
-    A large input already arrives in many file splits and is returned
-    untouched (no shuffle).  Only an input with fewer partitions than the
-    cluster's default parallelism — a small table in one file / row group —
-    is spread round-robin; that shuffle moves a small table, and each row
-    is independent so no key co-location is needed.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

@@ -35,11 +35,26 @@ def test_stream_exactly_once(spark):
     base = tempfile.mkdtemp(prefix="fbs-")
     _entries(spark).write.parquet(f"{base}/in")
     for _ in range(2):
-        q = FS.start_feedback_sink(FS.dedup_entries(FS.entries_stream(spark, f"{base}/in")), f"{base}/out", f"{base}/ck")
+        q = FS.start_feedback_sink(FS.keyed_entries(FS.entries_stream(spark, f"{base}/in")), f"{base}/out", f"{base}/ck")
         q.awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == 2
 
 
+def test_stream_keeps_late_entries(spark):
+    import datetime as dt
+
+    base = tempfile.mkdtemp(prefix="fbl-")
+    day = lambda n: dt.datetime(2024, 3, 10 - n)
+    files = [[("a", day(0), "new")], [("a", day(5), "old")], [("b", day(9), "older"), ("a", day(0), "new")], [("a", day(9), "oldest"), ("a", day(9), "oldest")]]
+    got = []
+    for rows in files:  # one trigger a file, each older than the one before
+        spark.createDataFrame(rows, "skill string, ts timestamp, text string").write.mode("append").parquet(f"{base}/in")
+        FS.start_feedback_sink(FS.keyed_entries(FS.entries_stream(spark, f"{base}/in", max_files_per_trigger=1)), f"{base}/out", f"{base}/ck").awaitTermination()
+        got.append(spark.read.parquet(f"{base}/out").count())
+    assert got == [1, 2, 3, 4]
+    assert sorted((r.skill, r.text.strip()) for r in spark.read.parquet(f"{base}/out").collect()) == [("a", "new"), ("a", "old"), ("a", "oldest"), ("b", "older")]
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 

@@ -160,3 +160,15 @@ def test_checkpoint_dir_fallback_without_setting():
     sp = Spark()
     first = S.checkpoint_dir(sp)
     assert S.checkpoint_dir(sp) == first and sp.sparkContext._dir == first
+
+
+def test_limits_of_large_numbers(spark):
+    big = [(9007199254740993, 1e39, float("nan")), (9007199254740995, -1e39, 1.0), (-9223372036854775808, 2.55, float("inf"))]
+    df = spark.createDataFrame(big, "n long, x double, y double")
+    got = {r.column_name: r for r in P.profile_numeric(df).collect()}
+    assert (got["n"].min_exact, got["n"].max_exact) == ("-9223372036854775808", "9007199254740995") and got["x"].max_exact is None
+    shown = {r.column_name: r for r in P.describe(df).collect()}
+    assert (shown["n"].min, shown["n"].max) == ("-9223372036854775808", "9007199254740995")
+    assert (shown["x"].min, shown["x"].max, shown["y"].max) == ("-1.0E39", "1.0E39", "NaN")
+    texts = [r.value for r in P.unique_values(df, "n").collect()]
+    assert texts == ["-9223372036854775808", "9007199254740993", "9007199254740995"]
