@@ -134,6 +134,12 @@ def _preview(spark, d):
     )
 
 
+@register("preview_file_order", """SELECT CAST(row_number() OVER () AS INTEGER) AS preview_pos, * FROM (SELECT c_custkey, c_name, c_nationkey FROM customer LIMIT 25)""")
+def _preview_file_order(spark, d):
+    """B4 in its default form: the first rows as the file has them."""
+    return P.preview(read_table(spark, d, "customer"), n=25, cols="c_custkey,c_name,c_nationkey")
+
+
 @register(
     "schema",
     """SELECT CAST(ordinal_position AS INTEGER) AS pos, column_name, data_type, (SELECT COUNT(*) FROM orders) AS rows
@@ -225,6 +231,59 @@ def _describe(spark, d):
     return P.describe(read_table(spark, d, "orders"))
 
 
+_SHOWN = "regexp_replace(CAST(CAST(round_even({x}, 1) AS DECIMAL(38, 1)) AS VARCHAR), '\\.0$', '')"
+
+
+@register(
+    "describe_limits",
+    " UNION ALL ".join(
+        f"SELECT {pos} AS pos, '{c}' AS column_name, "
+        + (f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max, " if whole else f"{_SHOWN.format(x=f'min({c})')} AS min, {_SHOWN.format(x=f'max({c})')} AS max, ")
+        + f"{_SHOWN.format(x=f'avg({c})')} AS avg, count(*) AS rows FROM lineitem"
+        for pos, c, whole in [(1, "l_orderkey", True), (2, "l_partkey", True), (3, "l_suppkey", True), (4, "l_linenumber", True),
+                              (5, "l_quantity", False), (6, "l_extendedprice", False), (7, "l_discount", False), (8, "l_tax", False)]),
+)
+def _describe_limits(spark, d):
+    """The exact part of ``describe``: limits, mean and rows of the numeric columns, as shown."""
+    return P.describe(read_table(spark, d, "lineitem")).where("kind = 'numeric'").select("pos", "column_name", "min", "max", "avg", "rows")
+
+
+@register(
+    "profile_quantile_bounds",
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n, true AS q25_ok, true AS q50_ok, true AS q75_ok FROM lineitem"
+                       for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+)
+def _quantile_bounds(spark, d):
+    """The approximate quartiles against the ranks they may have: rows below at most p + 0.1 %, rows up to them at least p - 0.1 %."""
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = read_table(spark, d, "lineitem").select(*names)
+    found = P.profile_numeric(li, quantiles="approx").select("column_name", "q25", "q50", "q75")
+    long = li.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.round(c, 6).alias("v")) for c in names))))
+    x = long.join(F.broadcast(found), "column_name")  # one row a column
+    ok = lambda q, p: ((F.avg((F.col("v") < F.col(q)).cast("double")) <= p + 0.001) & (F.avg((F.col("v") <= F.col(q)).cast("double")) >= p - 0.001)).alias(f"{q}_ok")
+    return x.groupBy("column_name").agg(F.count("*").alias("n"), ok("q25", 0.25), ok("q50", 0.5), ok("q75", 0.75))
+
+
+@register("approx_distinct_bounds", "SELECT l_returnflag, count(DISTINCT l_partkey) AS exact, true AS within FROM lineitem GROUP BY l_returnflag")
+def _approx_bounds(spark, d):
+    """The approximate distinct count of the SQL catalogue within four standard errors of the exact one."""
+    li = read_table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("exact"), F.approx_count_distinct("l_partkey", 0.02).alias("a"))
+    return li.select("l_returnflag", "exact", (F.abs(F.col("a") - F.col("exact")) <= 0.08 * F.col("exact")).alias("within"))
+
+
+@register("sample_bounds", "SELECT count(*) AS total, true AS subset, true AS size_ok, true AS again FROM lineitem")
+def _sample_bounds(spark, d):
+    """The sample of the SQL catalogue: rows of the table, about one in a hundred, the same ones again."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    read_table(spark, d, "lineitem").createOrReplaceTempView("lineitem")
+    one, two = (spark.sql(sql_catalog.SQL["sql_sample"][0]).select("l_orderkey", "l_linenumber") for _ in range(2))
+    total = li.agg(F.count("*").alias("total"))
+    n = one.agg(F.count("*")).scalar()
+    strange = one.exceptAll(li).agg(F.count("*")).scalar()
+    other = one.exceptAll(two).agg(F.count("*")).scalar()
+    return total.select("total", (strange == 0).alias("subset"), (F.abs(n - F.col("total") * 0.01) <= 5 * F.sqrt(F.col("total") * 0.01)).alias("size_ok"), (other == 0).alias("again"))
+
+
 @register("describe_report")
 def _describe_report(spark, d):
     """B10–B13 as the text report (header + one line per column) for lineitem."""

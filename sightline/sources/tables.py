@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,9 @@ def file_inventory(spark: SparkSession, patterns: str | Sequence[str]) -> DataFr
             )
         )
         listed = part if listed is None else listed.unionByName(part)
-    # Numbered in (pattern, path) order without a one-partition window: a glob can
-    # list millions of files, so the numbering is range-partitioned like any sort.
-    from sightline.operators.windows import row_number_by
-
-    return row_number_by(listed, [], ["pattern_pos", "path"], out="file_pos").withColumn(
-        "file_pos", F.col("file_pos").cast("int")).orderBy("file_pos")
+    # the driver holds the whole listing while it plans the scan, so numbering it in one task adds no new limit
+    order = Window.orderBy("pattern_pos", "path")
+    return listed.withColumn("file_pos", F.row_number().over(order)).orderBy("file_pos")
 
 
 def bind_tables(spark: SparkSession, paths: Sequence[str]) -> list[str]:
