@@ -128,13 +128,16 @@ def words(column: pa.Array, sep: np.ndarray = SPACE, fold: bool = False, seed: i
         cut = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
         before[cut], after[cut - 1] = False, False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    hashes = np.empty(0, _U)
-    if len(starts):
-        size = ends - starts
-        at = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(at, size)
-        hashes = _byte_table(seed, fold)[buf[inside]] * _powers(int(size.max()))[place]
-        hashes = mix(np.add.reduceat(hashes, at) + size.astype(_U))
+    hashes, size, letters = np.empty(len(starts), _U), ends - starts, buf[inside]
+    at = np.cumsum(size) - size
+    table, word = _byte_table(seed, fold), 0
+    while word < len(starts):  # words of SLICE_BYTES at once, one at least, so a very long text takes no more memory
+        stop = max(word + 1, int(np.searchsorted(at, at[word] + SLICE_BYTES)))
+        own, first = size[word:stop], at[word]
+        place = np.arange(int(own.sum())) - np.repeat(at[word:stop] - first, own)
+        sums = np.add.reduceat(table[letters[first : first + len(place)]] * _powers(int(own.max()))[place], at[word:stop] - first)
+        hashes[word:stop] = mix(sums + own.astype(_U))
+        word = stop
     return Words(buf, offsets, hashes, starts, ends, np.searchsorted(starts, offsets))
 
 

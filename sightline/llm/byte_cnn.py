@@ -35,6 +35,8 @@ TRAIN_CHUNKS = 6
 STEPS, BATCH, RATE, DECAY = 1500, 48, 0.006, 1e-4
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 19
+#: stretches of HALF bytes that are convolved at once
+HALVES = 4096
 _SPAN = 2 * HALF + WIDTH - 1
 
 
@@ -109,6 +111,11 @@ class ByteCNN:
                 v -= RATE * min(1.0, 2 - 2 * step / steps) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
         return self
 
+    def _pooled(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Greatest filter outputs of each stretch; between the stretches of two texts are bytes of neither."""
+        edges = np.stack([start, end], 1).ravel()
+        return np.maximum.reduceat(self._convolved_pairs(data), np.minimum(edges, len(data) - WIDTH)[: 2 * len(start) - 1], axis=0)[::2]
+
     def score(self, texts: pa.Array) -> np.ndarray:
         """The probability of label 1 for each text."""
         out = [np.empty(0)]
@@ -123,7 +130,8 @@ class ByteCNN:
             first = np.cumsum(halves) - halves
             start = np.repeat(at, halves) + (np.arange(int(halves.sum())) - np.repeat(first, halves)) * HALF
             end = np.minimum(start + HALF, np.repeat(at + places, halves))
-            pooled = np.maximum.reduceat(self._convolved_pairs(padded), np.stack([start, np.minimum(end, len(padded) - WIDTH + 1)], 1).ravel()[: 2 * len(start) - 1], axis=0)[::2]
+            pooled = np.concatenate([self._pooled(padded[start[i] : end[min(i + HALVES, len(end)) - 1] + WIDTH - 1], start[i : i + HALVES] - start[i], end[i : i + HALVES] - start[i])
+                                     for i in range(0, len(start), HALVES)])  # a very long text takes no more memory than this many
             last = np.zeros(len(start), bool)
             last[first + halves - 1] = True
             both = np.where(last[:, None], pooled, np.maximum(pooled, np.roll(pooled, -1, 0)))
