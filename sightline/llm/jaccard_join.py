@@ -4,31 +4,36 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of ``percent`` or more.  The search is exact (see below for the hashes):
 
 1. Equal sets collapse: a set's 128-bit fingerprint names its smallest document.
-2. Similar documents are partitioned into groups that no link leaves.  Sizes of
+2. A set that links with another shares most of its shingles with it.  So sets
+   with more shingles of their own, that no set of a like size has, than a link
+   allows are left out at once (small sets by all their shingles, others by a
+   fixed part of all shingles: those of a link can't be fewer).  Documents are
+   dealt into blocks for this; a shingle is one entry a block.
+3. Similar documents are partitioned into groups that no link leaves.  Sizes of
    linked sets differ by the threshold at most, so sets meet within their size
    band or the next.  There, sets of a link differ in at most d shingles.  The
    shingles are dealt by hash into ceil((d + 1) / 2) + 1 parts, so two parts
    differ in one shingle at most; of the three thirds of such a part two are
    equal, and pairs of thirds are the signatures.  Documents that share one are
    joined to its smallest (an edge, not all pairs), and the components of these
-   edges are the groups.  Thirds without shingles name no signature, but where
+   edges, size band by size band, are the groups.  Thirds without shingles name no signature, but where
    a set has them in two parts or more: then they do.
-3. Each group is opened by token-group matrix.  A document's overlap with the
+4. Each group is opened by token-group matrix.  A document's overlap with the
    union of all others must reach the least overlap of a link, else it leaves
    (and its shingles with it, so this repeats).  What is left, in the order of
    its least shingles, forms small groups with the union of their shingles; a
    document's overlap with each union bounds its overlap with every member, and
    only small groups that reach the least overlap of a link are opened.
    Members that are connected already are passed over.
-4. A group of more than ``CHUNK_TOKENS`` shingles or ``CHUNK_DOCS`` documents is
+5. A group of more than ``CHUNK_TOKENS`` shingles or ``CHUNK_DOCS`` documents is
    cut into chunks, each with the same few of its documents as pivots.  What
    the chunks and pivots leave apart from the group's largest component then
    queries all its chunks, in blocks.  So a group of copies of any size costs a
    few passes over it, and no link is lost; only a huge group whose documents
    mostly do *not* link costs more (its blocks times its chunks).
 
-Signatures are packed per batch of documents, each with the smallest document
-that has it, so a signature of very many documents is one entry a batch.  Texts
+Signatures are packed per block of documents, each with the smallest document
+that has it, so a signature of very many documents is one entry a block.  Texts
 are shuffled only if they are in a group of two sets or more, as far as a bitmap
 of fixed size tells.
 
@@ -56,13 +61,16 @@ from sightline.llm.graph import components, forest
 
 SHINGLE = 3
 PERCENT = 90
-CHUNK_TOKENS = 1 << 20
-CHUNK_DOCS = 8000
+CHUNK_TOKENS = 1 << 21
+CHUNK_DOCS = 10_000
 GROUP_DOCS = 16
 #: cells of a token-group matrix, a byte each
 MATRIX_CELLS = 1 << 26
 PIVOTS = 4
 BUCKET_SIGNATURES = 1 << 19
+BLOCK_BYTES = 8 << 20
+#: sets of fewer shingles are searched for shingles of their own in full
+SMALL = 256
 
 
 # ------------------------------------------------------------ shingle sets
@@ -181,21 +189,67 @@ def _to_least(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return new, forest(edges[edges[:, 0] != edges[:, 1]])
 
 
+# ------------------------------------------------- shingles that no one else has
+
+def _counted_shingles(first: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the shingles that are counted, the set of each, and whether they count for it.
+
+    Small sets are counted among themselves and whole; of others, those
+    shingles whose hash divides by a fixed number.
+    """
+    size = np.diff(first)
+    doc = np.repeat(np.arange(len(size)), size)
+    thin = max(1, 60 // (100 - percent))
+    own = size < SMALL
+    low = (size * percent < SMALL * 100)[doc]  # whoever may be linked to a small set
+    high = ~own[doc] & (hashes % np.uint64(thin) == 0)
+    names = np.concatenate([A.mix(hashes[low] ^ np.uint64(0xA5A5A5A5)), hashes[high]])
+    return names, np.concatenate([doc[low], doc[high]]), np.concatenate([own[doc[low]], np.ones(int(high.sum()), bool)])
+
+
+def _named(k: int, percent: int, bits: int):
+    """Per block and bucket: the different counted shingles."""
+    def run(block: pa.Table) -> pa.Table:
+        names = np.unique(_counted_shingles(*shingle_sets(J.column(block, "text"), k), percent)[0])
+        bucket = (names >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
+        ends = np.flatnonzero(_starts(bucket)).tolist() + [len(bucket)]
+        number = J.column(block, "block")[0].as_py()
+        return pa.table({"bucket": pa.array([int(bucket[x]) for x in ends[:-1]], pa.int64()), "block": pa.array([number] * (len(ends) - 1), pa.int64()),
+                         "names": pa.array([A.binary(names[x:y]) for x, y in zip(ends, ends[1:])], pa.binary())})
+
+    return run
+
+
+def _in_several(bucket: pa.Table) -> pa.Table:
+    """For each block, its shingles that another block has too."""
+    blocks, names = J.column(bucket, "block").to_numpy(), [A.numbers(x, np.uint64) for x in J.column(bucket, "names").to_pylist()]
+    every = np.sort(np.concatenate(names))
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    out = [x[np.isin(x, twice, assume_unique=True)] for x in names]
+    return pa.table({"block": pa.array(blocks, pa.int64()), "names": pa.array([A.binary(x) for x in out], pa.binary())})
+
+
 def _packed(k: int, percent: int, bits: np.ndarray):
-    """Per batch and bucket: signatures with the smallest document of each, and edges within the batch.
+    """Per block and bucket: signatures with the smallest document of each, and edges within the block.
 
-    A bucket holds signatures of one scheme, so copies meet in few buckets, whatever their signatures.
+    Sets with more shingles of their own than a link allows are left out.  A
+    bucket holds signatures of one scheme, so copies meet in few buckets.
     """
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, texts = J.column(block, "id").to_numpy(zero_copy_only=False), J.column(block, "text")
         order = np.argsort(ids, kind="stable")
-        ids, texts = ids[order], batch.column("text").take(pa.array(order))
-        found, done = [], 0
-        for a, b in A.slices(texts):
-            s, o, c = signatures(*shingle_sets(texts.slice(a, b - a), k), percent)
-            found.append((s, o + done, c))
-            done = b
-        sig, owner, scheme = (np.concatenate(x) for x in zip(*found))
+        ids = ids[order]
+        first, hashes = shingle_sets(texts.take(pa.array(order)), k)
+        size = np.diff(first)
+        names, doc, counts = _counted_shingles(first, hashes, percent)
+        told = [A.numbers(x, np.uint64) for x in J.column(answers, "names").to_pylist()] if answers.num_rows else []
+        own, which, often = np.unique(names, return_inverse=True, return_counts=True)
+        alone = (often == 1) & ~np.isin(own, np.concatenate(told) if told else np.empty(0, np.uint64))
+        unshared = np.bincount(doc[alone[which] & counts], minlength=len(size))
+        kept = np.flatnonzero((unshared <= size - -(-percent * size // 100)) & (size > 0))
+        hashes = hashes[np.repeat(np.isin(np.arange(len(size)), kept), size)]
+        ids, first = ids[kept], np.concatenate([[0], np.cumsum(size[kept])])
+        sig, owner, scheme = signatures(first, hashes, percent)
         shift = np.uint64(64) - bits[scheme]
         bucket = (scheme << 32) | np.where(bits[scheme] > 0, sig >> np.minimum(shift, np.uint64(63)), np.uint64(0)).astype(np.int64)
         order = np.lexsort((owner, sig, bucket))
@@ -207,7 +261,7 @@ def _packed(k: int, percent: int, bits: np.ndarray):
             who, n = np.unique(owner[a:b][new], return_counts=True)
             rows.append((int(bucket[a]), A.binary(sig[a:b][new][by_doc]), A.binary(ids[who]), A.binary(n.astype(np.int32)), A.binary(ids[edges])))
         cols = list(zip(*rows)) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "sigs", "ids", "counts", "edges"])
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "sigs", "ids", "counts", "edges"])
 
     return run
 
@@ -219,7 +273,8 @@ def _met(bucket: pa.Table) -> pa.Table:
     ids = np.concatenate([np.repeat(A.numbers(i, np.int64), A.numbers(n, np.int32)) for i, n in zip(blobs["ids"], blobs["counts"])])
     order = np.lexsort((ids, sig))
     edges = forest(np.concatenate([_to_least(sig[order], ids[order])[1], *(A.numbers(x, np.int64).reshape(-1, 2) for x in blobs["edges"])]))
-    return pa.table({"a": pa.array(edges[:, 0], pa.int64()), "b": pa.array(edges[:, 1], pa.int64())})
+    scheme = J.column(bucket, "bucket")[0].as_py() >> 32
+    return pa.table({"a": pa.array(edges[:, 0], pa.int64()), "b": pa.array(edges[:, 1], pa.int64()), "scheme": pa.array(np.full(len(edges), scheme), pa.int64())})
 
 
 # ------------------------------------------------------ token-group matrix
@@ -322,10 +377,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = texts.where("id IS NOT NULL")
 
     sizes = {r.n: r.m for r in nodes.groupBy("n").agg(F.count("*").alias("m")).collect()}  # a row for each size of set
-    packed = J.map_arrow(texts, _packed(shingle, percent, bucket_bits(sizes, percent)), "bucket long, sigs binary, ids binary, counts binary, edges binary")
-    groups = components(packed.groupBy("bucket").applyInArrow(_met, "a long, b long")).withColumnRenamed("component", "grp")
-    own = sets.select(F.col("set_id").alias("id"), "n").groupBy("id").agg(F.sum("n").alias("n"))
-    members = groups.join(own, groups.node == own.id).select("id", "grp", "n")
+    size = J.text_bytes(texts)
+    blocks = texts.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-size // BLOCK_BYTES)))))
+    named = blocks.groupBy("block").applyInArrow(_named(shingle, percent, J.power_of_two(size / 18 / BUCKET_SIGNATURES)), "bucket long, block long, names binary")
+    several = named.groupBy("bucket").applyInArrow(_in_several, "block long, names binary")
+    packed = blocks.groupBy("block").cogroup(several.groupBy("block")).applyInArrow(
+        _packed(shingle, percent, bucket_bits(sizes, percent)), "bucket long, sigs binary, ids binary, counts binary, edges binary")
+    met = packed.groupBy("bucket").applyInArrow(_met, "a long, b long, scheme long")
+    groups = components(met.select(F.xxhash64("a", "scheme").alias("a"), F.xxhash64("b", "scheme").alias("b"))).withColumnRenamed("component", "grp")
+    own = sets.select(F.col("set_id").alias("id"), "n")
+    lower = size_bands(percent, max(sizes, default=1)).tolist()
+    band = F.size(F.filter(F.array(*(F.lit(x) for x in lower)), lambda x: x <= F.col("n"))) - 1
+    own = own.withColumn("scheme", F.explode(F.array(band, band - 1))).withColumn("node", F.xxhash64("id", F.col("scheme").cast("long")))
+    members = groups.join(own, "node").groupBy("id", "grp").agg(F.sum("n").alias("n"))
     sizes = members.groupBy("grp").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs")).where("docs > 1")
     sizes = sizes.select("grp", F.greatest(F.ceil(F.col("tokens") / chunk_tokens), F.ceil(F.col("docs") / chunk_docs)).cast("long").alias("chunks"))
     members = J.cut_lineage(members.join(sizes, "grp").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))))

@@ -46,8 +46,10 @@ def corpus(seed, families=25, copies=6, length=(1, 80), edits=4):
     return rows
 
 
-@pytest.mark.parametrize("seed,percent,options", [(1, 90, {}), (2, 90, {"chunk_docs": 5}), (3, 80, {"chunk_tokens": 200}), (4, 60, {"chunk_docs": 3})])
-def test_against_brute_force(spark, seed, percent, options):
+@pytest.mark.parametrize("seed,percent,options,small", [(1, 90, {}, 256), (2, 90, {"chunk_docs": 5}, 20), (3, 80, {"chunk_tokens": 200}, 30), (4, 60, {"chunk_docs": 3}, 0)])
+def test_against_brute_force(spark, seed, percent, options, small, monkeypatch):
+    monkeypatch.setattr(JJ, "SMALL", small)
+    monkeypatch.setattr(JJ, "BLOCK_BYTES", 3000)
     rows = corpus(seed) + [(5, None), (6, ""), (7, " \n"), (8, "one"), (9, "ONE"), (10, "one two"), (11, "One two"), (None, "one two"), (12, "one two three"), (12, "four")]
     docs = spark.createDataFrame([(d, t, d) for d, t in rows], "doc_id long, text string, component_id long")
     got = JJ.jaccard_components(docs, percent=percent, **options).collect()
