@@ -48,8 +48,6 @@ links of each; a null id is in no component (null); other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window

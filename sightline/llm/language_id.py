@@ -172,9 +172,9 @@ def identify(pages: DataFrame, model: TextModel | None, id_col: str = "page_id",
         sums = rows.groupBy(*by).agg(*(F.sum(F.col("p")[k]).alias(f"s{k}") for k in langs))
         return sums.select(*by, F.array(*(f"s{k}" for k in langs)).alias(f"n_{by[0] if by else 'all'}"))
 
-    tags = rows.agg(F.approx_count_distinct("declared").alias("n_tags"))
-    every = shares().crossJoin(tags)  # one row
-    out = rows.join(F.broadcast(every)).join(shares("declared"), "declared").join(shares("suffix"), "suffix").join(shares("host"), "host")
+    tags = rows.agg(F.count_distinct("declared").alias("n_tags"))
+    out = rows.withColumns({"n_all": shares().scalar(), "n_tags": tags.scalar()})
+    out = out.join(shares("declared"), "declared").join(shares("suffix"), "suffix").join(shares("host"), "host")
     # one's own share leaves each count
     left = lambda n: F.zip_with(n, "p", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     mass = lambda n: F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
