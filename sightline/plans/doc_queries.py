@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sightline.functions.langs import py_strip
 from sightline.operators import pages as PG
 from sightline.operators import workitems as W
 from sightline.plans.catalog import register

@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 
-from pyspark.sql import functions as F
 
 from sightline.sources import feedback as FB
 from sightline.streaming import feedback_stream as FS
