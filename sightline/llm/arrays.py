@@ -21,7 +21,7 @@ _WORD_MULT = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
 
 #: bytes of text handled at once; bounds the temporary arrays
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -34,9 +34,9 @@ SAMPLE = 6000
 TRAIN_CHUNKS = 6
 STEPS, BATCH, RATE, DECAY = 1500, 48, 0.006, 1e-4
 THRESHOLD = 0.3
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17
 #: stretches of HALF bytes that are convolved at once
-HALVES = 4096
+HALVES = 1024
 _SPAN = 2 * HALF + WIDTH - 1
 
 

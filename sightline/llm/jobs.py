@@ -41,6 +41,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
             if batch.num_rows:
                 out = fn(batch)
                 yield from [out] if isinstance(out, pa.RecordBatch) else out
+        pa.default_memory_pool().release_unused()  # the worker process stays for other jobs
 
     return df.mapInArrow(run, schema)
 

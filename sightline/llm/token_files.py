@@ -110,7 +110,7 @@ class Pieces:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.known, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
@@ -133,7 +133,7 @@ class Pieces:
             self._learn(hashes[new], [raw[a:b].decode() for a, b in zip(found.starts[first[new]].tolist(), found.ends[first[new]].tolist())])
         place = np.searchsorted(self.known, hashes)[which]
         size = self.size[place]
-        ends = np.cumsum(size)
+        ends = np.cumsum(size, dtype=np.int64)
         flat = self.flat[np.repeat(self.at[place] - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)]
         return flat, np.diff(np.concatenate([[0], ends])[found.first])
 
