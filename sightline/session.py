@@ -17,8 +17,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Arrow batches to Python workers are cut by size as well as by rows:
     # pages can be megabytes each, so a fixed row count alone could hand one
-    # worker gigabytes.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # worker gigabytes.  An executor's workers share its memory with the JVM.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
 def configure(spark: SparkSession) -> SparkSession:
