@@ -59,11 +59,11 @@ from sightline.llm.graph import components, forest
 
 SHINGLE = 3
 PERCENT = 90
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 5 << 18
 CHUNK_DOCS = 10_000
 GROUP_DOCS = 16
 #: cells of a token-group matrix, a byte each
-MATRIX_CELLS = 1 << 26
+MATRIX_CELLS = 1 << 25
 PIVOTS = 4
 BUCKET_SIGNATURES = 1 << 19
 BLOCK_BYTES = 8 << 20
@@ -277,21 +277,25 @@ def _met(bucket: pa.Table) -> pa.Table:
 
 # ------------------------------------------------------ token-group matrix
 
-def _shared(flat: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that several sets have, of the sets that have enough of them for a link.
+def _shared(hashes: np.ndarray, owner: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles, as numbers, that several sets have, of the sets that have enough of them for a link; and the set of each.
 
     The bound by the union of all other sets, applied until it removes no more.
     """
-    need = -(-percent * size // 100)
-    while len(flat):
-        names, counts = np.unique(flat, return_inverse=True, return_counts=True)[1:]
-        several = counts[names] > 1
-        enough = np.bincount(owner[several], minlength=len(size)) >= need
-        keep = several & enough[owner]
-        if keep.all():
-            return names, owner
+    ascending = np.sort(hashes)
+    several = np.unique(ascending[1:][ascending[1:] == ascending[:-1]])
+    if not len(several):
+        return np.empty(0, np.int32), owner[:0]
+    flat = np.minimum(np.searchsorted(several, hashes), len(several) - 1).astype(np.int32)
+    keep, need = several[flat] == hashes, -(-percent * size // 100)
+    del ascending
+    while True:
         flat, owner = flat[keep], owner[keep]
-    return flat.astype(np.int64), owner
+        shared = np.bincount(flat, minlength=len(several))[flat] > 1
+        keep = shared & (np.bincount(owner[shared], minlength=len(size)) >= need)[owner]
+        if keep.all():
+            break
+    return np.unique(flat, return_inverse=True)[1].astype(np.int32), owner
 
 
 def linked(first: np.ndarray, hashes: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -300,19 +304,17 @@ def linked(first: np.ndarray, hashes: np.ndarray, known: np.ndarray, percent: in
     Not every link is returned: those between sets connected already are not looked for.
     """
     size = np.diff(first)
-    least = np.zeros(len(size), np.uint64)
-    least[size > 0] = hashes[first[:-1][size > 0]]
-    order = np.lexsort((size, least))  # sets with the same least shingle are next to each other
-    order = order[size[order] > 0]
-    size = size[order]
-    begin = np.cumsum(size) - size
-    flat = hashes[np.repeat(first[:-1][order] - begin, size) + np.arange(int(size.sum()))]
-    flat, owner = _shared(flat, np.repeat(np.arange(len(size)), size), size, percent)
+    flat, owner = _shared(hashes, np.repeat(np.arange(len(size), dtype=np.int32), size), size, percent)
     if not len(flat):
         return []
-    left, owner = np.unique(owner, return_inverse=True)
-    order, size = order[left], size[left]
-    comp = np.unique(known[order], return_inverse=True)[1]
+    left = np.unique(owner)
+    order = left[np.lexsort((size[left], hashes[first[:-1][left]]))]  # sets with the same least shingle are next to each other
+    rank = np.zeros(len(size), np.int32)
+    rank[order] = np.arange(len(order))
+    owner = rank[owner]
+    by_set = np.argsort(owner, kind="stable")
+    flat, owner = flat[by_set], owner[by_set]
+    size, comp = size[order], np.unique(known[order], return_inverse=True)[1]
     begin = np.searchsorted(owner, np.arange(len(size) + 1))
     tokens = int(flat.max()) + 1
     per = max(GROUP_DOCS, -(-len(size) * tokens // MATRIX_CELLS))
@@ -358,7 +360,7 @@ def _opened(k: int, percent: int):
 
 def _open(texts: DataFrame, rows: DataFrame, tokens: int, k: int, percent: int) -> DataFrame:
     """Links within each (grp, block, chunk) of ``rows``; small ones share a task."""
-    tasks = max(1, -(-tokens // CHUNK_TOKENS))
+    tasks = max(1, -(-2 * tokens // CHUNK_TOKENS))
     dealt = J.known_rows(texts, rows, "id").withColumn("task", F.pmod(F.xxhash64("grp", "block", "chunk"), F.lit(tasks)))
     return dealt.groupBy("task").applyInArrow(_opened(k, percent), "a long, b long")
 
@@ -399,7 +401,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     task = ["id", "grp", F.lit(0).cast("long").alias("block"), "chunk", F.col("id").alias("known")]
     rows = members.select(*task).union(pivots.drop("chunk").withColumnRenamed("to", "chunk").select(*task))
     tokens = members.agg(F.sum("n")).first()[0] or 0
-    equal = nodes.join(sets, ["n", "f1", "f2"]).where("id != set_id").select(F.col("id").alias("a"), F.col("set_id").alias("b"))
+    # a join of its own stage, so that adaptive execution can split a set that very many documents have
+    equal = J.cut_lineage(nodes.join(sets, ["n", "f1", "f2"]).where("id != set_id").select(F.col("id").alias("a"), F.col("set_id").alias("b")))
     links = J.cut_lineage(equal.union(_open(texts, rows, tokens, shingle, percent)))
     found = components(links)
 
