@@ -59,14 +59,14 @@ from sightline.llm.graph import components, forest
 
 SHINGLE = 3
 PERCENT = 90
-CHUNK_TOKENS = 5 << 18
+CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 10_000
 GROUP_DOCS = 16
 #: cells of a token-group matrix, a byte each
 MATRIX_CELLS = 1 << 25
 PIVOTS = 4
 BUCKET_SIGNATURES = 1 << 19
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: sets of fewer shingles are searched for shingles of their own in full
 SMALL = 256
 
@@ -362,7 +362,7 @@ def _open(texts: DataFrame, rows: DataFrame, tokens: int, k: int, percent: int)
     """Links within each (grp, block, chunk) of ``rows``; small ones share a task."""
     tasks = max(1, -(-2 * tokens // CHUNK_TOKENS))
     dealt = J.known_rows(texts, rows, "id").withColumn("task", F.pmod(F.xxhash64("grp", "block", "chunk"), F.lit(tasks)))
-    return dealt.groupBy("task").applyInArrow(_opened(k, percent), "a long, b long")
+    return dealt.groupBy("task").applyInArrow(J.trimmed(_opened(k, percent)), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -379,11 +379,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sizes = {r.n: r.m for r in nodes.groupBy("n").agg(F.count("*").alias("m")).collect()}  # a row for each size of set
     size = J.text_bytes(texts)
     blocks = texts.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-size // BLOCK_BYTES)))))
-    named = blocks.groupBy("block").applyInArrow(_named(shingle, percent, J.power_of_two(size / 18 / BUCKET_SIGNATURES)), "bucket long, block long, names binary")
-    several = named.groupBy("bucket").applyInArrow(_in_several, "block long, names binary")
+    named = blocks.groupBy("block").applyInArrow(J.trimmed(_named(shingle, percent, J.power_of_two(size / 18 / BUCKET_SIGNATURES))), "bucket long, block long, names binary")
+    several = named.groupBy("bucket").applyInArrow(J.trimmed(_in_several), "block long, names binary")
     packed = blocks.groupBy("block").cogroup(several.groupBy("block")).applyInArrow(
-        _packed(shingle, percent, bucket_bits(sizes, percent)), "bucket long, sigs binary, ids binary, counts binary, edges binary")
-    met = packed.groupBy("bucket").applyInArrow(_met, "a long, b long, scheme long")
+        J.trimmed_pair(_packed(shingle, percent, bucket_bits(sizes, percent))), "bucket long, sigs binary, ids binary, counts binary, edges binary")
+    met = packed.groupBy("bucket").applyInArrow(J.trimmed(_met), "a long, b long, scheme long")
     groups = components(met.select(F.xxhash64("a", "scheme").alias("a"), F.xxhash64("b", "scheme").alias("b"))).withColumnRenamed("component", "grp")
     own = sets.select(F.col("set_id").alias("id"), "n")
     lower = size_bands(percent, max(sizes, default=1)).tolist()
