@@ -38,10 +38,12 @@ from sightline.llm import jobs as J
 
 END_ID = 2
 SHARD_BYTES = 32 << 20
-BLOCK_TOKENS = 4 << 20
-SLICE_BYTES = 2 << 20
+BLOCK_TOKENS = 2 << 20
+SLICE_BYTES = 1 << 20
 #: pieces whose ids a worker remembers; beyond, it starts anew (no result depends on it)
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
+#: pieces given to the tokenizers library at once
+ENCODED = 4096
 
 _BLOCK = "shard int, block int, n_tokens long, doc_ids binary, no_id binary, counts binary, ids binary, control binary, data binary"
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -114,7 +116,9 @@ class Pieces:
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        ids = []
+        for k in range(0, len(pieces), ENCODED):  # an encoding is many times as large as its ids
+            ids += [e.ids for e in self.tokenizer.encode_batch(pieces[k : k + ENCODED], add_special_tokens=False)]
         size = np.array([len(x) for x in ids], np.int64)
         at = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))])
@@ -178,8 +182,11 @@ def _blocks(model, pieces: bool, end_id: int, block_tokens: int):
                 if tokens >= block_tokens:
                     yield block()
                     held, tokens, number = [], 0, number + 1
+                    J.give_back()
         if held:
             yield block()
+            held = []
+        J.give_back()
 
     return run
 
