@@ -192,17 +192,18 @@ def _to_least(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _counted_shingles(first: np.ndarray, hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names of the shingles that are counted, the set of each, and whether they count for it.
 
-    Small sets are counted among themselves and whole; of others, those
-    shingles whose hash divides by a fixed number.
+    Small sets are counted whole; of others, those shingles whose hash divides
+    by a fixed number.  Sets that may be linked across ``SMALL`` name their
+    shingles in both ways, so that either kind meets all it may be linked to.
     """
     size = np.diff(first)
     doc = np.repeat(np.arange(len(size)), size)
     thin = max(1, 60 // (100 - percent))
     own = size < SMALL
     low = (size * percent < SMALL * 100)[doc]  # whoever may be linked to a small set
-    high = ~own[doc] & (hashes % np.uint64(thin) == 0)
+    high = (size * 100 >= SMALL * percent)[doc] & (hashes % np.uint64(thin) == 0)  # whoever may be linked to another set
     names = np.concatenate([A.mix(hashes[low] ^ np.uint64(0xA5A5A5A5)), hashes[high]])
-    return names, np.concatenate([doc[low], doc[high]]), np.concatenate([own[doc[low]], np.ones(int(high.sum()), bool)])
+    return names, np.concatenate([doc[low], doc[high]]), np.concatenate([own[doc[low]], ~own[doc[high]]])
 
 
 def _named(k: int, percent: int, bits: int):

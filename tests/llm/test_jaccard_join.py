@@ -56,6 +56,21 @@ def test_against_brute_force(spark, seed, percent, options, small, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_links_across_small_are_found(spark, percent, monkeypatch):
+    monkeypatch.setattr(JJ, "BLOCK_BYTES", 20_000)
+    rnd, rows = random.Random(percent), []
+    for i in range(24):  # one of fewer than SMALL shingles, and one of more by inserted words
+        base = [f"p{i}w{j}" for j in range(rnd.randint(250, 256))]
+        at, more = rnd.randrange(len(base)), rnd.randint(8, 12)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:at] + [f"n{i}w{j}" for j in range(more)] + base[at:]))]
+    assert all(len(sets_of(t)) < JJ.SMALL for d, t in rows if d % 2 == 0) and all(len(sets_of(t)) >= JJ.SMALL for d, t in rows if d % 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = JJ.jaccard_components(docs, percent=percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, percent)
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got)
+
+
 def test_large_groups_lose_no_link(spark):
     rnd = random.Random(9)
     base = [f"b{i}" for i in range(120)]
