@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from sightline.llm import byte_cnn
+from sightline.llm import byte_cnn, jaccard_join
 from sightline.llm.jobs import cut_lineage
 
 from test_decontamination import brute as hits
@@ -60,6 +60,17 @@ def test_one_of_each_group(stages):
     assert {r["doc_id"] for r in rows[2]} == {root(d) for d in sets}
 
 
+def test_copies_of_sizes_around_small_go(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    like, planted = docs.limit(1).first().asDict(), []
+    for i in range(12):  # fewer than SMALL shingles of five words, and more by inserted words
+        base = [f"p{i}w{j}" for j in range(252 + i % 6)]
+        planted += [like | {"doc_id": 10**9 + 2 * i, "text": " ".join(base)}, like | {"doc_id": 10**9 + 2 * i + 1, "text": " ".join(base[:100] + [f"n{i}w{j}" for j in range(8)] + base[100:])}]
+    assert all((len(sets_of(r["text"], 5)) >= jaccard_join.SMALL) == r["doc_id"] % 2 for r in planted)
+    got = P.ngram_jaccard_join(spark, spark.createDataFrame(planted, docs.schema), sf_small).collect()
+    assert sorted(r.doc_id for r in got) == [10**9 + 2 * i for i in range(12)]
+
+
 def test_no_passage_is_left(spark, sf_small, stages):
     rows, _ = stages
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
