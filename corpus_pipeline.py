@@ -25,9 +25,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near-duplicates: five words to a shingle, similarity 0.8 or more."""
+    """One row, of the smallest document, of each group of near-duplicates: five words to a shingle, similarity 0.8 or more."""
     J.configure(spark)
-    return jaccard_join.one_of_each(docs, shingle=5, percent=80)
+    return jaccard_join.one_row_of_each(docs, shingle=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

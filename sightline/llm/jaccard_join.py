@@ -430,3 +430,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = jaccard_components(docs, id_col, text_col, shingle, percent)
     later = J.cut_lineage(found.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct())
     return J.without(docs, later, id_col)
+
+
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component, whether rows share an id or have none: the one of the smallest id (a null id is the largest).
+
+    Rows are nodes of their own, by a number that is written with them; texts without words have no copies.
+    """
+    keyed = J.cut_lineage(docs.withColumn("__key", F.monotonically_increasing_id()))
+    found = jaccard_components(keyed, "__key", text_col, shingle, percent).select(F.col("doc_id").alias("__key"), "component_id")
+    found = J.cut_lineage(found.join(keyed.select("__key", F.col(id_col).alias("id")).hint("merge"), "__key"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "__key"))["__key"].alias("__key")
+    stay = found.groupBy("component_id").agg(first).select("__key")
+    later = J.cut_lineage(found.join(stay.hint("merge"), "__key", "left_anti").select("__key"))
+    return J.without(keyed, later, "__key").drop("__key")

@@ -71,6 +71,17 @@ def test_copies_of_sizes_around_small_go(spark, sf_small):
     assert sorted(r.doc_id for r in got) == [10**9 + 2 * i for i in range(12)]
 
 
+def test_rows_of_one_id_or_without_keep_one(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    like, far, lone = docs.limit(1).first().asDict(), "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(7, far), (7, far), (None, far), (None, far), (3, far), (None, lone), (None, lone), (8, "a b c d e f g"), (8, "h i j k l m n"), (None, ""), (9, None)]
+    planted = spark.createDataFrame([like | {"doc_id": d, "text": t} for d, t in rows], docs.schema).repartition(4)
+    got = P.ngram_jaccard_join(spark, planted, sf_small)
+    assert got.columns == docs.columns
+    want = [(3, far), (None, lone), (8, "a b c d e f g"), (8, "h i j k l m n"), (None, ""), (9, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_no_passage_is_left(spark, sf_small, stages):
     rows, _ = stages
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
