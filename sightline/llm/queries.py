@@ -1,4 +1,4 @@
-"""The ten queries ``opN_<name>`` with their DuckDB twins, and the pipeline's rows.
+"""The queries ``opN_<name>`` with their DuckDB twins.
 
 Every query reads its whole table and applies its operator with the production
 parameters of the module that holds it.
@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sightline.llm import jobs as J
 from sightline.llm import twins
@@ -100,3 +101,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sightline.llm import language_id
 
     return language_id.identify(J.table(spark, sf_dir, "pages"), language_id.train(J.table(spark, sf_dir, "documents")))
+
+
+@query("op11_fim_skip_list", twins.FIM)
+def op11_fim_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm.fim import fill_in_middle, restored
+
+    out = fill_in_middle(J.table(spark, sf_dir, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(restored("output", "form"), 256).alias("restored_sha256")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)

@@ -73,3 +73,16 @@ kept AS (SELECT l.doc_id, l.pos, l.line, nb.seq, gone.seq AS cut FROM l LEFT JOI
 SELECT doc_id, count(seq) AS n_lines, count(cut) AS n_deleted, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (cut IS NULL), '')) AS kept_sha256
 FROM kept GROUP BY doc_id
 """
+
+FIM = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+d AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+             CAST('0x' || h[17:24] AS BIGINT) % 100 AS c3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS c4 FROM h),
+f AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c3 >= 90 THEN 'plain' WHEN c4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
