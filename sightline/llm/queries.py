@@ -110,3 +110,21 @@ def op11_fim_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fill_in_middle(J.table(spark, sf_dir, "documents"))
     digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(restored("output", "form"), 256).alias("restored_sha256")]
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query("op12_chat_round_trip", twins.CHAT)
+def op12_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sightline.llm import chat
+
+    rows = J.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(J.cut_lineage(chat.formatted(rows.unionByName(trap))))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sightline.llm.alignment import aligned
+
+    return aligned(J.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -86,3 +86,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
        sha256(t) AS restored_sha256
 FROM p
 """
+
+CHAT = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(regexp_replace(text, '(<)(\\*)(/?s>|</?SYS>>|</?ROLE>>)', '\1\\\2\3', 'g'), '(\[)(\\*)(/?INST\])', '\1\\\2\3', 'g') AS esc,
+             CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 WHEN 'system' THEN 15 ELSE 21 + length(role) END AS around FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(esc) + around) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
