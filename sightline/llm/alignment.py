@@ -35,6 +35,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +158,24 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class TokenBytes:
+    """The bytes of each token of a vocabulary."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return self.flat[_runs(self.start[ids], self.size[ids])]
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class Tokenizers:
     """Both tokenizers, and the bytes of their tokens."""
 
@@ -168,22 +187,24 @@ class Tokenizers:
         self.a = Tokenizer.from_str(byte_level)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        of = _byte_level()
-        self.a_bytes = {i: bytes(of[c] for c in token) for token, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        of, named = _byte_level(), self.a.get_vocab(with_added_tokens=False)
+        tokens = [b""] * (1 + max(named.values()))
+        for token, i in named.items():
+            tokens[i] = bytes(of[c] for c in token)
+        self.bytes = TokenBytes(tokens), TokenBytes([self._piece(i) for i in range(self.b.get_piece_size())])
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, pieces: list[str]) -> Iterator[tuple[str, list[int], list[int], list[bytes], list[bytes]]]:
-        """Ids and token bytes of pieces, which are a space and more."""
+    def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By each tokenizer: the ids of pieces, which are a space and more, one after the other, and how many each has."""
+        sides = [], []
         for k in range(0, len(pieces), 4096):  # an encoding is many times as large as its ids
             some = pieces[k : k + 4096]
-            left = [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
-            right = self.b.encode([p[1:] for p in some], num_threads=1)  # which puts a space before
-            for piece, x, y in zip(some, left, right):
-                yield piece, x, y, [self.a_bytes[i] for i in x], [self.b_bytes[i] for i in y]
+            sides[0].extend(e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False))
+            sides[1].extend(self.b.encode([p[1:] for p in some], num_threads=1))  # which puts a space before
+        return [(np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))) for ids in sides]
 
 
 # white space characters of more than one byte
@@ -256,37 +277,33 @@ class Aligner:
         self.pair, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
         self.written: list[bytes] = []
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        n = len(pieces)
-        a_ids, b_ids, a_ends, b_ends, a_piece, b_piece, counts, base = [], [], [], [], [], [], np.zeros((n, 4), np.int64), 0
-        for k, (piece, x, y, xb, yb) in enumerate(self.tokenizers.encode(pieces)):
-            raw = piece.encode()
-            if b"".join(xb) != raw or b"".join(yb) != raw:
-                counts[k] = -1
-                continue
-            counts[k, :2] = len(x), len(y)
-            a_ids += x
-            b_ids += y
-            a_ends.append(base + np.cumsum([len(t) for t in xb]))
-            b_ends.append(base + np.cumsum([len(t) for t in yb]))
-            a_piece.append(k)
-            base += len(raw)
-        spelt = np.array(a_piece, np.int64)
-        written = [b""] * n
-        pair, times, first = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(n + 1, np.int64)
-        if len(spelt):
-            a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-            a_group, b_group = groups_of(np.concatenate(a_ends), np.concatenate(b_ends))
-            a_of = np.repeat(spelt, counts[spelt, 0])
-            piece = a_of[np.flatnonzero(np.diff(a_group, prepend=-1))]  # of each group
-            counts[:, 2] += np.bincount(piece, minlength=n)
+    def _learn(self, hashes: np.ndarray, raw: np.ndarray, size: np.ndarray) -> None:
+        """Aligns pieces of ``size`` bytes each, which ``raw`` holds one after the other."""
+        n, text, ends = len(size), raw.tobytes(), np.cumsum(size)
+        edges = [0, *ends.tolist()]
+        sides = self.tokenizers.encode([text[x:y].decode() for x, y in zip(edges, edges[1:])])
+        spelt = np.ones(n, bool)
+        for (ids, count), of in zip(sides, self.tokenizers.bytes):
+            total = np.bincount(np.repeat(np.arange(n), count), of.size[ids], n).astype(np.int64)
+            spelt &= total == size
+        for (ids, count), of in zip(sides, self.tokenizers.bytes):
+            wrong = of.joined(ids[np.repeat(spelt, count)]) != raw[np.repeat(spelt, size)]
+            if wrong.any():
+                spelt[np.repeat(np.flatnonzero(spelt), size[spelt])[wrong]] = False
+        counts = np.full((n, 4), -1)
+        counts[spelt] = 0
+        written, pair, times, first = [b""] * n, np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(n + 1, np.int64)
+        if spelt.any():
+            (a, a_count), (b, b_count) = ((ids[np.repeat(spelt, count)], np.where(spelt, count, 0)) for ids, count in sides)
+            a_group, b_group = groups_of(*(np.cumsum(of.size[ids]) for ids, of in zip((a, b), self.tokenizers.bytes)))
+            piece = np.repeat(np.arange(n), a_count)[np.flatnonzero(np.diff(a_group, prepend=-1))]  # of each group
             row, left, right, times = shared_links(a, a_group, b, b_group, piece)
             pair = (left << 32) | right
             first = np.searchsorted(row, np.arange(n + 1))
-            counts[:, 3] += np.bincount(row, times, n).astype(np.int64)
+            counts += np.where(spelt[:, None], np.stack([a_count, b_count, np.bincount(piece, minlength=n), np.bincount(row, times, n).astype(np.int64)], 1), 0)
             texts = self._write(a, a_group, b, b_group)
             edge = np.searchsorted(piece, np.arange(n + 1)).tolist()
-            written = [b";".join(texts[x:y]) for x, y in zip(edge, edge[1:])]
+            written = [";".join(texts[x:y]).encode() for x, y in zip(edge, edge[1:])]
         where = np.searchsorted(self.known, hashes)
         self.slot = np.insert(self.slot, where, len(self.counts) + np.arange(n))
         self.known = np.insert(self.known, where, hashes)
@@ -296,22 +313,23 @@ class Aligner:
         self.written += written
 
     @staticmethod
-    def _write(a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray) -> list[bytes]:
+    def _write(a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray) -> list[str]:
+        """Each group as ``a1,a2|b1``."""
         sides = []
         for ids, group in ((a, a_group), (b, b_group)):
             text = list(map(str, ids.tolist()))
             edge = np.searchsorted(group, np.arange(int(group[-1]) + 2)).tolist()
             sides.append([text[x] if y - x == 1 else ",".join(text[x:y]) for x, y in zip(edge, edge[1:])])
-        return [f"{x}|{y}".encode() for x, y in zip(*sides)]
+        return list(map("|".join, zip(*sides)))
 
     def slots(self, found: Cut) -> np.ndarray:
         """The slot of each piece; new ones are aligned."""
         hashes, at, which = np.unique(found.hashes, return_index=True, return_inverse=True)
         new = np.flatnonzero(~np.isin(hashes, self.known, assume_unique=True))
-        raw = found.buf.tobytes() if len(new) else b""
         for k in range(0, len(new), LEARNED):
             some = at[new[k : k + LEARNED]]
-            self._learn(found.hashes[some], [raw[x:y].decode() for x, y in zip(found.starts[some].tolist(), found.ends[some].tolist())])
+            size = found.ends[some] - found.starts[some]
+            self._learn(found.hashes[some], found.buf[_runs(found.starts[some], size)], size)
         return self.slot[np.searchsorted(self.known, hashes)][which]
 
 
@@ -327,14 +345,6 @@ def _aligner(models) -> Aligner:
 
 # ------------------------------------------------------------------ blocks
 
-def _expand(first: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the entries of rows ``of``, and for each which of ``of`` it belongs to."""
-    size = first[of + 1] - first[of]
-    ends = np.cumsum(size)
-    which = np.repeat(np.arange(len(of)), size)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[of] - ends + size, size), which
-
-
 def _documents(aligner: Aligner, texts: pa.Array):
     """Of each text: the four numbers (-1: its tokens don't spell it), the written groups, and its linked pairs as (document, pair, times)."""
     n = len(texts)
@@ -349,7 +359,9 @@ def _documents(aligner: Aligner, texts: pa.Array):
     edge, listed = np.searchsorted(doc, np.arange(n + 1)).tolist(), slots.tolist()
     written = [b";".join([aligner.written[s] for s in listed[x:y]]) for x, y in zip(edge, edge[1:])]
     key, often = np.unique((doc << 32) | slots, return_counts=True)
-    place, which = _expand(aligner.first, key & ((1 << 32) - 1))
+    of = key & ((1 << 32) - 1)
+    size = aligner.first[of + 1] - aligner.first[of]
+    place, which = _runs(aligner.first[of], size), np.repeat(np.arange(len(of)), size)
     return numbers, written, *_summed((key >> 32)[which], aligner.pair[place], aligner.times[place] * often[which])
 
 
