@@ -37,12 +37,14 @@ JSONLD_FIELDS = {"title": "headline", "date": "datePublished", "description": "d
 META_FIELDS = ("title", "author", "date", "description", "canonical_url", "og_image", "site_name", "lang")
 
 CANDIDATES = "array<struct<source:string,key:string,value:string>>"
-_IN_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+#: the inside of a tag up to its end: a quote counts only after an equals sign; possessive, so matching neither recurses nor goes back
+IN_TAG = r"""(?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+_PAIR = r"""(?s)([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+"""
 
 
 def tags(html: Column, name: str) -> Column:
     """All opening tags of an element, as they stand."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b{_IN_TAG}>"), F.lit(0))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b{IN_TAG}>"), F.lit(0))
 
 
 def unescaped(text: Column) -> Column:
@@ -52,11 +54,22 @@ def unescaped(text: Column) -> Column:
     return text
 
 
+def attributes(tag: Column) -> Column:
+    """``array<struct<name, value>>`` of a tag, names in lower case, values unescaped and stripped (empty without one)."""
+    inside = F.regexp_replace(tag, r"^</?[^\s/>]*+|/?>$", "")
+    names, values = (F.regexp_extract_all(inside, F.lit(_PAIR), F.lit(k)) for k in (1, 2))
+    bare = lambda v: F.trim(unescaped(F.regexp_replace(v, r"""(?s)^(?:"(.*)"|'(.*)')$""", "$1$2")))
+    return F.zip_with(names, values, lambda n, v: F.struct(F.lower(n).alias("name"), bare(v).alias("value")))
+
+
+def valued(found: Column, name: str) -> Column:
+    """The first value of that name among :func:`attributes`; null without one."""
+    return F.get(F.filter(found, lambda a: (a["name"] == name) & (a["value"] != "")), 0)["value"]
+
+
 def attribute(tag: Column, name: str) -> Column:
     """An attribute's value, unescaped and stripped; null without it."""
-    quoted = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    bare = F.regexp_replace(quoted, r"""(?s)^["']|["']$""", "")
-    return F.when(quoted != "", F.trim(unescaped(bare)))
+    return F.when(F.lower(tag).contains(name), valued(attributes(tag), name))
 
 
 def _candidate(source: str, key: Column, value: Column) -> Column:
@@ -73,8 +86,8 @@ def _useful(candidates: Column) -> Column:
 
 def meta_candidates(html: Column) -> Column:
     """Open Graph, article, Twitter, author and description tags: properties first, each in document order."""
-    found = tags(html, "meta")
-    by = lambda source, attr, fields: F.transform(found, lambda t: _candidate(source, _known(fields, attribute(t, attr)), attribute(t, "content")))
+    found = F.transform(tags(html, "meta"), attributes)
+    by = lambda source, attr, fields: F.transform(found, lambda a: _candidate(source, _known(fields, valued(a, attr)), valued(a, "content")))
     return _useful(F.concat(by("property", "property", PROPERTY_FIELDS), by("name", "name", NAME_FIELDS)))
 
 

@@ -371,7 +371,7 @@ def _load_extensions() -> None:
     """Import the modules that register further queries (pages, docs, charts, …)."""
     import importlib
 
-    for mod in ("sightline.plans.doc_queries", "sightline.plans.chart_queries", "sightline.plans.page_queries",
+    for mod in ("sightline.plans.doc_queries", "sightline.plans.chart_queries", "sightline.plans.page_queries", "sightline.plans.dom_queries",
                 "sightline.plans.record_queries"):
         try:
             importlib.import_module(mod)
