@@ -7,9 +7,12 @@ set operations on one table:
 
 * whatever lies in a marked element: the running maximum of the marked
   elements' ``stop`` is above the place (:func:`covered`);
-* text or tags in an element: the difference of two prefix sums (``measures`` of :func:`annotate`);
+* text in an element: the difference of two prefix sums (:func:`masses`);
 * parents, siblings and nearest text: window functions over the depth or over the page.
 
+Pages are annotated once; cleaning steps take away whole elements or put tokens in the place of
+others, so the intervals of the rest stay true.
+
 Where elements end (:func:`annotate`):
 
 1. Void tags, tags that end in ``/>``, and ``script`` and ``style`` with all their content are one token.
@@ -27,7 +30,8 @@ there, no group is larger than a page, and nothing is collected but the text of
 one page.  No frame looks ahead without bound (those are quadratic): such
 windows run backwards.
 
-Rows are told apart by a running number, so pages may share an id or have none.
+Pages are told apart by a hash (MD5) of id and html, the same whenever a task runs again, so they may
+share an id or have none; repeated rows are one page.
 An empty or null page has one empty token.  Text is as the five predefined
 entities say.
 """
@@ -70,6 +74,7 @@ RANK = {"p": 0, "li": 1, "dd": 1, "dt": 1, "option": 1, "td": 2, "th": 2, "tr":
 
 _TOKEN = rf"""(?is)<!--(?:.*?-->|.*)|<(script|style)\b{IN_TAG}>(?:.*?</\1\s*>|.*)|</?[a-z]{IN_TAG}>|<[!?][^<>]*+>|[^<]++|<"""
 _ALL = (Window.unboundedPreceding, Window.currentRow)
+_BEFORE = (Window.unboundedPreceding, -1)
 
 
 def _in(column: Column, names) -> Column:
@@ -79,7 +84,8 @@ def _in(column: Column, names) -> Column:
 def tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``id, row, pos, token``: all of a page's html, in order; the first token, at 0, is empty."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), html.alias("html"))
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.col(id_col).cast("string"), F.lit("\n")), F.lit("")), F.lit("\n"), html)))
+    rows = pages.select(F.col(id_col).alias("id"), key.alias("row"), html.alias("html"))
     return rows.select("id", "row", F.posexplode(F.concat(F.array(F.lit("")), F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0)))).alias("pos", "token")).withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -96,85 +102,71 @@ def stripped(token: Column) -> Column:
 
 
 def text_length() -> Column:
-    """Measure: characters of text, each token without white space around it."""
+    """Characters of text, each token without white space around it."""
     return F.when(F.col("kind") == "text", F.length(stripped(F.col("token")))).otherwise(0)
 
 
-def annotate(tokens: DataFrame, **measures: Column) -> DataFrame:
+def annotate(tokens: DataFrame) -> DataFrame:
     """Tokens with what they are and, on the first token of each element, where it stops.
 
     Adds ``kind`` (open, void, raw: elements; close, stray, text, other), ``name``,
-    ``stop`` (elements), ``depth`` (of elements around the token; an end tag has its element's), ``parent`` (a struct ``pos,
-    name, stop`` of the element around it) and, for each of ``measures`` (numbers
-    of single tokens), the total over the tokens within an element.
+    ``stop`` (elements), ``depth`` (of elements around the token; an end tag has
+    its element's) and ``parent`` (a struct ``pos, name, stop`` of the element around it).
     """
     name = F.lower(F.regexp_extract("token", r"^</?([a-zA-Z][^\s/>]*)", 1))
     t = tokens.withColumn("name", F.when(F.col("token").startswith("<"), name).otherwise("")).withColumn("kind", _kind(F.col("token"), F.col("name")))
-    page, page_back = Window.partitionBy("row").orderBy("pos"), Window.partitionBy("row").orderBy(F.desc("pos"))
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    page, whole = Window.partitionBy("row").orderBy("pos"), Window.partitionBy("row")
+    t = t.withColumn("_last", F.lag("pos").over(page)).where("_last IS NULL OR _last < pos")  # rows that come twice
     is_open, is_close = F.col("kind") == "open", F.col("kind") == "close"
     step = F.when(is_open, 1).when(is_close, -1).otherwise(0)
 
     # tags of one name: levels of a running sum that does not fall under 0
     same = Window.partitionBy("row", "name").orderBy("pos")
     t = t.withColumn("_sum", F.sum(step).over(same))
-    t = t.withColumn("_floor", F.least(F.lit(0), F.coalesce(F.min("_sum").over(before(same)), F.lit(0))))
-    t = t.withColumn("kind", F.when(is_close & (F.col("_sum") < F.col("_floor")), "stray").otherwise(F.col("kind")))
-    t = t.withColumn("_level", F.when(is_open, F.col("_sum") - F.col("_floor")).when(is_close, F.col("_sum") - F.col("_floor") + 1))
-    level = Window.partitionBy("row", "name", "_level").orderBy("pos")
-    t = t.withColumn("_pair", is_close | (is_open & (F.lead("kind").over(level) == "close"))).withColumn("_pair", F.coalesce("_pair", F.lit(False)))
-
-    # pairs by depth; prefix sums of the measures, without the token itself
-    t = t.withColumns({f"_{m}": c.cast("long") for m, c in measures.items()})
-    nest = F.when(F.col("_pair"), step).otherwise(0)
-    t = t.withColumns({"_in": F.sum(nest).over(page), **{f"_{m}": F.struct((F.sum(f"_{m}").over(page) - F.col(f"_{m}")).alias("sum"), F.col(f"_{m}").alias("own")) for m in measures}})
-    t = t.withColumn("_in", F.col("_in") + (F.col("_pair") & is_close).cast("int"))  # of a pair's tags: its own depth
-    end = F.struct("pos", *(F.col(f"_{m}.sum").alias(m) for m in measures))
-    t = t.withColumn("_end", F.when(F.col("_pair") & is_open, F.lead(end).over(Window.partitionBy("row", "_pair", "_in").orderBy("pos"))))
-    t = t.withColumn("_around", F.col("_in") - F.col("_pair").cast("int"))
+    t = t.withColumn("_floor", F.least(F.lit(0), F.coalesce(F.min("_sum").over(same.rowsBetween(*_BEFORE)), F.lit(0))))
+    level = F.when(is_open, F.col("_sum") - F.col("_floor")).when(is_close, F.col("_sum") - F.col("_floor") + 1)
+    t = t.withColumns({"kind": F.when(is_close & (F.col("_sum") < F.col("_floor")), "stray").otherwise(F.col("kind")), "_level": level})
+    paired = is_close | (is_open & (F.lead("kind").over(Window.partitionBy("row", "name", "_level").orderBy("pos")) == "close"))
+    t = t.withColumn("_pair", F.coalesce(paired, F.lit(False)))
+
+    # pairs by depth (of a pair's tags: its own), and the pair around each token
+    t = t.withColumn("_in", F.sum(F.when(F.col("_pair"), step).otherwise(0)).over(page) + (F.col("_pair") & is_close).cast("int"))
+    end = F.when(F.col("_pair") & is_open, F.lead("pos").over(Window.partitionBy("row", "_pair", "_in").orderBy("pos")))
+    t = t.withColumns({"_end": end, "_around": F.col("_in") - F.col("_pair").cast("int"), "_page_end": F.max("pos").over(whole) + 1})
     t = t.withColumn("_last", F.lag(F.struct("pos", F.col("_in").alias("depth"), (F.col("_pair") & is_open).alias("opens"), F.col("_end").alias("end"))).over(page))
     first_in = F.col("_last.opens") & (F.col("_last.depth") == F.col("_around"))
     inside = Window.partitionBy("row", "_around").orderBy("pos").rowsBetween(*_ALL)
-    t = t.withColumn("_pair_around", F.last(F.when(first_in, F.struct(F.col("_last.pos").alias("pos"), F.col("_last.end").alias("end"))), ignorenulls=True).over(inside))
+    around = F.last(F.when(first_in, F.struct(F.col("_last.pos").alias("pos"), F.col("_last.end").alias("end"))), ignorenulls=True).over(inside)
+    t = t.withColumn("_around", around).withColumn("_in_pair", F.coalesce(F.col("_around.pos"), F.lit(-1)))
 
-    # open elements: what may end them, within the pair around them
-    t = t.withColumn("_in_pair", F.coalesce(F.col("_pair_around.pos"), F.lit(-1)))
-    starts, single = is_open | (F.col("kind") == "void"), is_open & ~F.col("_pair")
+    # open elements: what ends them, within the pair around them
+    single = is_open & ~F.col("_pair")
     rank = reduce(lambda c, n: c.when(F.col("name") == n, RANK[n]), RANK, F.when(F.lit(False), 0))
-    power = F.when(starts, F.coalesce(rank, F.when(_in(F.col("name"), BLOCKS), 0)))
+    power = F.when(is_open | (F.col("kind") == "void"), F.coalesce(rank, F.when(_in(F.col("name"), BLOCKS), 0)))
     t = t.withColumns({"_rank": F.when(single, rank), "_power": power, "_blocks": single & rank.isNull()})
-    ahead = before(Window.partitionBy("row", "_in_pair").orderBy(F.desc("pos")))
-    behind = before(Window.partitionBy("row", "_in_pair").orderBy("pos"))
+    ahead = Window.partitionBy("row", "_in_pair").orderBy(F.desc("pos")).rowsBetween(*_BEFORE)
+    behind = Window.partitionBy("row", "_in_pair").orderBy("pos")
     ranks = sorted(set(RANK.values()))
-    nearest = {f"_next{r}": F.min(F.when(F.col("_power") >= r, end)).over(ahead) for r in ranks}
-    t = t.withColumns({**nearest, "_next_block": F.min(F.when(F.col("_blocks"), F.col("pos"))).over(ahead)})
-    mine = reduce(lambda c, r: c.when(F.col("_rank") == r, F.col(f"_next{r}")), ranks, F.when(F.lit(False), F.col("_next0")))
-    t = t.withColumn("_ender", mine).withColumn("_ender", F.when(F.col("_next_block").isNull() | (F.col("_next_block") >= F.col("_ender.pos")), F.col("_ender")))
-    total = F.struct((F.col("pos") + 1).alias("pos"), *((F.col(f"_{m}.sum") + F.col(f"_{m}.own")).alias(m) for m in measures))
-    t = t.withColumn("_page_end", F.first(total).over(page_back.rowsBetween(*_ALL)))
-    t = t.withColumn("_end", F.when(F.col("_pair"), F.col("_end")).when(single, F.coalesce(F.col("_ender"), F.col("_pair_around.end"), F.col("_page_end"))))
+    t = t.withColumns({**{f"_next{r}": F.min(F.when(F.col("_power") >= r, F.col("pos"))).over(ahead) for r in ranks}, "_next_block": F.min(F.when(F.col("_blocks"), F.col("pos"))).over(ahead)})
+    ender = reduce(lambda c, r: c.when(F.col("_rank") == r, F.col(f"_next{r}")), ranks, F.when(F.lit(False), F.col("pos")))
+    ender = F.when(F.col("_next_block").isNull() | (F.col("_next_block") >= ender), ender)
+    stop = F.when(F.col("_pair") & is_open, F.col("_end") + 1).when(single, F.coalesce(ender, F.col("_around.end"), F.col("_page_end"))).when(_in(F.col("kind"), ("void", "raw")), F.col("pos") + 1)
 
     # how many open elements end at a token: those of its rank before a tag, all that are left before the pair's end tag
-    previous = {f"_prev{r}": F.last(F.when(F.col("_power") >= r, F.struct("pos", F.coalesce(F.col("_rank") == r, F.lit(False)).alias("ends"))), ignorenulls=True).over(behind) for r in ranks}
-    t = t.withColumns({**previous, "_prev_block": F.max(F.when(F.col("_blocks"), F.col("pos"))).over(behind)})
+    previous = {f"_prev{r}": F.last(F.when(F.col("_power") >= r, F.struct("pos", F.coalesce(F.col("_rank") == r, F.lit(False)).alias("ends"))), ignorenulls=True).over(behind.rowsBetween(*_BEFORE)) for r in ranks}
+    t = t.withColumns({"stop": stop, **previous, "_prev_block": F.max(F.when(F.col("_blocks"), F.col("pos"))).over(behind.rowsBetween(*_BEFORE))})
     ends = ((F.col("_power") >= r) & F.col(f"_prev{r}.ends") & (F.col("_prev_block").isNull() | (F.col("_prev_block") < F.col(f"_prev{r}.pos"))) for r in ranks)
     t = t.withColumn("_ended", reduce(lambda a, b: a + b, (F.coalesce(e, F.lit(False)).cast("int") for e in ends)))
-    t = t.withColumn("_left", F.sum(single.cast("int") - F.col("_ended")).over(Window.partitionBy("row", "_in_pair").orderBy("pos")))
+    t = t.withColumn("_left", F.sum(single.cast("int") - F.col("_ended")).over(behind))
     left = F.when(F.col("_last.opens"), 0).otherwise(F.lag("_left").over(page))
     t = t.withColumn("_ended", F.when(F.col("_pair") & is_close, left + 1).otherwise(F.col("_ended")))
-    begun = is_open.cast("int")
-    t = t.withColumn("depth", F.sum(begun - F.col("_ended")).over(page) - begun)
+    t = t.withColumn("depth", F.sum(is_open.cast("int") - F.col("_ended")).over(page) - is_open.cast("int"))
 
-    # elements
-    after = {m: F.when(is_open, F.col(f"_end.{m}") - F.col(f"_{m}.sum") - F.col(f"_{m}.own")).when(_in(F.col("kind"), ("void", "raw")), F.lit(0).cast("long")) for m in measures}
-    stop = F.when(is_open, F.col("_end.pos") + F.col("_pair").cast("int")).when(_in(F.col("kind"), ("void", "raw")), F.col("pos") + 1)
-    t = t.withColumns({"stop": stop, **after})
     t = t.withColumn("_last", F.lag(F.struct("pos", "depth", "kind", "name", "stop")).over(page))
     first_in = (F.col("_last.kind") == "open") & (F.col("_last.depth") + 1 == F.col("depth"))
-    around = Window.partitionBy("row", "depth").orderBy("pos").rowsBetween(*_ALL)
     parent = F.struct(F.col("_last.pos").alias("pos"), F.col("_last.name").alias("name"), F.col("_last.stop").alias("stop"))
-    t = t.withColumn("parent", F.last(F.when(first_in, parent), ignorenulls=True).over(around)).withColumn("parent", F.when(F.col("depth") > 0, F.col("parent")))
-    return t.select(*tokens.columns, "kind", "name", "stop", "depth", "parent", *measures)
+    parent = F.last(F.when(first_in, parent), ignorenulls=True).over(Window.partitionBy("row", "depth").orderBy("pos").rowsBetween(*_ALL))
+    return t.withColumn("parent", parent).select(*tokens.columns, "kind", "name", "stop", "depth", F.when(F.col("depth") > 0, F.col("parent")).alias("parent"))
 
 
 def covered(marked: Column) -> Column:
@@ -196,126 +188,155 @@ def role_is(role: str) -> Column:
     return is_element() & (attribute(F.col("token"), "role") == role)
 
 
-def _bare(annotated: DataFrame) -> DataFrame:
-    return annotated.select("id", "row", "pos", "token")
-
-
 def _kept(annotated: DataFrame, marked: Column) -> DataFrame:
     """Tokens outside the marked elements."""
-    return _bare(annotated.withColumn("_gone", covered(F.coalesce(marked, F.lit(False)))).where("NOT _gone"))
+    marked = annotated.withColumn("_gone", covered(F.coalesce(marked, F.lit(False)))).where("NOT _gone")
+    return marked.select(*_COLUMNS)
+
+
+_COLUMNS = ("id", "row", "pos", "token", "kind", "name", "stop", "depth", "parent")
+#: places between two tokens that new ones may take
+_ROOM = 4
+_NEW = "struct<token:string,kind:string,name:string,stop:bigint,depth:bigint,parent:struct<pos:bigint,name:string,stop:bigint>>"
+
+
+def _new(token: Column | str, kind: str = "text", name: str = "", stop: Column | None = None, depth: Column | None = None, parent: Column | None = None) -> Column:
+    """A token in the place of another; ``stop`` and ``parent`` in places after :func:`_replaced`."""
+    none = F.lit(None)
+    return F.struct((F.lit(token) if isinstance(token, str) else token).alias("token"), F.lit(kind).alias("kind"), F.lit(name).alias("name"), (none if stop is None else stop).alias("stop"),
+                    (F.col("depth") if depth is None else depth).alias("depth"), (none if parent is None else parent).alias("parent")).cast(_NEW)
+
+
+def _as_it_is(token: Column | None = None) -> Column:
+    parent = F.when(F.col("parent").isNotNull(), F.struct((F.col("parent.pos") * _ROOM).alias("pos"), F.col("parent.name").alias("name"), (F.col("parent.stop") * _ROOM).alias("stop")))
+    return F.struct((F.col("token") if token is None else token).alias("token"), "kind", "name", (F.col("stop") * _ROOM).alias("stop"), "depth", parent.alias("parent")).cast(_NEW)
 
 
 def _replaced(annotated: DataFrame, new: Column) -> DataFrame:
-    """``new``: the tokens in place of each token, in order (four at most)."""
-    rows = annotated.select("id", "row", "pos", F.posexplode(new).alias("_n", "token"))
-    return rows.select("id", "row", (F.col("pos") * 4 + F.col("_n")).alias("pos"), "token")
+    """``new``: the tokens in place of each token, in order (``_ROOM`` at most); places grow by that factor."""
+    rows = annotated.select("id", "row", "pos", F.posexplode(new).alias("_n", "_t"))
+    return rows.select("id", "row", (F.col("pos") * _ROOM + F.col("_n")).alias("pos"), "_t.*").select(*_COLUMNS)
+
+
+def _nothing() -> Column:
+    return F.array().cast(f"array<{_NEW}>")
+
+
+def _before(marked: Column) -> Column:
+    """Whether a token lies in a marked element, whose first token it is not."""
+    last = F.max(F.when(marked, F.col("stop"))).over(Window.partitionBy("row").orderBy("pos").rowsBetween(*_BEFORE))
+    return F.coalesce(last > F.col("pos"), F.lit(False))
+
+
+def _nearest_after(value: Column) -> Column:
+    """``value`` (a struct or place) of the nearest token after this one that has it, this one included."""
+    return F.last(value, ignorenulls=True).over(Window.partitionBy("row").orderBy(F.desc("pos")).rowsBetween(*_ALL))
 
 
 # ------------------------------------------------------------ cleaning steps
 
-def terminal_regions(tokens: DataFrame) -> DataFrame:
+def terminal_regions(annotated: DataFrame) -> DataFrame:
     """A region labelled as a terminal becomes a code block of its texts, joined by spaces."""
-    t = annotate(tokens, _texts=F.when((F.col("kind") == "text") & (stripped(F.col("token")) != ""), 1).otherwise(0))
+    words = (F.col("kind") == "text") & (stripped(F.col("token")) != "")
     label = F.lower(attribute(F.col("token"), "aria-label"))
-    terminal = role_is("region") & reduce(lambda a, b: a | b, (label.contains(w) for w in TERMINAL_WORDS)) & (F.col("_texts") > 0) & (F.col("kind") == "open")
-    t = t.withColumn("_terminal", F.coalesce(terminal, F.lit(False)))
+    region = (F.col("kind") == "open") & role_is("region") & reduce(lambda a, b: a | b, (label.contains(w) for w in TERMINAL_WORDS))
+    t = annotated.withColumn("_word_at", _nearest_after(F.when(words, F.col("pos"))))
+    t = t.withColumn("_region", F.coalesce(region & (F.col("_word_at") < F.col("stop")), F.lit(False))).withColumn("_inner", _before(F.col("_region")))
+    t = t.withColumn("_starts", F.col("_region") & ~F.col("_inner"))
     page = Window.partitionBy("row").orderBy("pos")
-    outer = F.coalesce(F.max(F.when(F.col("_terminal"), F.col("stop"))).over(page.rowsBetween(Window.unboundedPreceding, -1)) > F.col("pos"), F.lit(False))
-    t = t.withColumn("_inner", outer).withColumn("_starts", F.col("_terminal") & ~F.col("_inner"))
-    words = (F.col("kind") == "text") & (stripped(F.col("token")) != "")
-    number = Window.partitionBy("row", "_region").orderBy("pos").rowsBetween(*_ALL)
-    t = t.withColumn("_region", F.last(F.when(F.col("_starts"), F.col("pos")), ignorenulls=True).over(page.rowsBetween(*_ALL)))
-    t = t.withColumn("_region", F.when(F.col("_starts") | F.col("_inner"), F.col("_region"))).withColumn("_nth", F.sum((words & F.col("_inner")).cast("int")).over(number))
-    t = t.withColumn("_closes", F.col("_inner") & (F.lead("_region").over(page).isNull() | (F.lead("_region").over(page) != F.col("_region"))))
-    text = F.when(words, F.array(F.concat(F.when(F.col("_nth") > 1, " ").otherwise(""), F.regexp_replace("token", r"(?U)^\s+|\s+$", ""))))
-    empty = F.array().cast("array<string>")
-    new = (F.when(F.col("_starts"), F.array(F.lit("<pre>"), F.lit('<code class="language-text">')))
-           .when(F.col("_inner"), F.concat(F.coalesce(text, empty), F.when(F.col("_closes"), F.array(F.lit("</code>"), F.lit("</pre>"))).otherwise(empty)))
-           .otherwise(F.array("token")))
-    return _replaced(t, new)
-
-
-def strip_boilerplate(tokens: DataFrame) -> DataFrame:
+    of = F.last(F.when(F.col("_starts"), F.struct("pos", "stop", "depth")), ignorenulls=True).over(page.rowsBetween(*_ALL))
+    t = t.withColumn("_of", F.when(F.col("_starts") | F.col("_inner"), of)).withColumn("_at", F.col("_of.pos"))
+    t = t.withColumns({"_nth": F.sum((words & F.col("_inner")).cast("int")).over(Window.partitionBy("row", "_at").orderBy("pos").rowsBetween(*_ALL)), "_then": F.lead("_at").over(page)})
+    closes = F.col("_inner") & (F.col("_then").isNull() | (F.col("_then") != F.col("_at")))
+    text = F.concat(F.when(F.col("_nth") > 1, " ").otherwise(""), F.regexp_replace("token", r"(?U)^\s+|\s+$", ""))
+    stop, depth = F.col("stop") * _ROOM, F.col("_of.depth")
+    pre = F.struct((F.col("pos") * _ROOM).alias("pos"), F.lit("pre").alias("name"), stop.alias("stop"))
+    begin = F.array(F.struct(F.lit("<pre>").alias("token"), F.lit("open").alias("kind"), F.lit("pre").alias("name"), stop.alias("stop"), F.col("depth"), _as_it_is()["parent"].alias("parent")).cast(_NEW),
+                    _new('<code class="language-text">', "open", "code", stop - 2, depth + 1, pre))
+    inner = F.array(_new(F.when(words, text).otherwise(""), depth=depth + 2))
+    new = F.when(F.col("_starts"), begin).when(closes, F.concat(inner, F.array(_new("</code>", "close", "code", depth=depth + 1), _new("</pre>", "close", "pre", depth=depth)))).when(F.col("_inner"), inner)
+    return _replaced(t, F.coalesce(new, F.array(_as_it_is())))
+
+
+def strip_boilerplate(annotated: DataFrame) -> DataFrame:
     """Without elements that are no content, and without buttons by role."""
-    return _kept(annotate(tokens), (is_element() & _in(F.col("name"), STRIP_TAGS)) | role_is("button"))
+    return _kept(annotated, (is_element() & _in(F.col("name"), STRIP_TAGS)) | role_is("button"))
 
 
 def _beside_code(annotated: DataFrame) -> DataFrame:
-    """Adds ``_beside``: whether a ``pre`` has the same parent."""
-    key = F.coalesce(F.col("parent.pos"), F.lit(-1))
-    t = annotated.withColumn("_parent", key).withColumn("_beside", F.max(is_element() & (F.col("name") == "pre")).over(Window.partitionBy("row", "_parent")))
+    """Adds ``_beside``: whether the token is a child of an element that has a ``pre`` as a child."""
+    t = annotated.withColumn("_parent", F.coalesce(F.col("parent.pos"), F.lit(-1)))
+    t = t.withColumn("_beside", F.max(is_element() & (F.col("name") == "pre")).over(Window.partitionBy("row", "_parent")))
     return t.withColumn("_beside", F.col("_beside") & F.col("parent").isNotNull())
 
 
-def strip_copy_ui(tokens: DataFrame) -> DataFrame:
+def strip_copy_ui(annotated: DataFrame) -> DataFrame:
     """Without copy buttons within the parent of a code block."""
-    t = _beside_code(annotate(tokens)).withColumn("_scope", covered(F.col("_beside") & is_element()))
+    t = _beside_code(annotated).withColumn("_scope", covered(F.col("_beside") & is_element()))
     return _kept(t, F.col("_scope") & has_class(COPY_CLASSES))
 
 
-def clean_code_chrome(tokens: DataFrame) -> DataFrame:
+def clean_code_chrome(annotated: DataFrame) -> DataFrame:
     """Without siblings of a code block that have no text and no code."""
-    t = _beside_code(annotate(tokens, _text=text_length(), _pres=(is_element() & (F.col("name") == "pre")).cast("int")))
-    empty = F.col("_beside") & is_element() & ~_in(F.col("parent.name"), OPEN_CONTAINERS) & ~_in(F.col("name"), ("code", "pre")) & (F.col("_text") == 0) & (F.col("_pres") == 0)
-    return _kept(t, empty)
+    words = (F.col("kind") == "text") & (stripped(F.col("token")) != "")
+    t = _beside_code(annotated).withColumns({"_word_at": _nearest_after(F.when(words | (is_element() & (F.col("name") == "pre")), F.col("pos")))})
+    empty = F.col("_word_at").isNull() | (F.col("_word_at") >= F.col("stop"))
+    return _kept(t, F.col("_beside") & is_element() & ~_in(F.col("parent.name"), OPEN_CONTAINERS) & ~_in(F.col("name"), ("code", "pre")) & empty)
 
 
-def collapse_code_spans(tokens: DataFrame) -> DataFrame:
+def collapse_code_spans(annotated: DataFrame) -> DataFrame:
     """Highlighted code becomes plain text, of each ``span.line`` one line; white space between parts of a line goes."""
     name, kind = F.col("name"), F.col("kind")
     listed = F.split(F.trim(F.coalesce(attribute(F.col("token"), "class"), F.lit(""))), r"\s+")
     order = Window.partitionBy("row").orderBy("pos")
     page = order.rowsBetween(*_ALL)
-    t = annotate(tokens)
     # the first code element of a pre: no other one begins between the two
-    code_open = (name == "code") & (kind == "open")
-    t = t.withColumn("_codes", F.coalesce(F.sum(code_open.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    code_open, span_open = (name == "code") & (kind == "open"), (name == "span") & (kind == "open")
+    t = annotated.withColumn("_codes", F.coalesce(F.sum(code_open.cast("int")).over(order.rowsBetween(*_BEFORE)), F.lit(0)))
     pre_stop = F.max(F.when((name == "pre") & (kind == "open"), F.col("stop"))).over(Window.partitionBy("row", "_codes").orderBy("pos").rowsBetween(*_ALL))
     t = t.withColumn("_code", F.coalesce(code_open & (pre_stop > F.col("pos")), F.lit(False)))
-    in_code = F.coalesce(F.max(F.when(F.col("_code"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1)) > F.col("pos"), F.lit(False))
-    t = t.withColumn("_other", in_code).withColumn("_code", F.col("_code") & ~F.col("_other"))
-    t = t.withColumns({"_in_code": covered(F.col("_code")), "_of": F.max(F.when(F.col("_code"), F.col("pos"))).over(page)}).withColumn("_of", F.when(F.col("_in_code"), F.col("_of")))
+    t = t.withColumns({"_other": _before(F.col("_code")), "_span_at": _nearest_after(F.when(span_open, F.col("pos")))})
+    t = t.withColumn("_code", F.col("_code") & ~F.col("_other") & (F.col("_span_at") < F.col("stop")))
+    of = F.last(F.when(F.col("_code"), F.struct("pos", "stop", "depth")), ignorenulls=True).over(page)
+    t = t.withColumn("_of", of).withColumn("_of", F.when(F.col("_of.stop") > F.col("pos"), F.col("_of"))).withColumn("_at", F.col("_of.pos"))
     # lines of the block, which don't nest
-    t = t.withColumn("_line", F.col("_in_code") & (name == "span") & (kind == "open") & F.array_contains(listed, "line"))
-    in_other = F.coalesce(F.max(F.when(F.col("_line"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1)) > F.col("pos"), F.lit(False))
-    t = t.withColumn("_other", in_other).withColumn("_line", F.col("_line") & ~F.col("_other"))
-    block = Window.partitionBy("row", "_of")
-    t = t.withColumns({"_lines": F.max(F.col("_line")).over(block), "_spans": F.max((name == "span") & (kind == "open")).over(block), "_code_at": F.max(F.when(F.col("_code"), F.struct("stop", "depth"))).over(block)})
-    t = t.withColumns({"_in_line": covered(F.col("_line")), "_nth": F.sum(F.col("_line").cast("int")).over(block.orderBy("pos").rowsBetween(*_ALL)), "_line_pos": F.max(F.when(F.col("_line"), F.col("pos"))).over(page)})
-    work = F.col("_in_code") & F.col("_spans")
-    own_tag = F.col("_code") | ((kind == "close") & (F.col("pos") + 1 == F.col("_code_at.stop")) & (F.col("depth") == F.col("_code_at.depth")))
-    blank = ~F.col("token").rlike(r"(?U)\S") & (F.col("parent.pos") == F.col("_line_pos"))
-    text = (kind == "text") & (~F.col("_lines") | (F.col("_in_line") & ~blank))
+    t = t.withColumn("_line", F.coalesce(F.col("_at").isNotNull() & span_open & F.array_contains(listed, "line"), F.lit(False)))
+    t = t.withColumn("_other", _before(F.col("_line"))).withColumn("_line", F.col("_line") & ~F.col("_other"))
+    block = Window.partitionBy("row", "_at")
+    t = t.withColumns({"_lines": F.max("_line").over(block), "_nth": F.sum(F.col("_line").cast("int")).over(block.orderBy("pos").rowsBetween(*_ALL)),
+                       "_line_of": F.last(F.when(F.col("_line"), F.struct("pos", "stop")), ignorenulls=True).over(page)})
+    own_tag = F.col("_code") | ((kind == "close") & (F.col("depth") == F.col("_of.depth")))
+    blank = ~F.col("token").rlike(r"(?U)\S") & (F.col("parent.pos") == F.col("_line_of.pos"))
+    text = (kind == "text") & (~F.col("_lines") | ((F.col("_line_of.stop") > F.col("pos")) & ~blank))
     classes = F.filter(listed, lambda c: reduce(lambda a, b: a | b, (c.startswith(x) for x in CODE_CLASSES)))
     code = F.when(F.size(classes) > 0, F.concat(F.lit('<code class="'), F.array_join(classes, " "), F.lit('">'))).otherwise(F.col("token"))
-    empty = F.array().cast("array<string>")
-    new = (F.when(~work | ((kind == "close") & own_tag), F.array("token")).when(own_tag, F.array(code))
-           .when(F.col("_line") & (F.col("_nth") > 1), F.array(F.lit("\n"))).when(text, F.array("token")).otherwise(empty))
-    return _replaced(t, F.coalesce(new, F.array("token")))
+    new = (F.when(F.col("_at").isNull(), F.array(_as_it_is())).when(own_tag, F.array(_as_it_is(F.when(F.col("_code"), code).otherwise(F.col("token")))))
+           .when(F.col("_line") & (F.col("_nth") > 1), F.array(_new("\n"))).when(text, F.array(_new(F.col("token")))))
+    return _replaced(t, F.coalesce(new, _nothing()))
 
 
-def inline_spacing(tokens: DataFrame) -> DataFrame:
+def inline_spacing(annotated: DataFrame) -> DataFrame:
     """A space between inline elements that touch, where neither has one there."""
-    page, back = Window.partitionBy("row").orderBy("pos"), Window.partitionBy("row").orderBy(F.desc("pos"))
+    page = Window.partitionBy("row").orderBy("pos")
     text = F.when((F.col("kind") == "text") & (F.col("token") != ""), F.struct("pos", F.left("token", F.lit(1)).alias("first"), F.right("token", F.lit(1)).alias("last")))
-    t = annotate(tokens).withColumn("_parent", F.coalesce(F.col("parent.pos"), F.lit(-1)))
-    before = F.last(text, ignorenulls=True).over(page.rowsBetween(*_ALL))
-    after = F.last(text, ignorenulls=True).over(back.rowsBetween(*_ALL))
+    t = annotated.withColumns({"_parent": F.coalesce(F.col("parent.pos"), F.lit(-1)), "_starts": is_element()})
     sibling = F.lag(F.struct("pos", "name", "stop")).over(Window.partitionBy("row", "_parent", "_starts").orderBy("pos"))
-    t = t.withColumn("_starts", is_element()).withColumns({"_before": before, "_after": after, "_sibling": F.when(F.col("_starts"), sibling), "_previous": F.lag("pos").over(page)})
-    touches = _in(F.col("name"), INLINE) & _in(F.col("_sibling.name"), INLINE) & (F.col("_previous") < F.col("_sibling.stop")) & (F.col("_sibling.stop") <= F.col("pos"))
-    apart = ~_in(F.col("_before.last"), (" ", "\n")) & ~_in(F.col("_after.first"), (" ", "\n"))
-    both = (F.col("_before.pos") > F.col("_sibling.pos")) & (F.col("_after.pos") < F.col("stop"))
-    return _replaced(t, F.when(F.col("_starts") & touches & apart & both, F.array(F.lit(" "), F.col("token"))).otherwise(F.array("token")))
+    t = t.withColumns({"_ahead": _nearest_after(text), "_behind": F.last(text, ignorenulls=True).over(page.rowsBetween(*_ALL)), "_sibling": sibling, "_previous": F.lag("pos").over(page)})
+    touches = F.col("_starts") & _in(F.col("name"), INLINE) & _in(F.col("_sibling.name"), INLINE) & (F.col("_previous") < F.col("_sibling.stop")) & (F.col("_sibling.stop") <= F.col("pos"))
+    apart = ~_in(F.col("_behind.last"), (" ", "\n")) & ~_in(F.col("_ahead.first"), (" ", "\n"))
+    both = (F.col("_behind.pos") > F.col("_sibling.pos")) & (F.col("_ahead.pos") < F.col("stop"))
+    # the element moves one place on, within the room that its place has
+    moved = F.array(_new(" "), _as_it_is())
+    return _replaced(t, F.when(touches & apart & both, moved).otherwise(F.array(_as_it_is())))
 
 
 #: The steps of cleaning, in order
 STEPS = (terminal_regions, strip_boilerplate, strip_copy_ui, clean_code_chrome, collapse_code_spans, inline_spacing)
 
 
-def dom_cleanup(tokens: DataFrame, steps=STEPS) -> DataFrame:
-    """Tokens of cleaned pages."""
-    return reduce(lambda t, step: step(t), steps, tokens)
+def dom_cleanup(annotated: DataFrame, steps=STEPS) -> DataFrame:
+    """Cleaned pages, from annotated ones."""
+    return reduce(lambda t, step: step(t), steps, annotated)
 
 
 # ------------------------------------------------------------------ choosing
@@ -357,11 +378,27 @@ def matches(annotated: DataFrame, selector: str, into: str = "matches") -> DataF
     return t.withColumn(into, F.col(before)).drop(*(c for c in t.columns if c.startswith("_selected")))
 
 
+def masses(annotated: DataFrame, marked: Column, mass: Column) -> DataFrame:
+    """``row, pos, mass``: of each marked element the sum of ``mass`` (of tokens) in it.
+
+    The running sum where it stops less the one where it begins: the element's
+    end is a row of its own, before the token in that place.
+    """
+    place = lambda at, end: F.struct(at.alias("at"), F.lit(end).alias("end"))
+    t = annotated.withColumns({"_marked": F.coalesce(marked, F.lit(False)), "_mass": mass.cast("long")})
+    t = t.withColumn("_place", F.explode(F.when(F.col("_marked"), F.array(place(F.col("pos"), 1), place(F.col("stop"), 0))).otherwise(F.array(place(F.col("pos"), 1)))))
+    total = F.sum(F.when(F.col("_place.end") == 1, F.col("_mass")).otherwise(0)).over(Window.partitionBy("row").orderBy("_place.at", "_place.end").rowsBetween(*_ALL))
+    return t.withColumn("_total", total).where("_marked").groupBy("row", "pos").agg((F.max("_total") - F.min("_total")).alias("mass"))
+
+
 def div_scores(annotated: DataFrame) -> DataFrame:
-    """``id, row, pos, stop, score`` of each div: its text length (``text``) and ``PARAGRAPH`` for each paragraph that is its child."""
-    paragraphs = annotated.where(is_element() & (F.col("name") == "p")).groupBy("row", F.col("parent.pos").alias("pos")).agg(F.count("*").alias("n"))
-    divs = annotated.where(is_element() & (F.col("name") == "div")).select("id", "row", "pos", "stop", "text")
-    return divs.join(paragraphs, ["row", "pos"], "left").select("id", "row", "pos", "stop", (F.col("text") + PARAGRAPH * F.coalesce("n", F.lit(0))).alias("score"))
+    """``row, pos, stop, score`` of each div: its text length and ``PARAGRAPH`` for each paragraph that is its child."""
+    children = annotated.where(is_element() & (F.col("name") == "p") & (F.col("parent.name") == "div")).groupBy("row", F.col("parent.pos").alias("pos")).agg((PARAGRAPH * F.count("*")).alias("score"))
+    is_div = is_element() & (F.col("name") == "div")
+    texts = masses(annotated, is_div, text_length()).select("row", "pos", F.col("mass").alias("score"))
+    stops = annotated.where(is_div).select("row", "pos", "stop", F.lit(0).cast("long").alias("score"))
+    parts = children.unionByName(texts).withColumn("stop", F.lit(None).cast("long")).unionByName(stops)
+    return parts.groupBy("row", "pos").agg(F.max("stop").alias("stop"), F.sum("score").alias("score"))
 
 
 def best_div(annotated: DataFrame) -> DataFrame:
@@ -374,29 +411,27 @@ def best_div(annotated: DataFrame) -> DataFrame:
 PICKED_BY = ("selector", "article", "main", "div", "body", "document")
 
 
-def pick_article(tokens: DataFrame, selector: str | None = None) -> DataFrame:
+def pick_article(annotated: DataFrame, selector: str | None = None) -> DataFrame:
     """``id, row, picked_by, pos, stop``: the content of each page.
 
     That is the first element of ``selector``, else the first ``article`` if it has
     more than ``SHORT_ARTICLE`` characters, else the first ``main`` by the same
     rule, else the best div, else the body, else the whole page.
     """
-    t = annotate(tokens, text=text_length())
-    if selector:
-        t = matches(t, selector, "_wanted")
-    else:
-        t = t.withColumn("_wanted", F.lit(False))
-    spot = F.struct("pos", "stop", "text")
-    first = lambda keep: F.min(F.when(keep & is_element(), spot))
-    named = lambda n: F.col("name") == n
-    pages = t.groupBy("row").agg(F.first("id").alias("id"), first(F.col("_wanted")).alias("selector"), first(named("article")).alias("article"), first(named("main")).alias("main"),
-                                 first(named("body")).alias("body"), F.struct(F.min("pos").alias("pos"), (F.max("pos") + 1).alias("stop")).alias("document"))
-    pages = pages.join(best_div(t).select("row", F.struct("pos", "stop").alias("div")), "row", "left")
-    long = lambda c: F.when(F.col(f"{c}.text") > SHORT_ARTICLE, F.struct(f"{c}.pos", f"{c}.stop"))
-    any_ = lambda c: F.when(F.col(c).isNotNull(), F.struct(f"{c}.pos", f"{c}.stop"))
-    spots = {"selector": any_("selector"), "article": long("article"), "main": long("main"), "div": any_("div"), "body": any_("body"), "document": any_("document")}
-    ranked = F.array(*(F.when(s.isNotNull(), F.struct(F.lit(k).alias("picked_by"), s.alias("s"))) for k, s in spots.items()))
-    return pages.withColumn("_pick", F.get(F.filter(ranked, lambda x: x.isNotNull()), 0)).select("id", "row", "_pick.picked_by", "_pick.s.pos", "_pick.s.stop")
+    t = matches(annotated, selector, "_wanted") if selector else annotated.withColumn("_wanted", F.lit(False))
+    spot = F.struct("pos", "stop")
+    named = lambda n: is_element() & (F.col("name") == n)
+    for n in ("article", "main"):  # the first of a page, and the text in it so far
+        first = F.min(F.when(named(n), spot)).over(Window.partitionBy("row"))
+        t = t.withColumn(f"_{n}", first)
+    in_ = lambda n: (F.col("pos") >= F.col(f"_{n}.pos")) & (F.col("pos") < F.col(f"_{n}.stop"))
+    long = lambda n: F.when(F.sum(F.when(in_(n), text_length()).otherwise(0)) > SHORT_ARTICLE, F.first(f"_{n}"))
+    spots = {"selector": F.min(F.when(F.col("_wanted"), spot)), "article": long("article"), "main": long("main"), "body": F.min(F.when(named("body"), spot)),
+             "document": F.struct(F.min("pos").alias("pos"), (F.max("pos") + 1).alias("stop"))}
+    pages = t.groupBy("row").agg(F.first("id").alias("id"), *(c.alias(k) for k, c in spots.items()))
+    pages = pages.join(best_div(annotated).select("row", F.struct("pos", "stop").alias("div")), "row", "left")
+    ranked = F.array(*(F.when(F.col(k).isNotNull(), F.struct(F.lit(k).alias("picked_by"), F.col(f"{k}.pos").alias("pos"), F.col(f"{k}.stop").alias("stop"))) for k in PICKED_BY))
+    return pages.withColumn("_pick", F.get(F.filter(ranked, lambda x: x.isNotNull()), 0)).select("id", "row", "_pick.*")
 
 
 def within(tokens: DataFrame, spots: DataFrame) -> DataFrame:
@@ -414,14 +449,8 @@ def joined(tokens: DataFrame, into: str, token: Column | str = "token", sep: str
 
 def article_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", selector: str | None = None) -> DataFrame:
     """``id, row, picked_by, word_count, reading_time_minutes`` of the content of each cleaned page."""
-    # cleaned pages are split into tokens anew, as their markup has changed; written once, since choice and count both read them
-    cleaned = cut_lineage(joined(dom_cleanup(tokens(pages, id_col, html_col)), "html"))
-    t = tokens(cleaned, "id", "html")
+    # written once: choice and count both read it
+    t = cut_lineage(dom_cleanup(annotate(tokens(pages, id_col, html_col))))
     spots = pick_article(t, selector)
-    text = F.when(_kind_of_text(F.col("token")), unescaped(F.col("token"))).otherwise("")
-    n = within(t, spots).groupBy("row").agg(F.sum(word_count(text)).cast("int").alias("word_count"))
-    return spots.join(n, "row").select("id", "row", "picked_by", "word_count").withColumn("reading_time_minutes", reading_time(F.col("word_count")))
-
-
-def _kind_of_text(token: Column) -> Column:
-    return ~token.rlike(r"^<[a-zA-Z/!?]")
+    words = within(t, spots).groupBy("row").agg(F.sum(F.when(F.col("kind") == "text", word_count(unescaped(F.col("token")))).otherwise(0)).cast("int").alias("word_count"))
+    return spots.join(words, "row").select("id", "row", "picked_by", "word_count").withColumn("reading_time_minutes", reading_time(F.col("word_count")))

@@ -121,7 +121,9 @@ def terminal_regions(root):
     for n in root.elements():
         words = [SPACE.sub("", t) for t in n.texts() if SPACE.sub("", t)]
         if n.kind == "open" and n.attr("role") == "region" and any(w in (n.attr("aria-label") or "").lower() for w in dom.TERMINAL_WORDS) and words and all(x in x.parent.children for x in up(n)):
-            n.token, n.close, n.children, n.kind, n.name = f'<pre><code class="language-text">{" ".join(words)}</code></pre>', "", [], "other", ""
+            code = Node('<code class="language-text">', "open", "code", parent=n, close="</code>")
+            code.children = [Node(" ".join(words), "text", parent=code)]
+            n.token, n.close, n.children, n.name = "<pre>", "</pre>", [code], "pre"
 
 
 def up(n):

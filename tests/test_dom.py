@@ -27,7 +27,9 @@ def nodes(root):
 @pytest.mark.parametrize("seed,parts", [(1, PARTS), (2, ["<p>", "<b>", "<li>", "<td>", "<tr>", "<ul>", "</ul>", "</b>", "</p>", "t"]), (3, CODE)])
 def test_intervals_against_a_stack(spark, seed, parts):
     html, pages = pages_of(spark, seed, parts)
-    rows = dom.annotate(dom.tokens(pages), text=dom.text_length(), n=F.lit(1)).collect()
+    t = dom.annotate(dom.tokens(pages))
+    rows = t.collect()
+    text = {(r.row, r.pos): r.mass for r in dom.masses(t, dom.is_element(), dom.text_length()).collect()}
     got = {}
     for r in rows:
         got.setdefault(r.id, {})[r.pos] = r
@@ -43,7 +45,7 @@ def test_intervals_against_a_stack(spark, seed, parts):
             assert r.depth == sum(1 for _ in B.up(n)) - 1, (h, p)
             assert (r.parent.pos if r.parent else None) == (n.parent.pos if n.parent is not root else None), (h, p)
             if n.is_element:
-                assert r.stop == n.stop and r.text == n.length(), (h, p, r, n.stop)
+                assert r.stop == n.stop and text[r.row, p] == n.length(), (h, p, r, n.stop)
                 assert not r.parent or (r.parent.stop == n.parent.stop and r.parent.name == n.parent.name)
 
 
@@ -51,14 +53,13 @@ def test_intervals_against_a_stack(spark, seed, parts):
 def test_cleaning_steps_against_trees(spark, step):
     html, pages = pages_of(spark, 10 + step, CODE, n=300, size=60)
     steps, brute = (dom.STEPS, B.STEPS) if step == len(B.STEPS) else (dom.STEPS[step : step + 1], B.STEPS[step : step + 1])
-    got = {r.id: r.html for r in dom.joined(dom.dom_cleanup(dom.tokens(pages), steps), "html").collect()}
+    got = {r.id: r.html for r in dom.joined(dom.dom_cleanup(dom.annotate(dom.tokens(pages)), steps), "html").collect()}
     changed = 0
     for i, h in enumerate(html):
-        text = h or ""
-        for do in brute:  # each step on the page as the step before left it, as tokens are told anew too
-            root = B.tree(text)
+        root = B.tree(h)
+        for do in brute:
             do(root)
-            text = root.html()
+        text = root.html()
         assert got[i] == text, (i, h)
         changed += text != (h or "")
     assert changed >= 5
@@ -69,13 +70,13 @@ def test_choice_of_content(spark):
     html = [f"<article>short</article><main>{long}</main>", f"<body><article><p>{long}</article>", "<article>a</article><main>b</main><div>few<p>words</div><div>more words here</div>", "<body><article>a</article></body>", "just text", "",
             None, "<div></div>", f"<div>{long}</div><div>{long}</div>", f"<body><div id=x class='c d'>{long}</div>", f"<nav><article>{long}</article></nav><article>no</article>", f"<article>no</article><article>{long}</article>"]
     pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
-    got = {r.id: (r.picked_by, r.pos, r.stop) for r in dom.pick_article(dom.tokens(pages)).collect()}
+    got = {r.id: (r.picked_by, r.pos, r.stop) for r in dom.pick_article(dom.annotate(dom.tokens(pages))).collect()}
     assert [got[i][0] for i in range(12)] == ["main", "article", "div", "body", "document", "document", "document", "document", "div", "div", "article", "document"]
     for i, h in enumerate(html):
         by, n = B.pick(B.tree(h))
         if by != "document":
             assert got[i] == (by, n.pos, n.stop)
-    t = dom.tokens(pages)
+    t = dom.annotate(dom.tokens(pages))
     inside = {r.id: r.html for r in dom.joined(dom.within(t, dom.pick_article(t)), "html").collect()}
     assert inside[2] == "<div>few<p>words</div>" and inside[4] == "just text" and inside[5] == ""
     assert {r.id: r.picked_by for r in dom.pick_article(t, "div.c#x").collect()}[9] == "selector"
@@ -106,26 +107,27 @@ def test_other_selectors_raise(selector):
 
 def test_best_div_takes_the_first_of_equal_ones(spark):
     html = ["<div>abc</div><div>abd</div>", "<div><p>x</p></div><div>" + "y" * 101 + "</div>", "<div> </div>", "<div><div>inner</div></div>"]
-    t = dom.annotate(dom.tokens(spark.createDataFrame(list(enumerate(html)), "page_id long, html string")), text=dom.text_length())
+    t = dom.annotate(dom.tokens(spark.createDataFrame(list(enumerate(html)), "page_id long, html string")))
     ids = {r.row: r.id for r in t.collect()}
     got = {ids[r.row]: (r.pos, r.score) for r in dom.best_div(t).collect()}
     assert got == {0: (1, 3), 1: (1, 101), 3: (1, 5)}
 
 
 def test_pages_with_one_id_stay_apart(spark):
-    pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (None, "<p>b")], "page_id long, html string")
-    assert sorted(r.html for r in dom.joined(dom.dom_cleanup(dom.tokens(pages)), "html").collect()) == ["<p>a", "<p>a", "<p>b"]
+    pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (1, "<p>c"), (None, "<p>b"), (None, "1\n<p>a")], "page_id long, html string")
+    got = dom.joined(dom.dom_cleanup(dom.annotate(dom.tokens(pages))), "html").collect()
+    assert sorted((str(r.id), r.html) for r in got) == [("1", "<p>a"), ("1", "<p>c"), ("None", "1\n<p>a"), ("None", "<p>b")]
 
 
 def test_long_pages(spark):
     """Many tags without an end, a deep page, one tag of 10 MB, and one without an end."""
     html = ["<p>x" * 30_000, "<div>" * 20_000 + "x", "<meta content='" + "x" * 10_000_000 + "'>end", "<meta content=" + "x" * 10_000_000, "<a b=c " * 100_000]
     pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
-    rows = dom.annotate(dom.tokens(pages), n=F.lit(1)).groupBy("id").agg(F.count("*").alias("n"), F.max("depth").alias("depth")).collect()
+    rows = dom.annotate(dom.tokens(pages)).groupBy("id").agg(F.count("*").alias("n"), F.max("depth").alias("depth")).collect()
     assert {r.id: (r.n, r.depth) for r in rows} == {0: (60_001, 1), 1: (20_002, 20_000), 2: (3, 0), 3: (3, 0), 4: (200_001, 0)}
 
 
 def test_no_python_in_the_plan(spark, sf_small):
-    t = dom.dom_cleanup(dom.tokens(spark.read.parquet(f"{sf_small}/pages.parquet")))
+    t = dom.dom_cleanup(dom.annotate(dom.tokens(spark.read.parquet(f"{sf_small}/pages.parquet"))))
     plan = dom.joined(t, "html")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
