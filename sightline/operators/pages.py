@@ -1,9 +1,8 @@
 """Markdown texts → normalised text, issues, sections and summary (E1–E17), as native columns.
 
 Texts are independent rows: normalisation, the detectors, the section map and
-the summary add columns to them, without a shuffle.  Only the offsets of regex
-matches come from an Arrow UDF (``functions.spans``), one call for each pattern
-a detector needs.  Page metadata is in ``operators.page_meta``.
+the summary add columns to them, without a shuffle.  Places and lines of regex matches come from
+``functions.spans``, in time that grows with their number.  Page metadata is in ``operators.page_meta``.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.langs import py_lstrip, py_rstrip, py_strip, sniff_language_col
-from sightline.functions.spans import regex_spans, span_type as SPAN_TYPE
+from sightline.functions.spans import apart, let, spans
 
 
 def word_count(text: Column) -> Column:
@@ -112,21 +111,15 @@ def context_around(md: Column, start: Column, end: Column, ctx: int = 40) -> Col
     return F.replace(F.substring(md, s + 1, e - s), F.lit("\n"), F.lit("\\n"))
 
 
-def _guarded(pattern: tuple[str, str], md: Column, maybe: Column) -> Column:
-    """Spans of ``pattern``; the Python helper only sees texts where ``maybe``
-    (a cheap native test that admits every text that could match) holds —
-    the others are passed as null and yield an empty array."""
-    return F.coalesce(regex_spans(*pattern)(F.when(maybe, md)), F.array().cast(SPAN_TYPE))
+def _found(pattern: tuple[str, str], md: Column, maybe: Column, groups: int = 0, context: int | None = None) -> Column:
+    """Matches of ``pattern`` in texts where ``maybe`` (a cheap test that admits every text that could match) holds."""
+    return spans(F.when(maybe, md), f"(?dU{pattern[1].lower()}){pattern[0]}", groups, context)
 
 
 def exclusion_zones(md: Column) -> Column:
-    """Spans of fences, link URLs, inline code and front matter, in order of their starts."""
-    return F.array_sort(F.concat(
-        _guarded(FENCE_RE, md, md.contains("```")),
-        _guarded(LINK_URL_RE, md, md.contains("](")),
-        _guarded(INLINE_CODE_RE, md, md.contains("`")),
-        _guarded(FRONT_MATTER_RE, md, md.startswith("---\n")),
-    ))
+    """Spans (``start, end``) of fences, link URLs, inline code and front matter, in order of their starts."""
+    kinds = ((FENCE_RE, md.contains("```")), (LINK_URL_RE, md.contains("](")), (INLINE_CODE_RE, md.contains("`")), (FRONT_MATTER_RE, md.startswith("---\n")))
+    return F.array_sort(F.concat(*(F.transform(_found(pattern, md, maybe), lambda s: F.struct(s["start"], s["end"])) for pattern, maybe in kinds)))
 
 
 ISSUES = "array<struct<type:string,line:int,find:string,detected:string,fix:string>>"
@@ -141,42 +134,41 @@ def _issue(type_: str, line: Column, find: Column | None, detected: Column | Non
     )
 
 
-def _located(spans: Column, md: Column, type_: str, fix: str, ctx: int = 40) -> Column:
-    return F.transform(spans, lambda s: _issue(type_, line_of(md, s["start"]), context_around(md, s["start"], s["end"], ctx), None, F.lit(fix)))
+def _located(found: Column, type_: str, fix: str) -> Column:
+    return F.transform(found, lambda s: _issue(type_, s["line"], s["find"], None, F.lit(fix)))
 
 
 def fused_text(df: DataFrame, md_col: str, min_len: int = 80) -> DataFrame:
     """Adds ``fused``: runs of ``min_len`` non-space characters outside the exclusion zones."""
     md = F.col(md_col)
-    long = md.rlike(rf"(?U)\S{{{min_len},}}")
-    df = df.withColumn("__runs", _guarded((rf"\S{{{min_len},}}", ""), md, long))
-    df = df.withColumn("__zones", exclusion_zones(F.when(long, md)))  # zones matter only where there is a run
-    free = F.filter("__runs", lambda s: ~F.exists(F.coalesce("__zones", F.array().cast(SPAN_TYPE)), lambda z: (s["start"] < z["end"]) & (s["end"] > z["start"])))
-    return df.withColumn("fused", _located(free, md, "fused text", "verify whitespace between tokens")).drop("__runs", "__zones")
+    long = md.rlike(rf"(?U)\S{{{min_len},}}")  # zones matter only where there is a run
+    runs = _found((rf"\S{{{min_len},}}", ""), md, long, context=40)
+    free = let(runs, lambda r: F.when(F.size(r) == 0, r).otherwise(apart(r, exclusion_zones(md))))
+    return df.withColumn("fused", _located(free, "fused text", "verify whitespace between tokens"))
 
 
 def html_leaks(df: DataFrame, md_col: str) -> DataFrame:
     """Adds ``leaks``: HTML that is left in the text."""
     md = F.col(md_col)
-    found = _guarded(HTML_LEAK_RE, md, md.contains("<") | md.contains("role="))
-    return df.withColumn("leaks", _located(found, md, "HTML leakage", "remove or convert to markdown"))
+    found = _found(HTML_LEAK_RE, md, md.contains("<") | md.contains("role="), context=40)
+    return df.withColumn("leaks", _located(found, "HTML leakage", "remove or convert to markdown"))
 
 
 def empty_fences(df: DataFrame, md_col: str) -> DataFrame:
     """Adds ``empties``: fenced blocks without text."""
     md = F.col(md_col)
-    return df.withColumn("empties", _located(_guarded(EMPTY_FENCE_RE, md, md.contains("```")), md, "empty code block", "remove empty fence", 20))
+    return df.withColumn("empties", _located(_found(EMPTY_FENCE_RE, md, md.contains("```"), context=20), "empty code block", "remove empty fence"))
 
 
 def wrong_languages(df: DataFrame, md_col: str) -> DataFrame:
     """Adds ``mislabelled``: unlabelled or ``text`` fences of 8 characters or more whose rules name a language."""
     md = F.col(md_col)
-    df = df.withColumn("__fences", F.transform(_guarded(FENCE_LANG_RE, md, md.contains("```")), lambda s: F.struct(
-        s["start"].alias("start"), s["g1"].alias("lang"), py_strip(s["g2"]).alias("body"))))
+    df = df.withColumn("__fences", F.transform(_found(FENCE_LANG_RE, md, md.contains("```"), groups=2), lambda s: F.struct(
+        s["line"], s["g1"].alias("lang"), py_strip(s["g2"]).alias("body"))))
     named = F.transform(F.filter("__fences", lambda f: f["lang"].isin("", "text") & (F.length(f["body"]) >= 8)),
                         lambda f: f.withField("sniffed", sniff_language_col(f["body"])))
     found = F.transform(F.filter(named, lambda f: f["sniffed"] != "text"), lambda f: _issue(
-        "wrong language", line_of(md, f["start"]), None, f["sniffed"], F.concat(F.lit("change fence to ```"), f["sniffed"])))
+        "wrong language", f["line"], None, f["sniffed"], F.concat(F.lit("change fence to ```"), f["sniffed"])))
     return df.withColumn("mislabelled", found).drop("__fences")
 
 

@@ -152,16 +152,21 @@ def _context(spark, d):
     return prepared(spark, d).select("doc_id", PG.context_around(md, start, start + 10).alias("find"))
 
 
-_ZONES = " UNION ALL ".join(
-    f"SELECT doc_id, '{k}' AS kind, CAST(len(regexp_extract_all(md, '{p}')) AS INTEGER) AS n FROM {_RAW}" for k, p in (
-        ("fence", "(?ms)^```[^\\n]*\\n.*?^```"), ("link", "\\]\\([^\\)]+\\)"), ("code", "`[^`]+`"), ("header", "(?ms)\\A---\\n.*?^---")))
+def _placed(pattern: str) -> str:
+    """Start and end of each match of a pattern, from the pieces between matches."""
+    total = "coalesce(list_sum(list_transform({x}, lambda p: length(p))), 0)"
+    return (f"SELECT doc_id, CAST({total.format(x='ps[1:k]')} + {total.format(x='ms[1:k - 1]')} AS INTEGER) AS s, CAST(length(ms[k]) AS INTEGER) AS n FROM ("
+            f"SELECT *, unnest(generate_series(1, len(ms))) AS k FROM (SELECT doc_id, regexp_extract_all(md, '{pattern}') AS ms, regexp_split_to_array(md, '{pattern}') AS ps FROM {_RAW}))")
+
 
+_ZONES = " UNION ALL ".join(_placed(p) for p in ("(?ms)^```[^\\n]*\\n.*?^```", "\\]\\([^\\)]+\\)", "`[^`]+`", "(?ms)\\A---\\n.*?^---"))
 
-@register("exclusion_zones", f"SELECT doc_id, CAST(sum(n) AS INTEGER) AS n_zones, CAST(0 AS INTEGER) AS first_start, true AS in_order FROM ({_ZONES}) GROUP BY doc_id")
+
+@register("exclusion_zones", f'SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s, n) - 1 AS INTEGER) AS zone_pos, s AS "start", s + n AS "end" FROM ({_ZONES})')
 def _zones(spark, d):
-    """Zones of the prepared texts, in order; the header is the first."""
-    x = prepared(spark, d).select("doc_id", PG.exclusion_zones(F.col("md"))["start"].alias("z"))
-    return x.select("doc_id", F.size("z").alias("n_zones"), F.col("z")[0].alias("first_start"), (F.array_sort("z") == F.col("z")).alias("in_order"))
+    """All zones of the prepared texts, in order."""
+    x = prepared(spark, d).select("doc_id", F.posexplode_outer(PG.exclusion_zones(F.col("md"))).alias("zone_pos", "z")).where("zone_pos IS NOT NULL")
+    return x.select("doc_id", "zone_pos", "z.start", "z.end")
 
 
 def _issues_md(spark, d):
@@ -179,25 +184,22 @@ def _md_summary(spark, d):
     return PG.markdown_summary(_issues_md(spark, d))
 
 
-@register("issue_report", "SELECT type, CAST(count(*) AS BIGINT) AS n, count(DISTINCT doc_id) AS n_docs FROM ("
-          + " UNION ALL ".join(f"SELECT '{t}' AS type, doc_id FROM ({q})" for t, q in (
-              ("fused text", _located("\\S{80,}")), ("HTML leakage", _located(_LEAK)), ("empty code block", _located(_FENCE)),
-              ("wrong language", _located("```\\nSELECT")), ("suspicious tab label", _located("\\nbash\\n```bash")))) + ") GROUP BY type")
+_ALL_ISSUES = " UNION ALL ".join(f"SELECT doc_id, '{t}' AS type, line, {found} AS detected FROM ({q})" for t, q, found in (
+    ("fused text", _located("\\S{80,}"), "''"), ("HTML leakage", _located(_LEAK), "''"), ("empty code block", _located(_FENCE), "''"),
+    ("wrong language", _located("```\\nSELECT"), "'sql'"), ("suspicious tab label", _located("\\nbash\\n```bash").replace("CAST(1 +", "CAST(2 +"), "''")))
+
+
+@register("issue_report", _ALL_ISSUES)
 def _issues(spark, d):
-    """Issues by type over all prepared texts."""
-    rows = PG.issue_report(PG.detect_issues(prepared(spark, d), "md"))
-    return rows.groupBy("type").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+    """Every issue of the prepared texts: type, line and detected language."""
+    return PG.issue_report(PG.detect_issues(prepared(spark, d), "md")).select("doc_id", "type", "line", F.coalesce("detected", F.lit("")).alias("detected"))
 
 
-@register(
-    "issue_rollup",
-    f"""SELECT source, type, CAST(count(*) AS BIGINT) AS issues FROM (SELECT doc_id, 'HTML leakage' AS type FROM ({_located(_LEAK)}))
-        JOIN documents USING (doc_id) GROUP BY ROLLUP(source, type)""",
-)
+@register("issue_rollup", f"SELECT source, type, CAST(count(*) AS BIGINT) AS issues, count(DISTINCT doc_id) AS n_docs FROM ({_ALL_ISSUES}) JOIN documents USING (doc_id) GROUP BY ROLLUP(source, type)")
 def _rollup(spark, d):
-    """Leaked HTML by source and type, per source and overall."""
-    x = PG.html_leaks(prepared(spark, d), "md").select("source", F.explode_outer("leaks.type").alias("type")).where("type IS NOT NULL")
-    return x.rollup("source", "type").agg(F.count("*").alias("issues"))
+    """Issues of all detectors by source and type, per source and overall."""
+    x = PG.detect_issues(prepared(spark, d), "md").select("source", "doc_id", F.explode_outer("issues.type").alias("type")).where("type IS NOT NULL")
+    return x.rollup("source", "type").agg(F.count("*").alias("issues"), F.count_distinct("doc_id").alias("n_docs"))
 
 
 @register(
@@ -224,12 +226,12 @@ def _front_matter(spark, d):
 
 @register(
     "fenced_blocks",
-    f"""SELECT doc_id, CAST(len(regexp_extract_all(md, '(?ms)^```[^\\n]*\\n.*?^```')) AS BIGINT) AS n FROM {_RAW} WHERE regexp_matches(md, '(?ms)^```[^\\n]*\\n.*?^```')""",
+    f"""SELECT doc_id, CAST(line AS INTEGER) AS line, regexp_extract(hit, '^```(\\w*)\\n', 1) AS lang, sha256(regexp_extract(hit, '(?s)^```\\w*\\n(.*)```$', 1)) AS body
+        FROM ({_located("(?ms)^```\\w*\\n.*?^```")})""",
 )
 def _fenced(spark, d):
-    """fenced blocks of the prepared texts."""
-    blocks = W.fenced_blocks(prepared(spark, d), "md", "doc_id")
-    return blocks.groupBy("doc_id").agg(F.count("*").alias("n"))
+    """every fenced block of the prepared texts: line, language and body (by hash)."""
+    return W.fenced_blocks(prepared(spark, d), "md", "doc_id").select("doc_id", "line", "lang", F.sha2("body", 256).alias("body"))
 
 
 def _feedback_entries(spark, d):

@@ -122,3 +122,18 @@ def test_sections_against_a_model(spark):
     df = spark.createDataFrame([(1, text)], "doc_id long, md string")
     got = [(r.title, r.line, r.tokens) for r in PG.sections_long(PG.section_map(df, "md")).orderBy("section_pos").collect()]
     assert got == want
+
+
+def test_very_long_and_broken_tags(spark):
+    long = "x" * 10_000_000
+    rows = [(1, f'<meta name="author" content="{long}"><meta name="description" content="d">'), (2, f"<meta name=author content={long}"), (3, f'<meta name="author" content="Ida"><meta content="{long}'),
+            (4, "<p>" + "<meta " * 50_000), (5, '<meta name="author" ' + "a=b " * 200_000 + 'content="Ole">')]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = {r.page_id: r.n for r in M.page_metadata(pages).selectExpr("page_id", "length(author) AS n").collect()}
+    assert got == {1: 10_000_000, 2: None, 3: 3, 4: None, 5: 3}
+
+
+def test_quotes_count_after_an_equals_sign_only(spark):
+    html = """<img alt=it's src=/a.png><p title='>'>it's</p><img src = "/b.png" alt='x>y'><img data-src=no title=" src=/no.png" src='/c.png'><IMG SRC=/d.png/>"""
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.src for r in M.image_manifest(pages).orderBy("img_pos").collect()] == ["/a.png", "/b.png", "/c.png", "/d.png"]
