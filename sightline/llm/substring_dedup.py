@@ -21,9 +21,11 @@ input.  Hashes have 64 bits over independent byte tables: two different windows
 among n meet with a chance of about n^2 / 2^65.
 
 Defined results: null and empty texts have no words; documents of fewer words
-than a window lose nothing; rows that share a document id (or have none) are
-told apart in no way, so they never remove each other's passages, and each is
-returned; other columns are not read, whatever their names.
+than a window lose nothing; rows that share a document id are told apart in no
+way, so they never remove each other's passages, and each is returned; a null id is
+neither smaller nor greater than another, so a row without an id loses nothing and
+takes nothing from others; ids are whole numbers, others raise; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from sightline.llm import jobs as J
 WINDOW = 50
 BLOCK_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 20
-_NO_ID = -(1 << 63)  # sorts before every id; a null id is smaller than none of its kind
+_LAST = (1 << 63) - 1  # where rows without an id are sorted
 
 
 def _hashed(texts: pa.Array, window: int):
@@ -61,17 +63,20 @@ def _hashed(texts: pa.Array, window: int):
     return cat(counts, np.int64), cat(hashes, np.uint64), cat(docs, np.int64), cat(starts, np.int64)
 
 
-def _in_id_order(block: pa.Table) -> tuple[np.ndarray, pa.Array]:
-    ids = J.column(block, "id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], J.column(block, "text").take(pa.array(order))
+def _in_id_order(block: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Ids, marks of rows without one, and texts."""
+    ids = J.column(block, "id")
+    none, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(_LAST).to_numpy(zero_copy_only=False)
+    order = np.lexsort((none, ids))
+    return ids[order], none[order], J.column(block, "text").take(pa.array(order))
 
 
 def _entries(window: int, bits: int):
     def run(block: pa.Table) -> pa.Table:
-        ids, texts = _in_id_order(block)
+        ids, none, texts = _in_id_order(block)
         number = J.column(block, "block")[0].as_py()
         _, hashes, docs, _ = _hashed(texts, window)
+        hashes, docs = hashes[~none[docs]], docs[~none[docs]]
         hashes, at = np.unique(hashes, return_index=True)  # the first place is in the smallest document
         docs = docs[at]
         bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
@@ -119,7 +124,7 @@ def _cut(window: int, with_text: bool):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not block.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in _KINDS], names=names)
-        ids, texts = _in_id_order(block)
+        ids, none, texts = _in_id_order(block)
         counts, hashes, docs, starts = _hashed(texts, window)
         told = [A.numbers(x, np.uint64) for x in J.column(answers, "hashes").to_pylist()] if answers.num_rows else []
         told = np.unique(np.concatenate(told)) if told else np.empty(0, np.uint64)
@@ -127,6 +132,7 @@ def _cut(window: int, with_text: bool):
         gone = ids[docs] > ids[docs[at]][which] if len(own) else np.zeros(0, bool)
         if len(told):
             gone |= np.isin(own, told, assume_unique=True)[which]
+        gone &= ~none[docs]
         total = int(counts.sum())
         edge = np.zeros(total + 1, np.int64)
         np.add.at(edge, starts[gone], 1)
@@ -149,7 +155,7 @@ def _cut(window: int, with_text: bool):
             shas.append(hashlib.sha256(found).hexdigest())
             kept.append(found.decode() if with_text else None)
             spans.append(turns.tolist())
-        out = pa.array(ids, pa.int64(), mask=ids == _NO_ID)
+        out = pa.array(ids, pa.int64(), mask=none)
         cols = (out, counts, n_removed, shas, spans, kept)
         return pa.Table.from_arrays([c if c is out else pa.array(c, t) for c, t in zip(cols, _KINDS)], names=names)
 

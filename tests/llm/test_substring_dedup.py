@@ -14,14 +14,14 @@ def brute(rows, n):
     split = [(d, (t or "").encode().split()) for d, t in rows]
     least = {}
     for d, ws in split:
-        for i in range(len(ws) - n + 1):
+        for i in range(len(ws) - n + 1) if d is not None else ():
             key = tuple(ws[i : i + n])
-            least[key] = min(least.get(key, (9, 0)), (d is not None, d or 0))
+            least[key] = min(least.get(key, d), d)
     out = []
     for d, ws in split:
         gone = set()
-        for i in range(len(ws) - n + 1):
-            if least[tuple(ws[i : i + n])] < (d is not None, d or 0):
+        for i in range(len(ws) - n + 1) if d is not None else ():
+            if least[tuple(ws[i : i + n])] < d:
                 gone |= set(range(i, i + n))
         kept = [w for i, w in enumerate(ws) if i not in gone]
         out.append((d, len(ws), len(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
@@ -43,6 +43,13 @@ def test_against_brute_force(spark, seed, n, monkeypatch):
     assert all(sum(b - a for a, b in zip(r.removed_spans[::2], r.removed_spans[1::2])) == r.n_removed for r in got)
 
 
+def test_rows_without_an_id_neither_lose_nor_take(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, text), (1, text), (2, text), (None, text), ((1 << 63) - 1, text)], "doc_id long, text string")
+    got = sorted(((str(r.doc_id), r.n_removed) for r in SD.substring_dedup(docs).collect()))
+    assert got == sorted([("None", 0), ("None", 0), ("1", 0), ("2", 60), (str((1 << 63) - 1), 60)])
+
+
 def test_passage_in_every_document_is_kept_once(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     docs = spark.range(3000).selectExpr("id AS doc_id", f"concat('own', id, ' {passage} end', id) AS text")
