@@ -66,13 +66,20 @@ def test_against_brute_force(spark, model):
     assert {r.page_id: r.suffix for r in got}[1] == "org"
 
 
-def test_text_alone_on_held_out_documents(spark, sf_small, model):
-    rows = spark.read.parquet(f"{sf_small.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text", "lang").collect()
+def test_text_alone_on_held_out_documents(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    model, rows = L.train(docs, hold_out=True), docs.select("doc_id", "text", "lang").collect()
     held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     best = model.log_likelihoods(pa.array([r.text for r in held])).argmax(1)
     assert sum(model.languages[k] == r.lang for k, r in zip(best, held)) >= 0.95 * len(held)
 
 
+def test_every_labelled_document_counts(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    docs = spark.createDataFrame([(i, "words here", "en") for i in range(200) if i not in ids] + [(i, "nur hier", "de") for i in ids], "doc_id long, text string, lang string")
+    assert L.train(docs).languages == ["de", "en"] and L.train(docs, hold_out=True).languages == ["en"]
+
+
 def test_model_sums_to_one(model):
     assert np.allclose(np.exp(model.logs.astype(float)).sum(0), 1, atol=1e-3) and model.languages == ["de", "en", "es", "fr"]
 
