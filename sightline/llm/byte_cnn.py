@@ -6,24 +6,25 @@ that overlap by half and cover the whole text; a small dense layer sees each
 chunk, and the mean over all chunks gives one probability.  (A convolution over
 bytes is a sum of table rows, one table a filter place.)
 
-Training: ``SAMPLE`` labelled rows at most, taken by the hash of their id (a
-documented bound, the same at any size; ids with crc32 mod 5 = 0 are never
-learned from), and of each text ``TRAIN_CHUNKS`` chunks at most, spread evenly
-from its start to its end.  They are cut out on the executors; the driver gets
-bytes of a fixed bound, learns, and broadcasts about 25,000 numbers.  Scoring
-is one map over the documents, whole texts, in slices of bounded memory.
+Training: ``SAMPLE`` labelled rows at most, taken by the hash of their id while
+their texts are within ``TRAIN_BYTES`` together (documented bounds, the same at any size; ids with
+crc32 mod 5 = 0 are never learned from).  The driver gets their whole texts;
+each step draws new chunks of each text in it, one from each of ``TRAIN_CHUNKS`` equal
+stretches, so all parts of a text are learned from.  The driver broadcasts about
+25,000 numbers.  Scoring is one map over the documents, whole texts, in slices of
+bounded memory.
 
 Defined results: a null or empty text is scored as one chunk of padding; label
-rows without a label or a document are left out, repeated ones count as often
-as they come; with no rows to learn from the score is 0.5, with one class only
-the model learns that class; other columns are not read.
+rows without a label or a document are left out, rows that repeat an id, label and text are one; a
+labelled text of more than ``TRAIN_BYTES`` is not learned from; with no rows to learn from the score
+is 0.5, with one class only the model learns that class; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.llm import arrays as A
@@ -31,6 +32,7 @@ from sightline.llm import jobs as J
 
 FILTERS, WIDTH, HIDDEN, HALF = 16, 6, 16, 128  # WIDTH is even
 SAMPLE = 6000
+TRAIN_BYTES = 48 << 20
 TRAIN_CHUNKS = 6
 STEPS, BATCH, RATE, DECAY = 1500, 48, 0.006, 1e-4
 THRESHOLD = 0.3
@@ -77,21 +79,28 @@ class ByteCNN:
     def _logit(self, mean: np.ndarray) -> np.ndarray:
         return mean @ self.w["out"] + self.w["out_bias"]
 
-    def fit(self, chunks: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int = STEPS, seed: int = 1) -> ByteCNN:
-        """Adam on the log loss; ``doc`` names the text (place in ``label``) of each chunk, in ascending order."""
+    def fit(self, texts: list[bytes], label: np.ndarray, steps: int = STEPS, seed: int = 1) -> ByteCNN:
+        """Adam on the log loss of whole texts, from chunks drawn anew in each step."""
         rnd = np.random.default_rng(seed)
-        first = np.searchsorted(doc, np.arange(len(label) + 1))
+        size = np.array([max(len(t), 2 * HALF) for t in texts], np.int64)
+        at = np.cumsum(size + WIDTH - 1) - size - WIDTH + 1
+        flat = np.zeros(int((size + WIDTH - 1).sum()), np.uint8)
+        for t, a in zip(texts, at.tolist()):
+            flat[a : a + len(t)] = np.frombuffer(t, np.uint8)
+        n_chunks = -(-size // HALF) - 1
         moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.w.items()}
         for step in range(1, steps + 1):
             pick = rnd.integers(0, len(label), min(BATCH, len(label)))
-            size = first[pick + 1] - first[pick]
-            rows = np.concatenate([np.arange(first[p], first[p + 1]) for p in pick])
-            of = np.repeat(np.arange(len(pick)), size)
-            data = chunks[rows]
+            size_of = np.minimum(n_chunks[pick], TRAIN_CHUNKS)
+            of = np.repeat(np.arange(len(pick)), size_of)
+            stretch = np.arange(len(of)) - np.repeat(np.cumsum(size_of) - size_of, size_of)
+            chunk = ((stretch + rnd.random(len(of))) * (n_chunks[pick] / size_of)[of]).astype(np.int64)
+            start = at[pick][of] + np.minimum(chunk * HALF, (size[pick] - 2 * HALF)[of])
+            data = flat[start[:, None] + np.arange(_SPAN)]
             conv = self._convolved(data)
             best = conv.argmax(1)
             z, hidden = self._dense(np.take_along_axis(conv, best[:, None], 1)[:, 0])
-            share = (1 / size)[of].astype(np.float32)[:, None]
+            share = (1 / size_of)[of].astype(np.float32)[:, None]
             mean = np.zeros((len(pick), HIDDEN), np.float32)
             np.add.at(mean, of, hidden * share)
             p = 1 / (1 + np.exp(-self._logit(mean)))
@@ -144,34 +153,19 @@ class ByteCNN:
         return np.concatenate(out)
 
 
-def _cut(batch: pa.RecordBatch):
-    """Chunks of whole texts for training, spread evenly."""
-    texts, rows, chunks = batch.column("text"), [], []
-    for i, text in enumerate(texts):
-        data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-        data = np.concatenate([data, np.zeros(max(0, 2 * HALF - len(data)) + WIDTH - 1, np.uint8)])
-        n = min(TRAIN_CHUNKS, -(-len(data) // HALF) - 1)
-        for start in np.unique(np.linspace(0, len(data) - _SPAN, max(1, n)).astype(int)).tolist():
-            rows.append(i)
-            chunks.append(data[start : start + _SPAN].tobytes())
-    yield J.batch_of(id=batch.column("id").take(pa.array(rows, pa.int32())), label=batch.column("label").take(pa.array(rows, pa.int32())),
-                     row=pa.array(rows, pa.int32()), chunk=pa.array(chunks, pa.binary()))
-
-
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, steps: int = STEPS) -> ByteCNN | None:
     """The network learned from ``sample`` rows of ``labels``; None if there are none."""
     picked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~J.held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id", "label").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = J.map_arrow(texts.join(F.broadcast(picked), "id"), _cut, f"id {texts.schema['id'].dataType.simpleString()}, label int, row int, chunk binary").toArrow()
-    if not rows.num_rows:
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(picked), "id").withColumns({"at": F.xxhash64("id"), "size": F.octet_length("text"), "hash": F.xxhash64("text")}).dropDuplicates(["id", "label", "hash"])
+    order = ["at", "id", "label", "hash"]
+    sizes = rows.where(F.col("size") <= TRAIN_BYTES).select(*order, F.sum("size").over(Window.orderBy(*order)).alias("before"))  # numbers of the sample's rows
+    kept = sizes.where(F.col("before") <= TRAIN_BYTES).drop("before")
+    found = rows.join(F.broadcast(kept), order).select(*order, "text").orderBy(*order).toArrow()
+    if not found.num_rows:
         return None
-    found = sorted(zip(rows["id"].to_pylist(), rows["label"].to_pylist(), rows["chunk"].to_pylist()), key=lambda r: r[0])
-    key = [(i, y) for i, y, _ in found]
-    doc = np.cumsum([a != b for a, b in zip(key, [None, *key])]) - 1
-    label = np.array([y for (_, y), prev in zip(key, [None, *key]) if (_, y) != prev], float)
-    chunks = np.frombuffer(b"".join(c for _, _, c in found), np.uint8).reshape(-1, _SPAN)
-    return ByteCNN().fit(chunks, doc, label, steps)
+    return ByteCNN().fit([t.encode() for t in found["text"].to_pylist()], found["label"].to_numpy().astype(float), steps)
 
 
 def scored(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -35,15 +35,31 @@ def test_score_covers_whole_texts(monkeypatch):
 def test_learns_and_agrees_with_itself():
     rnd = np.random.default_rng(1)
     texts = ["".join(rnd.choice(list("abcdef "), 300)) + ("!!" * 3 if i % 3 == 0 else "") for i in range(60)]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array([int(i % 3 == 0) for i in range(60)], pa.int32()), pa.array(texts)], names=["id", "label", "text"])
-    cut = next(B._cut(batch))
-    chunks, doc = np.frombuffer(b"".join(cut["chunk"].to_pylist()), np.uint8).reshape(-1, B._SPAN), cut["row"].to_numpy()
     label = np.array([i % 3 == 0 for i in range(60)], float)
-    models = [B.ByteCNN().fit(chunks, doc, label, steps=300) for _ in range(2)]
+    models = [B.ByteCNN().fit([t.encode() for t in texts], label, steps=300) for _ in range(2)]
     scores = [m.score(pa.array(texts)) for m in models]
     assert ((scores[0] > 0.5) == label).all() and np.array_equal(*scores)
 
 
+def test_learns_from_all_parts_of_long_texts():
+    """The only sign is one stretch somewhere in texts of 8,000 characters."""
+    rnd = np.random.default_rng(2)
+    texts = ["".join(rnd.choice(list("abcdef "), 8000)) for _ in range(40)]
+    texts = [t[: (k := int(rnd.integers(0, 6000)))] + "#!" * 1000 + t[k + 2000 :] if i % 2 else t for i, t in enumerate(texts)]
+    label = np.array([i % 2 for i in range(40)], float)
+    scores = B.ByteCNN().fit([t.encode() for t in texts], label, steps=300).score(pa.array(texts))
+    assert ((scores > 0.5) == label).all()
+
+
+def test_bytes_of_the_sample_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(B, "TRAIN_BYTES", 500)
+    seen = []
+    monkeypatch.setattr(B.ByteCNN, "fit", lambda self, texts, label, steps: seen.append((texts, label)))
+    docs = spark.createDataFrame([(i, "x" * (100 if i else 600)) for i in range(50)], "doc_id long, text string")
+    B.train(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    assert [len(t) for t in seen[0][0]] == [100] * 5 and seen[0][1].tolist() == [1.0] * 5
+
+
 def test_held_out_accuracy_of_query(spark, sf_small):
     sf = sf_small.replace("sf0.001", "sf0.01")
     got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, sf).collect()}
