@@ -30,6 +30,31 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+# ------------------------------------------------------------------ columns
+
+
+@register("quote_identifier", "SELECT lang, doc_id, n_chars FROM documents")
+def _quoted(spark, d):
+    """B2: columns whose names hold dots, spaces and backticks, by the projection that quotes them."""
+    odd = read_table(spark, d, "documents").select("doc_id", "lang", "n_chars").toDF("a.b", "c`d", "e f")
+    return P.project_columns(odd, ["c`d", "a.b", "e f"]).toDF("lang", "doc_id", "n_chars")
+
+
+_ORDER_COLUMNS = "o_orderkey, O_CUSTKEY, o_nothing"
+
+
+@register("validate_columns", "SELECT count(*) AS n, 'Column(s) not found: O_CUSTKEY, o_nothing. Available: ' || (SELECT string_agg(column_name, ', ') FROM (DESCRIBE orders)) AS error FROM orders")
+def _validated(spark, d):
+    """What a projection of names in another case and of unknown ones is told, beside the table's rows."""
+    orders = read_table(spark, d, "orders")
+    try:
+        P.project_columns(orders, _ORDER_COLUMNS)
+        told = None
+    except P.ColumnNotFound as e:
+        told = str(e)
+    return orders.agg(F.count("*").alias("n")).withColumn("error", F.lit(told))
+
+
 # ---------------------------------------------------------------- A: sources
 
 

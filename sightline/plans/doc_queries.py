@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -237,30 +238,55 @@ def _fenced(spark, d):
 def _feedback_entries(spark, d):
     docs = read_table(spark, d, "documents")
     return docs.select(
-        F.col("source").alias("skill"),
+        "doc_id", "source", F.col("text").alias("body"), F.col("source").alias("skill"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                                              F.col("doc_id") / 1000.0)).alias("ts"),
         F.col("text"),
     )
 
 
-_FB_ORACLE = (
-    "SELECT source AS skill, COUNT(*) AS entries, "
-    + ", ".join(f"COUNT(*) AS missing_{s.lower()}" for s in FB.SECTIONS)
-    + " FROM documents WHERE " + _STRIP.format(x="text") + " <> '' GROUP BY source"
-)
+# entries of every document: some under names that are no single path part, some blank, every second one with sections
+_ENTRY = {
+    "skill": "CASE doc_id % 10 WHEN 3 THEN source || '/x' WHEN 4 THEN '..' ELSE source END",
+    "text": """CASE WHEN doc_id % 7 = 0 THEN ' ' || chr(10) WHEN doc_id % 2 = 0 THEN '# Title ' || doc_id || chr(10) || '## Context' || chr(10) || text || chr(10) || '## Gap' || chr(10) || 'gap ' || doc_id || chr(10)
+      || CASE WHEN doc_id % 3 = 0 THEN '## Impact' || chr(10) || 'high' || chr(10) ELSE '' END ELSE text END""",
+}
+_ENTRIES_SQL = f"(SELECT doc_id, {_ENTRY['skill']} AS skill, {_ENTRY['text']} AS text FROM documents)"
+_GOOD = "skill NOT LIKE '%/%' AND skill <> '..' AND " + _STRIP.format(x="text") + " <> ''"
+_MISSING = {"Context": "doc_id % 2 = 1", "Gap": "doc_id % 2 = 1", "Responsibility": "true", "Suggestion": "true", "Impact": "doc_id % 6 <> 0"}
+
+
+def _appended(spark, d):
+    """The store and the quarantine after all entries were appended."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/feedback-{uuid.uuid4().hex}"
+    entries = _feedback_entries(spark, d).drop("skill", "text").withColumns({k: F.expr(v) for k, v in {**_ENTRY, "text": re.sub(r"\btext\b", "body", _ENTRY["text"])}.items()})
+    FB.feedback_append(entries.drop("body", "source", "doc_id"), f"{root}/store", f"{root}/quarantine")
+    return f"{root}/store", f"{root}/quarantine"
 
 
-@register("feedback_roundtrip", _FB_ORACLE)
+@register("feedback_roundtrip", f"SELECT skill, COUNT(*) AS entries, " + ", ".join(f"CAST(sum(({_MISSING[x]})::INT) AS BIGINT) AS missing_{x.lower()}" for x in FB.SECTIONS)
+          + f" FROM {_ENTRIES_SQL} WHERE {_GOOD} GROUP BY skill")
 def _feedback(spark, d):
     """A6 → A7 → G2 → G3: documents appended as feedback under their source, read back
     (a written table in the shared checkpoint folder), sections checked per skill."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/feedback-{uuid.uuid4().hex}"
-    FB.feedback_append(_feedback_entries(spark, d), root)
-    back = FB.feedback_scan(spark, root)
+    back = FB.feedback_scan(spark, _appended(spark, d)[0])
     return FB.feedback_completeness(FB.feedback_sections(back, ["skill", "key"]))
 
 
+@register("feedback_sections", f"""SELECT skill, 'Title ' || doc_id AS title, sha256(regexp_replace(d.text, '^ +| +$', '', 'g') || chr(10)) AS context, CASE WHEN doc_id % 3 = 0 THEN 'high' END AS impact
+    FROM {_ENTRIES_SQL} e JOIN (SELECT doc_id, text FROM documents) d USING (doc_id) WHERE doc_id % 2 = 0 AND skill NOT LIKE '%/%' AND skill <> '..' AND doc_id % 7 <> 0""")
+def _feedback_sections(spark, d):
+    """The parts of every entry that has a title, read back from the store."""
+    x = FB.feedback_sections(FB.feedback_scan(spark, _appended(spark, d)[0]), ["skill"]).where("title IS NOT NULL")
+    return x.select("skill", "title", F.sha2("context", 256).alias("context"), F.regexp_replace("impact", r"\n+$", "").alias("impact"))
+
+
+@register("feedback_quarantine", f"SELECT skill, count(*) AS entries FROM {_ENTRIES_SQL} WHERE NOT ({_GOOD}) GROUP BY skill")
+def _feedback_quarantine(spark, d):
+    """G1: entries under bad names and blank ones, read back from the quarantine."""
+    return spark.read.parquet(_appended(spark, d)[1]).groupBy("skill").agg(F.count("*").alias("entries"))
+
+
 @register(
     "feedback_stream",
     "SELECT source AS skill, COUNT(*) AS entries FROM documents WHERE " + _STRIP.format(x="text") + " <> '' GROUP BY source",
@@ -269,22 +295,24 @@ def _feedback_stream(spark, d):
     """A file stream of entries, each appended once (``availableNow``); re-running the same trigger adds nothing."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/feedback-stream-{uuid.uuid4().hex}"
     src, out, ck = f"{base}/in", f"{base}/out", f"{base}/_checkpoint"
-    _feedback_entries(spark, d).write.parquet(src)
+    _feedback_entries(spark, d).select("skill", "ts", "text").write.parquet(src)
     for _ in range(2):  # the second run must find nothing new
         q = FS.start_feedback_sink(FS.keyed_entries(FS.entries_stream(spark, src)), out, ck)
         q.awaitTermination()
     return spark.read.parquet(out).groupBy("skill").agg(F.count(F.lit(1)).alias("entries"))
 
 
+_URL = """CASE page_id % 5 WHEN 0 THEN url || '/issues/' || page_id WHEN 1 THEN url || '/issues/12x' WHEN 2 THEN url || '/issues/' || page_id || '#c9' WHEN 3 THEN url || '/pull/' || page_id ELSE url END"""
+
+
 @register(
     "url_number",
-    "SELECT page_id, TRY_CAST(NULLIF(regexp_extract(url, '/issues/([0-9]+)\\b', 1), '') AS INTEGER) AS number, "
-    "CASE WHEN regexp_extract(url, '/issues/([0-9]+)\\b', 1) = '' THEN 'could not parse issue number from ' || url "
-    "END AS error FROM pages",
+    f"""SELECT page_id, CASE WHEN page_id % 5 IN (0, 2) THEN CAST(page_id AS INTEGER) END AS number,
+        CASE WHEN page_id % 5 NOT IN (0, 2) THEN 'could not parse issue number from ' || {_URL} END AS error FROM pages""",
 )
 def _url_number(spark, d):
-    """F10 over every page URL (error text where no issue number is present)."""
-    pages = read_table(spark, d, "pages").select("page_id", "url")
+    """F10 over every page's address, with and without a number."""
+    pages = read_table(spark, d, "pages").select("page_id", F.expr(_URL).alias("url"))
     return pages.select("page_id", *W.url_number(F.col("url")))
 
 

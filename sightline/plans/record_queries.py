@@ -57,6 +57,41 @@ def _decoded(spark, d):
     return x.select("doc_id", F.sha2(W.decode_content(F.col("content"), F.col("encoding")), 256).alias("content"))
 
 
+# --------------------------------------------------------------- templates
+
+# each document is a file of its source's listing, and asks for a kind of its source
+_FILES = """source AS repo, CASE doc_id % 7 WHEN 0 THEN 'Bug_report_' || doc_id || '.md' WHEN 1 THEN 'a_bug_' || lang || '.yml' WHEN 2 THEN 'FEATURE_request_' || doc_id || '.md'
+  WHEN 3 THEN lang || '_docs.yaml' WHEN 4 THEN 'notes_' || doc_id || '.md' WHEN 5 THEN 'task_' || doc_id || '.yml' ELSE lang || '.txt' END AS name, doc_id AS pos"""
+_ASKED = "source AS repo, CASE doc_id % 6 WHEN 0 THEN 'fix' WHEN 1 THEN 'feat' WHEN 2 THEN 'docs' WHEN 3 THEN lang WHEN 4 THEN 'chore' ELSE 'nothing' END AS kind"
+_HINTS = ", ".join(f"('{k}', '{h}', {i})" for k, hints in W.KIND_HINTS.items() for i, h in enumerate(hints))
+_MATCHED = f"""WITH t AS (SELECT {_FILES} FROM documents), q AS (SELECT DISTINCT {_ASKED} FROM documents), h AS (SELECT * FROM (VALUES {_HINTS}) v(kind, hint, i)),
+qh AS (SELECT q.repo, q.kind, h.hint, h.i FROM q JOIN h USING (kind) UNION ALL SELECT repo, kind, kind, 0 FROM q WHERE kind NOT IN (SELECT kind FROM h)),
+m AS (SELECT qh.repo, qh.kind, t.name, row_number() OVER (PARTITION BY qh.repo, qh.kind ORDER BY qh.i, (lower(t.name) NOT LIKE '%.yml' AND lower(t.name) NOT LIKE '%.yaml')::INT, t.pos) AS rn
+      FROM qh JOIN t ON qh.repo = t.repo AND contains(lower(t.name), qh.hint)),
+best AS (SELECT repo, kind, name AS template_name, 'p/' || name AS template_path FROM m WHERE rn = 1)"""
+
+
+def _templates(spark, d):
+    docs = read_table(spark, d, "documents")
+    files = docs.selectExpr("source AS repo", _FILES.split(", ", 1)[1].rsplit(", ", 1)[0], "doc_id AS pos").withColumn("path", F.expr("'p/' || name"))
+    asked = docs.selectExpr("source AS repo", _ASKED.split(", ", 1)[1]).distinct()
+    return asked, W.match_template(asked, files)
+
+
+@register("match_template", f"{_MATCHED} SELECT * FROM best")
+def _match_template(spark, d):
+    """the best template of each source and kind among the names of all its files."""
+    return _templates(spark, d)[1]
+
+
+@register("template_or_default", f"""{_MATCHED} SELECT q.repo, q.kind, template_name, template_path,
+    CASE WHEN template_name IS NOT NULL THEN 'remote:' || template_name WHEN q.kind IN ('docs', 'chore') THEN 'builtin:' || q.kind ELSE 'builtin:_default' END AS template_origin
+    FROM q LEFT JOIN best ON q.repo = best.repo AND q.kind = best.kind""")
+def _template_or_default(spark, d):
+    """the match, else the built-in of the kind, else the default."""
+    return W.template_or_default(*_templates(spark, d), ["docs", "chore"])
+
+
 # ---------------------------------------------------------------- versions
 
 _V = "CASE o_orderkey % 4 WHEN 0 THEN 'v1.2.3' WHEN 1 THEN '1.' || o_custkey WHEN 2 THEN '1.2.3' || chr(10) ELSE (o_orderkey % 5) || '.' || o_custkey || '.' || o_orderkey END"
