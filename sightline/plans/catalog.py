@@ -296,6 +296,18 @@ def _approx_bounds(spark, d):
     return li.select("l_returnflag", "exact", (F.abs(F.col("a") - F.col("exact")) <= 0.08 * F.col("exact")).alias("within"))
 
 
+@register("sql_approx_bounds", "SELECT l_returnflag, count(*) AS n, true AS median_ok, true AS high_ok, true AS kll_ok, true AS hll_ok FROM lineitem GROUP BY l_returnflag")
+def _sql_approx_bounds(spark, d):
+    """Every sketch of the SQL catalogue's approximate query against exact ranks (1 %) and counts (four standard errors)."""
+    read_table(spark, d, "lineitem").createOrReplaceTempView("lineitem")
+    found = spark.sql(sql_catalog.SQL["sql_approx"][0])  # a row a flag
+    x = read_table(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").alias("v"), "l_suppkey").join(found, "l_returnflag")
+    ok = lambda q, p, name: ((F.avg((F.col("v") < q).cast("double")) <= p + 0.01) & (F.avg((F.col("v") <= q).cast("double")) >= p - 0.01)).alias(name)
+    hll = F.abs(F.max("hll_suppliers") - F.count_distinct("l_suppkey")) <= 0.08 * F.count_distinct("l_suppkey")
+    return x.groupBy("l_returnflag").agg(F.count("*").alias("n"), ok(F.col("approx_price_q")[0], 0.5, "median_ok"), ok(F.col("approx_price_q")[1], 0.9, "high_ok"),
+                                         ok(F.col("kll_median_price"), 0.5, "kll_ok"), hll.alias("hll_ok"))
+
+
 @register("sample_bounds", "SELECT count(*) AS total, true AS subset, true AS size_ok, true AS again FROM lineitem")
 def _sample_bounds(spark, d):
     """The sample of the SQL catalogue: rows of the table, about one in a hundred, the same ones again."""

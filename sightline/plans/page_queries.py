@@ -133,8 +133,23 @@ def _reading_time(spark, d):
     return x.withColumn("reading_time_minutes", PG.reading_time(F.col("word_count")))
 
 
-@register("code_language")
+# a snippet of each language, and one of none, by the document's id
+_SNIPPETS = (
+    ("toml", "'[tool.' || source || ']' || chr(10) || 'name = 1'"), ("bash", "'npm run ' || source"), ("json", "'  {\"id\": ' || doc_id || '}'"), ("tsx", "'return <Panel id=' || doc_id || ' />'"),
+    ("sql", "'select ' || doc_id || ' from ' || source"), ("typescript", "'let a: number = ' || doc_id"), ("javascript", "'export default function f' || doc_id || '() {}'"),
+    ("python", "'def f' || doc_id || '(a):' || chr(10) || '    return a'"), ("javascript", "'x => ' || doc_id"), ("css", "'body {' || chr(10) || '  margin: ' || doc_id"), ("text", "'words of ' || source"), ("text", "'  '"),
+)
+
+
+@register("code_language", f"SELECT doc_id, CASE doc_id % {len(_SNIPPETS)} " + " ".join(f"WHEN {i} THEN '{lang}'" for i, (lang, _) in enumerate(_SNIPPETS)) + " END AS lang FROM documents")
 def _code_language(spark, d):
-    """D22 native rule table over whole document texts: documents per sniffed language."""
+    """The native rule table on a snippet of every document, each rule in turn."""
+    snippet = F.expr(f"CASE doc_id % {len(_SNIPPETS)} " + " ".join(f"WHEN {i} THEN {code}" for i, (_, code) in enumerate(_SNIPPETS)) + " END")
+    return read_table(spark, d, "documents").select("doc_id", sniff_language_col(snippet).alias("lang"))
+
+
+@register("code_language_counts")
+def _code_language_counts(spark, d):
+    """D22 over whole document texts: documents per sniffed language."""
     docs = read_table(spark, d, "documents")
     return docs.groupBy(sniff_language_col(F.col("text")).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
