@@ -54,7 +54,7 @@ def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: s
                       start: str = "[*]", end: str = "[*]") -> DataFrame:
     """K6: per entity ordered states → transition counts, with ``[*]`` at both ends.
 
-    ``lag``/``lead`` on ordered pieces (``windows.with_shift``), so neither a
+    ``lag``/``lead`` on ordered pieces (``windows.with_windows``), so neither a
     hot entity nor a burst of one is a single window task.  Counting is a
     partial aggregation over (from, to) pairs.  Rows without an entity are
     one entity; a state may be NULL.
@@ -63,8 +63,7 @@ def state_transitions(df: DataFrame, entity: str, order: Sequence[str], state: s
 
     order = list(order)
     x = WN.ordered_pieces(df.select(entity, *order, F.struct(F.col(state).alias("s")).alias("__s")), [entity], order)
-    x = WN.with_shift(x, [entity], order, "__s", 1, "prev")
-    x = WN.with_shift(x, [entity], order, "__s", -1, "next")
+    x = WN.with_windows(x, [entity], order, shifts={"prev": ("__s", 1), "next": ("__s", -1)})
     now = F.col("__s")["s"]
     came = F.when(F.col("prev").isNull(), F.lit(start)).otherwise(F.col("prev")["s"])
     pairs = x.select(F.explode(F.array(

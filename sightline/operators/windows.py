@@ -134,52 +134,57 @@ def _before_pieces(keys, lo=Window.unboundedPreceding, hi=-1):
     return Window.partitionBy(*keys).orderBy("__pid").rowsBetween(lo, hi)
 
 
+def with_windows(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], shifts: dict[str, tuple[str, int]] | None = None,
+                 sums: dict[str, Column | str] | None = None) -> DataFrame:
+    """Row shifts and running sums on pieces, all with one summary of the pieces and one join.
+
+    ``shifts``: ``LAG(value, offset)`` (offset > 0) or ``LEAD(value, -offset)``;
+    ``sums``: ``SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)``.
+
+    Inside a piece the plain windows answer.  A running sum adds the totals of
+    the key's pieces before; the first (lag) or last (lead) ``k`` rows of a piece read
+    the edge values of the neighbouring ``k`` pieces — at most ``k`` values a
+    piece — gathered by a window over one row per piece.
+    """
+    keys, shifts, sums = list(keys), shifts or {}, {n: F.col(v) if isinstance(v, str) else v for n, v in (sums or {}).items()}
+    w = _piece_window(keys, order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = {"__lrn": F.row_number().over(w), "__cnt": F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys))}
+    inner |= {f"__in_{n}": F.lag(v, k).over(w) if k > 0 else F.lead(v, -k).over(w) for n, (v, k) in shifts.items()}
+    inner |= {f"__ls_{n}": F.sum(v).over(so_far) for n, v in sums.items()} | {f"__lc_{n}": F.count(v).over(so_far) for n, v in sums.items()}
+    local = x.withColumns(inner)
+    r, n_rows = F.col("__lrn"), F.col("__cnt")
+    at_edge = lambda k: (r > n_rows - k) if k > 0 else (r <= -k)
+    edges = [F.transform(F.sort_array(F.collect_list(F.when(at_edge(k), F.struct("__lrn", F.col(v).alias("v"))))), lambda s: s["v"]).alias(f"__e_{n}") for n, (v, k) in shifts.items()]
+    totals = [c for n, v in sums.items() for c in (F.sum(v).alias(f"__ps_{n}"), F.count(v).alias(f"__pc_{n}"))]
+    per = local.groupBy("__pid", *keys).agg(*edges, *totals)
+    carry = {f"__c_{n}": F.flatten(F.collect_list(f"__e_{n}").over(_before_pieces(keys, -k, -1) if k > 0 else _before_pieces(keys, 1, -k))) for n, (_, k) in shifts.items()}
+    carry |= {f"__o{m}_{n}": F.coalesce(F.sum(f"__p{m}_{n}").over(_before_pieces(keys)), F.lit(0)) for n in sums for m in "sc"}
+    per = per.select("__pid", *keys, *(c.alias(n) for n, c in carry.items()))
+    out = {}
+    for n, (_, k) in shifts.items():
+        c = F.coalesce(F.col(f"__c_{n}"), F.array())
+        if k > 0:
+            i = F.size(c) - k + r - 1
+            out[n] = F.when(r > k, F.col(f"__in_{n}")).when(i >= 0, F.get(c, i))
+        else:
+            i = r - k - n_rows - 1
+            out[n] = F.when(r <= n_rows + k, F.col(f"__in_{n}")).when(i < F.size(c), F.get(c, i))
+    for n in sums:
+        out[n] = F.when(F.col(f"__lc_{n}") + F.col(f"__oc_{n}") > 0, F.coalesce(F.col(f"__ls_{n}"), F.lit(0)) + F.col(f"__os_{n}"))
+    return join_keys(local, per, ["__pid", *keys]).withColumns(out).select(*x.columns, *out)
+
+
 def with_running_sum(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: Column | str,
                      out: str) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)`` on pieces."""
-    keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    w = _piece_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = x.withColumn("__ls", F.sum(v).over(w)).withColumn("__lc", F.count(v).over(w))
-    per = x.groupBy("__pid", *keys).agg(F.sum(v).alias("__ps"), F.count(v).alias("__pc"))
-    off = per.select("__pid", *keys,
-                     F.coalesce(F.sum("__ps").over(_before_pieces(keys)), F.lit(0)).alias("__os"),
-                     F.coalesce(F.sum("__pc").over(_before_pieces(keys)), F.lit(0)).alias("__oc"))
-    j = join_keys(local, off, ["__pid", *keys])
-    total = F.when(F.col("__lc") + F.col("__oc") > 0, F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__os"))
-    return j.withColumn(out, total).drop("__ls", "__lc", "__os", "__oc")
+    """One running sum, see :func:`with_windows`."""
+    return with_windows(x, keys, order, sums={out: value})
 
 
 def with_shift(x: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, offset: int,
                out: str) -> DataFrame:
-    """``LAG(value, offset)`` (offset > 0) or ``LEAD(value, -offset)`` on pieces.
-
-    Inside a piece the plain window answers; the first (lag) or last (lead)
-    ``k`` rows of a piece read the edge values of the neighbouring ``k``
-    pieces — at most ``k`` values per piece, gathered by a window over one
-    row per piece.
-    """
-    keys = list(keys)
-    k = abs(offset)
-    lag = offset > 0
-    w = _piece_window(keys, order)
-    local = (x.withColumn("__lrn", F.row_number().over(w))
-             .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy("__pid", *keys)))
-             .withColumn("__in", F.lag(value, k).over(w) if lag else F.lead(value, k).over(w)))
-    edge = local.where(F.col("__lrn") > F.col("__cnt") - k) if lag else local.where(F.col("__lrn") <= k)
-    edges = edge.groupBy("__pid", *keys).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("__lrn", F.col(value).alias("v")))), lambda s: s["v"]).alias("__e"))
-    frame = _before_pieces(keys, -k, -1) if lag else _before_pieces(keys, 1, k)
-    carry = edges.select("__pid", *keys, F.flatten(F.collect_list("__e").over(frame)).alias("__carry"))
-    j = join_keys(local, carry, ["__pid", *keys], "left")
-    r, n, c = F.col("__lrn"), F.col("__cnt"), F.coalesce(F.col("__carry"), F.array())
-    if lag:
-        idx = F.size(c) - k + r - 1
-        res = F.when(r > k, F.col("__in")).when(idx >= 0, F.get(c, idx))
-    else:
-        idx = r + k - n - 1
-        res = F.when(r <= n - k, F.col("__in")).when(idx < F.size(c), F.get(c, idx))
-    return j.withColumn(out, res).drop("__lrn", "__cnt", "__in", "__carry")
+    """One row shift, see :func:`with_windows`."""
+    return with_windows(x, keys, order, shifts={out: (value, offset)})
 
 
 def first_last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -567,14 +567,11 @@ def window_analytic(ev: DataFrame) -> DataFrame:
 
     keys, order = ["user_id"], ["ts", "event_id"]
     x = WN.ordered_pieces(ev, keys, order)
-    x = WN.with_shift(x, keys, order, "value", 1, "prev_value")
-    x = WN.with_shift(x, keys, order, "value", -2, "next2_value")
-    x = WN.with_running_sum(x, keys, order, F.lit(1), "__rn").drop("__pid")
-    second = x.where(F.col("__rn") == 2).select("user_id", F.col("value").alias("second_value"))
-    ends = WN.first_last_by(ev, keys, order, "event_type")
-    x = WN.join_keys(WN.join_keys(x, ends, keys), second, keys, "left")
-    return x.select("event_id", "user_id", "prev_value", "next2_value", F.col("__first").alias("first_type"),
-                    F.col("__last").alias("last_type"), "second_value")
+    x = WN.with_windows(x, keys, order, shifts={"prev_value": ("value", 1), "next2_value": ("value", -2)}, sums={"__rn": F.lit(1)})
+    ends = x.groupBy(*keys).agg(F.min_by("event_type", F.struct(*order)).alias("first_type"), F.max_by("event_type", F.struct(*order)).alias("last_type"),
+                                F.max(F.when(F.col("__rn") == 2, F.struct("value"))).alias("second"))
+    x = WN.join_keys(x, ends, keys)
+    return x.select("event_id", "user_id", "prev_value", "next2_value", "first_type", "last_type", F.col("second.value").alias("second_value"))
 
 
 def window_frames(ev: DataFrame) -> DataFrame:
@@ -589,9 +586,7 @@ def window_frames(ev: DataFrame) -> DataFrame:
 
     keys, order = ["user_id"], ["ts", "event_id"]
     x = WN.ordered_pieces(ev, keys, order)
-    x = WN.with_running_sum(x, keys, order, "value", "running_value")
-    x = WN.with_shift(x, keys, order, "value", 1, "__l1")
-    x = WN.with_shift(x, keys, order, "value", 2, "__l2").drop("__pid")
+    x = WN.with_windows(x, keys, order, shifts={"__l1": ("value", 1), "__l2": ("value", 2)}, sums={"running_value": "value"})
     vals = [F.col("value"), F.col("__l1"), F.col("__l2")]
     total = sum((F.coalesce(v, F.lit(0.0)) for v in vals), F.lit(0.0))
     cnt = sum((v.isNotNull().cast("int") for v in vals), F.lit(0))
