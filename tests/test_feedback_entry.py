@@ -4,6 +4,8 @@ import datetime as dt
 import tempfile
 
 
+from pyspark.sql import functions as F
+
 from sightline.sources import feedback as FB
 from sightline.streaming import feedback_stream as FS
 
@@ -54,6 +56,21 @@ def test_stream_keeps_late_entries(spark):
     assert sorted((r.skill, r.text.strip()) for r in spark.read.parquet(f"{base}/out").collect()) == [("a", "new"), ("a", "old"), ("a", "oldest"), ("b", "older")]
 
 
+def test_stream_reads_keys_of_the_batch_s_times_only(spark):
+    base = tempfile.mkdtemp(prefix="fbp-")
+    store = [("a", "2024-01-01 00:00:00", "x"), ("a", "2024-03-01 00:00:00", "y"), ("a", None, "z")]
+    rows = lambda r: FS.keyed_entries(spark.createDataFrame(r, "skill string, ts string, text string").withColumn("ts", F.to_timestamp("ts")))
+    spark.createDataFrame([], FS.STORE_SCHEMA).write.partitionBy("skill").parquet(f"{base}/out")
+    FS.append_new(rows(store), f"{base}/out")
+    again = rows([("a", "2024-03-01 00:00:00", "y"), ("a", "2024-03-02 00:00:00", "new"), ("a", None, "z")])
+    read = FS._in_store(again, f"{base}/out")
+    assert sorted(r.text.strip() for r in read.collect()) == ["y", "z"]
+    plan = read.select("skill", "key", "text_hash")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(ts)" in plan and "text:" not in plan.replace("text_hash:", "")
+    FS.append_new(again, f"{base}/out")
+    assert spark.read.parquet(f"{base}/out").count() == 4
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 
