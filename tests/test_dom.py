@@ -115,7 +115,7 @@ def test_best_div_takes_the_first_of_equal_ones(spark):
 
 def test_pages_with_one_id_stay_apart(spark):
     pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (1, "<p>c"), (None, "<p>b"), (None, "1\n<p>a")], "page_id long, html string")
-    got = dom.joined(dom.dom_cleanup(dom.annotate(dom.tokens(pages))), "html").collect()
+    got = dom.joined(dom.annotate(dom.tokens(pages)), "html").collect()
     assert sorted((str(r.id), r.html) for r in got) == [("1", "<p>a"), ("1", "<p>c"), ("None", "1\n<p>a"), ("None", "<p>b")]
 
 
@@ -131,3 +131,14 @@ def test_no_python_in_the_plan(spark, sf_small):
     t = dom.dom_cleanup(dom.annotate(dom.tokens(spark.read.parquet(f"{sf_small}/pages.parquet"))))
     plan = dom.joined(t, "html")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_partitions_follow_the_bytes_of_html(spark):
+    """What one task sorts does not grow with the input: one shuffle, of whole pages, about PIECE_BYTES each."""
+    small = spark.range(60).selectExpr("id AS page_id", "concat('<p>', repeat('x', 100000)) AS html")
+    large = spark.range(200).selectExpr("id AS page_id", "concat('<p>', repeat('x', 100000)) AS html")
+    for pages, n in ((small, 3), (large, 10)):
+        assert dom.pieces(pages) == n
+        plan = dom.joined(dom.annotate(dom.tokens(pages)), "html")._jdf.queryExecution().executedPlan().toString()
+        assert [x for x in plan.splitlines() if "Exchange" in x] == [x for x in plan.splitlines() if f", {n})" in x and "REPARTITION_BY_NUM" in x] and plan.count("Exchange") == 1
+    assert dom.pieces(small.where("false")) == 1 and dom.pieces(small.selectExpr("page_id", "NULL AS html")) == 1
