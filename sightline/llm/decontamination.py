@@ -24,6 +24,8 @@ they are called like those of the benchmark.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,18 +161,24 @@ def _spans(mask: np.ndarray) -> list[int]:
 
 
 def mark(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-         window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``__n_words``, ``__spans`` (hit words: start and end in turn) and ``__items`` (ids as strings, sorted)."""
+         window: int = WINDOW, block_bytes: int = BLOCK_BYTES, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+    """``docs`` with ``__n_words``, ``__spans`` (hit words: start and end in turn) and ``__items`` (ids as strings, sorted).
+
+    ``finish``: makes rows of ``docs`` of each marked batch, in the last pass itself: two maps in a row would take two
+    Python workers a core, all of which stay.
+    """
     spark = docs.sparkSession
     n_blocks = max(1, -(-J.text_bytes(items, item_text) // block_bytes))
     items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).cast("string").alias("text"))
     out = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__spans": F.array().cast("array<long>"), "__items": F.array().cast("array<string>")})
-    schema = T.StructType(out.schema.fields)
+    marked = T.StructType(out.schema.fields)
     for block in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block) if n_blocks > 1 else items
         automaton = spark.sparkContext.broadcast(Automaton([(r.id, r.text) for r in part.collect()], window))
 
-        def run(batch: pa.RecordBatch, automaton=automaton):
+        last = finish if block == n_blocks - 1 else None
+
+        def run(batch: pa.RecordBatch, automaton=automaton, last=last):
             texts, before, named = batch.column(text_col), batch.column("__spans"), batch.column("__items")
             for a, b in A.slices(texts):
                 found = A.words(texts.slice(a, b - a), A.NOT_ALNUM, fold=True)
@@ -183,9 +191,10 @@ def mark(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
                     spans.append(_spans(mask) if old or d in names else [])
                     ids.append(sorted({*named[a + d].as_py(), *names.get(d, ())}))
                 new = {"__n_words": pa.array(found.counts, pa.int64()), "__spans": pa.array(spans, pa.list_(pa.int64())), "__items": pa.array(ids, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([new.get(c) if c in new else batch.column(c).slice(a, b - a) for c in batch.schema.names], names=batch.schema.names)
+                rows = pa.RecordBatch.from_arrays([new.get(c) if c in new else batch.column(c).slice(a, b - a) for c in batch.schema.names], names=batch.schema.names)
+                yield last(rows) if last else rows
 
-        out = J.map_arrow(out, run, schema)
+        out = J.map_arrow(out, run, docs.schema if last else marked)
         if n_blocks > 1:
             out = J.cut_lineage(out)
     return out
@@ -210,10 +219,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
 
     What is left of a text stays byte for byte; where a span was, its parts are joined by one space.
     """
-    marked = mark(docs, items, text_col, item_id, item_text, window, block_bytes)
     schema = docs.schema
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, spans = batch.column(text_col), batch.column("__spans").to_pylist()
         keep, new = np.ones(batch.num_rows, bool), texts.to_pylist()
         for d, span in enumerate(spans):
@@ -232,4 +240,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
         cols = [pa.array(new, pa.string()) if f.name == text_col else batch.column(f.name) for f in schema.fields]
         return pa.RecordBatch.from_arrays([c.take(kept) for c in cols], names=[f.name for f in schema.fields])
 
-    return J.map_arrow(marked, run, schema)
+    return mark(docs, items, text_col, item_id, item_text, window, block_bytes, cut)

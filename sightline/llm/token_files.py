@@ -46,14 +46,20 @@ REMEMBERED = 1_000_000
 ENCODED = 4096
 
 _BLOCK = "shard int, block int, n_tokens long, doc_ids binary, no_id binary, counts binary, ids binary, control binary, data binary"
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+_LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
+#: codes packed or unpacked at once (a multiple of 4); bounds the temporary arrays
+PART = 1 << 18
 
 
 # ------------------------------------------------------------------ coding
 
 def pack(codes: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit codes."""
-    codes = codes.astype("<u4")
+    parts = [_packed(codes[a : a + PART].astype("<u4")) for a in range(0, len(codes), PART)]
+    return b"".join(c for c, _ in parts), b"".join(d for _, d in parts)
+
+
+def _packed(codes: np.ndarray) -> tuple[bytes, bytes]:
     size = 1 + (codes > 0xFF) + (codes > 0xFFFF).astype(np.int8) + (codes > 0xFFFFFF).astype(np.int8)
     data = codes.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
     two = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
@@ -64,15 +70,19 @@ def pack(codes: np.ndarray) -> tuple[bytes, bytes]:
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` codes of :func:`pack`."""
-    size = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    start = np.cumsum(size) - size
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    codes = raw[start].astype(np.uint32)
-    for k in (1, 2, 3):
-        more = np.flatnonzero(size > k)
-        if not len(more):
-            break
-        codes[more] |= raw[start[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    raw, lengths = np.frombuffer(data, np.uint8), np.frombuffer(control, np.uint8)
+    codes, at = np.empty(n, np.uint32), 0
+    for a in range(0, n, PART):
+        part = codes[a : a + PART]
+        size = _LENGTHS[lengths[a // 4 : (a + PART) // 4]].reshape(-1)[: len(part)]
+        start = at + np.cumsum(size, dtype=np.int64) - size
+        part[:] = raw[start]
+        for k in (1, 2, 3):
+            more = np.flatnonzero(size > k)
+            if not len(more):
+                break
+            part[more] |= raw[start[more] + k].astype(np.uint32) << np.uint32(8 * k)
+        at += int(size.sum(dtype=np.int64))
     return codes
 
 

@@ -56,3 +56,18 @@ def test_removal_keeps_the_rest(spark):
     assert decontaminate(d, i.where("false")).count() == 4
     assert decontaminate(d.where("false"), i).count() == 0
     assert contamination(d.where("false"), i).columns[:6] == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def test_marking_and_removal_share_a_worker(spark):
+    """Two maps over Arrow batches in a row keep two Python workers a core alive, for all stages of the pipeline that follow."""
+    item = "one two three four five six seven eight nine ten"
+    docs = [(1, f"before {item} after a b c d e f g h", "x"), (2, item, "y"), (3, "", None), (4, None, "z")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string, more string"), spark.createDataFrame([(k, f"{item} {k}") for k in range(9)], "item_id long, text string")
+    i = i.unionByName(spark.createDataFrame([(9, item)], i.schema))
+    got = decontaminate(d, i)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = [(1, "before after a b c d e f g h", "x"), (3, "", None), (4, None, "z")]
+    for block in (1 << 20, 100):  # one automaton, and several
+        got = decontaminate(d, i, max_coverage=0.6, block_bytes=block)
+        assert got.schema == d.schema
+        assert sorted(tuple(r) for r in got.collect()) == want

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -78,3 +79,20 @@ def test_query_on_whole_table(spark, sf_small):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in QUERIES["op4_token_files"](spark, sf_small).collect()), key=lambda r: r[1])
     assert got == brute(rows)
+
+
+def test_coding_takes_little_memory_besides_the_codes():
+    rnd = np.random.default_rng(3)
+    codes = np.concatenate([rnd.integers(0, top, n) for top, n in ((1 << 8, 4 * TF.PART - 3), (1 << 16, 4 * TF.PART + 5), (1 << 24, 4 * TF.PART), (1 << 32, 4 * TF.PART))]).astype(np.uint32)
+    tracemalloc.start()
+    try:
+        control, data = TF.pack(codes)
+        packed = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        back = TF.unpack(control, data, len(codes))
+        unpacked = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert (back == codes).all() and len(TF.unpack(b"", b"", 0)) == 0 and TF.pack(codes[:0]) == (b"", b"")
+    assert packed <= 3 * codes.nbytes and unpacked <= 3 * codes.nbytes, (packed / codes.nbytes, unpacked / codes.nbytes)
