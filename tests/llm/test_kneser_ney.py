@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -109,3 +111,72 @@ def test_words_and_bigrams_under_the_broadcast_share_count_all_the_same(spark):
     model = K.train(docs, labels, least=0.03)
     assert model.tail is not None and len(model.vocabulary) < len(whole.vocabulary) and len(model.ordinary.pairs) < len(whole.ordinary.pairs)
     assert sorted((str(r.doc_id), round(r.score, 9), r.predicted) for r in K.scored(docs, model).collect()) == want
+
+
+def spelled_out(docs, labels, text):
+    """Difference per word by the formulas of the module, with a place for every word (dicts only)."""
+    words = lambda t: (t or "").lower().split()
+    counted = [(words(t), labels[i]) for i, t in docs if i in labels and zlib.crc32(str(i).encode()) % 5 > 1]
+    everywhere = Counter(w for _, t in docs for w in set(words(t)))
+    uni, big = ([Counter(x for ws, y in counted if y == k for x in set(f(ws))) for k in (0, 1)] for f in (list, lambda ws: zip([None, *ws], ws)))
+    size = [sum(u.values()) for u in uni]
+    scale = [min(size) / n for n in size]
+    known = set(uni[0]) | set(uni[1])
+    p0 = lambda w: (everywhere[w] + 1) / (sum(everywhere[x] + 1 for x in known) + max(1, sum(everywhere[x] for x in set(everywhere) - known)) + 1)
+
+    def own(n, kind):
+        shares = [z / sum(size) for z in size]
+        found = 2 * sum(k * math.log(k / (sum(n) * s)) for k, s in zip(n, shares) if k) / (1 + sum(n) * shares[0] * shares[1] / K.SPREAD[kind])
+        return 1 / (1 + (K.EVIDENCE[kind] / max(found, 1e-9)) ** K.STEEP)
+
+    drawn = lambda g, x: [sum(x) / 2 + g * (c - sum(x) / 2) for c in x]
+    owns = {w: own([u[w] for u in uni], 0) for w in known}
+    pairs = {p: drawn(max(owns[p[1]], own([b[p] for b in big], 1)), [b[p] * s for b, s in zip(big, scale)]) for p in set(big[0]) | set(big[1])}
+    kinds = {w: drawn(owns[w], [sum(1 - (1 - s) ** n for (_, x), n in b.items() if x == w) for b, s in zip(big, scale)]) for w in known}
+    p = []
+    for k in (0, 1):
+        total = sum(x[k] for x in kinds.values())
+        free = 1 - sum(max(x[k] - K.DISCOUNT, 0) for x in kinds.values()) / total
+        one = lambda w: max(kinds.get(w, [0, 0])[k] - K.DISCOUNT, 0) / total + free * p0(w)  # noqa: B023, E731
+
+        def two(v, w):
+            own = [(x[k], max(x[k] - K.DISCOUNT, 0), b) for (a, b), x in pairs.items() if a == v and v is not None]
+            context = sum(c for c, _, _ in own)
+            return one(w) if not context else sum(d for _, d, b in own if b == w) / context + (1 - sum(d for _, d, _ in own) / context) * one(w)  # noqa: B023
+
+        p.append(sum(math.log(two(v, w)) for v, w in zip([None, *words(text)], words(text))))
+    return (p[1] - p[0]) / max(1, len(words(text)))
+
+
+@pytest.mark.parametrize("least", [0.0, 0.01])
+def test_differences_are_those_of_a_model_with_a_place_for_every_word(spark, least):
+    rnd = random.Random(3)
+    many = [f"w{min(int(rnd.paretovariate(0.6)), 900)}" for _ in range(5000)]  # most words come once or twice
+    docs = [(i, " ".join(rnd.choice(many) + (" Vile" * (i % 3 == 0 and rnd.random() < 0.1)) for _ in range(25))) for i in range(260)]
+    labels = {i: int(i % 3 == 0) for i in range(220)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    model = K.train(frame, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), least=least)
+    assert (model.tail is not None) == (least > 0)
+    texts = [docs[1][1], docs[3][1], docs[250][1], "vile never seen w1 Vile vile", "w1 w2 w3 w1 w2", ""]
+    rows = K.differences(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), model).collect()
+    for r in rows:
+        assert abs(r.x - spelled_out(docs, labels, texts[r.i])) < 1e-9
+    assert len(rows) == 6
+
+
+def test_a_bigram_of_usual_words_is_learned(spark):
+    """Both words are as frequent in ordinary documents; only their order tells the classes apart."""
+    rnd = random.Random(4)
+
+    def green_door(toxic):
+        ws = [rnd.choice(WORDS) for _ in range(40)]
+        for a, b in (("green", "door"), ("green", "door")) if toxic else (("door", "w1"), ("green", "w2")) * 2:
+            at = rnd.randrange(len(ws))
+            ws[at:at] = [a, b]
+        return " ".join(ws)
+
+    toxic = {i: int(i % 3 == 0) for i in range(1500)}
+    docs = spark.createDataFrame([(i, green_door(y)) for i, y in toxic.items()], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in K.scored(docs, K.train(docs, docs.selectExpr("doc_id", "int(doc_id % 3 = 0) AS toxic"))).collect()}
+    held = [d for d in toxic if got[d].held_out]
+    assert sum(got[d].predicted == toxic[d] for d in held) >= 0.95 * len(held)
